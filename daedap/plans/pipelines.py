@@ -1,0 +1,168 @@
+"""Questions to answers: retrieve, read, select."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from daedap.operators.contexts import blank_outside_scope, drop_blank, sliding_contexts
+from daedap.operators.index import Index
+from daedap.operators.reader import Hook, Reader, lexical_reader, packed, reading_questions, spans
+from daedap.operators.retrieve import PLUS, fetch_text, in_cut, top_units
+from daedap.operators.select import (
+    acceptable,
+    first_of_question,
+    length_within,
+    trim_genitive,
+    trim_particle,
+    with_unanswered,
+)
+from daedap.plans.params import CutParams, RankParams
+from daedap.session import SmallSide, in_batches, materialize
+
+# Adds ``morph`` and ``pos``, the last morpheme of ``answer`` and its tag.
+Tagger = Callable[[DataFrame], DataFrame]
+
+
+def read_contexts(
+    contexts: DataFrame,
+    questions: DataFrame,
+    index: Index,
+    small: SmallSide,
+    reader: Reader = lexical_reader,
+    max_tokens: int | None = None,
+) -> DataFrame:
+    """Contexts ``(question_id, text, ..)`` with their token sequences and logits."""
+    asked = reading_questions(questions, index, small)
+    return reader(packed(contexts, asked, small, max_tokens))
+
+
+def ranked_contexts(
+    index: Index, corpus: DataFrame, questions: DataFrame, params: CutParams, small: SmallSide
+) -> DataFrame:
+    """``question_id, doc_pos, rank, in_cut, text``: one context per top document."""
+    top = top_units(index, questions, params.documents, PLUS, True, small)
+    flagged = top.select("question_id", "doc_pos", "rank", in_cut(params.cut).alias("in_cut"))
+    return fetch_text(flagged, corpus, small).drop("is_candidate")
+
+
+def cut_candidates(
+    index: Index,
+    corpus: DataFrame,
+    questions: DataFrame,
+    params: CutParams,
+    reader: Reader = lexical_reader,
+    postprocess: Hook | None = None,
+) -> DataFrame:
+    """The candidate spans of all top documents, with ``rank`` and ``in_cut`` of theirs."""
+
+    def run(batch: DataFrame, small: SmallSide) -> DataFrame:
+        contexts = ranked_contexts(index, corpus, batch, params, small)
+        read = read_contexts(contexts, batch, index, small, reader, params.max_tokens)
+        return spans(read, params.end_weight, params.spans, params.end_source, postprocess)
+
+    return in_batches(questions, run)
+
+
+def select_answers(candidates: DataFrame, params: CutParams, tagger: Tagger) -> DataFrame:
+    """The first acceptable candidate of each question, as ``question_id, answer, stage``.
+
+    Markers are looked for before trimming, the length is checked after it. A
+    candidate of the documents in the cut that passes the strict markers comes
+    before all others; then follow those of all documents, by the relaxed ones.
+    """
+    answer = F.col("answer")
+    strict = F.col("in_cut") & acceptable(answer, params.inside, params.strict)
+    relaxed = acceptable(answer, params.inside, params.relaxed)
+    passed = candidates.withColumn("step", F.when(strict, 0).when(relaxed, 1)).filter(
+        F.col("step").isNotNull()
+    )
+    trimmed = (
+        tagger(passed)
+        .withColumn("answer", trim_particle(answer, F.col("morph"), params.particles))
+        .filter(length_within(answer, params.min_len, params.max_len))
+        .withColumn("stage", F.when(F.col("step") == 0, "cut").otherwise("fallback"))
+    )
+    order = [F.col("step"), -F.col("score"), F.col("rank"), F.col("start_rank"), F.col("end_rank")]
+    return first_of_question(trimmed, order, ["answer", "stage"])
+
+
+def answer_by_cut(
+    index: Index,
+    corpus: DataFrame,
+    questions: DataFrame,
+    params: CutParams,
+    tagger: Tagger,
+    reader: Reader = lexical_reader,
+    postprocess: Hook | None = None,
+    read_again: bool = False,
+) -> DataFrame:
+    """``question_id, answer, stage`` for every question; stage cut, fallback or none.
+
+    The documents outside the cut are read along with the others, in one pass.
+    Where reading is dear, ``read_again`` first answers from the cut alone and
+    reads all documents only for the questions left over.
+    """
+    if not read_again:
+        candidates = cut_candidates(index, corpus, questions, params, reader, postprocess)
+        return with_unanswered(select_answers(candidates, params, tagger), questions)
+
+    def run(batch: DataFrame, small: SmallSide) -> DataFrame:
+        contexts = materialize(ranked_contexts(index, corpus, batch, params, small))
+
+        def answers(rows: DataFrame) -> DataFrame:
+            read = read_contexts(rows, batch, index, small, reader, params.max_tokens)
+            found = spans(read, params.end_weight, params.spans, params.end_source, postprocess)
+            return select_answers(found, params, tagger)
+
+        first = materialize(answers(contexts.filter("in_cut")).filter(F.col("stage") == "cut"))
+        left_over = contexts.join(small(first.select("question_id")), "question_id", "left_anti")
+        return first.unionByName(answers(left_over))
+
+    return with_unanswered(in_batches(questions, run), questions)
+
+
+def answer_by_rank(
+    index: Index,
+    corpus: DataFrame,
+    questions: DataFrame,
+    params: RankParams,
+    tagger: Tagger,
+    reader: Reader = lexical_reader,
+) -> DataFrame:
+    """``question_id, answer, stage`` for every question; stage window, single or none.
+
+    All documents are ranked, those that may not be returned as blanks. With
+    ``windows`` blanks are dropped, joined contexts are read first, and single
+    documents only for the questions these leave unanswered.
+    """
+
+    def run(batch: DataFrame, small: SmallSide) -> DataFrame:
+        top = top_units(index, batch, params.documents, PLUS, False, small)
+        ranked = blank_outside_scope(
+            fetch_text(top.select("question_id", "doc_pos", "rank"), corpus, small)
+        ).select("question_id", "rank", "text")
+
+        def answers(contexts: DataFrame, stage: str) -> DataFrame:
+            read = read_contexts(contexts, batch, index, small, reader, params.max_tokens)
+            found = spans(read, k=1, min_len=params.min_len)
+            kept = found.filter(acceptable(F.col("answer"), (), params.anywhere))
+            if params.genitive:
+                trimmed = trim_genitive(
+                    F.col("answer"), F.col("morph"), F.col("pos"), params.genitive
+                )
+                kept = tagger(kept).withColumn("answer", trimmed)
+            kept = kept.filter(length_within(F.col("answer"), params.min_len, params.max_len))
+            first = first_of_question(kept, [F.col("rank")], ["answer"])
+            return first.withColumn("stage", F.lit(stage))
+
+        if not params.windows:
+            return answers(ranked, "single")
+        ranked = materialize(drop_blank(ranked))
+        first = materialize(answers(sliding_contexts(ranked, batch), "window"))
+        left_over = ranked.join(small(first.select("question_id")), "question_id", "left_anti")
+        return first.unionByName(answers(left_over, "single"))
+
+    return with_unanswered(in_batches(questions, run), questions)
