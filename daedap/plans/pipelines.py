@@ -74,6 +74,9 @@ def select_answers(candidates: DataFrame, params: CutParams, tagger: Tagger) ->
     before all others; then follow those of all documents, by the relaxed ones.
     """
     answer = F.col("answer")
+    # Trimming takes at most one character, so longer ones can go ahead of the
+    # marker search.
+    candidates = candidates.filter(length_within(answer, params.min_len, params.max_len + 1))
     strict = F.col("in_cut") & acceptable(answer, params.inside, params.strict)
     relaxed = acceptable(answer, params.inside, params.relaxed)
     passed = candidates.withColumn("step", F.when(strict, 0).when(relaxed, 1)).filter(
