@@ -117,8 +117,8 @@ def top(n: int, scope: str = "is_candidate") -> str:
     return f"""
 top AS MATERIALIZED (
   SELECT *, max(units) OVER (PARTITION BY question_id) AS best
-  FROM (SELECT question_id, doc_pos, is_candidate, units, row_number() OVER (
-          PARTITION BY question_id ORDER BY units DESC, doc_pos DESC) AS rank
+  FROM (SELECT question_id, doc_pos, is_candidate, units, CAST(row_number() OVER (
+          PARTITION BY question_id ORDER BY units DESC, doc_pos DESC) AS INT) AS rank
         FROM dense WHERE {scope})
   WHERE rank <= {n})"""
 
@@ -175,7 +175,7 @@ reader_weights AS MATERIALIZED (
   JOIN terms USING (term), stats),
 token_rows AS (
   SELECT question_id, ctx, doc_pos, document_start, unnest(seq) AS token,
-         generate_subscripts(seq, 1) - 1 AS pos
+         CAST(generate_subscripts(seq, 1) - 1 AS INT) AS pos
   FROM packed),
 weighted AS (
   SELECT t.*, pos >= document_start AND token <> '</s>' AS in_document,
@@ -198,17 +198,17 @@ def span_tables(end_weight: float = 1.0, k: int = 10, end_source: str = "start")
     return f"""
 starts AS MATERIALIZED (
   SELECT * FROM (
-    SELECT question_id, ctx, doc_pos, pos AS start, start_logit, row_number() OVER (
-      PARTITION BY question_id, ctx ORDER BY start_logit DESC, pos) AS start_rank
+    SELECT question_id, ctx, doc_pos, pos AS start, start_logit, CAST(row_number() OVER (
+      PARTITION BY question_id, ctx ORDER BY start_logit DESC, pos) AS INT) AS start_rank
     FROM logits)
   WHERE start_rank <= {k}),
 ends AS MATERIALIZED (
   SELECT * FROM (
     SELECT s.question_id, s.ctx, s.doc_pos, start, start_rank, s.start_logit, e.pos AS "end",
            e.{end_source}_logit AS at_end,
-           row_number() OVER (
+           CAST(row_number() OVER (
              PARTITION BY s.question_id, s.ctx, start
-             ORDER BY CASE WHEN e.pos >= start THEN e.end_logit ELSE CAST(0 AS DOUBLE) END DESC, e.pos) AS end_rank
+             ORDER BY CASE WHEN e.pos >= start THEN e.end_logit ELSE CAST(0 AS DOUBLE) END DESC, e.pos) AS INT) AS end_rank
     FROM starts s JOIN logits e ON e.question_id = s.question_id AND e.ctx = s.ctx)
   WHERE end_rank <= {k} AND "end" >= start),
 all_spans AS MATERIALIZED (
@@ -304,11 +304,11 @@ ranked30 AS MATERIALIZED (
 NONBLANK = """
 nonblank AS MATERIALIZED (
   SELECT question_id, doc_pos, text,
-         row_number() OVER (PARTITION BY question_id ORDER BY rank) AS rank
+         CAST(row_number() OVER (PARTITION BY question_id ORDER BY rank) AS INT) AS rank
   FROM ranked30 WHERE text <> '')"""
 WINDOWED = """
 windowed AS MATERIALIZED (
-  SELECT q.question_id, e AS rank,
+  SELECT q.question_id, CAST(e AS INT) AS rank,
          coalesce(string_agg(text, ' ' || chr(10) ORDER BY d.rank), '') AS text
   FROM questions q CROSS JOIN generate_series(1, 7) g(e)
   LEFT JOIN nonblank d ON d.question_id = q.question_id AND d.rank BETWEEN e - 2 AND e
@@ -478,8 +478,8 @@ FROM dense GROUP BY question_id""",
     "best_span": query(*reading(k=1), f"SELECT {SPAN}, answer FROM all_spans"),
     "pool_order": query(
         *reading(),
-        f"""SELECT {SPAN}, row_number() OVER (
-              PARTITION BY question_id ORDER BY score DESC, rank, start_rank, end_rank) AS place
+        f"""SELECT {SPAN}, CAST(row_number() OVER (
+              PARTITION BY question_id ORDER BY score DESC, rank, start_rank, end_rank) AS INT) AS place
             FROM spans""",
     ),
     "marker_filter": query(
