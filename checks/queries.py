@@ -11,6 +11,7 @@ tagger's last morpheme. Every query covers its whole tables and whole texts.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from dataclasses import replace
 from functools import partial
 
@@ -112,6 +113,13 @@ def questions(spark: SparkSession, sf_dir: str, normalized: bool = False) -> Dat
     )
 
 
+def batched(
+    spark: SparkSession, sf_dir: str, run: Callable[[DataFrame, SmallSide], DataFrame]
+) -> DataFrame:
+    per_task = index(spark, sf_dir).documents_per_task
+    return in_batches(questions(spark, sf_dir), per_task, run)
+
+
 def turns(spark: SparkSession, sf_dir: str, role: str) -> DataFrame:
     """One role's turns, as ``id, text``."""
     said = table(spark, sf_dir, "conversations").filter(F.col("role") == role)
@@ -229,14 +237,14 @@ def nonblank_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
         kept = drop_blank(ranked30(spark, sf_dir, batch, small))
         return kept.select("question_id", "rank", "doc_pos", "text")
 
-    return in_batches(questions(spark, sf_dir), run)
+    return batched(spark, sf_dir, run)
 
 
 def windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     def run(batch: DataFrame, small: SmallSide) -> DataFrame:
         return sliding_contexts(drop_blank(ranked30(spark, sf_dir, batch, small)), batch)
 
-    return in_batches(questions(spark, sf_dir), run)
+    return batched(spark, sf_dir, run)
 
 
 # Reading
@@ -263,26 +271,22 @@ def pack_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.array_join("sequence", " ").alias("sequence"),
         )
 
-    return in_batches(questions(spark, sf_dir), run)
+    return batched(spark, sf_dir, run)
 
 
 def reader_logits(spark: SparkSession, sf_dir: str) -> DataFrame:
     def run(batch: DataFrame, small: SmallSide) -> DataFrame:
         return logit_rows(read(spark, sf_dir, batch, small)).drop("rank")
 
-    return in_batches(questions(spark, sf_dir), run)
+    return batched(spark, sf_dir, run)
 
 
 def starts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return in_batches(
-        questions(spark, sf_dir), lambda b, small: start_rows(read(spark, sf_dir, b, small))
-    )
+    return batched(spark, sf_dir, lambda b, small: start_rows(read(spark, sf_dir, b, small)))
 
 
 def ends(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return in_batches(
-        questions(spark, sf_dir), lambda b, small: end_rows(read(spark, sf_dir, b, small))
-    )
+    return batched(spark, sf_dir, lambda b, small: end_rows(read(spark, sf_dir, b, small)))
 
 
 def candidates(spark: SparkSession, sf_dir: str, params: CutParams) -> DataFrame:
@@ -309,7 +313,7 @@ def best_span(spark: SparkSession, sf_dir: str) -> DataFrame:
         best = spans(read(spark, sf_dir, batch, small), k=1, min_len=0)
         return best.select("question_id", "doc_pos", "start", "end_excl", "answer")
 
-    return in_batches(questions(spark, sf_dir), run)
+    return batched(spark, sf_dir, run)
 
 
 # Selection
@@ -352,7 +356,7 @@ def early_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
             ).alias("p2"),
         )
 
-    return in_batches(questions(spark, sf_dir), run)
+    return batched(spark, sf_dir, run)
 
 
 def particle_trim(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daedap.functions.text import Tokenizer, clean_words, normalize, searchable
+from daedap.session import partitions_for
 
 
 @dataclass(frozen=True)
@@ -21,6 +22,7 @@ class Index:
     postings: DataFrame
     terms: DataFrame
     stats: DataFrame
+    documents_per_task: int
 
 
 def corpus_tokens(corpus: DataFrame, tokenizer: Tokenizer | None = None) -> DataFrame:
@@ -41,7 +43,7 @@ def build_index(
     The raw text is shuffled once, by document. Everything per document after
     that (counting terms here, adding up scores later) needs no further shuffle.
     """
-    parts = partitions or int(corpus.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = partitions or partitions_for(corpus)
     tokens = corpus_tokens(corpus.repartition(parts, "doc_pos"), tokenizer)
     postings = (
         tokens.select(
@@ -56,10 +58,10 @@ def build_index(
         .groupBy("doc_pos", "is_candidate", "dl", "term")
         .agg(F.count("*").cast("int").alias("tf"))
     )
-    return _with_totals(corpus.select("doc_pos", "is_candidate"), postings)
+    return _with_totals(corpus.select("doc_pos", "is_candidate"), postings, parts)
 
 
-def _with_totals(docs: DataFrame, postings: DataFrame) -> Index:
+def _with_totals(docs: DataFrame, postings: DataFrame, partitions: int) -> Index:
     terms = postings.groupBy("term").agg(F.count("*").alias("df"))
     n = docs.agg(F.count("*")).scalar()
     stats = (
@@ -67,7 +69,7 @@ def _with_totals(docs: DataFrame, postings: DataFrame) -> Index:
         .withColumn("n", n)
         .select("n", "total_tokens", F.expr("try_divide(total_tokens, n)").alias("avgdl"))
     )
-    return Index(docs, postings, terms, stats)
+    return Index(docs, postings, terms, stats, -(-docs.count() // partitions))
 
 
 def store_index(index: Index, folder: str) -> Index:
@@ -86,7 +88,7 @@ def store_index(index: Index, folder: str) -> Index:
         .saveAsTable(table)
     )
     index.docs.write.mode("overwrite").parquet(f"{folder}/docs")
-    written = _with_totals(spark.read.parquet(f"{folder}/docs"), spark.table(table))
+    written = _with_totals(spark.read.parquet(f"{folder}/docs"), spark.table(table), parts)
     written.terms.write.mode("overwrite").parquet(f"{folder}/terms")
     written.stats.write.mode("overwrite").parquet(f"{folder}/stats")
     return Index(
@@ -94,4 +96,5 @@ def store_index(index: Index, folder: str) -> Index:
         written.postings,
         spark.read.parquet(f"{folder}/terms"),
         spark.read.parquet(f"{folder}/stats"),
+        written.documents_per_task,
     )

@@ -6,10 +6,12 @@ steps from the logits to the spans stay inside the row and shuffle nothing.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daedap.functions.sequences import (
     EOS,
@@ -29,6 +31,7 @@ from daedap.session import SmallSide
 # here, through ``mapInPandas`` or a pandas UDF over ``sequence``.
 Reader = Callable[[DataFrame], DataFrame]
 
+# Changes an answer's text: a column function, or a pandas UDF.
 Hook = Callable[[Column], Column]
 
 # The lexical reader: tokens to look at on either side, and the logit of tokens
@@ -128,6 +131,31 @@ def lexical_reader(rows: DataFrame) -> DataFrame:
     )
 
 
+def model_reader(
+    load: Callable[[], Callable[[list[list[str]]], Iterator[tuple[Sequence, Sequence]]]],
+) -> Reader:
+    """A reader around a model: ``load()`` gives a function from token lists to logit pairs.
+
+    The model is loaded once per task and sees one Arrow batch at a time.
+    """
+
+    def read(rows: DataFrame) -> DataFrame:
+        logits = T.ArrayType(T.DoubleType())
+        schema = T.StructType(rows.schema.fields).add("start_logits", logits).add("end_logits", logits)
+
+        def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            model = load()
+            for batch in batches:
+                pairs = list(model([list(s) for s in batch["sequence"]]))
+                yield batch.assign(
+                    start_logits=[list(p[0]) for p in pairs], end_logits=[list(p[1]) for p in pairs]
+                )
+
+        return rows.mapInPandas(predict, schema)
+
+    return read
+
+
 def logit_rows(read: DataFrame) -> DataFrame:
     """One row per token: ``pos, token, start_logit, end_logit``."""
     keys = [c for c in ("question_id", "doc_pos", "rank") if c in read.columns]
@@ -196,7 +224,7 @@ def spans(
             (rank + 1).alias("start_rank"),
             end["rank"].alias("end_rank"),
             (-start["order"] + end_weight * at_end).alias("score"),
-            (postprocess(answer) if postprocess else answer).alias("answer"),
+            answer.alias("answer"),
         )
 
     def all_spans(ends: Column) -> Column:
@@ -210,14 +238,20 @@ def spans(
     arrays = ("sequence", "start_logits", "end_logits", "document_start", "term_weights")
     keys = [c for c in read.columns if c not in arrays]
     found = let(_best_first(F.col("end_logits")), all_spans)
-    kept = F.filter(found, lambda s: F.length(s["answer"]) >= min_len)
+    if postprocess is None:
+        found = F.filter(found, lambda s: F.length(s["answer"]) >= min_len)
     # The outer form: a plain explode would work out all spans a second time, in
     # a size filter.
-    return (
-        read.select(*keys, F.explode_outer(kept).alias("span"))
+    rows = (
+        read.select(*keys, F.explode_outer(found).alias("span"))
         .filter(F.col("span").isNotNull())
         .select(*keys, "span.*")
     )
+    if postprocess is None:
+        return rows
+    return rows.withColumn("answer", postprocess(F.col("answer"))).filter(
+        F.length("answer") >= min_len
+    )
 
 
 def start_rows(read: DataFrame, k: int = 10) -> DataFrame:

@@ -126,6 +126,7 @@ def _scoped(index: Index, candidates_only: bool) -> Index:
         index.postings.filter("is_candidate"),
         index.terms,
         index.stats,
+        index.documents_per_task,
     )
 
 
@@ -145,7 +146,7 @@ def score_documents(
             "question_id", "doc_pos", score_value(F.col("base") + F.col("match")).alias("score")
         )
 
-    return in_batches(questions, run)
+    return in_batches(questions, index.documents_per_task, run)
 
 
 def base_scores(index: Index, questions: DataFrame, ranker: Ranker = PLUS) -> DataFrame:
@@ -155,7 +156,7 @@ def base_scores(index: Index, questions: DataFrame, ranker: Ranker = PLUS) -> Da
         base = base_units(batch, question_weights(batch, index, ranker, small), ranker, small)
         return base.select("question_id", score_value(F.col("base")).alias("score"))
 
-    return in_batches(questions, run)
+    return in_batches(questions, index.documents_per_task, run)
 
 
 def _by_score() -> Window:
@@ -236,7 +237,7 @@ def top_documents(
         kept = top if cut is None else top.filter(in_cut(cut))
         return kept.select("question_id", "rank", "doc_pos", score_value(F.col("units")).alias("score"))
 
-    return in_batches(questions, run)
+    return in_batches(questions, index.documents_per_task, run)
 
 
 def fetch_text(ranked: DataFrame, corpus: DataFrame, small: SmallSide) -> DataFrame:
@@ -253,4 +254,4 @@ def documents_with_text(
         top = top_units(index, batch, n, ranker, True, small).select("question_id", "rank", "doc_pos")
         return fetch_text(top, corpus, small).select("question_id", "rank", "doc_pos", "text")
 
-    return in_batches(questions, run)
+    return in_batches(questions, index.documents_per_task, run)

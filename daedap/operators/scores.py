@@ -64,7 +64,7 @@ def score_runs(index: Index, questions: DataFrame, ranker: Ranker = PLUS) -> Dat
             .agg(F.sum("n_docs").alias("n_docs"))
         )
 
-    return in_batches(questions, run)
+    return in_batches(questions, index.documents_per_task, run)
 
 
 def _values_at(runs: DataFrame, wanted: DataFrame, small: SmallSide) -> DataFrame:
@@ -162,7 +162,7 @@ def score_distribution(
             F.round(cut * score_value(F.col("max")), 4).alias("cut_score"),
         )
 
-    return in_batches(questions, run)
+    return in_batches(questions, index.documents_per_task, run)
 
 
 def best_scores(
@@ -174,4 +174,4 @@ def best_scores(
         top = top_units(index, batch, n, ranker, False, small)
         return top.select("question_id", "rank", score_value(F.col("units")).alias("score"))
 
-    return in_batches(questions, run)
+    return in_batches(questions, index.documents_per_task, run)

@@ -63,7 +63,7 @@ def cut_candidates(
         read = read_contexts(contexts, batch, index, small, reader, params.max_tokens)
         return spans(read, params.end_weight, params.spans, params.end_source, postprocess)
 
-    return in_batches(questions, run)
+    return in_batches(questions, index.documents_per_task, run)
 
 
 def select_answers(candidates: DataFrame, params: CutParams, tagger: Tagger) -> DataFrame:
@@ -124,7 +124,7 @@ def answer_by_cut(
         left_over = contexts.join(small(first.select("question_id")), "question_id", "left_anti")
         return first.unionByName(answers(left_over))
 
-    return with_unanswered(in_batches(questions, run), questions)
+    return with_unanswered(in_batches(questions, index.documents_per_task, run), questions)
 
 
 def answer_by_rank(
@@ -168,4 +168,4 @@ def answer_by_rank(
         left_over = ranked.join(small(first.select("question_id")), "question_id", "left_anti")
         return first.unionByName(answers(left_over, "single"))
 
-    return with_unanswered(in_batches(questions, run), questions)
+    return with_unanswered(in_batches(questions, index.documents_per_task, run), questions)

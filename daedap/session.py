@@ -9,9 +9,19 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Question tokens that one broadcast may hold. At some 100 bytes a token this is
-# about 200 MB, far below what Spark accepts for a broadcast table.
-BROADCAST_TOKENS = 2_000_000
+# What one batch of questions may hold. Its broadcasts are its tokens, some 100
+# bytes each, and its ranked documents, some 40 bytes each and 30 to a question:
+# 200 MB and 60 MB, far below what Spark accepts for a broadcast table.
+BATCH_TOKENS = 2_000_000
+BATCH_QUESTIONS = 50_000
+
+# (document, question) pairs that one task may have to add up scores for.
+PAIRS_PER_TASK = 100_000_000
+
+# Input bytes (as stored, so compressed) per partition of a corpus, and the most
+# partitions: so many that 100 TB still make partitions of 2 GB.
+PARTITION_BYTES = 256 * 1024 * 1024
+MOST_PARTITIONS = 50_000
 
 # Marks the small side of a join: ``F.broadcast``, or nothing where it is too big.
 SmallSide = Callable[[DataFrame], DataFrame]
@@ -38,10 +48,20 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def partitions_for(df: DataFrame) -> int:
+    """Partitions for a table, by the optimizer's estimate of its size.
+
+    At least ``spark.sql.shuffle.partitions``.
+    """
+    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    by_size = min(int(estimate.toString()) // PARTITION_BYTES, MOST_PARTITIONS)
+    return max(by_size, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def in_batches(
     questions: DataFrame,
+    documents_per_task: int,
     run: Callable[[DataFrame, SmallSide], DataFrame],
-    limit: int = BROADCAST_TOKENS,
 ) -> DataFrame:
     """Run over ``questions(question_id, tokens, ..)`` in batches that fit one broadcast.
 
@@ -51,19 +71,23 @@ def in_batches(
     questions. A batch still over the limit (one giant question) runs without
     the broadcast hint, and Spark shuffles both sides instead.
     """
+    most = max(1, min(BATCH_QUESTIONS, PAIRS_PER_TASK // max(documents_per_task, 1)))
+    tokens = F.coalesce(F.sum(F.size("tokens").cast("long")), F.lit(0)).alias("tokens")
+    size = [F.count("*").alias("n"), tokens]
 
-    def small_side(size: int) -> SmallSide:
-        return F.broadcast if size <= limit else (lambda df: df)
+    def small_side(tokens: int) -> SmallSide:
+        return F.broadcast if tokens <= BATCH_TOKENS else (lambda df: df)
 
-    size = F.sum(F.size("tokens").cast("long")).alias("size")
-    total = questions.agg(size).first()["size"] or 0
-    if total <= limit:
-        return run(questions, small_side(total))
-    # Half-full batches, so that an uneven hash still stays under the limit.
-    batch = F.pmod(F.xxhash64("question_id"), F.lit(-(-2 * total // limit)))
-    sizes = questions.groupBy(batch.alias("batch")).agg(size).orderBy("batch").collect()
+    total = questions.agg(*size).first()
+    if total["n"] <= most and total["tokens"] <= BATCH_TOKENS:
+        return run(questions, small_side(total["tokens"]))
+    # Half-full batches, so that an uneven hash still stays under the limits.
+    count = max(-(-2 * total["n"] // most), -(-2 * total["tokens"] // BATCH_TOKENS))
+    batch = F.pmod(F.xxhash64("question_id"), F.lit(count))
+    # One row per batch.
+    sizes = questions.groupBy(batch.alias("batch")).agg(*size).orderBy("batch").collect()
     parts = [
-        materialize(run(questions.filter(batch == row["batch"]), small_side(row["size"])))
+        materialize(run(questions.filter(batch == row["batch"]), small_side(row["tokens"])))
         for row in sizes
     ]
     return reduce(DataFrame.unionByName, parts)

@@ -1,0 +1,140 @@
+import pytest
+from pyspark.sql import functions as F
+
+from daedap.functions.sequences import (
+    detokenize,
+    document_start,
+    let,
+    pack,
+    token_slice,
+    truncate,
+)
+from daedap.functions.text import (
+    clean_words,
+    contains_any,
+    drop_last_char,
+    drop_newlines,
+    last_char,
+    marked_tokens,
+    normalize,
+    searchable,
+    term_of,
+    word_tokens,
+)
+
+
+def values(spark, column, *rows):
+    """The column worked out for each row ``a, b``."""
+    width = max(len(r) for r in rows)
+    data = [(i, *r) for i, r in enumerate(rows)]
+    schema = "i int, " + ", ".join(f"{c} string" for c in "abc"[:width])
+    df = spark.createDataFrame(data, schema)
+    return [r[0] for r in df.orderBy("i").select(column).collect()]
+
+
+@pytest.mark.parametrize(
+    "title, text, expected",
+    [
+        ("T", r"A\n\nb, C", "t a b c"),
+        ("T", "x\n\ny\nz", "t x y z"),
+        ("T", "É1 한글! ㄱ", "t 1 한글 ㄱ"),
+        ("", "??", ""),
+        (None, None, ""),
+        (None, "a", "a"),
+        # A written newline in capitals is no newline.
+        ("T", r"a\Nb", "t a nb"),
+        # Kelvin sign: lowercased first, so it is kept as k.
+        ("T", "5K", "t 5k"),
+        ("T", "tab\there  twice", "t tab here twice"),
+    ],
+)
+def test_normalize(spark, title, text, expected):
+    got = values(spark, normalize(searchable(F.col("a"), F.col("b"))), (title, text))
+    assert got == [expected]
+
+
+def test_newlines_longest_first(spark):
+    assert values(spark, drop_newlines(F.col("a")), ("a\\n\\nb\n\nc\\nd\ne",)) == ["a b c d e"]
+
+
+def test_clean_words_are_split_normalized_text(spark):
+    texts = [("  Ab  cd!\n x\\ny ",), ("",), ("..",), ("한글 Ä b",)]
+    words = values(spark, clean_words(F.col("a")), *texts)
+    assert words == [n.split() for n in values(spark, normalize(F.col("a")), *texts)]
+    assert words[1] == [] and words[2] == []
+
+
+def test_raw_tokens_keep_capitals_and_marks(spark):
+    assert values(spark, word_tokens(F.col("a")), ("Who, is 세종?",)) == [
+        ["Who", ",", "is", "세종", "?"]
+    ]
+
+
+def test_marked_tokens_read_back(spark):
+    got = values(spark, marked_tokens(F.col("a")), ("Ab, c\n\nd.e",), ("",), ("  x",))
+    assert got == [["▁Ab", ",", "▁c", "▁d", ".", "e"], [], ["▁x"]]
+    back = values(spark, detokenize(marked_tokens(F.col("a"))), ("Ab, c\n\nd.e",), ("",))
+    assert back == ["Ab, c d.e", ""]
+
+
+def test_term_of_token(spark):
+    assert values(spark, term_of(F.col("a")), ("▁Ab",), ("É",)) == ["ab", "é"]
+
+
+def test_predicates_count_characters(spark):
+    rows = [("서울이다.",), ("의",), ("",)]
+    assert values(spark, last_char(F.col("a")), *rows) == [".", "의", ""]
+    assert values(spark, drop_last_char(F.col("a")), *rows) == ["서울이다", "", ""]
+    assert values(spark, contains_any(F.col("a"), ["이다", "x"]), *rows) == [True, False, False]
+    assert values(spark, contains_any(F.col("a"), []), *rows) == [False] * 3
+
+
+def array(text):
+    return F.split(F.lit(text), " ") if text else F.array().cast("array<string>")
+
+
+@pytest.mark.parametrize(
+    "tokens, expected",
+    [
+        ("▁서울 시", "서울시"),
+        ("▁a ▁b </s>", "a b"),
+        ("<s> ▁q", "q"),
+        ("▁q </s> </s> ▁d", ""),
+        ("</s> </s>", ""),
+        ("</s> ▁d", "d"),
+        ("<s>", ""),
+        ("", ""),
+    ],
+)
+def test_detokenize(spark, tokens, expected):
+    assert values(spark, detokenize(array(tokens)), ("",)) == [expected]
+
+
+def test_pack(spark):
+    q, d = array("q1 q2"), array("d1 d2 d3")
+    packed = "<s> q1 q2 </s> </s> d1 d2 d3 </s>".split()
+    one = "<s> q1 q2 </s> d1 d2 d3 </s>".split()
+
+    def value(column):
+        return values(spark, column, ("",))[0]
+
+    assert value(pack(q, d)) == packed
+    assert value(pack(q, d, separator=False)) == one
+    assert value(pack(q, d, special_tokens=False)) == ["q1", "q2"]
+    assert packed[value(document_start(q))] == "d1"
+    assert one[value(document_start(q, separator=False))] == "d1"
+    assert value(truncate(pack(q, d), 7)) == packed[:7]
+    assert value(truncate(pack(q, d), None)) == packed
+
+
+def test_token_slice(spark):
+    tokens = array("a b c d")
+    for start in range(4):
+        for end in range(-1, 5):
+            column = token_slice(tokens, F.lit(start), F.lit(end))
+            assert values(spark, column, ("",)) == [["a", "b", "c", "d"][start : end + 1]]
+
+
+def test_let_binds_once(spark):
+    column = let(F.col("a"), lambda v: F.concat(v, v))
+    assert values(spark, column, ("x",), ("y",)) == ["xx", "yy"]
