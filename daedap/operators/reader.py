@@ -140,8 +140,9 @@ def model_reader(
     """
 
     def read(rows: DataFrame) -> DataFrame:
-        logits = T.ArrayType(T.DoubleType())
-        schema = T.StructType(rows.schema.fields).add("start_logits", logits).add("end_logits", logits)
+        rows = rows.drop("term_weights")
+        logits = [T.StructField(f"{e}_logits", T.ArrayType(T.DoubleType())) for e in ("start", "end")]
+        schema = T.StructType([*rows.schema.fields, *logits])
 
         def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             model = load()

@@ -49,7 +49,7 @@ def with_last_morph(
         F.col("answer").alias("lookup"),
         "morph",
         "pos",
-        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long").alias("salt"),
+        F.explode(F.expr(f"sequence(0L, {salts - 1}L)")).alias("salt"),
     )
     return keyed.join(table, ["lookup", "salt"], "left").drop("lookup", "salt")
 

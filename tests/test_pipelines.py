@@ -1,0 +1,124 @@
+import pytest
+from helpers import corpus_of, questions_of, rows
+from daedap import session
+from daedap.operators.index import build_index
+from daedap.operators.reader import model_reader
+from daedap.operators.select import last_morph_of_text
+from daedap.plans.params import P0, P1, P2, P3, CutParams, RankParams
+from daedap.plans.pipelines import answer_by_cut, answer_by_rank
+
+TEXTS = [
+    "서울 은 한국 의 수도 이다",
+    "부산 은 한국 의 항구 도시",
+    "파리 는 프랑스 의 수도",
+    "",
+    "강 과 산",
+]
+ASKED = ["한국 수도 서울", "프랑스 수도", "항구 부산", "없는말"]
+
+
+def longest_word_reader():
+    """A model whose best span is the longest document token."""
+
+    def load():
+        def model(batch):
+            for sequence in batch:
+                first = 2 + next(i for i, t in enumerate(sequence) if t == "</s>")
+                logits = [
+                    float(len(t)) if i >= first and t != "</s>" else -9.0
+                    for i, t in enumerate(sequence)
+                ]
+                yield logits, logits
+
+        return model
+
+    return model_reader(load)
+
+
+def everything(answers):
+    return {q: (a, s) for q, a, s in rows(answers, "question_id", "answer", "stage")}
+
+
+@pytest.mark.parametrize("scope", [5, 2])
+def test_reading_again_gives_the_same_answers(spark, scope):
+    corpus = corpus_of(spark, TEXTS, scope)
+    index, asked = build_index(corpus, partitions=2), questions_of(spark, ASKED)
+    params = CutParams(cut=0.95, end_weight=1.0, documents=3)
+    for reader in (None, longest_word_reader()):
+        how = {} if reader is None else {"reader": reader}
+        once = everything(answer_by_cut(index, corpus, asked, params, last_morph_of_text, **how))
+        again = answer_by_cut(
+            index, corpus, asked, params, last_morph_of_text, read_again=True, **how
+        )
+        assert everything(again) == once
+        assert set(once) == {0, 1, 2, 3}
+
+
+def test_batches_do_not_change_answers(spark, monkeypatch):
+    corpus = corpus_of(spark, TEXTS)
+    index, asked = build_index(corpus, partitions=2), questions_of(spark, ASKED)
+
+    def run():
+        by_cut = answer_by_cut(index, corpus, asked, P3, last_morph_of_text)
+        by_rank = answer_by_rank(index, corpus, asked, P2, last_morph_of_text)
+        return everything(by_cut), everything(by_rank)
+
+    whole = run()
+    monkeypatch.setattr(session, "BATCH_QUESTIONS", 2)
+    assert run() == whole
+
+
+def test_answer_comes_from_the_model(spark):
+    corpus = corpus_of(spark, ["짧다 아주아주긴낱말 끝", "다른 글"])
+    index, asked = build_index(corpus, partitions=2), questions_of(spark, ["짧다 끝"])
+    answers = answer_by_cut(
+        index, corpus, asked, P3, last_morph_of_text, reader=longest_word_reader()
+    )
+    assert everything(answers) == {0: ("아주아주긴낱말", "cut")}
+
+
+def test_rank_order_takes_the_first_acceptable_document(spark):
+    texts = ["열쇠 열쇠 가", "열쇠 좋은답", "열쇠 더좋은답 없음"]
+    corpus = corpus_of(spark, texts)
+    index, asked = build_index(corpus, partitions=2), questions_of(spark, ["열쇠"])
+    tagger = lambda df: last_morph_of_text(df, "JKG")
+    reader = longest_word_reader()
+
+    def run(params):
+        return everything(answer_by_rank(index, corpus, asked, params, tagger, reader))[0]
+
+    assert run(P0) == ("열쇠", "single")
+    assert run(RankParams(anywhere=("열쇠",))) == ("좋은답", "single")
+    # The tagger calls every last character a genitive particle.
+    assert run(RankParams(anywhere=("열쇠",), genitive="답")) == ("좋은", "single")
+    assert run(P1) == ("열쇠", "single")
+
+
+def test_documents_outside_the_scope_are_blank_but_take_ranks(spark):
+    texts = ["낱말 안쪽이다", "낱말 바깥쪽"]
+    corpus = corpus_of(spark, texts, scope=1)
+    index, asked = build_index(corpus, partitions=2), questions_of(spark, ["낱말"])
+    reader = longest_word_reader()
+    two = answer_by_rank(index, corpus, asked, P0, last_morph_of_text, reader)
+    assert everything(two) == {0: ("안쪽이다", "single")}
+    # The document out of scope is the higher position of two equals, so it is first.
+    one = answer_by_rank(index, corpus, asked, RankParams(documents=1), last_morph_of_text, reader)
+    assert everything(one) == {0: (None, "none")}
+
+
+def test_windows_come_before_single_documents(spark):
+    corpus = corpus_of(spark, ["열쇠 하나둘", "열쇠 셋넷다섯여섯"])
+    index, asked = build_index(corpus, partitions=2), questions_of(spark, ["열쇠"])
+    answers = answer_by_rank(
+        index, corpus, asked, P2, last_morph_of_text, longest_word_reader()
+    )
+    assert everything(answers)[0][1] == "window"
+
+
+def test_plan_has_no_cross_join_and_ranks_before_the_shuffle(spark):
+    corpus = corpus_of(spark, TEXTS)
+    index, asked = build_index(corpus, partitions=2), questions_of(spark, ASKED)
+    plan = answer_by_cut(index, corpus, asked, P3, last_morph_of_text)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+    assert "WindowGroupLimit" in text

@@ -1,0 +1,57 @@
+import random
+
+import numpy as np
+import pytest
+from helpers import dense_scores, index_of, questions_of, rows
+from pyspark.sql import functions as F
+
+from daedap.operators.scores import _values_at, best_scores, score_distribution, score_runs
+
+
+@pytest.mark.parametrize("n", [1, 2, 23])
+def test_distribution_equals_numpy(spark, n):
+    rng = random.Random(n)
+    words = [f"w{i}" for i in range(8)]
+    texts = [" ".join(rng.choices(words, k=rng.randrange(0, 7))) for _ in range(n - 1)] + ["w0 w1"]
+    asked = ["w0 w3", "w1 w1 w5 w7", "none"]
+    index, questions = index_of(spark, texts), questions_of(spark, asked)
+    got = {r["question_id"]: r for r in score_distribution(index, questions).collect()}
+    runs, largest = {}, {}
+    for q, s, c in rows(score_runs(index, questions), "question_id", "score", "n_docs"):
+        runs.setdefault(q, []).extend([s] * c)
+    for q, r, s in rows(best_scores(index, questions), "question_id", "rank", "score"):
+        largest.setdefault(q, {})[r] = s
+    for q, text in enumerate(asked):
+        scores = np.sort(dense_scores([t.split() for t in texts], text.split()))
+        row = got[q]
+        assert row["count"] == n
+        assert row["mean"] == pytest.approx(scores.mean(), abs=1e-4)
+        if n > 1:
+            assert row["std"] == pytest.approx(scores.std(ddof=1), abs=1e-4)
+        else:
+            assert row["std"] is None
+        for name, p in (("min", 0), ("q25", 25), ("q50", 50), ("q75", 75), ("max", 100)):
+            assert row[name] == pytest.approx(np.percentile(scores, p), abs=2e-6)
+        assert row["cut_score"] == pytest.approx(0.95 * scores[-1], abs=1e-4)
+        assert sorted(runs[q]) == pytest.approx(scores.tolist(), abs=2e-6)
+        best = [largest[q][r] for r in sorted(largest[q])]
+        assert best == pytest.approx(scores[::-1][:5].tolist(), abs=2e-6)
+
+
+def test_digit_search_on_wide_values(spark):
+    rng = random.Random(9)
+    data, expected = [], {}
+    for q in range(4):
+        values = {rng.randrange(2**47): rng.randrange(1, 5) for _ in range(200)}
+        values.update({v + 1: 1 for v in list(values)[:50]})
+        data += [(q, v, c) for v, c in values.items()]
+        column = sorted(v for v, c in values.items() for _ in range(c))
+        for place, skip in enumerate([0, 1, len(column) // 2, len(column) - 1]):
+            expected[q, place] = (skip, column[skip])
+    runs = spark.createDataFrame(data, "question_id long, units long, n_docs long")
+    wanted = spark.createDataFrame(
+        [(q, place, skip) for (q, place), (skip, _) in expected.items()],
+        "question_id long, place int, skip long",
+    )
+    found = rows(_values_at(runs, wanted, F.broadcast), "question_id", "place", "units")
+    assert {(q, p): v for q, p, v in found} == {k: v for k, (_, v) in expected.items()}

@@ -1,0 +1,233 @@
+import random
+
+import pytest
+from helpers import rows
+from pyspark.sql import functions as F
+
+from daedap.operators.select import (
+    acceptable,
+    among_candidates,
+    answer_report,
+    last_morph_of_text,
+    length_within,
+    trim_genitive,
+    trim_genitive_if_candidate,
+    trim_particle,
+    with_last_morph,
+    with_unanswered,
+)
+from daedap.plans.params import P0, P1, P2, P3
+from daedap.plans.pipelines import select_answers
+
+
+def answers_of(spark, *answers):
+    return spark.createDataFrame([(a,) for a in answers], "answer string")
+
+
+def kept(spark, condition, *answers):
+    return {a for (a,) in rows(answers_of(spark, *answers).filter(condition), "answer")}
+
+
+def test_markers(spark):
+    answers = (
+        "서울이다.",
+        "서울이다. 그",
+        "쓰이며, 인간",
+        "수도가 아니라, 항구",
+        "것이고, 서쪽",
+        "funk",
+    )
+    answer = F.col("answer")
+    strict = kept(spark, acceptable(answer, P3.inside, P3.strict), *answers)
+    relaxed = kept(spark, acceptable(answer, P3.inside, P3.relaxed), *answers)
+    assert strict == {"서울이다.", "것이고, 서쪽"}
+    assert relaxed == {"서울이다.", "것이고, 서쪽", "수도가 아니라, 항구"}
+
+
+def test_early_filters(spark):
+    answer = F.col("answer")
+    answers = ("", "a", "ab", "x" * 99, "x" * 100, "그렇다.", "unk")
+
+    def passes(p):
+        return length_within(answer, p.min_len, p.max_len) & acceptable(answer, (), p.anywhere)
+
+    assert kept(spark, passes(P0), *answers) == {"ab", "x" * 99, "그렇다.", "unk"}
+    assert kept(spark, passes(P1), *answers) == {"ab", "x" * 99, "x" * 100, "unk"}
+    assert kept(spark, passes(P2), *answers) == {"ab", "x" * 99, "x" * 100}
+
+
+TAGS = [
+    ("세종대왕의", "의", "JKG"),
+    ("회의", "회의", "NNG"),
+    ("그의", "의", "JKG"),
+    ("서울은", "은", "JX"),
+    ("주의", "의", "NNG"),
+    ("아편전쟁과 태평천국의 난이", "이", "JKS"),
+]
+
+
+def tagged(spark):
+    return spark.createDataFrame(TAGS, "answer string, morph string, pos string")
+
+
+def test_particle_trim_ignores_the_tag(spark):
+    trimmed = trim_particle(F.col("answer"), F.col("morph"), P3.particles)
+    assert dict(rows(tagged(spark), "answer", trimmed)) == {
+        "세종대왕의": "세종대왕",
+        "회의": "회의",
+        "그의": "그",
+        "서울은": "서울은",
+        "주의": "주",
+        "아편전쟁과 태평천국의 난이": "아편전쟁과 태평천국의 난",
+    }
+
+
+def test_genitive_trim_needs_the_tag(spark):
+    trimmed = trim_genitive(F.col("answer"), F.col("morph"), F.col("pos"))
+    got = dict(rows(tagged(spark), "answer", trimmed))
+    assert got["세종대왕의"] == "세종대왕"
+    assert got["주의"] == "주의" and got["회의"] == "회의" and got["서울은"] == "서울은"
+
+
+def test_unknown_morpheme_trims_nothing(spark):
+    df = answers_of(spark, "왕의").withColumn("morph", F.lit(None).cast("string"))
+    df = df.withColumn("pos", F.col("morph"))
+    assert rows(df, trim_particle(F.col("answer"), F.col("morph"), P3.particles)) == [("왕의",)]
+    assert rows(df, trim_genitive(F.col("answer"), F.col("morph"), F.col("pos"))) == [("왕의",)]
+
+
+@pytest.mark.parametrize("broadcast", ["10485760", "-1"])
+def test_tagger_table_lookup_with_a_hot_answer(spark, broadcast):
+    answers = ["왕의"] * 300 + ["서울"] * 200 + ["회의", "난이", None]
+    df = spark.createDataFrame([(i, a) for i, a in enumerate(answers)], "i int, answer string")
+    table = spark.createDataFrame(
+        [("왕의", "의", "JKG"), ("회의", "회의", "NNG"), ("서울", "울", "NNP")],
+        "answer string, morph string, pos string",
+    )
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        looked_up = with_last_morph(df, table, P3.particles)
+        got = sorted(rows(looked_up, "i", "answer", "morph", "pos"), key=lambda r: r[0])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    known = {"왕의": ("의", "JKG"), "회의": ("회의", "NNG")}
+    assert got == [(i, a, *known.get(a, (None, None))) for i, a in enumerate(answers)]
+
+
+def test_conditional_trim_needs_the_trimmed_candidate(spark):
+    candidates = spark.createDataFrame(
+        [
+            (1, "왕의", "의", "JKG"),
+            (1, "왕", "왕", "NNG"),
+            (1, "왕", "왕", "NNG"),
+            (1, "집의", "의", "JKG"),
+            (1, "주의", "의", "NNG"),
+            (1, "주", "주", "NNG"),
+            (2, "왕의", "의", "JKG"),
+            (2, "집", "집", "NNG"),
+        ],
+        "question_id long, answer string, morph string, pos string",
+    )
+    got = sorted(rows(trim_genitive_if_candidate(candidates), "question_id", "answer"))
+    assert got == sorted(
+        [(1, "왕"), (1, "왕"), (1, "왕"), (1, "집의"), (1, "주의"), (1, "주"), (2, "왕의"), (2, "집")]
+    )
+
+
+def test_membership(spark):
+    pool = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "question_id long, answer string")
+    wanted = spark.createDataFrame([(1, "a"), (2, "a"), (2, "b")], "question_id long, answer string")
+    assert sorted(rows(among_candidates(wanted, pool), "question_id", "answer")) == [(1, "a"), (2, "b")]
+
+
+CANDIDATE = (
+    "question_id long, rank int, in_cut boolean, start_rank int, end_rank int,"
+    "score double, answer string"
+)
+
+
+def candidate(q, rank, score, answer, in_cut=True, start=1, end=1):
+    return (q, rank, in_cut, start, end, float(score), answer)
+
+
+def selected(spark, *candidates, partitions=1):
+    df = spark.createDataFrame(list(candidates), CANDIDATE).repartition(partitions)
+    answers = select_answers(df, P3, last_morph_of_text)
+    return {q: (a, s) for q, a, s in rows(answers, "question_id", "answer", "stage")}
+
+
+def test_best_acceptable_candidate_wins(spark):
+    got = selected(
+        spark,
+        candidate(1, 1, 9, "쓰이며, 인간"),
+        candidate(1, 2, 8, "세종대왕의"),
+        candidate(1, 1, 7, "서울"),
+    )
+    assert got == {1: ("세종대왕", "cut")}
+
+
+def test_length_counts_after_trimming(spark):
+    got = selected(
+        spark,
+        candidate(1, 1, 9, "그의"),
+        candidate(1, 1, 8, "x" * 30),
+        candidate(1, 1, 7, "x" * 29 + "의"),
+        candidate(2, 1, 9, "x" * 29),
+    )
+    assert got == {1: ("x" * 29, "cut"), 2: ("x" * 29, "cut")}
+
+
+def test_fallback_uses_all_documents_and_relaxed_markers(spark):
+    got = selected(
+        spark,
+        # Passes only the relaxed markers, in the cut: the cut pass fails.
+        candidate(1, 1, 9, "아니라, 항구"),
+        candidate(1, 5, 10, "바깥", in_cut=False),
+        # An answer from the cut comes first, however low its score.
+        candidate(2, 1, 1, "서울"),
+        candidate(2, 5, 10, "바깥", in_cut=False),
+        candidate(3, 5, 10, "바다며, 섬", in_cut=False),
+    )
+    assert got == {1: ("바깥", "fallback"), 2: ("서울", "cut")}
+
+
+def test_ties_go_by_document_then_start_then_end(spark):
+    got = selected(
+        spark,
+        candidate(1, 2, 5, "셋째", start=1, end=1),
+        candidate(1, 1, 5, "둘째", start=2, end=1),
+        candidate(1, 1, 5, "첫째", start=1, end=3),
+        candidate(1, 1, 5, "넷째", start=2, end=2),
+    )
+    assert got == {1: ("첫째", "cut")}
+
+
+def test_selection_does_not_depend_on_partitions(spark):
+    rng = random.Random(3)
+    pool = [
+        candidate(q, rng.randrange(1, 11), rng.randrange(4), f"답{rng.randrange(50)}", rng.random() < 0.5, i, 1)
+        for q in range(6)
+        for i in range(80)
+    ]
+    first = selected(spark, *pool)
+    rng.shuffle(pool)
+    assert selected(spark, *pool, partitions=7) == first
+
+
+def test_unanswered_questions_and_report(spark):
+    questions = spark.createDataFrame([(1,), (2,), (3,)], "question_id long")
+    answers = spark.createDataFrame(
+        [(1, "a", "cut"), (2, "b", "fallback")], "question_id long, answer string, stage string"
+    )
+    every = with_unanswered(answers, questions)
+    assert sorted(rows(every, "question_id", "answer", "stage")) == [
+        (1, "a", "cut"),
+        (2, "b", "fallback"),
+        (3, None, "none"),
+    ]
+    assert dict(rows(answer_report(every), "stage", "n_questions")) == {
+        "cut": 1,
+        "fallback": 1,
+        "none": 1,
+    }
