@@ -54,7 +54,7 @@ def partitions_for(df: DataFrame) -> int:
     At least ``spark.sql.shuffle.partitions``.
     """
     estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    by_size = min(int(estimate.toString()) // PARTITION_BYTES, MOST_PARTITIONS)
+    by_size = min(int(str(estimate)) // PARTITION_BYTES, MOST_PARTITIONS)
     return max(by_size, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
