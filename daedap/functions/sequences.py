@@ -66,12 +66,18 @@ def detokenize(tokens: Column) -> Column:
         tokens
     )
 
+    def plain(t: Column) -> Column:
+        joined = F.replace(F.array_join(t, ""), F.lit(" "), F.lit(""))
+        return F.trim(F.replace(joined, F.lit(WORD_START), F.lit(" ")))
+
     def text(t: Column) -> Column:
         # Tokens hold no blanks, so "</s> </s>" shows up only where two adjoin.
         spans_both = F.array_join(t, " ").contains(f"{EOS} {EOS}")
-        joined = F.replace(F.array_join(F.array_remove(t, EOS), ""), F.lit(" "), F.lit(""))
-        return F.when(spans_both, F.lit("")).otherwise(
-            F.trim(F.replace(joined, F.lit(WORD_START), F.lit(" ")))
+        # Few slices hold a separator at all, so only those are searched for two.
+        return (
+            F.when(~F.array_contains(t, EOS), plain(t))
+            .when(spans_both, "")
+            .otherwise(plain(F.array_remove(t, EOS)))
         )
 
     return F.coalesce(let(body, text), F.lit(""))

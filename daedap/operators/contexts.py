@@ -31,7 +31,7 @@ def sliding_contexts(
     range join; a window holds at most ``width`` documents.
     """
     member = F.sequence(F.col("rank"), F.least(F.col("rank") + width - 1, F.lit(windows)))
-    texts = F.array_sort(F.collect_list(F.struct("rank", "text")))
+    texts = F.sort_array(F.collect_list(F.struct("rank", "text")))
     filled = (
         ranked.filter(F.col("rank") <= windows)
         .select("question_id", "rank", "text", F.explode(member).alias("window"))

@@ -173,7 +173,7 @@ def logit_rows(read: DataFrame) -> DataFrame:
 def _best_first(logits: Column) -> Column:
     """``(order, pos)`` of all positions, the highest logit first, then the lower position."""
     pairs = F.transform(logits, lambda x, i: F.struct((-x).alias("order"), i.alias("pos")))
-    return F.array_sort(pairs)
+    return F.sort_array(pairs)
 
 
 def top_starts(logits: Column, k: int = 10) -> Column:
