@@ -198,6 +198,8 @@ def top_units(
     return (
         matched.select("question_id", "doc_pos", "match", F.lit(None).cast("long").alias("base"))
         .unionByName(filler.filter(F.col("doc_pos").isNotNull()))
+        # At most 3n rows to a question; grouping and ranking share this shuffle.
+        .repartition("question_id")
         .groupBy("question_id", "doc_pos")
         .agg(F.max("match").alias("match"), F.max("base").alias("base"))
         .withColumn("base", F.max("base").over(by_question))
