@@ -564,3 +564,4 @@ FROM dense GROUP BY question_id""",
                    {trimmed(PARTICLES)} AS trimmed FROM gold""",
     ),
 }
+ORACLE["audit_particles_lookup"] = ORACLE["audit_particles"]

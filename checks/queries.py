@@ -51,6 +51,7 @@ from daedap.operators.select import (
     trim_genitive,
     trim_genitive_if_candidate,
     trim_particle,
+    with_last_morph,
 )
 from daedap.plans.params import P0, P1, P2, P3, P4, P5, CutParams, RankParams
 from daedap.plans.pipelines import (
@@ -432,6 +433,15 @@ def audit_particles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.select("question_id", "answer", "particle", "particle_order")
 
 
+def audit_particles_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the last morphemes looked up in a tagger's table."""
+    answers = gold(spark, sf_dir)
+    endings = (".", *LATIN_PARTICLES)
+    table_of_tagger = tagger(answers.select("answer").distinct())
+    hits = particle_hits(with_last_morph(answers, table_of_tagger, endings), endings)
+    return hits.select("question_id", "answer", "particle", "particle_order")
+
+
 def audit_trim_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
     traced = trim_trace(tagger(gold(spark, sf_dir)), (".", *LATIN_PARTICLES))
     return traced.select("question_id", "final", "morph", "trimmed")
@@ -495,5 +505,6 @@ QUERIES = {
     "audit_marker_hits": audit_marker_hits,
     "audit_genitive": audit_genitive,
     "audit_particles": audit_particles,
+    "audit_particles_lookup": audit_particles_lookup,
     "audit_trim_trace": audit_trim_trace,
 }

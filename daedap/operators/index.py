@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +22,12 @@ class Index:
     postings: DataFrame
     terms: DataFrame
     stats: DataFrame
-    documents_per_task: int
+    n_documents: int
+    partitions: int
+
+    @property
+    def documents_per_task(self) -> int:
+        return -(-self.n_documents // self.partitions)
 
 
 def corpus_tokens(corpus: DataFrame, tokenizer: Tokenizer | None = None) -> DataFrame:
@@ -43,8 +48,9 @@ def build_index(
     The raw text is shuffled once, by document. Everything per document after
     that (counting terms here, adding up scores later) needs no further shuffle.
     """
-    parts = partitions or partitions_for(corpus)
-    tokens = corpus_tokens(corpus.repartition(parts, "doc_pos"), tokenizer)
+    n_documents = corpus.count()
+    partitions = partitions or partitions_for(corpus.sparkSession, n_documents)
+    tokens = corpus_tokens(corpus.repartition(partitions, "doc_pos"), tokenizer)
     postings = (
         tokens.select(
             "doc_pos",
@@ -58,18 +64,20 @@ def build_index(
         .groupBy("doc_pos", "is_candidate", "dl", "term")
         .agg(F.count("*").cast("int").alias("tf"))
     )
-    return _with_totals(corpus.select("doc_pos", "is_candidate"), postings, parts)
+    docs = corpus.select("doc_pos", "is_candidate")
+    return _with_totals(docs, postings, n_documents, partitions)
 
 
-def _with_totals(docs: DataFrame, postings: DataFrame, partitions: int) -> Index:
+def _with_totals(
+    docs: DataFrame, postings: DataFrame, n_documents: int, partitions: int
+) -> Index:
     terms = postings.groupBy("term").agg(F.count("*").alias("df"))
-    n = docs.agg(F.count("*")).scalar()
     stats = (
         postings.agg(F.coalesce(F.sum("tf"), F.lit(0)).alias("total_tokens"))
-        .withColumn("n", n)
+        .withColumn("n", F.lit(n_documents).cast("long"))
         .select("n", "total_tokens", F.expr("try_divide(total_tokens, n)").alias("avgdl"))
     )
-    return Index(docs, postings, terms, stats, -(-docs.count() // partitions))
+    return Index(docs, postings, terms, stats, n_documents, partitions)
 
 
 def store_index(index: Index, folder: str) -> Index:
@@ -79,22 +87,20 @@ def store_index(index: Index, folder: str) -> Index:
     ``build_index`` made. The term table is counted from the written postings.
     """
     spark = index.docs.sparkSession
-    parts = index.postings.rdd.getNumPartitions()
     table = "postings_" + hashlib.sha256(folder.encode()).hexdigest()[:16]
     (
         index.postings.write.mode("overwrite")
-        .bucketBy(parts, "doc_pos")
+        .bucketBy(index.partitions, "doc_pos")
         .option("path", f"{folder}/postings")
         .saveAsTable(table)
     )
     index.docs.write.mode("overwrite").parquet(f"{folder}/docs")
-    written = _with_totals(spark.read.parquet(f"{folder}/docs"), spark.table(table), parts)
+    docs, postings = spark.read.parquet(f"{folder}/docs"), spark.table(table)
+    written = _with_totals(docs, postings, index.n_documents, index.partitions)
     written.terms.write.mode("overwrite").parquet(f"{folder}/terms")
     written.stats.write.mode("overwrite").parquet(f"{folder}/stats")
-    return Index(
-        written.docs,
-        written.postings,
-        spark.read.parquet(f"{folder}/terms"),
-        spark.read.parquet(f"{folder}/stats"),
-        written.documents_per_task,
+    return replace(
+        written,
+        terms=spark.read.parquet(f"{folder}/terms"),
+        stats=spark.read.parquet(f"{folder}/stats"),
     )

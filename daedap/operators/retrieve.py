@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from daedap.operators.index import Index
@@ -121,12 +121,10 @@ def _scoped(index: Index, candidates_only: bool) -> Index:
     """The index with only eligible documents; its statistics stay those of all."""
     if not candidates_only:
         return index
-    return Index(
-        index.docs.filter("is_candidate"),
-        index.postings.filter("is_candidate"),
-        index.terms,
-        index.stats,
-        index.documents_per_task,
+    return replace(
+        index,
+        docs=index.docs.filter("is_candidate"),
+        postings=index.postings.filter("is_candidate"),
     )
 
 
@@ -159,11 +157,21 @@ def base_scores(index: Index, questions: DataFrame, ranker: Ranker = PLUS) -> Da
     return in_batches(questions, index.documents_per_task, run)
 
 
-def _by_score() -> Window:
+def _by_score() -> WindowSpec:
     """Best score first; among equals the higher position first."""
     return Window.partitionBy("question_id").orderBy(F.desc("match"), F.desc("doc_pos"))
 
 
+def _best_matches(matches: DataFrame, n: int) -> DataFrame:
+    """The n best matching documents of each question.
+
+    Every task keeps its own n best of a question before the shuffle, so one
+    question matching a huge share of the corpus costs no more than another.
+    """
+    ranked = matches.withColumn("rank", F.row_number().over(_by_score()))
+    return ranked.filter(F.col("rank") <= n)
+
+
 def top_units(
     index: Index,
     questions: DataFrame,
@@ -172,18 +180,10 @@ def top_units(
     candidates_only: bool,
     small: SmallSide,
 ) -> DataFrame:
-    """``question_id, doc_pos, rank, units, best``: the n best documents of each question.
-
-    Every task keeps its own n best of a question before the shuffle, so one
-    question matching a huge share of the corpus costs no more than another.
-    """
+    """``question_id, doc_pos, rank, units, best``: the n best documents of each question."""
     weights = question_weights(questions, index, ranker, small)
     scope = _scoped(index, candidates_only)
-    matched = (
-        match_units(scope, weights, ranker, small)
-        .withColumn("rank", F.row_number().over(_by_score()))
-        .filter(F.col("rank") <= n)
-    )
+    matched = _best_matches(match_units(scope, weights, ranker, small), n)
     # Where fewer than n documents match, those without a match follow, the
     # highest positions first. Fewer than n match then, so the last 2n documents
     # hold enough of the others.

@@ -18,9 +18,9 @@ BATCH_QUESTIONS = 50_000
 # (document, question) pairs that one task may have to add up scores for.
 PAIRS_PER_TASK = 100_000_000
 
-# Input bytes (as stored, so compressed) per partition of a corpus, and the most
-# partitions: so many that 100 TB still make partitions of 2 GB.
-PARTITION_BYTES = 256 * 1024 * 1024
+# Documents per partition of an index, and the most partitions (bucketed tables
+# may not have many more).
+DOCUMENTS_PER_TASK = 50_000
 MOST_PARTITIONS = 50_000
 
 # Marks the small side of a join: ``F.broadcast``, or nothing where it is too big.
@@ -48,14 +48,10 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def partitions_for(df: DataFrame) -> int:
-    """Partitions for a table, by the optimizer's estimate of its size.
-
-    At least ``spark.sql.shuffle.partitions``.
-    """
-    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    by_size = min(int(str(estimate)) // PARTITION_BYTES, MOST_PARTITIONS)
-    return max(by_size, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+def partitions_for(spark: SparkSession, n_documents: int) -> int:
+    """Partitions for an index; at least ``spark.sql.shuffle.partitions``."""
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, min(-(-n_documents // DOCUMENTS_PER_TASK), MOST_PARTITIONS))
 
 
 def in_batches(
