@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from daedap.operators.index import Index
 from daedap.session import SmallSide, in_batches
+from daedap.sources.corpus import block_of
 
 # Scores are added up as whole billionths: the sum of doubles depends on their
 # order, and so on partitions and retries, and would order exact copies by noise.
@@ -243,8 +244,16 @@ def top_documents(
 
 
 def fetch_text(ranked: DataFrame, corpus: DataFrame, small: SmallSide) -> DataFrame:
-    """Add ``text`` and ``is_candidate`` to ranked documents; the corpus is not shuffled."""
-    return small(ranked).join(corpus.select("doc_pos", "text", "is_candidate"), "doc_pos")
+    """Add ``text`` and ``is_candidate`` to ranked documents; the corpus is not shuffled.
+
+    Of a stored corpus, only the blocks with a ranked document are read.
+    """
+    texts = corpus.select("doc_pos", "text", "is_candidate")
+    if "doc_block" not in corpus.columns:
+        return small(ranked).join(texts, "doc_pos")
+    texts = corpus.select("doc_pos", "text", "is_candidate", "doc_block")
+    blocked = ranked.withColumn("doc_block", block_of())
+    return small(blocked).join(texts, ["doc_pos", "doc_block"]).drop("doc_block")
 
 
 def documents_with_text(

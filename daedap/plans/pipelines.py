@@ -134,19 +134,30 @@ def answer_by_rank(
     params: RankParams,
     tagger: Tagger,
     reader: Reader = lexical_reader,
+    read_first: int = 5,
 ) -> DataFrame:
     """``question_id, answer, stage`` for every question; stage window, single or none.
 
     All documents are ranked, those that may not be returned as blanks. With
     ``windows`` blanks are dropped, joined contexts are read first, and single
-    documents only for the questions these leave unanswered.
+    documents only for the questions these leave unanswered. Without, the
+    ``read_first`` best documents are read first, and the others only for the
+    questions left over.
     """
 
     def run(batch: DataFrame, small: SmallSide) -> DataFrame:
-        top = top_units(index, batch, params.documents, PLUS, False, small)
-        ranked = blank_outside_scope(
-            fetch_text(top.select("question_id", "doc_pos", "rank"), corpus, small)
-        ).select("question_id", "rank", "text")
+        top = materialize(
+            top_units(index, batch, params.documents, PLUS, False, small).select(
+                "question_id", "doc_pos", "rank"
+            )
+        )
+
+        def texts(ranked: DataFrame) -> DataFrame:
+            fetched = blank_outside_scope(fetch_text(ranked, corpus, small))
+            return fetched.select("question_id", "rank", "text")
+
+        def unanswered(rows: DataFrame, first: DataFrame) -> DataFrame:
+            return rows.join(small(first.select("question_id")), "question_id", "left_anti")
 
         def answers(contexts: DataFrame, stage: str) -> DataFrame:
             read = read_contexts(contexts, batch, index, small, reader, params.max_tokens)
@@ -161,11 +172,12 @@ def answer_by_rank(
             first = first_of_question(kept, [F.col("rank")], ["answer"])
             return first.withColumn("stage", F.lit(stage))
 
-        if not params.windows:
-            return answers(ranked, "single")
-        ranked = materialize(drop_blank(ranked))
-        first = materialize(answers(sliding_contexts(ranked, batch), "window"))
-        left_over = ranked.join(small(first.select("question_id")), "question_id", "left_anti")
-        return first.unionByName(answers(left_over, "single"))
+        if params.windows:
+            ranked = materialize(drop_blank(texts(top)))
+            first = materialize(answers(sliding_contexts(ranked, batch), "window"))
+            return first.unionByName(answers(unanswered(ranked, first), "single"))
+        best = F.col("rank") <= read_first
+        first = materialize(answers(texts(top.filter(best)), "single"))
+        return first.unionByName(answers(texts(unanswered(top.filter(~best), first)), "single"))
 
     return with_unanswered(in_batches(questions, index.documents_per_task, run), questions)

@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from daedap.session import partitions_for
+
+# Documents per folder of a stored corpus.
+BLOCK = 100_000
+
 RECORDS = "map<string,struct<title:string,text:string>>"
 
 
@@ -73,3 +78,25 @@ def with_scope(corpus: DataFrame, first_n: int) -> DataFrame:
     The other documents still count in the term statistics.
     """
     return corpus.withColumn("is_candidate", F.col("doc_pos") < first_n)
+
+
+def block_of(doc_pos: str = "doc_pos") -> Column:
+    return F.floor(F.col(doc_pos) / BLOCK)
+
+
+def store_corpus(corpus: DataFrame, folder: str) -> DataFrame:
+    """Write the corpus in blocks of positions and return it as read from there.
+
+    Fetching the texts of ranked documents then opens only the blocks that hold
+    some, by dynamic partition pruning, and not the whole corpus.
+    """
+    spark = corpus.sparkSession
+    blocked = corpus.withColumn("doc_block", block_of())
+    parts = partitions_for(spark, corpus.count())
+    (
+        blocked.repartition(parts, "doc_block")
+        .write.mode("overwrite")
+        .partitionBy("doc_block")
+        .parquet(folder)
+    )
+    return spark.read.schema(blocked.schema).parquet(folder)

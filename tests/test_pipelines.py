@@ -94,6 +94,23 @@ def test_rank_order_takes_the_first_acceptable_document(spark):
     assert run(P1) == ("열쇠", "single")
 
 
+def test_reading_first_documents_first_changes_nothing(spark):
+    texts = [f"열쇠 {'가' * n}" for n in range(1, 8)] + ["열쇠 좋은답"]
+    corpus = corpus_of(spark, texts)
+    index, asked = build_index(corpus, partitions=2), questions_of(spark, ["열쇠", "가가가"])
+    params = RankParams(anywhere=("열쇠", "가"))
+    results = [
+        everything(
+            answer_by_rank(
+                index, corpus, asked, params, last_morph_of_text, longest_word_reader(), n
+            )
+        )
+        for n in (1, 8, 30)
+    ]
+    assert results[0] == results[1] == results[2]
+    assert results[0][0] == ("좋은답", "single")
+
+
 def test_documents_outside_the_scope_are_blank_but_take_ranks(spark):
     texts = ["낱말 안쪽이다", "낱말 바깥쪽"]
     corpus = corpus_of(spark, texts, scope=1)

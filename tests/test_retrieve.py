@@ -173,3 +173,20 @@ def test_fetch_text_without_title(spark):
     corpus = corpus_of(spark, THREE)
     got = documents_with_text(build_index(corpus, partitions=2), corpus, questions_of(spark, ["c"]), n=1)
     assert rows(got, "rank", "doc_pos", "text") == [(1, 1, "a a c")]
+
+
+def test_stored_corpus_is_pruned_by_block(spark, monkeypatch):
+    from daedap.sources import corpus as source
+
+    monkeypatch.setattr(source, "BLOCK", 2)
+    corpus = corpus_of(spark, ["a b", "c", "d", "e", "f a", "g"], scope=5)
+    stored = source.store_corpus(corpus, f"{shared_dir(spark)}/blocks")
+    columns = ("doc_pos", "doc_id", "title", "text", "is_candidate")
+    assert sorted(rows(stored, *columns)) == sorted(rows(corpus, *columns))
+    index, asked = build_index(corpus, partitions=2), questions_of(spark, ["a", "d"])
+    fetched = documents_with_text(index, stored, asked, n=2)
+    columns = ("question_id", "rank", "doc_pos", "text")
+    assert sorted(rows(fetched, *columns)) == sorted(
+        rows(documents_with_text(index, corpus, asked, n=2), *columns)
+    )
+    assert "dynamicpruning" in fetched._jdf.queryExecution().executedPlan().toString()
