@@ -361,6 +361,18 @@ PARTICLES = (".", *LATIN["particles"])
 SPAN = "question_id, doc_pos, start, end_excl"
 ROWS = f"{SPAN}, start_rank, end_rank, round(score, 6) AS score, answer"
 
+FETCH = query(
+    *RETRIEVAL, top(10), "SELECT question_id, rank, doc_pos, text FROM top JOIN corpus USING (doc_pos)"
+)
+PARTICLE_HITS = query(
+    GOLD,
+    " UNION ALL ".join(
+        f"""SELECT question_id, answer, '{p}' AS particle, CAST({i} AS BIGINT) AS particle_order
+            FROM gold WHERE right(answer, 1) = '{p}'"""
+        for i, p in enumerate(PARTICLES, 1)
+    ),
+)
+
 ORACLE = {
     "normalize_text": query(
         CORPUS, f"SELECT doc_pos, {cleaned("title || ' ' || text")} AS normalized FROM corpus"
@@ -418,9 +430,8 @@ ORACLE = {
     "question_base_score": query(
         *RETRIEVAL, f"SELECT question_id, {score('base')} AS score FROM base"
     ),
-    "fetch_text": query(
-        *RETRIEVAL, top(10), "SELECT question_id, rank, doc_pos, text FROM top JOIN corpus USING (doc_pos)"
-    ),
+    "fetch_text": FETCH,
+    "fetch_text_stored": FETCH,
     "score_distribution": query(
         *RETRIEVAL,
         f"""
@@ -533,6 +544,19 @@ FROM dense GROUP BY question_id""",
         """SELECT question_id, '"' || question_id || '":' || CAST(to_json(answer) AS VARCHAR) AS entry
            FROM answers WHERE answer IS NOT NULL""",
     ),
+    "answer_map_read_back": answers_by_cut(
+        KOREAN,
+        """SELECT CAST(question_id AS VARCHAR) AS question_id, answer FROM answers
+           WHERE answer IS NOT NULL""",
+        end_weight=0.5,
+        cut=0.9,
+    ),
+    "last_answer_wins": """
+SELECT conv_id AS question_id, answer, turn FROM (
+  SELECT conv_id, text AS answer, turn,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS place
+  FROM conversations)
+WHERE place = 1""",
     "audit_markers": query(
         GOLD,
         " UNION ALL ".join(
@@ -550,18 +574,11 @@ FROM dense GROUP BY question_id""",
     "audit_genitive": query(
         GOLD, "SELECT question_id, answer FROM gold WHERE right(answer, 1) = '.'"
     ),
-    "audit_particles": query(
-        GOLD,
-        " UNION ALL ".join(
-            f"""SELECT question_id, answer, '{p}' AS particle, CAST({i} AS BIGINT) AS particle_order
-                FROM gold WHERE right(answer, 1) = '{p}'"""
-            for i, p in enumerate(PARTICLES, 1)
-        ),
-    ),
+    "audit_particles": PARTICLE_HITS,
+    "audit_particles_lookup": PARTICLE_HITS,
     "audit_trim_trace": query(
         GOLD,
         f"""SELECT question_id, right(answer, 1) AS final, right(answer, 1) AS morph,
                    {trimmed(PARTICLES)} AS trimmed FROM gold""",
     ),
 }
-ORACLE["audit_particles_lookup"] = ORACLE["audit_particles"]

@@ -54,7 +54,7 @@ from daedap.operators.select import (
     with_last_morph,
 )
 from daedap.plans.params import P0, P1, P2, P3, P4, P5, CutParams, RankParams
-from daedap.plans.pipelines import (
+from daedap.plans.answering import (
     answer_by_cut,
     answer_by_rank,
     cut_candidates,
@@ -62,8 +62,13 @@ from daedap.plans.pipelines import (
     read_contexts,
 )
 from daedap.session import SmallSide, in_batches, shared_dir
-from daedap.sources.answers import map_entries
-from daedap.sources.corpus import as_corpus, with_scope
+from daedap.sources.answers import (
+    last_write_wins,
+    map_entries,
+    read_answer_map,
+    write_answer_map,
+)
+from daedap.sources.corpus import as_corpus, store_corpus, with_scope
 from daedap.sources.splits import as_questions, gold_answers
 
 SCOPE = 0.8433
@@ -87,6 +92,7 @@ MODEL_LENGTH = 512
 tagger = partial(last_morph_of_text, tag="JKG")
 
 _stored: dict[tuple[str, str], Index] = {}
+_blocked: dict[tuple[str, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -108,6 +114,15 @@ def index(spark: SparkSession, sf_dir: str) -> Index:
     return _stored[key]
 
 
+def stored_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus stored in blocks, written once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _blocked:
+        folder = f"{shared_dir(spark)}/corpus-{uuid.uuid4().hex}"
+        _blocked[key] = store_corpus(corpus(spark, sf_dir), folder)
+    return _blocked[key]
+
+
 def questions(spark: SparkSession, sf_dir: str, normalized: bool = False) -> DataFrame:
     return as_questions(
         table(spark, sf_dir, "benchmark"), "item_id", "text", normalized=normalized
@@ -205,10 +220,9 @@ def question_base_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base_scores(index(spark, sf_dir), questions(spark, sf_dir))
 
 
-def fetched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents_with_text(
-        index(spark, sf_dir), corpus(spark, sf_dir), questions(spark, sf_dir)
-    )
+def fetched(spark: SparkSession, sf_dir: str, stored: bool = False) -> DataFrame:
+    texts = stored_corpus(spark, sf_dir) if stored else corpus(spark, sf_dir)
+    return documents_with_text(index(spark, sf_dir), texts, questions(spark, sf_dir))
 
 
 def distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -413,6 +427,20 @@ def answer_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return map_entries(answers_cut(spark, sf_dir, P3))
 
 
+def answer_map_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The answer map written as one JSON object over part files, and read again."""
+    folder = f"{shared_dir(spark)}/answers-{uuid.uuid4().hex}"
+    write_answer_map(answers_cut(spark, sf_dir, P4), folder)
+    return read_answer_map(spark, folder)
+
+
+def last_answer_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns written one after the other under their conversation: the last one stays."""
+    said = table(spark, sf_dir, "conversations")
+    written = said.select(F.col("conv_id").alias("question_id"), F.col("text").alias("answer"), "turn")
+    return last_write_wins(written, "turn")
+
+
 # Audit of gold answers
 
 
@@ -468,6 +496,7 @@ QUERIES = {
     "score_candidates": score_candidates,
     "question_base_score": question_base_score,
     "fetch_text": fetched,
+    "fetch_text_stored": partial(fetched, stored=True),
     "score_distribution": distribution,
     "score_top5": top5_scores,
     "score_sorted": sorted_scores,
@@ -501,6 +530,8 @@ QUERIES = {
     "answers_p5": partial(answers_cut, params=P5),
     "answer_report": report,
     "answer_map": answer_map,
+    "answer_map_read_back": answer_map_read_back,
+    "last_answer_wins": last_answer_wins,
     "audit_markers": audit_markers,
     "audit_marker_hits": audit_marker_hits,
     "audit_genitive": audit_genitive,

@@ -33,22 +33,19 @@ def _runs(
     """
     weights = question_weights(questions, index, ranker, small)
     base = base_units(questions, weights, ranker, small)
-    equal = (
+    equal = materialize(
         match_units(index, weights, ranker, small)
         .groupBy("question_id", "match")
         .agg(F.count("*").alias("n_docs"))
     )
     matched = equal.groupBy("question_id").agg(F.sum("n_docs").alias("matched"))
-    n = index.stats.select("n").scalar()
-    others = base.join(small(matched), "question_id", "left").select(
+    others = questions.join(small(matched), "question_id", "left").select(
         "question_id",
         F.lit(0).cast("long").alias("match"),
-        (n - F.coalesce("matched", F.lit(0))).alias("n_docs"),
+        (F.lit(index.n_documents) - F.coalesce("matched", F.lit(0))).alias("n_docs"),
     )
     return (
         equal.unionByName(others.filter(F.col("n_docs") > 0))
-        .groupBy("question_id", "match")
-        .agg(F.sum("n_docs").alias("n_docs"))
         .join(small(base), "question_id")
         .select("question_id", (F.col("base") + F.col("match")).alias("units"), "n_docs")
     )
@@ -76,27 +73,27 @@ def _values_at(runs: DataFrame, wanted: DataFrame, small: SmallSide) -> DataFram
     """
     found = wanted.withColumn("prefix", F.lit(0).cast("long"))
     for shift in SHIFTS:
-        prefixes = found.select("question_id", "prefix").distinct()
-        keyed = runs.select(
-            "question_id",
-            F.shiftright("units", shift + DIGIT).alias("prefix"),
-            F.shiftright("units", shift).alias("digit"),
-            "n_docs",
+        # One row per prefix, with the few places looked for in it. They go along
+        # in the grouping key, so each step reads the step before only once.
+        places = found.groupBy("question_id", "prefix").agg(
+            F.collect_list(F.struct("place", "skip")).alias("places")
         )
         counted = (
-            keyed.join(small(prefixes), ["question_id", "prefix"])
-            .groupBy("question_id", "prefix", "digit")
+            runs.withColumn("prefix", F.shiftright("units", shift + DIGIT))
+            .join(small(places), ["question_id", "prefix"])
+            .groupBy("question_id", "prefix", "places", F.shiftright("units", shift).alias("digit"))
             .agg(F.sum("n_docs").alias("n"))
         )
         up_to = F.sum("n").over(Window.partitionBy("question_id", "prefix").orderBy("digit"))
-        ranges = counted.withColumn("after", up_to).withColumn("before", up_to - F.col("n"))
+        before = F.col("after") - F.col("n")
         found = (
-            ranges.join(small(found), ["question_id", "prefix"])
-            .filter((F.col("skip") >= F.col("before")) & (F.col("skip") < F.col("after")))
+            counted.withColumn("after", up_to)
+            .select("*", F.inline("places"))
+            .filter((F.col("skip") >= before) & (F.col("skip") < F.col("after")))
             .select(
                 "question_id",
                 "place",
-                (F.col("skip") - F.col("before")).alias("skip"),
+                (F.col("skip") - before).alias("skip"),
                 F.col("digit").alias("prefix"),
             )
         )
@@ -113,7 +110,7 @@ def score_distribution(
     """
 
     def run(batch: DataFrame, small: SmallSide) -> DataFrame:
-        runs = materialize(_runs(index, batch, ranker, small))
+        runs = _runs(index, batch, ranker, small)
         score = F.col("units") / UNIT
         docs = F.col("n_docs")
         moments = (

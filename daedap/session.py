@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -18,9 +19,10 @@ BATCH_QUESTIONS = 50_000
 # (document, question) pairs that one task may have to add up scores for.
 PAIRS_PER_TASK = 100_000_000
 
-# Documents per partition of an index, and the most partitions (bucketed tables
-# may not have many more).
+# The most documents for one partition of an index, the fewest worth splitting by,
+# and the most partitions (bucketed tables may not have many more).
 DOCUMENTS_PER_TASK = 50_000
+FEW_DOCUMENTS = 250
 MOST_PARTITIONS = 50_000
 
 # Marks the small side of a join: ``F.broadcast``, or nothing where it is too big.
@@ -43,15 +45,21 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and go on from there; survives lost executors."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` to the shared folder and go on from there; survives lost executors.
+
+    A Parquet table rather than a checkpoint: it is read column by column, and
+    Spark knows its size.
+    """
+    folder = f"{shared_dir(df.sparkSession)}/step-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
 def partitions_for(spark: SparkSession, n_documents: int) -> int:
-    """Partitions for an index; at least ``spark.sql.shuffle.partitions``."""
-    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(least, min(-(-n_documents // DOCUMENTS_PER_TASK), MOST_PARTITIONS))
+    """Partitions for an index: ``spark.sql.shuffle.partitions``, by its size less or more."""
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    least = min(-(-n_documents // DOCUMENTS_PER_TASK), MOST_PARTITIONS)
+    return max(1, least, min(usual, -(-n_documents // FEW_DOCUMENTS)))
 
 
 def in_batches(

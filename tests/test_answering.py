@@ -5,7 +5,7 @@ from daedap.operators.index import build_index
 from daedap.operators.reader import model_reader
 from daedap.operators.select import last_morph_of_text
 from daedap.plans.params import P0, P1, P2, P3, CutParams, RankParams
-from daedap.plans.pipelines import answer_by_cut, answer_by_rank
+from daedap.plans.answering import answer_by_cut, answer_by_rank
 
 TEXTS = [
     "서울 은 한국 의 수도 이다",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from daedap.operators.index import build_index
 from daedap.operators.reader import end_rows, lexical_reader, logit_rows, model_reader, spans, start_rows
 from daedap.plans.params import P3
-from daedap.plans.pipelines import cut_candidates, ranked_contexts, read_contexts
+from daedap.plans.answering import cut_candidates, ranked_contexts, read_contexts
 
 
 def read_of(spark, *sequences):

@@ -190,3 +190,17 @@ def test_stored_corpus_is_pruned_by_block(spark, monkeypatch):
         rows(documents_with_text(index, corpus, asked, n=2), *columns)
     )
     assert "dynamicpruning" in fetched._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_third_of_the_corpus_being_one_document(spark):
+    """A hot term and a hot group of copies: ties at the boundary go to the last copies."""
+    copies = ["a a hot"] * 100
+    others = [f"a x{i} y{i}" for i in range(200)]
+    texts = others[:120] + copies + others[120:]
+    top = top_documents(index_of(spark, texts), questions_of(spark, ["a hot", "hot"] + ["hot"] * 20))
+    got = {}
+    for q, r, d in rows(top, "question_id", "rank", "doc_pos"):
+        got.setdefault(q, {})[r] = d
+    assert len(got) == 22
+    for ranked in got.values():
+        assert [ranked[r] for r in range(1, 11)] == list(range(219, 209, -1))

@@ -17,7 +17,7 @@ from daedap.operators.select import (
     with_unanswered,
 )
 from daedap.plans.params import P0, P1, P2, P3
-from daedap.plans.pipelines import select_answers
+from daedap.plans.answering import select_answers
 
 
 def answers_of(spark, *answers):
