@@ -1,9 +1,11 @@
 """Small corpora and plain Python forms of what the jobs compute."""
 
 import math
+import uuid
 
 from daedap.functions.text import word_tokens
-from daedap.operators.index import build_index
+from daedap.operators.index import build_index, store_index
+from daedap.session import shared_dir
 from daedap.sources.corpus import with_scope
 from daedap.sources.splits import as_questions
 
@@ -19,6 +21,12 @@ def index_of(spark, texts, scope=None):
     return build_index(corpus_of(spark, texts, scope), partitions=3)
 
 
+def stored_index(corpus):
+    """An index written to the shared folder; plans over it are short."""
+    folder = f"{shared_dir(corpus.sparkSession)}/test-{uuid.uuid4().hex}"
+    return store_index(build_index(corpus, partitions=2), folder)
+
+
 def questions_of(spark, texts, tokenizer=word_tokens):
     df = spark.createDataFrame(list(enumerate(texts)), "id long, question string")
     return as_questions(df, tokenizer=tokenizer)

@@ -1,7 +1,6 @@
 import pytest
-from helpers import corpus_of, questions_of, rows
+from helpers import corpus_of, questions_of, rows, stored_index
 from daedap import session
-from daedap.operators.index import build_index
 from daedap.operators.reader import model_reader
 from daedap.operators.select import last_morph_of_text
 from daedap.plans.params import P0, P1, P2, P3, CutParams, RankParams
@@ -39,38 +38,29 @@ def everything(answers):
     return {q: (a, s) for q, a, s in rows(answers, "question_id", "answer", "stage")}
 
 
-@pytest.mark.parametrize("scope", [5, 2])
-def test_reading_again_gives_the_same_answers(spark, scope):
+@pytest.mark.parametrize("scope, with_model", [(5, False), (2, True)])
+def test_reading_again_gives_the_same_answers(spark, scope, with_model):
     corpus = corpus_of(spark, TEXTS, scope)
-    index, asked = build_index(corpus, partitions=2), questions_of(spark, ASKED)
+    index, asked = stored_index(corpus), questions_of(spark, ASKED)
     params = CutParams(cut=0.95, end_weight=1.0, documents=3)
-    for reader in (None, longest_word_reader()):
-        how = {} if reader is None else {"reader": reader}
-        once = everything(answer_by_cut(index, corpus, asked, params, last_morph_of_text, **how))
-        again = answer_by_cut(
-            index, corpus, asked, params, last_morph_of_text, read_again=True, **how
-        )
-        assert everything(again) == once
-        assert set(once) == {0, 1, 2, 3}
+    how = {"reader": longest_word_reader()} if with_model else {}
+    once = everything(answer_by_cut(index, corpus, asked, params, last_morph_of_text, **how))
+    again = answer_by_cut(index, corpus, asked, params, last_morph_of_text, read_again=True, **how)
+    assert everything(again) == once
+    assert set(once) == {0, 1, 2, 3}
 
 
 def test_batches_do_not_change_answers(spark, monkeypatch):
     corpus = corpus_of(spark, TEXTS)
-    index, asked = build_index(corpus, partitions=2), questions_of(spark, ASKED)
-
-    def run():
-        by_cut = answer_by_cut(index, corpus, asked, P3, last_morph_of_text)
-        by_rank = answer_by_rank(index, corpus, asked, P2, last_morph_of_text)
-        return everything(by_cut), everything(by_rank)
-
-    whole = run()
-    monkeypatch.setattr(session, "BATCH_QUESTIONS", 2)
-    assert run() == whole
+    index, asked = stored_index(corpus), questions_of(spark, ASKED)
+    whole = everything(answer_by_cut(index, corpus, asked, P3, last_morph_of_text))
+    monkeypatch.setattr(session, "BATCH_QUESTIONS", 3)
+    assert everything(answer_by_cut(index, corpus, asked, P3, last_morph_of_text)) == whole
 
 
 def test_answer_comes_from_the_model(spark):
     corpus = corpus_of(spark, ["짧다 아주아주긴낱말 끝", "다른 글"])
-    index, asked = build_index(corpus, partitions=2), questions_of(spark, ["짧다 끝"])
+    index, asked = stored_index(corpus), questions_of(spark, ["짧다 끝"])
     answers = answer_by_cut(
         index, corpus, asked, P3, last_morph_of_text, reader=longest_word_reader()
     )
@@ -80,7 +70,7 @@ def test_answer_comes_from_the_model(spark):
 def test_rank_order_takes_the_first_acceptable_document(spark):
     texts = ["열쇠 열쇠 가", "열쇠 좋은답", "열쇠 더좋은답 없음"]
     corpus = corpus_of(spark, texts)
-    index, asked = build_index(corpus, partitions=2), questions_of(spark, ["열쇠"])
+    index, asked = stored_index(corpus), questions_of(spark, ["열쇠"])
     tagger = lambda df: last_morph_of_text(df, "JKG")
     reader = longest_word_reader()
 
@@ -97,7 +87,7 @@ def test_rank_order_takes_the_first_acceptable_document(spark):
 def test_reading_first_documents_first_changes_nothing(spark):
     texts = [f"열쇠 {'가' * n}" for n in range(1, 8)] + ["열쇠 좋은답"]
     corpus = corpus_of(spark, texts)
-    index, asked = build_index(corpus, partitions=2), questions_of(spark, ["열쇠", "가가가"])
+    index, asked = stored_index(corpus), questions_of(spark, ["열쇠", "가가가"])
     params = RankParams(anywhere=("열쇠", "가"))
     results = [
         everything(
@@ -114,7 +104,7 @@ def test_reading_first_documents_first_changes_nothing(spark):
 def test_documents_outside_the_scope_are_blank_but_take_ranks(spark):
     texts = ["낱말 안쪽이다", "낱말 바깥쪽"]
     corpus = corpus_of(spark, texts, scope=1)
-    index, asked = build_index(corpus, partitions=2), questions_of(spark, ["낱말"])
+    index, asked = stored_index(corpus), questions_of(spark, ["낱말"])
     reader = longest_word_reader()
     two = answer_by_rank(index, corpus, asked, P0, last_morph_of_text, reader)
     assert everything(two) == {0: ("안쪽이다", "single")}
@@ -125,7 +115,7 @@ def test_documents_outside_the_scope_are_blank_but_take_ranks(spark):
 
 def test_windows_come_before_single_documents(spark):
     corpus = corpus_of(spark, ["열쇠 하나둘", "열쇠 셋넷다섯여섯"])
-    index, asked = build_index(corpus, partitions=2), questions_of(spark, ["열쇠"])
+    index, asked = stored_index(corpus), questions_of(spark, ["열쇠"])
     answers = answer_by_rank(
         index, corpus, asked, P2, last_morph_of_text, longest_word_reader()
     )
@@ -134,7 +124,7 @@ def test_windows_come_before_single_documents(spark):
 
 def test_plan_has_no_cross_join_and_ranks_before_the_shuffle(spark):
     corpus = corpus_of(spark, TEXTS)
-    index, asked = build_index(corpus, partitions=2), questions_of(spark, ASKED)
+    index, asked = stored_index(corpus), questions_of(spark, ASKED)
     plan = answer_by_cut(index, corpus, asked, P3, last_morph_of_text)
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text

@@ -1,10 +1,9 @@
 import random
 
 import pytest
-from helpers import corpus_of, questions_of, rows
+from helpers import corpus_of, questions_of, rows, stored_index
 from pyspark.sql import functions as F
 
-from daedap.operators.index import build_index
 from daedap.operators.reader import end_rows, lexical_reader, logit_rows, model_reader, spans, start_rows
 from daedap.plans.params import P3
 from daedap.plans.answering import cut_candidates, ranked_contexts, read_contexts
@@ -134,7 +133,7 @@ def test_model_reader_slot(spark):
 def test_whole_texts_are_read_unless_a_model_sets_a_limit(spark):
     long = " ".join(f"w{i}" for i in range(900)) + " needle tail needle"
     corpus = corpus_of(spark, [long] + ["x"] * 20)
-    index, asked = build_index(corpus, partitions=2), questions_of(spark, ["needle"])
+    index, asked = stored_index(corpus), questions_of(spark, ["needle"])
     contexts = ranked_contexts(index, corpus, asked, P3, F.broadcast).filter("doc_pos = 0")
     whole = read_contexts(contexts, asked, index, F.broadcast)
     assert rows(whole, F.size("sequence")) == [(1 + 1 + 2 + 903 + 1,)]
@@ -145,7 +144,7 @@ def test_whole_texts_are_read_unless_a_model_sets_a_limit(spark):
 
 def test_empty_document_is_read(spark):
     corpus = corpus_of(spark, ["", "aa bb"])
-    index, asked = build_index(corpus, partitions=2), questions_of(spark, ["aa"])
+    index, asked = stored_index(corpus), questions_of(spark, ["aa"])
     contexts = ranked_contexts(index, corpus, asked, P3, F.broadcast)
     read = read_contexts(contexts, asked, index, F.broadcast)
     sequences = dict(rows(read, "doc_pos", "sequence"))

@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from helpers import corpus_of, dense_scores, index_of, questions_of, rows
+from helpers import corpus_of, dense_scores, index_of, questions_of, rows, stored_index
 
 from daedap import session
 from daedap.operators.index import build_index, corpus_tokens, store_index
@@ -127,7 +127,7 @@ def test_batches_give_what_one_batch_gives(spark, monkeypatch):
     words = [f"w{i}" for i in range(9)]
     texts = [" ".join(rng.choices(words, k=6)) for _ in range(15)]
     asked = questions_of(spark, [" ".join(rng.choices(words, k=4)) for _ in range(9)])
-    index = index_of(spark, texts)
+    index = stored_index(corpus_of(spark, texts))
     columns = ("question_id", "rank", "doc_pos", "score")
     whole = sorted(rows(top_documents(index, asked), *columns))
     monkeypatch.setattr(session, "BATCH_QUESTIONS", 4)

@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 import pytest
-from helpers import dense_scores, index_of, questions_of, rows
+from helpers import corpus_of, dense_scores, questions_of, rows, stored_index
 from pyspark.sql import functions as F
 
 from daedap.operators.scores import _values_at, best_scores, score_distribution, score_runs
@@ -14,7 +14,7 @@ def test_distribution_equals_numpy(spark, n):
     words = [f"w{i}" for i in range(8)]
     texts = [" ".join(rng.choices(words, k=rng.randrange(0, 7))) for _ in range(n - 1)] + ["w0 w1"]
     asked = ["w0 w3", "w1 w1 w5 w7", "none"]
-    index, questions = index_of(spark, texts), questions_of(spark, asked)
+    index, questions = stored_index(corpus_of(spark, texts)), questions_of(spark, asked)
     got = {r["question_id"]: r for r in score_distribution(index, questions).collect()}
     runs, largest = {}, {}
     for q, s, c in rows(score_runs(index, questions), "question_id", "score", "n_docs"):
