@@ -5,7 +5,9 @@ returned, as 56,737 of 67,277 in the original setting. ``benchmark`` holds the
 questions, user turns of ``conversations`` are a second set; assistant turns are
 the gold answers to audit. No text is Korean, so rule queries take markers and
 particles that occur in Latin text, and the last character stands in for a
-tagger's last morpheme. Every query covers its whole tables and whole texts.
+tagger's last morpheme. Every query covers its whole tables and whole texts; only
+``pack_truncate`` and ``answers_p3_model_length`` apply a model's length limit, which
+is what they show.
 """
 
 from __future__ import annotations
