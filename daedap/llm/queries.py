@@ -7,33 +7,57 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from daedap.llm.cotraining import classified
 from daedap.llm.counts import token_counts
 from daedap.llm.dac import read_tokens, write_tokens
+from daedap.llm.minhash import near_duplicates
 from daedap.llm.packing import pack, token_pieces
+from daedap.llm.supervision import judged
+from daedap.llm.syncmers import fingerprints
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     return token_counts(table(spark, sf_dir, "documents"), model)
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged(table(spark, sf_dir, "documents"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     return pack(token_pieces(table(spark, sf_dir, "documents"), tokenizer))
 
 
+def op8_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     return read_tokens(write_tokens(table(spark, sf_dir, "documents"), tokenizer))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality_classifier": op2_quality_classifier,
     "op3_token_counts": op3_token_counts,
+    "op4_near_duplicates": op4_near_duplicates,
+    "op5_quality_rules": op5_quality_rules,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op8_closed_syncmers": op8_closed_syncmers,
     "op10_token_files": op10_token_files,
 }
 
