@@ -32,7 +32,7 @@ def create(address: str) -> Iterator:
     """An output stream for a file that must not exist yet, and its folder."""
     system, path = place(address)
     system.create_dir(os.path.dirname(path), recursive=True)
-    with system.open_output_stream(path) as out:
+    with system.open_output_stream(path, compression=None) as out:
         yield out
 
 

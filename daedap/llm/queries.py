@@ -6,20 +6,29 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from daedap.llm.cotraining import classified
 from daedap.llm.counts import token_counts
 from daedap.llm.dac import read_tokens, write_tokens
+from daedap.llm.licenses import license_matches
+from daedap.llm.maxplus import decoded, encode
 from daedap.llm.minhash import near_duplicates
 from daedap.llm.packing import pack, token_pieces
 from daedap.llm.supervision import judged
 from daedap.llm.syncmers import fingerprints
+from daedap.llm.warc import page_captures, read_archives, transactions, write_archives
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = write_archives(table(spark, sf_dir, "pages"))
+    return page_captures(transactions(read_archives(files)))
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -42,22 +51,56 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(token_pieces(table(spark, sf_dir, "documents"), tokenizer))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_matches(table(spark, sf_dir, "documents"))
+
+
 def op8_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op9_max_plus_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers and hashes of the ids of each document, and of the text they give back."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    rows = encode(table(spark, sf_dir, "documents"), model).withColumn("text", decoded("ids", model))
+
+    def summary(ids: str, text: str, score: str) -> list:
+        return [
+            F.size(ids).cast("long").alias("n_tokens"),
+            F.col(score).alias("score"),
+            F.xxhash64(ids).alias("ids_hash"),
+            F.sha2(F.expr(f"substring({text}, 2)"), 256).alias("decoded_sha256"),
+        ]
+
+    short = rows.filter("n_chunks = 1").select("doc_id", "n_chunks", *summary("ids", "text", "score"))
+    # A giant document's chunks come together again, it alone in its row as before.
+    parts = F.array_sort(F.collect_list(F.struct("chunk", "ids", "text")))
+    giant = rows.filter("n_chunks > 1").groupBy("row", "doc_id", "n_chunks")
+    giant = giant.agg(parts.alias("parts"), F.sum("score").alias("score")).select(
+        "doc_id",
+        "n_chunks",
+        F.flatten("parts.ids").alias("ids"),
+        F.array_join("parts.text", "").alias("text"),
+        "score",
+    )
+    return short.union(giant.select("doc_id", "n_chunks", *summary("ids", "text", "score")))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     return read_tokens(write_tokens(table(spark, sf_dir, "documents"), tokenizer))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc_captures": op1_warc_captures,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_token_counts": op3_token_counts,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_quality_rules": op5_quality_rules,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_license_scan": op7_license_scan,
     "op8_closed_syncmers": op8_closed_syncmers,
+    "op9_max_plus_encoding": op9_max_plus_encoding,
     "op10_token_files": op10_token_files,
 }
 
