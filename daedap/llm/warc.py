@@ -10,6 +10,7 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import io
 import re
 import uuid
 import zlib
@@ -258,7 +259,8 @@ def read_archives(files: DataFrame, with_payload: bool = False) -> DataFrame:
                 with reading(address) as source:
                     packed = source.read(2) == b"\x1f\x8b"
                     source.seek(0)
-                    stream = gzip.GzipFile(fileobj=source) if packed else source
+                    buffered = io.BufferedReader(source, 1 << 20)
+                    stream = gzip.GzipFile(fileobj=buffered) if packed else buffered
                     for headers, block in parsed(stream):
                         row, payload = _as_row(headers, block)
                         rows.append((*row, payload) if with_payload else row)

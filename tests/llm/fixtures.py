@@ -8,7 +8,7 @@ TEXTS = [
     None,
     " ",
     "  two  blanks \n\n and\tlines  ",
-    "<|endoftext|> x<|endoftext|>y </s> <s>",
+    "<|endoftext|> x<|endoftext|>y </s> <s> <|ENDOFTEXT|> A<|endoftext|>. B<|EndOfText|>!",
     "Σ ΑΣ Σ. é ́x ﬁ   　 ▁a ▁ b",
     "日本語のテキスト、空白なし。" * 40,
     "x" * 5000,

@@ -33,6 +33,14 @@ def encoders():
     return [(ChunkEncoder(f), Tokenizer.from_file(f)) for f in FILES]
 
 
+def test_chunks_give_the_ids_of_awkward_texts(encoders):
+    texts = [t or "" for t in TEXTS]
+    for encoder, tokenizer in encoders:
+        ids, ends = encoder.encode(texts)
+        parts = [p.tolist() for p in np.split(ids, ends)[:-1]]
+        assert parts == [ids_of(tokenizer, t) for t in texts]
+
+
 @settings(max_examples=400, deadline=None)
 @given(st.lists(ODD, max_size=4))
 def test_chunks_give_the_ids_of_whole_texts(encoders, texts):
