@@ -65,6 +65,9 @@ def asked(source: str = "benchmark", normalized: bool = False) -> str:
         "benchmark": "SELECT item_id AS question_id, text AS question FROM benchmark",
         "user": """SELECT conv_id || '-' || turn AS question_id, text AS question
                    FROM conversations WHERE role = 'user'""",
+        "last_user": """SELECT conv_id AS question_id, text AS question FROM (
+                          SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS place
+                          FROM conversations WHERE role = 'user') WHERE place = 1""",
     }[source]
     text = cleaned("question") if normalized else "question"
     return f"""
@@ -128,7 +131,11 @@ def query(*parts: str) -> str:
     return f"WITH {','.join(tables)}\n{final}" if tables else final
 
 
-RETRIEVAL = (CORPUS, DOC_TOKENS, INDEX, asked(), dense())
+def retrieval(source: str = "benchmark", ranker: str = "plus") -> tuple[str, ...]:
+    return (CORPUS, DOC_TOKENS, INDEX, asked(source), dense(ranker))
+
+
+RETRIEVAL = retrieval()
 
 
 def ranked(
@@ -194,7 +201,20 @@ logits AS MATERIALIZED (
         FROM weighted))"""
 
 
-def span_tables(end_weight: float = 1.0, k: int = 10, end_source: str = "start") -> str:
+# The model slot's stand-in: logits that follow token lengths.
+MODEL_LOGITS = """
+logits AS MATERIALIZED (
+  SELECT question_id, ctx, doc_pos, pos, token,
+         CAST(length(token) % 7 - 2 AS DOUBLE) AS start_logit,
+         CAST(length(token) * 3 % 5 - 1 AS DOUBLE) AS end_logit
+  FROM (SELECT question_id, ctx, doc_pos, unnest(seq) AS token,
+               CAST(generate_subscripts(seq, 1) - 1 AS INT) AS pos
+        FROM packed))"""
+
+
+def span_tables(
+    end_weight: float = 1.0, k: int = 10, end_source: str = "start", hook: str = "answer"
+) -> str:
     return f"""
 starts AS MATERIALIZED (
   SELECT * FROM (
@@ -219,7 +239,8 @@ all_spans AS MATERIALIZED (
                CASE WHEN seq[start + 1] = '<s>' THEN seq[start + 2:"end" + 1]
                     ELSE seq[start + 1:"end" + 1] END AS toks
         FROM ends e JOIN packed p ON p.question_id = e.question_id AND p.ctx = e.ctx)),
-spans AS MATERIALIZED (SELECT * FROM all_spans WHERE length(answer) > 1)"""
+spans AS MATERIALIZED (
+  SELECT * FROM (SELECT * REPLACE ({hook} AS answer) FROM all_spans) WHERE length(answer) > 1)"""
 
 
 def reading(
@@ -228,14 +249,18 @@ def reading(
     k: int = 10,
     max_len: int | None = None,
     end_source: str = "start",
+    hook: str = "answer",
+    source: str = "benchmark",
+    ranker: str = "plus",
+    logits: str = LOGITS,
 ) -> tuple[str, ...]:
     return (
-        *RETRIEVAL,
+        *retrieval(source, ranker),
         top(10),
         CUT_CONTEXTS.format(cut=cut),
         sequences(max_len),
-        LOGITS,
-        span_tables(end_weight, k, end_source),
+        logits,
+        span_tables(end_weight, k, end_source, hook),
     )
 
 
@@ -249,9 +274,17 @@ def rejected(inside: tuple[str, ...], anywhere: tuple[str, ...]) -> str:
     return "(" + " OR ".join(tests or ["false"]) + ")"
 
 
-def trimmed(particles: tuple[str, ...]) -> str:
+# The stand-in tagger: last morpheme and tag of an answer.
+MORPH = """(CASE WHEN lower(left(right(answer, 2), 1)) IN ('a', 'e', 'i', 'o', 'u')
+            THEN right(answer, 1) ELSE right(answer, 2) END)"""
+TAG = "(CASE WHEN length(answer) % 2 = 0 THEN 'JKG' ELSE 'JX' END)"
+
+
+def trimmed(particles: tuple[str, ...], genitive: bool = False) -> str:
     listed = ", ".join(f"'{p}'" for p in particles)
-    return f"CASE WHEN right(answer, 1) IN ({listed}) THEN left(answer, length(answer) - 1) ELSE answer END"
+    tagged = f"AND {TAG} = 'JKG'" if genitive else ""
+    return f"""CASE WHEN right(answer, 1) IN ({listed}) AND {MORPH} = right(answer, 1) {tagged}
+               THEN left(answer, length(answer) - 1) ELSE answer END"""
 
 
 KOREAN = {
@@ -321,6 +354,7 @@ def answers_by_rank(
     most: int | None = None,
     genitive: str | None = None,
     windows: bool = False,
+    hook: str = "answer",
 ) -> str:
     """Contexts in order; windows count before single documents."""
     if windows:
@@ -335,9 +369,7 @@ contexts AS MATERIALIZED (
 contexts AS MATERIALIZED (
   SELECT question_id, rank AS ctx, doc_pos, 100 + rank AS rank, true AS in_cut, text FROM ranked30)"""
         tables = (*TOP30, contexts)
-    trim = "answer"
-    if genitive:
-        trim = f"CASE WHEN right(answer, 1) = '{genitive}' THEN left(answer, length(answer) - 1) ELSE answer END"
+    trim = trimmed((genitive,), genitive=True) if genitive else "answer"
     limit = f"AND length(answer) <= {most}" if most else ""
     final = f"""
 SELECT q.question_id, answer,
@@ -349,7 +381,7 @@ FROM questions q LEFT JOIN (
     FROM (SELECT question_id, rank, {trim} AS answer FROM spans WHERE NOT {rejected((), anywhere)})
     WHERE length(answer) > 1 {limit})
   WHERE place = 1) USING (question_id)"""
-    return query(*tables, sequences(), LOGITS, span_tables(k=1), final)
+    return query(*tables, sequences(), LOGITS, span_tables(k=1, hook=hook), final)
 
 
 GOLD = """
@@ -364,14 +396,24 @@ ROWS = f"{SPAN}, start_rank, end_rank, round(score, 6) AS score, answer"
 FETCH = query(
     *RETRIEVAL, top(10), "SELECT question_id, rank, doc_pos, text FROM top JOIN corpus USING (doc_pos)"
 )
-PARTICLE_HITS = query(
-    GOLD,
-    " UNION ALL ".join(
-        f"""SELECT question_id, answer, '{p}' AS particle, CAST({i} AS BIGINT) AS particle_order
-            FROM gold WHERE right(answer, 1) = '{p}'"""
-        for i, p in enumerate(PARTICLES, 1)
-    ),
-)
+
+
+def particle_hits(where: str = "true") -> str:
+    return query(
+        GOLD,
+        " UNION ALL ".join(
+            f"""SELECT question_id, answer, '{p}' AS particle, CAST({i} AS BIGINT) AS particle_order
+                FROM gold WHERE right(answer, 1) = '{p}' AND {MORPH} = '{p}' AND {where}"""
+            for i, p in enumerate(PARTICLES, 1)
+        ),
+    )
+
+
+LAST_TURN = """
+SELECT conv_id, text, turn FROM (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS place FROM conversations)
+WHERE place = 1"""
+WITHOUT_MARKS = "rtrim(answer, '.,')"
 
 ORACLE = {
     "normalize_text": query(
@@ -417,6 +459,15 @@ ORACLE = {
     "retrieve_top10": ranked(),
     "retrieve_top10_normalized": ranked(normalized=True),
     "retrieve_top10_conversations": ranked(source="user"),
+    "retrieve_top10_reopened": ranked(),
+    "load_json_map": """
+SELECT row_number() OVER (ORDER BY doc_id) - 1 AS doc_pos, CAST(doc_id AS VARCHAR) AS doc_id,
+       coalesce(source, '') AS title, coalesce(text, '') AS text FROM documents""",
+    "load_json_lines": """
+SELECT doc_id AS doc_pos, CAST(doc_id AS VARCHAR) AS doc_id, coalesce(source, '') AS title,
+       coalesce(text, '') AS text FROM documents""",
+    "load_arrow_split": "SELECT * FROM benchmark",
+    "spans_model_slot": query(*reading(logits=MODEL_LOGITS), f"SELECT {ROWS} FROM spans"),
     "retrieve_top30": ranked(n=30, scope="true"),
     "retrieve_cut_095": ranked(where="units > CAST(0.95 AS DOUBLE) * best"),
     "retrieve_cut_090": ranked(where="units > CAST(0.9 AS DOUBLE) * best"),
@@ -509,15 +560,17 @@ FROM dense GROUP BY question_id""",
     "particle_trim": query(
         *reading(), f"SELECT {SPAN}, {trimmed(LATIN['particles'])} AS trimmed FROM spans"
     ),
-    "genitive_trim": query(*reading(), f"SELECT {SPAN}, {trimmed(('n',))} AS trimmed FROM spans"),
+    "genitive_trim": query(
+        *reading(), f"SELECT {SPAN}, {trimmed(('n',), genitive=True)} AS trimmed FROM spans"
+    ),
     "conditional_trim": query(
         *reading(),
-        """SELECT question_id, doc_pos, start, end_excl,
-                  CASE WHEN right(s.answer, 1) = 'n' AND EXISTS (
-                         SELECT 1 FROM spans o WHERE o.question_id = s.question_id
-                         AND o.answer = left(s.answer, length(s.answer) - 1))
-                       THEN left(s.answer, length(s.answer) - 1) ELSE s.answer END AS trimmed
-           FROM spans s""",
+        f"""SELECT question_id, doc_pos, start, end_excl,
+                   CASE WHEN genitive AND EXISTS (
+                          SELECT 1 FROM spans o WHERE o.question_id = s.question_id
+                          AND o.answer = left(s.answer, length(s.answer) - 1))
+                        THEN left(s.answer, length(s.answer) - 1) ELSE s.answer END AS trimmed
+            FROM (SELECT *, {MORPH} = 'n' AND {TAG} = 'JKG' AS genitive FROM spans) s""",
     ),
     "candidate_membership": query(
         *reading(),
@@ -536,6 +589,12 @@ FROM dense GROUP BY question_id""",
     "answers_p3_model_length": answers_by_cut(KOREAN, max_len=512),
     "answers_p4": answers_by_cut(KOREAN, end_weight=0.5, cut=0.9),
     "answers_p5": answers_by_cut(KOREAN, end_weight=0.1, cut=0.9),
+    "answers_p0_hook": answers_by_rank(most=99, hook=WITHOUT_MARKS),
+    "answers_p3_hook": answers_by_cut(KOREAN, hook=WITHOUT_MARKS),
+    "answers_p3_okapi": answers_by_cut(LATIN, ranker="okapi"),
+    "answers_repeated_ids": answers_by_cut(LATIN, source="last_user"),
+    "answer_map_repeated_ids": f"""
+SELECT CAST(conv_id AS VARCHAR) AS question_id, text AS answer FROM ({LAST_TURN}) WHERE text IS NOT NULL""",
     "answer_report": answers_by_cut(
         KOREAN, "SELECT stage, count(*) AS n_questions FROM answers GROUP BY stage"
     ),
@@ -551,12 +610,7 @@ FROM dense GROUP BY question_id""",
         end_weight=0.5,
         cut=0.9,
     ),
-    "last_answer_wins": """
-SELECT conv_id AS question_id, answer, turn FROM (
-  SELECT conv_id, text AS answer, turn,
-         row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS place
-  FROM conversations)
-WHERE place = 1""",
+    "last_answer_wins": f"SELECT conv_id AS question_id, text AS answer, turn FROM ({LAST_TURN})",
     "audit_markers": query(
         GOLD,
         " UNION ALL ".join(
@@ -572,13 +626,13 @@ WHERE place = 1""",
         ),
     ),
     "audit_genitive": query(
-        GOLD, "SELECT question_id, answer FROM gold WHERE right(answer, 1) = '.'"
+        GOLD, f"SELECT question_id, answer FROM gold WHERE {MORPH} = '.' AND {TAG} = 'JKG'"
     ),
-    "audit_particles": PARTICLE_HITS,
-    "audit_particles_lookup": PARTICLE_HITS,
+    "audit_particles": particle_hits(),
+    "audit_particles_lookup": particle_hits("length(answer) % 3 <> 0"),
     "audit_trim_trace": query(
         GOLD,
-        f"""SELECT question_id, right(answer, 1) AS final, right(answer, 1) AS morph,
+        f"""SELECT question_id, right(answer, 1) AS final, {MORPH} AS morph,
                    {trimmed(PARTICLES)} AS trimmed FROM gold""",
     ),
 }

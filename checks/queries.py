@@ -4,20 +4,23 @@ Roles: ``documents`` is the corpus (title = source), the first 84.33 % of it may
 returned, as 56,737 of 67,277 in the original setting. ``benchmark`` holds the
 questions, user turns of ``conversations`` are a second set; assistant turns are
 the gold answers to audit. No text is Korean, so rule queries take markers and
-particles that occur in Latin text, and the last character stands in for a
-tagger's last morpheme. Every query covers its whole tables and whole texts; only
+particles that occur in Latin text, and ``tagger`` stands in for one of Korean. Every query covers its whole tables and whole texts; only
 ``pack_truncate`` and ``answers_p3_model_length`` apply a model's length limit, which
 is what they show.
 """
 
 from __future__ import annotations
 
+import json
+import os
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import replace
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from daedap.functions.sequences import detokenize
@@ -30,8 +33,8 @@ from daedap.operators.audit import (
     trim_trace,
 )
 from daedap.operators.contexts import blank_outside_scope, drop_blank, sliding_contexts
-from daedap.operators.index import Index, build_index, corpus_tokens, store_index
-from daedap.operators.reader import end_rows, logit_rows, spans, start_rows
+from daedap.operators.index import Index, build_index, corpus_tokens, open_index, store_index
+from daedap.operators.reader import end_rows, logit_rows, model_reader, spans, start_rows
 from daedap.operators.retrieve import (
     OKAPI,
     PLUS,
@@ -48,7 +51,6 @@ from daedap.operators.select import (
     acceptable,
     among_candidates,
     answer_report,
-    last_morph_of_text,
     length_within,
     trim_genitive,
     trim_genitive_if_candidate,
@@ -70,8 +72,14 @@ from daedap.sources.answers import (
     read_answer_map,
     write_answer_map,
 )
-from daedap.sources.corpus import as_corpus, store_corpus, with_scope
-from daedap.sources.splits import as_questions, gold_answers
+from daedap.sources.corpus import (
+    as_corpus,
+    load_json_lines,
+    load_json_map,
+    store_corpus,
+    with_scope,
+)
+from daedap.sources.splits import as_questions, gold_answers, load_arrow_split
 
 SCOPE = 0.8433
 
@@ -91,7 +99,16 @@ LATIN_P3 = replace(
 )
 MODEL_LENGTH = 512
 
-tagger = partial(last_morph_of_text, tag="JKG")
+
+def tagger(answers: DataFrame) -> DataFrame:
+    """A stand-in with hits and misses: behind a vowel the last character is the last
+    morpheme, otherwise the last two are; answers of even length are tagged JKG."""
+    ending = F.right("answer", F.lit(2))
+    alone = F.lower(F.left(ending, F.lit(1))).isin("a", "e", "i", "o", "u")
+    return answers.withColumn(
+        "morph", F.when(alone, F.right("answer", F.lit(1))).otherwise(ending)
+    ).withColumn("pos", F.when(F.length("answer") % 2 == 0, "JKG").otherwise("JX"))
+
 
 _stored: dict[tuple[str, str], Index] = {}
 _blocked: dict[tuple[str, str], DataFrame] = {}
@@ -146,7 +163,7 @@ def turns(spark: SparkSession, sf_dir: str, role: str) -> DataFrame:
 
 def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = turns(spark, sf_dir, "assistant")
-    return gold_answers(said.select("id", F.struct(F.array("text").alias("text")).alias("answers")))
+    return gold_answers(said.select("id", F.struct(F.array("text", F.upper("text")).alias("text")).alias("answers")))
 
 
 # Text
@@ -178,9 +195,69 @@ def detokenize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Sources
+
+RECORDS_PER_FILE = 250
+
+
+def json_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written as JSON maps, some to a file, and loaded again."""
+    record = F.struct(
+        F.col("doc_id"),
+        F.struct(F.col("source").alias("title"), F.col("text").alias("text")).alias("record"),
+    )
+    block = F.format_string("%09d", F.floor(F.col("doc_id") / RECORDS_PER_FILE)).alias("block")
+    entries = F.array_sort(F.collect_list(record))
+    named = F.transform(entries, lambda e: F.struct(e["doc_id"].cast("string"), e["record"]))
+    maps = table(spark, sf_dir, "documents").groupBy(block).agg(named.alias("entries"))
+    folder = f"{shared_dir(spark)}/json-{uuid.uuid4().hex}"
+    lines = maps.select("block", F.to_json(F.map_from_entries("entries")).alias("value"))
+    lines.write.partitionBy("block").text(folder)
+    return load_json_map(spark, folder)
+
+
+def json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written as one JSON record per line, and loaded again."""
+    folder = f"{shared_dir(spark)}/json-{uuid.uuid4().hex}"
+    corpus(spark, sf_dir).drop("is_candidate").write.json(folder)
+    return load_json_lines(spark, folder)
+
+
+def arrow_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items saved as a dataset folder of Arrow streams, and loaded again.
+
+    A leftover file that the manifest does not name holds them all once more.
+    """
+    folder = f"{shared_dir(spark)}/arrow-{uuid.uuid4().hex}"
+    base = folder.removeprefix("file://").removeprefix("file:")
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, names = TaskContext.get().partitionId(), []
+        for i, batch in enumerate(batches):
+            names.append(f"data-{part:05d}-{i:05d}.arrow")
+            for name in (names[-1], f"cache-{names[-1]}"):
+                with pa.OSFile(f"{base}/{name}", "wb") as sink:
+                    with pa.ipc.new_stream(sink, batch.schema) as stream:
+                        stream.write_batch(batch)
+        yield pa.record_batch({"filename": pa.array(names, pa.string())})
+
+    os.makedirs(base)
+    written = table(spark, sf_dir, "benchmark").mapInArrow(write, "filename string").collect()
+    with open(f"{base}/state.json", "w") as manifest:
+        json.dump({"_data_files": [row.asDict() for row in written]}, manifest)
+    return load_arrow_split(spark, folder)
+
+
 # Index
 
 
+def retrieve_reopened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranked with an index that is opened from the folder it was stored in."""
+    folder = f"{shared_dir(spark)}/index-{uuid.uuid4().hex}"
+    store_index(build_index(corpus(spark, sf_dir)), folder)
+    return top_documents(open_index(spark, folder), questions(spark, sf_dir))
+
+
 def index_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_index(corpus(spark, sf_dir)).stats
 
@@ -278,6 +355,27 @@ def read(
     return read_contexts(contexts, batch, index(spark, sf_dir), small, max_tokens=max_tokens)
 
 
+def model_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates by a reader in the model slot, whose logits follow token lengths."""
+
+    def load():
+        def model(sequences):
+            for tokens in sequences:
+                lengths = [len(t) for t in tokens]
+                yield [n % 7 - 2.0 for n in lengths], [n * 3 % 5 - 1.0 for n in lengths]
+
+        return model
+
+    found = cut_candidates(
+        index(spark, sf_dir),
+        corpus(spark, sf_dir),
+        questions(spark, sf_dir),
+        P3,
+        reader=model_reader(load),
+    )
+    return _span_rows(found)
+
+
 def pack_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
     def run(batch: DataFrame, small: SmallSide) -> DataFrame:
         return read(spark, sf_dir, batch, small, MODEL_LENGTH).select(
@@ -313,7 +411,11 @@ def candidates(spark: SparkSession, sf_dir: str, params: CutParams) -> DataFrame
 
 
 def span_candidates(spark: SparkSession, sf_dir: str, params: CutParams) -> DataFrame:
-    return candidates(spark, sf_dir, params).select(
+    return _span_rows(candidates(spark, sf_dir, params))
+
+
+def _span_rows(found: DataFrame) -> DataFrame:
+    return found.select(
         "question_id",
         "doc_pos",
         "start",
@@ -415,12 +517,29 @@ def answers_cut(spark: SparkSession, sf_dir: str, params: CutParams, **how) -> D
     )
 
 
-def answers_rank(spark: SparkSession, sf_dir: str, params: RankParams) -> DataFrame:
+def answers_rank(spark: SparkSession, sf_dir: str, params: RankParams, **how) -> DataFrame:
     return answer_by_rank(
-        index(spark, sf_dir), corpus(spark, sf_dir), questions(spark, sf_dir), params, tagger
+        index(spark, sf_dir),
+        corpus(spark, sf_dir),
+        questions(spark, sf_dir),
+        params,
+        tagger,
+        **how,
     )
 
 
+def without_marks(answer: Column) -> Column:
+    """A hook that changes an answer's text."""
+    return F.regexp_replace(answer, "[.,]+$", "")
+
+
+def answers_repeated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User turns asked under their conversation: the last one of each counts."""
+    said = table(spark, sf_dir, "conversations").filter("role = 'user'")
+    asked = as_questions(said, "conv_id", "text", order="turn")
+    return answer_by_cut(index(spark, sf_dir), corpus(spark, sf_dir), asked, LATIN_P3, tagger)
+
+
 def report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return answer_report(answers_cut(spark, sf_dir, P3))
 
@@ -436,6 +555,15 @@ def answer_map_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_answer_map(spark, folder)
 
 
+def answer_map_repeated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All turns written as answers of their conversation, and read again."""
+    said = table(spark, sf_dir, "conversations")
+    folder = f"{shared_dir(spark)}/answers-{uuid.uuid4().hex}"
+    written = said.select(F.col("conv_id").alias("question_id"), F.col("text").alias("answer"), "turn")
+    write_answer_map(written, folder, "turn")
+    return read_answer_map(spark, folder)
+
+
 def last_answer_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns written one after the other under their conversation: the last one stays."""
     said = table(spark, sf_dir, "conversations")
@@ -464,10 +592,11 @@ def audit_particles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def audit_particles_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same with the last morphemes looked up in a tagger's table."""
+    """The same with the last morphemes looked up in a tagger's table, which lacks some."""
     answers = gold(spark, sf_dir)
     endings = (".", *LATIN_PARTICLES)
-    table_of_tagger = tagger(answers.select("answer").distinct())
+    known = answers.select("answer").distinct().filter(F.length("answer") % 3 != 0)
+    table_of_tagger = tagger(known)
     hits = particle_hits(with_last_morph(answers, table_of_tagger, endings), endings)
     return hits.select("question_id", "answer", "particle", "particle_order")
 
@@ -490,6 +619,11 @@ QUERIES = {
     "retrieve_top10": retrieve,
     "retrieve_top10_normalized": partial(retrieve, normalized=True),
     "retrieve_top10_conversations": retrieve_top10_conversations,
+    "retrieve_top10_reopened": retrieve_reopened,
+    "load_json_map": json_map,
+    "load_json_lines": json_lines,
+    "load_arrow_split": arrow_split,
+    "spans_model_slot": model_spans,
     "retrieve_top30": partial(retrieve, n=30, candidates_only=False),
     "retrieve_cut_095": partial(retrieve, cut=P3.cut),
     "retrieve_cut_090": partial(retrieve, cut=P4.cut),
@@ -530,6 +664,11 @@ QUERIES = {
     "answers_p3_model_length": partial(answers_cut, params=replace(P3, max_tokens=MODEL_LENGTH)),
     "answers_p4": partial(answers_cut, params=P4),
     "answers_p5": partial(answers_cut, params=P5),
+    "answers_p0_hook": partial(answers_rank, params=P0, postprocess=without_marks),
+    "answers_p3_hook": partial(answers_cut, params=P3, postprocess=without_marks),
+    "answers_p3_okapi": partial(answers_cut, params=LATIN_P3, ranker=OKAPI),
+    "answers_repeated_ids": answers_repeated_ids,
+    "answer_map_repeated_ids": answer_map_repeated_ids,
     "answer_report": report,
     "answer_map": answer_map,
     "answer_map_read_back": answer_map_read_back,

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import hashlib
-from dataclasses import dataclass, replace
+import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -87,20 +87,49 @@ def store_index(index: Index, folder: str) -> Index:
     ``build_index`` made. The term table is counted from the written postings.
     """
     spark = index.docs.sparkSession
-    table = "postings_" + hashlib.sha256(folder.encode()).hexdigest()[:16]
     (
         index.postings.write.mode("overwrite")
         .bucketBy(index.partitions, "doc_pos")
         .option("path", f"{folder}/postings")
-        .saveAsTable(table)
+        .saveAsTable(_table_name())
     )
     index.docs.write.mode("overwrite").parquet(f"{folder}/docs")
-    docs, postings = spark.read.parquet(f"{folder}/docs"), spark.table(table)
+    layout = [(index.n_documents, index.partitions)]
+    layout = spark.createDataFrame(layout, "n_documents long, partitions int")
+    layout.coalesce(1).write.mode("overwrite").parquet(f"{folder}/layout")
+    docs, postings = spark.read.parquet(f"{folder}/docs"), _bucketed(spark, folder, index.partitions)
     written = _with_totals(docs, postings, index.n_documents, index.partitions)
     written.terms.write.mode("overwrite").parquet(f"{folder}/terms")
     written.stats.write.mode("overwrite").parquet(f"{folder}/stats")
-    return replace(
-        written,
+    return open_index(spark, folder)
+
+
+def open_index(spark: SparkSession, folder: str) -> Index:
+    """An index that ``store_index`` wrote, in this application or an earlier one."""
+    layout = spark.read.parquet(f"{folder}/layout").first()
+    return Index(
+        docs=spark.read.parquet(f"{folder}/docs"),
+        postings=_bucketed(spark, folder, layout["partitions"]),
         terms=spark.read.parquet(f"{folder}/terms"),
         stats=spark.read.parquet(f"{folder}/stats"),
+        n_documents=layout["n_documents"],
+        partitions=layout["partitions"],
+    )
+
+
+def _table_name() -> str:
+    return f"postings_{uuid.uuid4().hex}"
+
+
+def _bucketed(spark: SparkSession, folder: str, partitions: int) -> DataFrame:
+    """The written postings, under a new name that tells Spark how they are bucketed."""
+    name, path = _table_name(), f"{folder}/postings"
+    columns = ", ".join(
+        f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema
+    )
+    location = path.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(
+        f"CREATE TABLE {name} ({columns}) USING parquet "
+        f"CLUSTERED BY (doc_pos) INTO {partitions} BUCKETS LOCATION '{location}'"
     )
+    return spark.table(name)

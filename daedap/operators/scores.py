@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,18 +20,21 @@ from daedap.operators.retrieve import (
 )
 from daedap.session import SmallSide, in_batches, materialize
 
-# Digits of the exact quantile search: three of 16 bits, so scores up to 281,474.
+# Digits of the exact quantile search, and where each begins: all 64 bits of a score.
 DIGIT = 16
-SHIFTS = (32, 16, 0)
+SHIFTS = (48, 32, 16, 0)
 PROBS = (0.25, 0.5, 0.75)
 
+# Bits of the lower part of a score, of which squares are added up apart.
+HALF = 26
+
 
 def _runs(
     index: Index, questions: DataFrame, ranker: Ranker, small: SmallSide
 ) -> DataFrame:
-    """``question_id, units, n_docs``: the dense score column, equal scores counted.
+    """``question_id, match, n_docs, base``: the dense score column, equal scores counted.
 
-    Documents without a match all have the base score and are one row.
+    A score is base and match together. Documents without a match are one row.
     """
     weights = question_weights(questions, index, ranker, small)
     base = base_units(questions, weights, ranker, small)
@@ -44,11 +49,17 @@ def _runs(
         F.lit(0).cast("long").alias("match"),
         (F.lit(index.n_documents) - F.coalesce("matched", F.lit(0))).alias("n_docs"),
     )
-    return (
-        equal.unionByName(others.filter(F.col("n_docs") > 0))
-        .join(small(base), "question_id")
-        .select("question_id", (F.col("base") + F.col("match")).alias("units"), "n_docs")
-    )
+    return equal.unionByName(others.filter(F.col("n_docs") > 0)).join(small(base), "question_id")
+
+
+def _whole(value: Column) -> Column:
+    return value.cast("decimal(19,0)")
+
+
+def _squares() -> Column:
+    """The sum of squares from sums over the upper and lower parts of each number."""
+    parts = ((F.col("hh"), 2 * HALF), (F.col("hl"), HALF + 1), (F.col("ll"), 0))
+    return reduce(Column.__add__, [part.cast("double") * float(2**shift) for part, shift in parts])
 
 
 def score_runs(index: Index, questions: DataFrame, ranker: Ranker = PLUS) -> DataFrame:
@@ -57,7 +68,7 @@ def score_runs(index: Index, questions: DataFrame, ranker: Ranker = PLUS) -> Dat
     def run(batch: DataFrame, small: SmallSide) -> DataFrame:
         return (
             _runs(index, batch, ranker, small)
-            .groupBy("question_id", score_value(F.col("units")).alias("score"))
+            .groupBy("question_id", score_value(F.col("base") + F.col("match")).alias("score"))
             .agg(F.sum("n_docs").alias("n_docs"))
         )
 
@@ -71,7 +82,8 @@ def _values_at(runs: DataFrame, wanted: DataFrame, small: SmallSide) -> DataFram
     in which the place falls, go on inside it. A group to sort never has more
     than 2^16 rows, however many documents a question matches.
     """
-    found = wanted.withColumn("prefix", F.lit(0).cast("long"))
+    zero = F.lit(0).cast("long")
+    found = wanted.withColumn("prefix", zero)
     for shift in SHIFTS:
         # One row per prefix, with the few places looked for in it. They go along
         # in the grouping key, so each step reads the step before only once.
@@ -79,7 +91,7 @@ def _values_at(runs: DataFrame, wanted: DataFrame, small: SmallSide) -> DataFram
             F.collect_list(F.struct("place", "skip")).alias("places")
         )
         counted = (
-            runs.withColumn("prefix", F.shiftright("units", shift + DIGIT))
+            runs.withColumn("prefix", F.shiftright("units", shift + DIGIT) if shift < 48 else zero)
             .join(small(places), ["question_id", "prefix"])
             .groupBy("question_id", "prefix", "places", F.shiftright("units", shift).alias("digit"))
             .agg(F.sum("n_docs").alias("n"))
@@ -111,25 +123,34 @@ def score_distribution(
 
     def run(batch: DataFrame, small: SmallSide) -> DataFrame:
         runs = _runs(index, batch, ranker, small)
-        score = F.col("units") / UNIT
-        docs = F.col("n_docs")
+        match, docs = F.col("match"), F.col("n_docs")
+        # Sums of whole numbers, so that no order of the rows changes them; a square
+        # is added up in parts that a decimal always holds.
+        high, low = F.shiftright("match", HALF), match - F.shiftleft(F.shiftright("match", HALF), HALF)
         moments = (
-            runs.groupBy("question_id")
+            runs.groupBy("question_id", "base")
             .agg(
                 F.sum("n_docs").alias("count"),
-                F.sum(docs * score).alias("s1"),
-                F.sum(docs * score * score).alias("s2"),
-                F.min("units").alias("min"),
-                F.max("units").alias("max"),
+                F.sum(_whole(docs) * match).alias("s1"),
+                F.sum(_whole(docs) * _whole(high) * high).alias("hh"),
+                F.sum(_whole(docs) * _whole(high) * low).alias("hl"),
+                F.sum(_whole(docs) * _whole(low) * low).alias("ll"),
+                F.min("match").alias("min"),
+                F.max("match").alias("max"),
             )
-            .withColumn("mean", F.col("s1") / F.col("count"))
+            .withColumn("mean", F.col("s1").cast("double") / F.col("count"))
+            .withColumn("squares", _squares())
             .withColumn(
                 "std",
                 F.sqrt(
-                    F.greatest(F.col("s2") - F.col("s1") * F.col("mean"), F.lit(0.0))
+                    F.greatest(
+                        F.col("squares") - F.col("s1").cast("double") * F.col("mean"), F.lit(0.0)
+                    )
                     / F.nullif(F.col("count") - 1, F.lit(0))
-                ),
+                )
+                / UNIT,
             )
+            .withColumn("mean", (F.col("base") + F.col("mean")) / UNIT)
         )
         places = F.array(
             *[F.floor((F.col("count") - 1) * p) for p in PROBS],
@@ -137,8 +158,9 @@ def score_distribution(
         )
         wanted = moments.select("question_id", F.posexplode(places).alias("place", "skip"))
         value = [F.max(F.when(F.col("place") == i, F.col("units"))) for i in range(2 * len(PROBS))]
+        column = runs.select("question_id", F.col("match").alias("units"), "n_docs")
         quartiles = (
-            _values_at(runs, wanted, small)
+            _values_at(column, wanted, small)
             .groupBy("question_id")
             .agg(*[v.alias(f"v{i}") for i, v in enumerate(value)])
         )
@@ -146,17 +168,19 @@ def score_distribution(
         def interpolated(i: int) -> Column:
             low, high = F.col(f"v{i}"), F.col(f"v{i + len(PROBS)}")
             exact = (F.col("count") - 1) * PROBS[i]
-            return F.floor(low + (high - low) * (exact - F.floor(exact)) + 0.5)
+            between = F.floor((high - low) * (exact - F.floor(exact)) + 0.5)
+            return F.col("base") + low + between
 
-        return moments.join(small(quartiles), "question_id").select(
+        best = score_value(F.col("base") + F.col("max"))
+        return moments.join(small(quartiles), "question_id", "left").select(
             "question_id",
             "count",
             F.round("mean", 4).alias("mean"),
             F.round("std", 4).alias("std"),
-            score_value(F.col("min")).alias("min"),
+            score_value(F.col("base") + F.col("min")).alias("min"),
             *[score_value(interpolated(i)).alias(f"q{int(p * 100)}") for i, p in enumerate(PROBS)],
-            score_value(F.col("max")).alias("max"),
-            F.round(cut * score_value(F.col("max")), 4).alias("cut_score"),
+            best.alias("max"),
+            F.round(cut * best, 4).alias("cut_score"),
         )
 
     return in_batches(questions, index.documents_per_task, run)

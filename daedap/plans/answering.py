@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daedap.functions.text import Tokenizer, marked_tokens
 from daedap.operators.contexts import blank_outside_scope, drop_blank, sliding_contexts
 from daedap.operators.index import Index
 from daedap.operators.reader import Hook, Reader, lexical_reader, packed, reading_questions, spans
-from daedap.operators.retrieve import PLUS, fetch_text, in_cut, top_units
+from daedap.operators.retrieve import PLUS, Ranker, fetch_text, in_cut, top_units
 from daedap.operators.select import (
     acceptable,
     first_of_question,
@@ -33,17 +34,26 @@ def read_contexts(
     small: SmallSide,
     reader: Reader = lexical_reader,
     max_tokens: int | None = None,
+    tokenizer: Tokenizer = marked_tokens,
 ) -> DataFrame:
-    """Contexts ``(question_id, text, ..)`` with their token sequences and logits."""
-    asked = reading_questions(questions, index, small)
-    return reader(packed(contexts, asked, small, max_tokens))
+    """Contexts ``(question_id, text, ..)`` with their token sequences and logits.
+
+    ``tokenizer`` is the reader's own, for questions and contexts alike.
+    """
+    asked = reading_questions(questions, index, small, tokenizer)
+    return reader(packed(contexts, asked, small, max_tokens, tokenizer))
 
 
 def ranked_contexts(
-    index: Index, corpus: DataFrame, questions: DataFrame, params: CutParams, small: SmallSide
+    index: Index,
+    corpus: DataFrame,
+    questions: DataFrame,
+    params: CutParams,
+    small: SmallSide,
+    ranker: Ranker = PLUS,
 ) -> DataFrame:
     """``question_id, doc_pos, rank, in_cut, text``: one context per top document."""
-    top = top_units(index, questions, params.documents, PLUS, True, small)
+    top = top_units(index, questions, params.documents, ranker, True, small)
     flagged = top.select("question_id", "doc_pos", "rank", in_cut(params.cut).alias("in_cut"))
     return fetch_text(flagged, corpus, small).drop("is_candidate")
 
@@ -55,12 +65,14 @@ def cut_candidates(
     params: CutParams,
     reader: Reader = lexical_reader,
     postprocess: Hook | None = None,
+    ranker: Ranker = PLUS,
+    tokenizer: Tokenizer = marked_tokens,
 ) -> DataFrame:
     """The candidate spans of all top documents, with ``rank`` and ``in_cut`` of theirs."""
 
     def run(batch: DataFrame, small: SmallSide) -> DataFrame:
-        contexts = ranked_contexts(index, corpus, batch, params, small)
-        read = read_contexts(contexts, batch, index, small, reader, params.max_tokens)
+        contexts = ranked_contexts(index, corpus, batch, params, small, ranker)
+        read = read_contexts(contexts, batch, index, small, reader, params.max_tokens, tokenizer)
         return spans(read, params.end_weight, params.spans, params.end_source, postprocess)
 
     return in_batches(questions, index.documents_per_task, run)
@@ -101,22 +113,27 @@ def answer_by_cut(
     reader: Reader = lexical_reader,
     postprocess: Hook | None = None,
     read_again: bool = False,
+    ranker: Ranker = PLUS,
+    tokenizer: Tokenizer = marked_tokens,
 ) -> DataFrame:
     """``question_id, answer, stage`` for every question; stage cut, fallback or none.
 
     The documents outside the cut are read along with the others, in one pass.
     Where reading is dear, ``read_again`` first answers from the cut alone and
-    reads all documents only for the questions left over.
+    reads all documents only for the questions left over; jobs for that run while
+    the plan is built, as they do for question sets of more than one batch.
     """
     if not read_again:
-        candidates = cut_candidates(index, corpus, questions, params, reader, postprocess)
+        candidates = cut_candidates(
+            index, corpus, questions, params, reader, postprocess, ranker, tokenizer
+        )
         return with_unanswered(select_answers(candidates, params, tagger), questions)
 
     def run(batch: DataFrame, small: SmallSide) -> DataFrame:
-        contexts = materialize(ranked_contexts(index, corpus, batch, params, small))
+        contexts = materialize(ranked_contexts(index, corpus, batch, params, small, ranker))
 
         def answers(rows: DataFrame) -> DataFrame:
-            read = read_contexts(rows, batch, index, small, reader, params.max_tokens)
+            read = read_contexts(rows, batch, index, small, reader, params.max_tokens, tokenizer)
             found = spans(read, params.end_weight, params.spans, params.end_source, postprocess)
             return select_answers(found, params, tagger)
 
@@ -135,6 +152,9 @@ def answer_by_rank(
     tagger: Tagger,
     reader: Reader = lexical_reader,
     read_first: int = 5,
+    postprocess: Hook | None = None,
+    ranker: Ranker = PLUS,
+    tokenizer: Tokenizer = marked_tokens,
 ) -> DataFrame:
     """``question_id, answer, stage`` for every question; stage window, single or none.
 
@@ -142,12 +162,13 @@ def answer_by_rank(
     ``windows`` blanks are dropped, joined contexts are read first, and single
     documents only for the questions these leave unanswered. Without, the
     ``read_first`` best documents are read first, and the others only for the
-    questions left over.
+    questions left over. Ranked documents and first answers are written, by jobs
+    that run while the plan is built.
     """
 
     def run(batch: DataFrame, small: SmallSide) -> DataFrame:
         top = materialize(
-            top_units(index, batch, params.documents, PLUS, False, small).select(
+            top_units(index, batch, params.documents, ranker, False, small).select(
                 "question_id", "doc_pos", "rank"
             )
         )
@@ -160,8 +181,16 @@ def answer_by_rank(
             return rows.join(small(first.select("question_id")), "question_id", "left_anti")
 
         def answers(contexts: DataFrame, stage: str) -> DataFrame:
-            read = read_contexts(contexts, batch, index, small, reader, params.max_tokens)
-            found = spans(read, k=1, min_len=params.min_len)
+            read = read_contexts(
+                contexts, batch, index, small, reader, params.max_tokens, tokenizer
+            )
+            found = spans(
+                read,
+                k=1,
+                end_source=params.end_source,
+                postprocess=postprocess,
+                min_len=params.min_len,
+            )
             kept = found.filter(acceptable(F.col("answer"), (), params.anywhere))
             if params.genitive:
                 trimmed = trim_genitive(

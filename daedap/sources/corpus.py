@@ -10,6 +10,10 @@ from daedap.session import partitions_for
 # Documents per folder of a stored corpus.
 BLOCK = 100_000
 
+# Files that cannot be read raise an error instead of being left out.
+STRICT = {"mode": "FAILFAST"}
+
+LINES = "doc_pos long, doc_id string, title string, text string"
 RECORDS = "map<string,struct<title:string,text:string>>"
 
 
@@ -20,11 +24,15 @@ def load_json_map(spark: SparkSession, path: str) -> DataFrame:
     comes as many files, read in parallel, with positions running on from file to
     file in name order. Convert once (``write.parquet``) and read that from then
     on. A key given twice in a file counts once, with its last record, in the
-    place where it first stood.
+    place where it first stood. A file that is not one JSON object raises an error.
     """
+    parsed = F.coalesce(
+        F.from_json("value", RECORDS, STRICT),
+        F.raise_error(F.concat(F.lit("no JSON object: "), F.input_file_name())).cast(RECORDS),
+    )
     records = (
         spark.read.text(path, wholetext=True)
-        .select(F.input_file_name().alias("file"), F.from_json("value", RECORDS).alias("records"))
+        .select(F.input_file_name().alias("file"), parsed.alias("records"))
         .select("file", F.posexplode(F.map_entries("records")).alias("pos", "entry"))
         .groupBy("file", F.col("entry.key").alias("doc_id"))
         .agg(
@@ -52,6 +60,23 @@ def load_json_map(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def load_json_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Corpus from JSON files with one record per line, the way in for large corpora.
+
+    Records have ``doc_pos``, ``doc_id``, ``title`` and ``text``. Files are split and
+    nothing is shuffled. A line that is no such record raises an error.
+    """
+    lines = spark.read.schema(LINES).options(**STRICT).json(path)
+    return lines.select(
+        F.coalesce("doc_pos", F.raise_error(F.lit("a record without doc_pos")).cast("long")).alias(
+            "doc_pos"
+        ),
+        "doc_id",
+        F.coalesce("title", F.lit("")).alias("title"),
+        F.coalesce("text", F.lit("")).alias("text"),
+    )
+
+
 def as_corpus(
     df: DataFrame,
     doc_pos: str | Column,

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.pandas.types import from_arrow_schema
 
 from daedap.functions.text import Tokenizer, normalize, word_tokens
@@ -17,13 +18,44 @@ def load_split(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def load_arrow_split(spark: SparkSession, path: str) -> DataFrame:
-    """One split saved as a folder of ``*.arrow`` stream files, one task per file."""
+def _data_files(spark: SparkSession, path: str) -> DataFrame:
+    """The data files of a saved dataset folder: those its manifest names, or all."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.arrow").load(path)
-    first = files.select("content").first()
-    if first is None:
-        raise FileNotFoundError(f"no .arrow file in {path}")
-    schema = pa.ipc.open_stream(first["content"]).schema.remove_metadata()
+    manifest = spark.read.format("binaryFile").option("pathGlobFilter", "state.json").load(path)
+    named = "struct<_data_files:array<struct<filename:string>>>"
+    # One small file; what it lists are file names.
+    text = F.col("content").cast("string")
+    listed = manifest.select(F.from_json(text, named)["_data_files"]["filename"].alias("names"))
+    names = listed.first()
+    if names is None or names["names"] is None:
+        return files
+    kept = [F.lit(name) for name in names["names"]]
+    last = F.element_at(F.split("path", "/"), -1)
+    return files.filter(last.isin(*kept) if kept else F.lit(False))
+
+
+def load_arrow_split(
+    spark: SparkSession, path: str, schema: T.StructType | None = None
+) -> DataFrame:
+    """One split saved as a folder of ``*.arrow`` stream files, one task per file.
+
+    A ``state.json`` in the folder names the data files; others are left alone. The
+    schema is read from the first file, in a task, unless it is given. A file is
+    read as one row, so it may hold up to 2 GB.
+    """
+    files = _data_files(spark, path).select("content")
+
+    def schema_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for content in batch.column("content"):
+                found = pa.ipc.open_stream(content.as_buffer()).schema.remove_metadata()
+                yield pa.record_batch({"schema": [found.serialize().to_pybytes()]})
+
+    if schema is None:
+        first = files.limit(1).mapInArrow(schema_of, "schema binary").first()
+        if first is None:
+            raise FileNotFoundError(f"no .arrow file in {path}")
+        schema = from_arrow_schema(pa.ipc.read_schema(pa.py_buffer(bytes(first["schema"]))))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -32,7 +64,7 @@ def load_arrow_split(spark: SparkSession, path: str) -> DataFrame:
                     for part in stream:
                         yield part.replace_schema_metadata(None)
 
-    return files.select("content").mapInArrow(read, from_arrow_schema(schema))
+    return files.mapInArrow(read, schema)
 
 
 def as_questions(
@@ -41,15 +73,27 @@ def as_questions(
     question: str | Column = "question",
     tokenizer: Tokenizer = word_tokens,
     normalized: bool = False,
+    order: str | Column | None = None,
 ) -> DataFrame:
     """``question_id, question, tokens`` from a split; nothing else is read.
 
     Questions are tokenized raw: capitals and marks then miss the index, which
-    holds cleaned text. ``normalized=True`` cleans them first.
+    holds cleaned text. ``normalized=True`` cleans them first. Of rows that repeat an
+    id the last one in ``order`` stays, without it the last one of the table.
     """
-    picked = df.select(
-        (F.col(question_id) if isinstance(question_id, str) else question_id).alias("question_id"),
-        (F.col(question) if isinstance(question, str) else question).alias("question"),
+
+    def col(c: str | Column) -> Column:
+        return F.col(c) if isinstance(c, str) else c
+
+    last = F.max_by("question", "_order").alias("question")
+    picked = (
+        df.select(
+            col(question_id).alias("question_id"),
+            col(question).alias("question"),
+            (F.monotonically_increasing_id() if order is None else col(order)).alias("_order"),
+        )
+        .groupBy("question_id")
+        .agg(last)
     )
     asked = normalize(F.col("question")) if normalized else F.col("question")
     return picked.withColumn("tokens", tokenizer(asked))
