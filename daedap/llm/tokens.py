@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 import re
+import sys
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -20,8 +22,12 @@ OTHER_SPACE = re.compile(
     r"[\t\v\f\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 )
 
-# Distinct chunks, and characters in them, that one task keeps at a time.
-MOST_CHUNKS = 400_000
+# Marks that end a word: behind a Latin letter they are tokens of their own.
+MARKS = ".,;:!?"
+
+# Distinct chunks, and characters in them, that a Python worker keeps at a time: up to
+# some 200 MB.
+MOST_CHUNKS = 1_000_000
 MOST_CHARS = 20_000_000
 
 # Characters encoded at a time; one longer text is a batch of its own.
@@ -31,8 +37,10 @@ BATCH_CHARS = 2_000_000
 class ChunkEncoder:
     """Encodes with the ``tokenizers`` library, without special tokens added.
 
-    Special strings inside a text are handled as the library does by default. What
-    it remembers is bounded: beyond ``MOST_CHUNKS`` or ``MOST_CHARS`` it starts anew.
+    Special strings inside a text are handled as the library does by default. The
+    library sees each word once, without the marks behind it; and without blanks and
+    capitals where they make no difference to it. What is remembered is bounded:
+    beyond ``MOST_CHUNKS`` or ``MOST_CHARS`` it starts anew.
     """
 
     def __init__(self, path: str):
@@ -42,40 +50,78 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        probes = self.tokenizer.encode_batch_fast(["ab", "\n ab", "aB"], add_special_tokens=False)
+        plain, blank, capital = (e.ids for e in probes)
+        self.drops_blanks, self.drops_capitals = plain == blank, plain == capital
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.special = [token.content for token in added]
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known: dict[str, int] = {}  # chunks; their words and marks are in ``parts``
+        self.parts = np.zeros((0, 2), np.int64)
+        self.words: dict[str, int] = {"": 0}
         self.chars = 0
         self.ids = np.zeros(0, np.uint32)
-        self.starts = np.zeros(1, np.int64)
+        self.starts = np.zeros(2, np.int64)
+
+    def _word_and_marks(self, chunk: str) -> tuple[str, str]:
+        word = chunk.rstrip(MARKS)
+        if word and len(word) < len(chunk) and word[-1].isalpha() and word[-1] < "\u0250":
+            marks = chunk[len(word) :]
+        else:
+            word, marks = chunk, ""
+        if self.drops_blanks and (bare := word.strip(" \n")):
+            word = bare
+        if self.drops_capitals and word.isascii():
+            small = word.lower()
+            if not any(name in small for name in self.special):
+                word = small
+        return word, marks
 
     def _learn(self, chunks: list[str]) -> None:
-        found = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
+        parts = [p for c in chunks for p in self._word_and_marks(c)]
+        words = self.words
+        new = [w for w in dict.fromkeys(parts) if w not in words]
+        words.update(zip(new, range(len(words), len(words) + len(new))))
+        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
         ids = [e.ids for e in found]
         ends = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids))) + len(self.ids)
-        flat = np.fromiter((i for each in ids for i in each), np.uint32)
+        flat = np.fromiter(chain.from_iterable(ids), np.uint32)
         self.ids = np.concatenate([self.ids, flat])
         self.starts = np.concatenate([self.starts, ends])
+        at = np.fromiter(map(words.__getitem__, parts), np.int64, len(parts)).reshape(-1, 2)
+        self.parts = np.concatenate([self.parts, at])
+        self.known.update(zip(chunks, range(len(self.known), len(self.known) + len(chunks))))
         self.chars += sum(map(len, chunks))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids (uint32) of whole texts, one after another, and where each ends."""
         split = [[t] if OTHER_SPACE.search(t) else CHUNK.findall(t) for t in texts]
-        chunks = [c for each in split for c in each]
+        chunks = list(chain.from_iterable(split))
         if len(self.known) > MOST_CHUNKS or self.chars > MOST_CHARS:
             self._forget()
-        known = self.known
-        new = [c for c in dict.fromkeys(chunks) if c not in known]
-        if new:
-            known.update(zip(new, range(len(known), len(known) + len(new))))
-            self._learn(new)
-        at = np.fromiter(map(known.__getitem__, chunks), np.int64, len(chunks))
+        which = np.fromiter(map(self.known.get, chunks, repeat(-1)), np.int64, len(chunks))
+        missing = np.flatnonzero(which < 0)
+        if len(missing):
+            unknown = [chunks[i] for i in missing]
+            self._learn(list(dict.fromkeys(unknown)))
+            which[missing] = np.fromiter(map(self.known.__getitem__, unknown), np.int64, len(missing))
+        at = self.parts[which].reshape(-1)
         first, length = self.starts[at], self.starts[at + 1] - self.starts[at]
         total = np.concatenate([[0], np.cumsum(length)])
         shift = np.repeat(first - total[:-1], length)
         n_chunks = np.fromiter(map(len, split), np.int64, len(split))
-        return self.ids[shift + np.arange(total[-1])], total[np.cumsum(n_chunks)]
+        return self.ids[shift + np.arange(total[-1])], total[2 * np.cumsum(n_chunks)]
+
+
+def encoder_for(path: str) -> ChunkEncoder:
+    """The encoder of this Python worker, which keeps it from one task to the next."""
+    kept = sys.__dict__.setdefault("_chunk_encoders", {})
+    if path not in kept:
+        kept.clear()  # one at a time, so that memory stays bounded
+        kept[path] = ChunkEncoder(path)
+    return kept[path]
 
 
 def as_texts(column: pa.Array) -> list[str]:
@@ -99,7 +145,7 @@ def documents_of_ids(
     batches: Iterator[pa.RecordBatch], path: str, end_id: int
 ) -> Iterator[tuple[list, list[np.ndarray]]]:
     """From batches of (doc_id, text): keys and the ids of each text, ``end_id`` last."""
-    encoder = ChunkEncoder(path)
+    encoder = encoder_for(path)
     for batch in batches:
         keys, texts = batch.column(0).to_pylist(), as_texts(batch.column(1))
         for a, b in slices(texts):
