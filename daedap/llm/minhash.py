@@ -33,6 +33,9 @@ MOST_DIFFERENT = 2 * (PLACES // CHUNK) - 1
 # fuller keys are joined by their rarest shingles instead.
 FEW_NODES = 64
 
+# Bits of a set's bitmap.
+BITMAP = 1024
+
 _NUMBERS = np.random.default_rng(20_240_501)
 FACTORS = _NUMBERS.integers(0, 2**63, PLACES, np.uint64) * np.uint64(2) + np.uint64(1)
 SHIFTS = _NUMBERS.integers(0, 2**64, PLACES, np.uint64)
@@ -177,10 +180,28 @@ def _pairs_by_rare_shingles(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """All pairs of ``nodes(node, component)`` that can be links, exactly.
 
     With each set's shingles ordered from the rarest, similar sets share one in their
-    first quarter, and what can follow its place in both bounds what they share.
+    first quarter, and what can follow its place in both bounds what they share. Bits
+    that differ between two sets' bitmaps bound from below what they do not share.
     Two of one component need no link.
     """
 
+    def bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, bits = [], []
+            for text in batch.column(1).cast(pa.binary()).to_pylist():
+                shingles = shingle_set(text)
+                marks = np.zeros(BITMAP, np.uint8)
+                marks[shingles % np.uint64(BITMAP)] = 1
+                n.append(len(shingles))
+                bits.append(np.packbits(marks).view(np.int64).tolist())
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "node": batch.column(0),
+                    "n": pa.array(n, pa.int64()),
+                    "bits": pa.array(bits, pa.list_(pa.int64())),
+                }
+            )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = (batch.column(0), batch.column(1), batch.column(2).cast(pa.binary()))
@@ -206,16 +227,18 @@ def _pairs_by_rare_shingles(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     # Two texts under one id are two sets; their sizes part them.
     rank = Window.partitionBy("node", "n").orderBy("df", "shingle")
     ranked = rows.join(counts, "shingle").withColumn("place", F.row_number().over(rank) - 1)
-    first = materialize(
-        ranked.filter("df > 1 and 100 * (n - place) >= 75 * n").drop("df")
-    )
-    x = first.selectExpr("shingle", "node a", "component c_a", "n n_a", "place p_a")
-    y = first.selectExpr("shingle", "node b", "component c_b", "n n_b", "place p_b")
+    whole = named.select("doc_id", "text").mapInArrow(bitmaps, "node long, n long, bits array<long>")
+    first = ranked.filter("df > 1 and 100 * (n - place) >= 75 * n").drop("df")
+    first = materialize(first.join(whole, ["node", "n"]))
+    x = first.selectExpr("shingle", "node a", "component c_a", "n n_a", "place p_a", "bits b_a")
+    y = first.selectExpr("shingle", "node b", "component c_b", "n n_b", "place p_b", "bits b_b")
+    differ = " + ".join(f"bit_count(b_a[{i}] ^ b_b[{i}])" for i in range(BITMAP // 64))
     found = (
         x.join(y, "shingle")
         .filter("a < b and c_a != c_b")
         .filter(_sizes_fit("n_a", "n_b"))
         .filter("7 * least(n_a - p_a, n_b - p_b) >= 3 * (n_a + n_b)")
+        .filter(f"7 * ({differ}) <= n_a + n_b")
     )
     return found.select("a", "b").distinct()
 
