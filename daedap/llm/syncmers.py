@@ -147,22 +147,27 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     next document for others; all of them have the same next document. Rows without an
     id stand in no order and are edited as if the next document were empty.
     """
-    texts = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
+    # Spark shares the shuffle only if both joins read the very same column.
+    if dict(docs.dtypes)["doc_id"] != "bigint":
+        docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     named = texts.filter("doc_id IS NOT NULL")
     order = _following(named)
 
-    whole = named.withColumn("sketch", sketch(F.col("text")))
     before = order.select(
         F.col("next_id").alias("doc_id"), F.col("doc_id").alias("before_id"), "n_replaced"
     )
     begin = F.substring("text", F.lit(1), F.col("n_replaced")).alias("begin")
+    # Texts are shuffled by id once, for both joins; sketches are worked out behind it.
     # A third of the texts at most moves on to the document before.
     begins = (
-        whole.join(before, "doc_id")
+        named.join(before, "doc_id")
         .groupBy(F.col("before_id").alias("doc_id"))
-        .agg(F.min(F.struct(begin, F.col("sketch").alias("next_sketch"))).alias("next"))
+        .agg(F.min(F.struct(begin, sketch(F.col("text")).alias("next_sketch"))).alias("next"))
+    )
+    joined = named.join(begins, "doc_id").select(
+        "doc_id", "text", sketch(F.col("text")).alias("sketch"), "next.*"
     )
-    joined = whole.join(begins, "doc_id").select("doc_id", "text", "sketch", "next.*")
     alone = texts.filter("doc_id IS NULL").select(
         "doc_id",
         "text",
