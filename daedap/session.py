@@ -5,25 +5,39 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# What one batch of questions may hold. Its broadcasts are its tokens, some 100
-# bytes each, and its ranked documents, some 40 bytes each and 30 to a question:
-# 200 MB and 60 MB, far below what Spark accepts for a broadcast table.
-BATCH_TOKENS = 2_000_000
-BATCH_QUESTIONS = 50_000
 
-# (document, question) pairs that one task may have to add up scores for.
-PAIRS_PER_TASK = 100_000_000
+@dataclass(frozen=True)
+class Limits:
+    """The sizes that decide how a job is divided; none changes its rows.
 
-# The most documents for one partition of an index, the fewest worth splitting by,
-# and the most partitions (bucketed tables may not have many more).
-DOCUMENTS_PER_TASK = 50_000
-FEW_DOCUMENTS = 250
-MOST_PARTITIONS = 50_000
+    ``batch_tokens`` and ``batch_questions`` bound what one batch of questions
+    broadcasts: its tokens, some 100 bytes each, and its ranked documents, some 40
+    bytes each and 30 to a question; so 200 MB and 60 MB, far below what Spark
+    accepts. ``pairs_per_task`` bounds the (document, question) pairs that one task
+    may have to add up scores for. A question set beyond these runs in batches, each
+    written before the next; a single question beyond ``batch_tokens`` runs as a
+    shuffle join.
+
+    An index has a partition for every ``documents_per_task`` documents, at most
+    ``most_partitions`` (bucketed tables may not have many more), and fewer than
+    ``spark.sql.shuffle.partitions`` if these would hold under ``few_documents`` each.
+    """
+
+    batch_tokens: int = 2_000_000
+    batch_questions: int = 50_000
+    pairs_per_task: int = 100_000_000
+    documents_per_task: int = 50_000
+    few_documents: int = 250
+    most_partitions: int = 50_000
+
+
+LIMITS = Limits()
 
 # Marks the small side of a join: ``F.broadcast``, or nothing where it is too big.
 SmallSide = Callable[[DataFrame], DataFrame]
@@ -55,38 +69,47 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def partitions_for(spark: SparkSession, n_documents: int) -> int:
+def partitions_for(spark: SparkSession, n_documents: int, limits: Limits = LIMITS) -> int:
     """Partitions for an index: ``spark.sql.shuffle.partitions``, by its size less or more."""
     usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    least = min(-(-n_documents // DOCUMENTS_PER_TASK), MOST_PARTITIONS)
-    return max(1, least, min(usual, -(-n_documents // FEW_DOCUMENTS)))
+    least = min(-(-n_documents // limits.documents_per_task), limits.most_partitions)
+    return max(1, least, min(usual, -(-n_documents // limits.few_documents)))
 
 
 def in_batches(
     questions: DataFrame,
     documents_per_task: int,
     run: Callable[[DataFrame, SmallSide], DataFrame],
+    limits: Limits | None = None,
 ) -> DataFrame:
     """Run over ``questions(question_id, tokens, ..)`` in batches that fit one broadcast.
 
+    Their sizes are counted at once, by a job that runs while the plan is built.
+    Raises ValueError if ids repeat: their questions would be mixed up.
+
     The usual question set is one batch and stays lazy. A larger one is split by
     a hash of its key; each batch is finished and written before the next
     starts, so the corpus is read once per batch and never shuffled to meet the
     questions. A batch still over the limit (one giant question) runs without
     the broadcast hint, and Spark shuffles both sides instead.
     """
-    most = max(1, min(BATCH_QUESTIONS, PAIRS_PER_TASK // max(documents_per_task, 1)))
+    limits = limits or LIMITS
+    pairs = limits.pairs_per_task // max(documents_per_task, 1)
+    most = max(1, min(limits.batch_questions, pairs))
     tokens = F.coalesce(F.sum(F.size("tokens").cast("long")), F.lit(0)).alias("tokens")
     size = [F.count("*").alias("n"), tokens]
 
     def small_side(tokens: int) -> SmallSide:
-        return F.broadcast if tokens <= BATCH_TOKENS else (lambda df: df)
+        return F.broadcast if tokens <= limits.batch_tokens else (lambda df: df)
 
-    total = questions.agg(*size).first()
-    if total["n"] <= most and total["tokens"] <= BATCH_TOKENS:
+    different = F.count_distinct(F.struct("question_id")).alias("different")
+    total = questions.agg(*size, different).first()
+    if total["different"] < total["n"]:
+        raise ValueError("question ids repeat; give as_questions an order")
+    if total["n"] <= most and total["tokens"] <= limits.batch_tokens:
         return run(questions, small_side(total["tokens"]))
     # Half-full batches, so that an uneven hash still stays under the limits.
-    count = max(-(-2 * total["n"] // most), -(-2 * total["tokens"] // BATCH_TOKENS))
+    count = max(-(-2 * total["n"] // most), -(-2 * total["tokens"] // limits.batch_tokens))
     batch = F.pmod(F.xxhash64("question_id"), F.lit(count))
     # One row per batch.
     sizes = questions.groupBy(batch.alias("batch")).agg(*size).orderBy("batch").collect()

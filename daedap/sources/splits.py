@@ -79,22 +79,21 @@ def as_questions(
 
     Questions are tokenized raw: capitals and marks then miss the index, which
     holds cleaned text. ``normalized=True`` cleans them first. Of rows that repeat an
-    id the last one in ``order`` stays, without it the last one of the table.
+    id the last one in ``order`` stays; without an order, ids must be unique, and
+    ranking refuses others.
     """
 
     def col(c: str | Column) -> Column:
         return F.col(c) if isinstance(c, str) else c
 
-    last = F.max_by("question", "_order").alias("question")
-    picked = (
-        df.select(
-            col(question_id).alias("question_id"),
-            col(question).alias("question"),
-            (F.monotonically_increasing_id() if order is None else col(order)).alias("_order"),
-        )
-        .groupBy("question_id")
-        .agg(last)
+    picked = df.select(
+        col(question_id).alias("question_id"),
+        col(question).alias("question"),
+        *([] if order is None else [col(order).alias("_order")]),
     )
+    if order is not None:
+        last = F.max_by("question", "_order").alias("question")
+        picked = picked.groupBy("question_id").agg(last)
     asked = normalize(F.col("question")) if normalized else F.col("question")
     return picked.withColumn("tokens", tokenizer(asked))
 

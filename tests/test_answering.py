@@ -54,7 +54,7 @@ def test_batches_do_not_change_answers(spark, monkeypatch):
     corpus = corpus_of(spark, TEXTS)
     index, asked = stored_index(corpus), questions_of(spark, ASKED)
     whole = everything(answer_by_cut(index, corpus, asked, P3, last_morph_of_text))
-    monkeypatch.setattr(session, "BATCH_QUESTIONS", 3)
+    monkeypatch.setattr(session, "LIMITS", session.Limits(batch_questions=3))
     assert everything(answer_by_cut(index, corpus, asked, P3, last_morph_of_text)) == whole
 
 

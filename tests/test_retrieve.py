@@ -4,7 +4,7 @@ import pytest
 from helpers import corpus_of, dense_scores, index_of, questions_of, rows, stored_index
 
 from daedap import session
-from daedap.operators.index import build_index, corpus_tokens, store_index
+from daedap.operators.index import build_index, corpus_tokens, open_index, store_index
 from daedap.operators.retrieve import (
     L,
     OKAPI,
@@ -130,10 +130,10 @@ def test_batches_give_what_one_batch_gives(spark, monkeypatch):
     index = stored_index(corpus_of(spark, texts))
     columns = ("question_id", "rank", "doc_pos", "score")
     whole = sorted(rows(top_documents(index, asked), *columns))
-    monkeypatch.setattr(session, "BATCH_QUESTIONS", 4)
+    monkeypatch.setattr(session, "LIMITS", session.Limits(batch_questions=4))
     assert sorted(rows(top_documents(index, asked), *columns)) == whole
     # One question alone is over this limit: no broadcast, the same rows.
-    monkeypatch.setattr(session, "BATCH_TOKENS", 3)
+    monkeypatch.setattr(session, "LIMITS", session.Limits(batch_tokens=3))
     assert sorted(rows(top_documents(index, asked), *columns)) == whole
 
 
@@ -204,3 +204,30 @@ def test_a_third_of_the_corpus_being_one_document(spark):
     assert len(got) == 22
     for ranked in got.values():
         assert [ranked[r] for r in range(1, 11)] == list(range(219, 209, -1))
+
+
+def test_repeated_question_ids(spark):
+    """The last one in order counts; without an order they are refused."""
+    rows_ = [("q", "b", 1), ("q", "d", 2), ("r", "a", 1)]
+    asked = spark.createDataFrame(rows_, "id string, question string, turn int")
+    index = index_of(spark, ["a b", "b c", "c d"])
+    last = as_questions(asked, order="turn")
+    assert sorted(rows(last, "question_id", "question")) == [("q", "d"), ("r", "a")]
+    best = rows(top_documents(index, last, n=1), "question_id", "doc_pos")
+    assert sorted(best) == [("q", 2), ("r", 0)]
+    with pytest.raises(ValueError):
+        top_documents(index, as_questions(asked))
+
+
+def test_index_opened_from_its_folder(spark):
+    corpus = corpus_of(spark, [f"w{i % 7} w{i % 5} x{i}" for i in range(40)], scope=30)
+    folder = f"{shared_dir(spark)}/index-opened"
+    stored = store_index(build_index(corpus, partitions=3), folder)
+    opened = open_index(spark, folder)
+    asked = questions_of(spark, ["w1 x9", "none"])
+    columns = ("question_id", "rank", "doc_pos", "score")
+    top = top_documents(opened, asked)
+    assert sorted(rows(top, *columns)) == sorted(rows(top_documents(stored, asked), *columns))
+    assert (opened.partitions, opened.n_documents) == (3, 40)
+    by_document = opened.postings.groupBy("doc_pos").count()
+    assert "Exchange" not in by_document._jdf.queryExecution().executedPlan().toString()

@@ -55,3 +55,26 @@ def test_digit_search_on_wide_values(spark):
     )
     found = rows(_values_at(runs, wanted, F.broadcast), "question_id", "place", "units")
     assert {(q, p): v for q, p, v in found} == {k: v for k, (_, v) in expected.items()}
+
+
+def test_digit_search_over_all_longs(spark):
+    values = sorted([-(2**63), -(2**48) - 1, -1, 0, 1, 2**47, 2**48 + 5, 2**62, 2**63 - 1])
+    runs = spark.createDataFrame([(0, v, 1) for v in values], "question_id long, units long, n_docs long")
+    places = [(0, i, i) for i in range(len(values))]
+    wanted = spark.createDataFrame(places, "question_id long, place int, skip long")
+    found = dict(rows(_values_at(runs, wanted, F.broadcast), "place", "units"))
+    assert [found[i] for i in range(len(values))] == values
+
+
+def test_no_question_is_too_long(spark):
+    """Scores beyond 281,474, where the third digit ends."""
+    index = stored_index(corpus_of(spark, ["a b", "b c", "c d"]))
+    asked = questions_of(spark, ["a", "d " * 400_000])
+    found = {r["question_id"]: r for r in score_distribution(index, asked).collect()}
+    best = {q: s for q, r, s in rows(best_scores(index, asked, n=1), "question_id", "rank", "score")}
+    assert set(found) == set(best) == {0, 1} and best[1] > 1_000_000
+    for q, row in found.items():
+        assert row["max"] == best[q] and row["min"] == row["q25"] == row["q50"]
+    low, high = found[1]["min"], found[1]["max"]
+    assert found[1]["mean"] == pytest.approx((2 * low + high) / 3, abs=1e-3)
+    assert found[1]["std"] == pytest.approx(np.std([low, low, high], ddof=1), rel=1e-9)

@@ -11,7 +11,7 @@ from daedap.sources.answers import (
     write_answer_map,
     write_answer_rows,
 )
-from daedap.sources.corpus import load_json_map, with_scope
+from daedap.sources.corpus import load_json_lines, load_json_map, with_scope
 from daedap.sources.splits import as_questions, load_arrow_split, load_split
 
 
@@ -111,3 +111,56 @@ def test_last_write_wins(spark):
         ("a", "three"),
         ("b", "two"),
     ]
+
+
+def test_unreadable_files_raise(spark, tmp_path):
+    """A file cut short, or no object at all, is never left out."""
+    whole = json.dumps({k: {"title": k, "text": k} for k in "ab"})
+    for name, text in (("1.json", whole), ("2.json", whole[:-9]), ("3.json", whole)):
+        (tmp_path / name).write_text(text)
+    with pytest.raises(Exception, match="(?i)malformed|no JSON object"):
+        load_json_map(spark, str(tmp_path)).collect()
+    broken = tmp_path / "map"
+    broken.mkdir()
+    (broken / "part-0").write_text('{"q":"x",\n"r":\n')
+    with pytest.raises(Exception, match="(?i)malformed|no entry"):
+        read_answer_map(spark, str(broken)).collect()
+
+
+def test_json_lines(spark, tmp_path):
+    lines = [
+        {"doc_pos": 1, "doc_id": "b", "title": None, "text": "2\n"},
+        {"doc_pos": 0, "doc_id": "a", "title": "x", "more": 1},
+    ]
+    path = tmp_path / "corpus.json"
+    path.write_text("\n".join(map(json.dumps, lines)))
+    got = sorted(rows(load_json_lines(spark, str(path)), "doc_pos", "doc_id", "title", "text"))
+    assert got == [(0, "a", "x", ""), (1, "b", "", "2\n")]
+    for broken in ('{"doc_pos": 1, "doc_id": ', '{"doc_id": "no place"}'):
+        path.write_text(broken)
+        with pytest.raises(Exception, match="(?i)malformed|without doc_pos"):
+            load_json_lines(spark, str(path)).collect()
+
+
+@pytest.mark.parametrize("named", [["data-1.arrow", "data-0.arrow"], ["data-1.arrow"], []])
+def test_arrow_manifest_names_the_files(spark, tmp_path, named):
+    table = pa.table({"id": [1]})
+    for i, name in enumerate(("data-0.arrow", "data-1.arrow", "cache-0.arrow")):
+        with pa.OSFile(str(tmp_path / name), "wb") as sink:
+            with pa.ipc.new_stream(sink, table.schema) as writer:
+                writer.write_table(pa.table({"id": [i]}))
+    manifest = {"_data_files": [{"filename": n} for n in named], "_split": "train"}
+    (tmp_path / "state.json").write_text(json.dumps(manifest))
+    if not named:
+        with pytest.raises(FileNotFoundError):
+            load_arrow_split(spark, str(tmp_path))
+        return
+    assert sorted(rows(load_arrow_split(spark, str(tmp_path)), "id")) == sorted((int(n[5]),) for n in named)
+
+
+def test_repeated_ids_in_the_answer_map(spark, tmp_path):
+    data = [("q", "x", 2), ("q", "y", 1), ("r", "z", 1)]
+    frame = spark.createDataFrame(data, "question_id string, answer string, turn int").coalesce(1)
+    for name, order, kept in (("a", "turn", "x"), ("b", None, "y")):
+        write_answer_map(frame, str(tmp_path / name), order)
+        assert json.loads(written(tmp_path / name)) == {"q": kept, "r": "z"}
