@@ -14,6 +14,7 @@ from daedap.llm.dac import read_tokens, write_tokens
 from daedap.llm.licenses import license_matches
 from daedap.llm.maxplus import decoded, encode
 from daedap.llm.minhash import near_duplicates
+from daedap.llm.oracle import ORACLE
 from daedap.llm.packing import pack, token_pieces
 from daedap.llm.supervision import judged
 from daedap.llm.syncmers import fingerprints
@@ -104,5 +105,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_token_files": op10_token_files,
 }
 
-# The same rows in SQL, where SQL can express them.
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES", "table"]
