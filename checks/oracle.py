@@ -7,6 +7,7 @@ the Spark plans, which do none of this, and do not repeat them.
 
 from __future__ import annotations
 
+# The characters that cleaning keeps.
 KEPT = "0-9a-zA-Zㄱ-ㅎㅏ-ㅣ가-힣"
 
 
@@ -287,6 +288,7 @@ def trimmed(particles: tuple[str, ...], genitive: bool = False) -> str:
                THEN left(answer, length(answer) - 1) ELSE answer END"""
 
 
+# Markers and particles.
 KOREAN = {
     "inside": ("다.",),
     "strict": ("며,", "데,", "뿐,", "라,", "unk"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# Contexts per question, documents in each, and what joins them.
 WINDOWS = 7
 WIDTH = 3
 JOINER = " \n"

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from daedap.functions.text import contains_any, drop_last_char, last_char
 
+# The genitive particle and its tag.
 GENITIVE = "의"
 GENITIVE_TAG = "JKG"
 
@@ -31,15 +32,18 @@ def last_morph_of_text(df: DataFrame, tag: str | None = None) -> DataFrame:
 
 
 def with_last_morph(
-    df: DataFrame, last_morph: DataFrame, endings: Sequence[str], salts: int = 8
+    df: DataFrame, last_morph: DataFrame, endings: Sequence[str], salts: int | None = None
 ) -> DataFrame:
     """Add ``morph`` and ``pos`` from a tagger's table ``last_morph(answer, morph, pos)``.
 
     The table has one row per answer. Only answers ending in one of ``endings``
     are looked up. A very frequent answer is spread over ``salts`` tasks, each
-    with a copy of its table row, and rows without a lookup over all tasks. Where
-    the table is small, Spark broadcasts it instead.
+    with a copy of its table row, and rows without a lookup over all tasks; without
+    a number, over an eighth of ``spark.sql.shuffle.partitions``, at least 8. Where the
+    table is small, Spark broadcasts it instead.
     """
+    if salts is None:
+        salts = max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 8)
     spread = F.xxhash64(*df.columns)
     needed = F.coalesce(last_char(F.col("answer")).isin(list(endings)), F.lit(False))
     keyed = df.withColumn("lookup", F.when(needed, F.col("answer"))).withColumn(
