@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 import sys
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -21,7 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from daedap.llm.tokens import as_texts
+from daedap.llm.shingles import MIX, STEP
+from daedap.llm.tokens import as_texts, slices
 from daedap.session import materialize
 
 # Characters in a chunk; longer texts are cut.
@@ -30,7 +32,11 @@ CHUNK = 16_384
 # Chunks, or blocks of them, that are combined at a time.
 FAN = 64
 
+# Different words that a Python worker keeps, and those worked out at a time; longer
+# words are worked out one by one.
 MOST_UNITS = 400_000
+BLOCK = 20_000
+LONG_UNIT = 40
 BLANK = "▁"
 UNIT = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
 NONE = -np.inf
@@ -73,7 +79,116 @@ class Lattice:
         self.unknown = min(s for _, s in self.pieces.values()) - UNKNOWN_PENALTY
         # Every path passes before a blank behind another character.
         self.forced = all(BLANK not in p.lstrip(BLANK) for p in self.pieces)
-        self.units: dict[str, tuple[list[int], float]] = {}
+        self._index_pieces()
+        names = [n if isinstance(n, bytes) else n.replace(BLANK, " ").encode() for n in self.names]
+        self.text = np.frombuffer(b"".join(names), np.uint8)
+        self.text_ends = np.cumsum([0, *map(len, names)])
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.ids = np.zeros(0, np.int32)
+        self.starts = np.zeros(1, np.int64)
+        self.scores = np.zeros(0, np.float64)
+
+    def _index_pieces(self) -> None:
+        """Hashes of all pieces in order, with ids and scores; single bytes included."""
+        entries = dict(self.pieces)
+        for byte, id_ in self.bytes.items():
+            if byte < 128 and chr(byte) not in entries:
+                entries[chr(byte)] = (id_, self.unknown)
+        rows = [(self._hash_of(piece), *entry) for piece, entry in entries.items()]
+        rows.sort()
+        self.hashes = np.array([r[0] for r in rows], np.uint64)
+        self.hash_ids = np.array([r[1] for r in rows], np.int32)
+        self.hash_scores = np.array([r[2] for r in rows])
+        self.there = np.zeros(1 << 22, bool)
+        self.there[self.hashes >> np.uint64(42)] = True
+
+    @staticmethod
+    def _next(hashes: np.ndarray, characters: np.ndarray) -> np.ndarray:
+        mixed = (hashes ^ characters.astype(np.uint64)) * MIX
+        mixed ^= mixed >> np.uint64(29)
+        return mixed * STEP
+
+    def _hash_of(self, piece: str) -> int:
+        found = np.zeros(1, np.uint64)
+        for c in piece:
+            found = self._next(found, np.array([ord(c)]))
+        return int(found[0])
+
+    def _find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Scores and ids of the pieces with these hashes; no piece scores minus infinity."""
+        scores, ids = np.full(len(hashes), NONE), np.full(len(hashes), -1, np.int32)
+        maybe = np.flatnonzero(self.there[hashes >> np.uint64(42)])
+        at = np.minimum(np.searchsorted(self.hashes, hashes[maybe]), len(self.hashes) - 1)
+        right = self.hashes[at] == hashes[maybe]
+        scores[maybe[right]], ids[maybe[right]] = self.hash_scores[at[right]], self.hash_ids[at[right]]
+        return scores, ids
+
+    def _best_of_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Best paths of words of one length, all in step, and their scores.
+
+        A path is a row of ids; -1 stands for a character without a piece, -2 for nothing.
+        """
+        n, count = len(units[0]), len(units)
+        letters = np.frombuffer("".join(units).encode("utf-32-le"), "<u4").reshape(count, n)
+        found: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+        for begin in range(n):
+            hashes = np.zeros(count, np.uint64)
+            for end in range(begin + 1, min(begin + self.longest, n) + 1):
+                hashes = self._next(hashes, letters[:, end - 1])
+                found[begin, end] = self._find(hashes)
+            scores, ids = found[begin, begin + 1]
+            scores[ids < 0] = self.unknown
+        best, back = np.full((n + 1, count), NONE), np.zeros((n + 1, count), np.int64)
+        best[0] = 0.0
+        for end in range(1, n + 1):
+            for begin in range(max(0, end - self.longest), end):  # the longest piece first
+                score = best[begin] + found[begin, end][0]
+                better = score > best[end]
+                best[end, better], back[end, better] = score[better], begin
+        rows, at = np.arange(count), np.full(count, n)
+        steps = []
+        while at.any():
+            before = back[at, rows]
+            ids = np.full(count, -2, np.int32)
+            for begin, end in set(zip(before.tolist(), at.tolist())):
+                if end:
+                    here = (before == begin) & (at == end)
+                    ids[here] = found[begin, end][1][here]
+            steps.append(ids)
+            at = before
+        return np.stack(steps[::-1], 1), best[n]
+
+    def _learn(self, units: list[str]) -> None:
+        by_length: dict[int, list[str]] = {}
+        for unit in units:
+            by_length.setdefault(len(unit), []).append(unit)
+        # Long ones, and those in which a character has several ids, go one by one.
+        alone = [u for n, group in by_length.items() if n > LONG_UNIT for u in group]
+        order, flat, lengths, scores = [], [self.ids], [], [self.scores]
+        for length, group in by_length.items():
+            for i in range(0, len(group) if length <= LONG_UNIT else 0, BLOCK):
+                block = group[i : i + BLOCK]
+                paths, score = self._best_of_units(block)
+                whole = ~(paths == -1).any(1)
+                alone += [u for u, fine in zip(block, whole) if not fine]
+                order += [u for u, fine in zip(block, whole) if fine]
+                steps = paths[whole] > -2
+                flat.append(paths[whole][steps])
+                lengths.append(steps.sum(1))
+                scores.append(score[whole])
+        ways = [self.path(u, 0, len(u), len(u)) for u in alone]
+        flat.append(np.array([i for ids, _ in ways for i in ids], np.int32))
+        lengths.append(np.array([len(ids) for ids, _ in ways], np.int64))
+        scores.append(np.array([s for _, s in ways], np.float64))
+        names = order + alone
+        self.known.update(zip(names, range(len(self.known), len(self.known) + len(names))))
+        self.starts = np.concatenate(
+            [self.starts, len(self.ids) + np.cumsum(np.concatenate(lengths))]
+        )
+        self.ids, self.scores = np.concatenate(flat), np.concatenate(scores)
 
     @staticmethod
     def marked(text: str) -> str:
@@ -116,18 +231,30 @@ class Lattice:
         ids = [i for a, b in zip(cuts, cuts[1:]) for i in self.ids_of(text[a:b])]
         return ids, best[stop - begin]
 
-    def unit(self, unit: str) -> tuple[list[int], float]:
-        if unit not in self.units:
-            if len(self.units) > MOST_UNITS:
-                self.units.clear()
-            self.units[unit] = self.path(unit, 0, len(unit), len(unit))
-        return self.units[unit]
+    def best(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Best paths of texts between places that every path passes.
 
-    def middle(self, text: str) -> tuple[list[int], float]:
-        """Ids and score of a text between two places that every path passes."""
-        parts = UNIT.findall(text) if self.forced else [text] if text else []
-        found = [self.unit(p) for p in parts]
-        return [i for ids, _ in found for i in ids], sum(s for _, s in found)
+        All ids one after another, where each text's end, and each text's score.
+        """
+        parts = [UNIT.findall(t) if self.forced else [t] if t else [] for t in texts]
+        units = list(chain.from_iterable(parts))
+        if len(self.known) > MOST_UNITS:
+            self._forget()
+        which = np.fromiter(map(self.known.get, units, repeat(-1)), np.int64, len(units))
+        missing = np.flatnonzero(which < 0)
+        if len(missing):
+            unknown = [units[i] for i in missing]
+            self._learn(list(dict.fromkeys(unknown)))
+            which[missing] = np.fromiter(map(self.known.__getitem__, unknown), np.int64, len(missing))
+        n_units = np.cumsum([0, *map(len, parts)])
+        ids, ends = _gathered(self.ids, self.starts, which)
+        totals = np.concatenate([[0.0], np.cumsum(self.scores[which])])
+        return ids, ends[n_units[1:]], totals[n_units[1:]] - totals[n_units[:-1]]
+
+    def middle(self, text: str) -> tuple[np.ndarray, float]:
+        """Ids and score of one such text."""
+        ids, _, scores = self.best([text])
+        return ids, float(scores[0])
 
     def _passed(self, text: str, length: int) -> tuple[int, int] | None:
         """The first place behind all entries and the last in the chunk that paths pass."""
@@ -180,11 +307,21 @@ class Lattice:
         )
         return [i for ids, _ in parts for i in ids], sum(s for _, s in parts)
 
-    def decode(self, ids: list[int]) -> str:
-        """The text of pieces, with the blank that stands before every text."""
-        parts = (self.names[i] for i in ids)
-        data = b"".join(p if isinstance(p, bytes) else p.encode() for p in parts)
-        return data.decode("utf-8", "replace").replace(BLANK, " ")
+    def decode(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
+        """Texts of runs of ids, with the blank that stands before every text."""
+        data, stops = _gathered(self.text, self.text_ends, ids)
+        whole = data.tobytes()
+        bounds = [0, *stops[ends].tolist()]
+        return [whole[a:b].decode("utf-8", "replace") for a, b in zip(bounds, bounds[1:])]
+
+
+def _gathered(
+    values: np.ndarray, starts: np.ndarray, which: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """The runs ``which`` of ``values``, one after another, and where each begins and the last ends."""
+    first, length = starts[which], starts[which + 1] - starts[which]
+    total = np.concatenate([[0], np.cumsum(length)])
+    return values[np.repeat(first - total[:-1], length) + np.arange(total[-1])], total
 
 
 def lattice_for(path: str) -> Lattice:
@@ -225,8 +362,10 @@ def _cut(giants: DataFrame, model: str, chunk: int) -> DataFrame:
         lattice = lattice_for(model)
         for batch in batches:
             rows, keys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for row, key, text in zip(rows, keys, as_texts(batch.column(2))):
-                text = lattice.marked(text)
+            texts = [lattice.marked(t) for t in as_texts(batch.column(2))]
+            for a, b in slices(texts):
+                lattice.best(texts[a:b])  # so that words are worked out many at a time
+            for row, key, text in zip(rows, keys, texts):
                 n = -(-len(text) // chunk)
                 for i in range(n):
                     part = text[i * chunk : (i + 1) * chunk + lattice.longest - 1]
@@ -291,18 +430,22 @@ def _giants(docs: DataFrame, model: str, chunk: int, fan: int) -> DataFrame:
         lattice = lattice_for(model)
         for batch in batches:
             texts = as_texts(batch.column(4))
+            for a, b in slices(texts):
+                lattice.best(texts[a:b])
             length, entry, exit_ = (batch.column(i).to_pylist() for i in (5, 6, 7))
             found = [lattice.trace(*each) for each in zip(texts, length, entry, exit_)]
-            yield _encoded(batch.columns[:4], found)
+            ids, scores = zip(*found) if found else ((), ())
+            flat = np.fromiter(chain.from_iterable(ids), np.int32)
+            yield _encoded(batch.columns[:4], flat, np.cumsum([*map(len, ids)]), scores)
 
     placed = states.withColumnRenamed("place", "chunk")
     wanted = ("row", "doc_id", "chunk", "n_chunks", "text", "length", "entry", "exit")
     return cut.drop("matrix").join(placed, ["row", "chunk"]).select(*wanted).mapInArrow(run, ENCODED)
 
 
-def _encoded(columns: list[pa.Array], found: list[tuple[list[int], float]]) -> pa.RecordBatch:
-    ids, scores = zip(*found) if found else ((), ())
-    arrays = [*columns, pa.array(ids, pa.list_(pa.int32())), pa.array(scores, pa.float64())]
+def _encoded(columns: list[pa.Array], ids: np.ndarray, ends: np.ndarray, scores) -> pa.RecordBatch:
+    offsets = np.concatenate([[0], ends]).astype(np.int32)
+    arrays = [*columns, pa.ListArray.from_arrays(offsets, ids), pa.array(scores, pa.float64())]
     return pa.RecordBatch.from_arrays(
         arrays, names=["row", "doc_id", "chunk", "n_chunks", "ids", "score"]
     )
@@ -325,13 +468,12 @@ def encode(docs: DataFrame, model: str, chunk: int = CHUNK, fan: int = FAN) -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = lattice_for(model)
         for batch in batches:
-            for i in range(0, batch.num_rows, 1000):
-                part = batch.slice(i, 1000)
-                texts = as_texts(part.column(2))
-                found = [lattice.middle(lattice.marked(t)) for t in texts]
-                n = part.num_rows
-                counts = pa.array([0] * n, pa.int32()), pa.array([1] * n, pa.int32())
-                yield _encoded([*part.columns[:2], *counts], found)
+            texts = as_texts(batch.column(2))
+            for a, b in slices(texts):
+                part = batch.slice(a, b - a)
+                found = lattice.best([lattice.marked(t) for t in texts[a:b]])
+                counts = pa.array([0] * (b - a), pa.int32()), pa.array([1] * (b - a), pa.int32())
+                yield _encoded([*part.columns[:2], *counts], *found)
 
     short = numbered.filter(~giant).mapInArrow(run, ENCODED)
     return short.unionByName(_giants(numbered.filter(giant), model, chunk, fan))
@@ -347,6 +489,8 @@ def decoded(ids: str, model: str) -> Column:
     @F.arrow_udf(StringType())
     def texts(column: pa.Array) -> pa.Array:
         lattice = lattice_for(model)
-        return pa.array([lattice.decode(each or []) for each in column.to_pylist()], pa.string())
+        ids = column.flatten().to_numpy(zero_copy_only=False)
+        lengths = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        return pa.array(lattice.decode(ids, np.cumsum(lengths)), pa.string())
 
     return texts(F.col(ids))
