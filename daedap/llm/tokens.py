@@ -34,29 +34,67 @@ MOST_CHARS = 20_000_000
 BATCH_CHARS = 2_000_000
 
 
+# How byte-level vocabularies write bytes: printable ones as they are, the others by
+# the characters from 256 on, in their order.
+SHOWN = {*range(33, 127), *range(161, 173), *range(174, 256)}
+HIDDEN = [b for b in range(256) if b not in SHOWN]
+BYTE_MARKS = {b: chr(256 + i) for i, b in enumerate(HIDDEN)}
+
+
 class ChunkEncoder:
     """Encodes with the ``tokenizers`` library, without special tokens added.
 
     Special strings inside a text are handled as the library does by default. The
     library sees each word once, without the marks behind it; and without blanks and
-    capitals where they make no difference to it. What is remembered is bounded:
-    beyond ``MOST_CHUNKS`` or ``MOST_CHARS`` it starts anew.
+    capitals where they make no difference to it. Words of Latin letters go to its
+    model many at a time, past the steps that cannot change or divide them. What is
+    remembered is bounded: beyond ``MOST_CHUNKS`` or ``MOST_CHARS`` it starts anew.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks in parallel
         from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        probes = self.tokenizer.encode_batch_fast(["ab", "\n ab", "aB"], add_special_tokens=False)
-        plain, blank, capital = (e.ids for e in probes)
+        from tokenizers.normalizers import Sequence
+        from tokenizers.pre_tokenizers import WhitespaceSplit
+
+        self.tokenizer, self.model = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        for each in (self.tokenizer, self.model):
+            each.no_truncation()
+            each.no_padding()
+        self.model.normalizer, self.model.pre_tokenizer = Sequence([]), WhitespaceSplit()
+        plain, blank, capital = (e.ids for e in self._library(["ab", "\n ab", "aB"]))
         self.drops_blanks, self.drops_capitals = plain == blank, plain == capital
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.special = [token.content for token in added]
+        letters = ["ab", "thextra", "été", "straße"]
+        letters += [] if self.drops_blanks else [" the", " ñandú"]
+        lengths, ids = self._ids_of_letters(letters)
+        expected = [e.ids for e in self._library(letters)]
+        self.letters_apart = [p.tolist() for p in np.split(ids, np.cumsum(lengths))[:-1]] == expected
         self._forget()
 
+    def _library(self, words: list[str]) -> list:
+        return self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+
+    def _ids_of_letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Lengths and ids of words of letters, each as the model alone divides it."""
+        shown = [w.encode().decode("latin-1").translate(BYTE_MARKS) for w in words]
+        groups = [shown[i : i + 200] for i in range(0, len(shown), 200)]
+        found = self.model.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)
+        lengths = [np.bincount(e.word_ids, minlength=len(g)) for e, g in zip(found, groups)]
+        ids = np.fromiter(chain.from_iterable(e.ids for e in found), np.uint32)
+        return np.concatenate([np.zeros(0, np.int64), *lengths]), ids
+
+    def _is_letters(self, word: str) -> bool:
+        """One run of Latin letters, behind one blank at most, that stays as it is."""
+        bare = word[1:] if word[:1] == " " else word
+        return (
+            bare.isalpha()
+            and (bare.isascii() or max(bare) < "\u0250")
+            and (word == bare or not self.drops_blanks)
+            and (not self.drops_capitals or word == word.lower())
+        )
+
     def _forget(self) -> None:
         self.known: dict[str, int] = {}  # chunks; their words and marks are in ``parts``
         self.parts = np.zeros((0, 2), np.int64)
@@ -83,12 +121,16 @@ class ChunkEncoder:
         parts = [p for c in chunks for p in self._word_and_marks(c)]
         words = self.words
         new = [w for w in dict.fromkeys(parts) if w not in words]
-        words.update(zip(new, range(len(words), len(words) + len(new))))
-        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        ids = [e.ids for e in found]
-        ends = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids))) + len(self.ids)
-        flat = np.fromiter(chain.from_iterable(ids), np.uint32)
-        self.ids = np.concatenate([self.ids, flat])
+        letters = [w for w in new if self._is_letters(w)] if self.letters_apart else []
+        taken = set(letters)
+        others = [w for w in new if w not in taken]
+        words.update(zip(letters + others, range(len(words), len(words) + len(new))))
+        lengths, flat = self._ids_of_letters(letters)
+        ids = [e.ids for e in self._library(others)]
+        lengths = np.concatenate([lengths, np.fromiter(map(len, ids), np.int64, len(ids))])
+        rest = np.fromiter(chain.from_iterable(ids), np.uint32)
+        ends = np.cumsum(lengths) + len(self.ids)
+        self.ids = np.concatenate([self.ids, flat, rest])
         self.starts = np.concatenate([self.starts, ends])
         at = np.fromiter(map(words.__getitem__, parts), np.int64, len(parts)).reshape(-1, 2)
         self.parts = np.concatenate([self.parts, at])
