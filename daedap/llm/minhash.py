@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
@@ -33,7 +33,8 @@ MOST_DIFFERENT = 2 * (PLACES // CHUNK) - 1
 # fuller keys are joined by their rarest shingles instead.
 FEW_NODES = 64
 
-# Bits of a set's bitmap.
+# Slots in which shingles are counted, and bits of a set's bitmap.
+COUNTERS = 2**20
 BITMAP = 1024
 
 _NUMBERS = np.random.default_rng(20_240_501)
@@ -176,60 +177,69 @@ def _pairs_by_key(buckets: DataFrame) -> DataFrame:
     return found.select("a", "b").distinct()
 
 
+def _rarity(texts: DataFrame) -> np.ndarray:
+    """How many of the texts hold a shingle of each of ``COUNTERS`` slots.
+
+    What comes to the driver is one number per slot, however many texts there are.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in filter(len, batches):
+            sets = [shingle_set(t) for t in batch.column(0).cast(pa.binary()).to_pylist()]
+            slots = [np.unique(s % np.uint64(COUNTERS)) for s in sets]
+            slot, n = np.unique(np.concatenate(slots).astype(np.int64), return_counts=True)
+            yield pa.RecordBatch.from_pydict({"slot": slot, "n": n})
+
+    slots = texts.select("text").mapInArrow(run, "slot long, n long")
+    found = slots.groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    table = np.zeros(COUNTERS, np.int64)
+    table[found["slot"].to_numpy()] = found["n"].to_numpy()
+    return table
+
+
 def _pairs_by_rare_shingles(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """All pairs of ``nodes(node, component)`` that can be links, exactly.
 
-    With each set's shingles ordered from the rarest, similar sets share one in their
-    first quarter, and what can follow its place in both bounds what they share. Bits
-    that differ between two sets' bitmaps bound from below what they do not share.
-    Two of one component need no link.
+    With each set's shingles in one order for all, similar sets share one in their
+    first quarter, and what can follow its place in both bounds what they share. Any
+    order will do; here the rare ones come first, as counted in ``COUNTERS`` slots, and
+    a shingle alone in its slot is shared with nobody. Bits that differ between two
+    sets' bitmaps bound from below what they do not share. Two of one component need
+    no link.
     """
-
-    def bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n, bits = [], []
-            for text in batch.column(1).cast(pa.binary()).to_pylist():
-                shingles = shingle_set(text)
-                marks = np.zeros(BITMAP, np.uint8)
-                marks[shingles % np.uint64(BITMAP)] = 1
-                n.append(len(shingles))
-                bits.append(np.packbits(marks).view(np.int64).tolist())
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "node": batch.column(0),
-                    "n": pa.array(n, pa.int64()),
-                    "bits": pa.array(bits, pa.list_(pa.int64())),
-                }
-            )
+    named = materialize(
+        nodes.withColumnRenamed("node", "doc_id").join(texts, "doc_id").select(
+            "doc_id", "component", "text"
+        )
+    )
+    table = _rarity(named)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = (batch.column(0), batch.column(1), batch.column(2).cast(pa.binary()))
             for node, component, text in zip(*(c.to_pylist() for c in columns)):
-                shingles = shingle_set(text).view(np.int64)
+                shingles = shingle_set(text)
                 n = len(shingles)
+                counts = table[shingles % np.uint64(COUNTERS)]
+                order = np.lexsort((shingles, counts))
+                place = np.flatnonzero((counts[order] > 1) & (100 * (n - np.arange(n)) >= 75 * n))
+                marks = np.zeros(BITMAP, np.uint8)
+                marks[shingles % np.uint64(BITMAP)] = 1
+                bits = np.tile(np.packbits(marks).view(np.int64), len(place))
+                ends = np.arange(len(place) + 1, dtype=np.int32) * (BITMAP // 64)
                 yield pa.RecordBatch.from_pydict(
                     {
-                        "node": np.full(n, node),
-                        "component": np.full(n, component),
-                        "n": np.full(n, n),
-                        "shingle": shingles,
+                        "node": np.full(len(place), node),
+                        "component": np.full(len(place), component),
+                        "n": np.full(len(place), n),
+                        "shingle": shingles[order[place]].view(np.int64),
+                        "place": place,
+                        "bits": pa.ListArray.from_arrays(ends, bits),
                     }
                 )
 
-    named = nodes.withColumnRenamed("node", "doc_id").join(texts, "doc_id")
-    rows = materialize(
-        named.select("doc_id", "component", "text").mapInArrow(
-            run, "node long, component long, n long, shingle long"
-        )
-    )
-    counts = rows.groupBy("shingle").agg(F.count("*").alias("df"))
-    # Two texts under one id are two sets; their sizes part them.
-    rank = Window.partitionBy("node", "n").orderBy("df", "shingle")
-    ranked = rows.join(counts, "shingle").withColumn("place", F.row_number().over(rank) - 1)
-    whole = named.select("doc_id", "text").mapInArrow(bitmaps, "node long, n long, bits array<long>")
-    first = ranked.filter("df > 1 and 100 * (n - place) >= 75 * n").drop("df")
-    first = materialize(first.join(whole, ["node", "n"]))
+    schema = "node long, component long, n long, shingle long, place long, bits array<long>"
+    first = materialize(named.mapInArrow(run, schema))
     x = first.selectExpr("shingle", "node a", "component c_a", "n n_a", "place p_a", "bits b_a")
     y = first.selectExpr("shingle", "node b", "component c_b", "n n_b", "place p_b", "bits b_b")
     differ = " + ".join(f"bit_count(b_a[{i}] ^ b_b[{i}])" for i in range(BITMAP // 64))

@@ -41,6 +41,17 @@ def test_chunks_give_the_ids_of_awkward_texts(encoders):
         assert parts == [ids_of(tokenizer, t) for t in texts]
 
 
+def test_words_of_letters_go_to_the_model(spark, encoders):
+    """Every word of real texts, and letters of all Latin blocks in all positions."""
+    texts = [t for (t,) in table(spark, SF, "documents").select("text").collect()]
+    texts += [f"{chr(i)} a{chr(i)} {chr(i)}b. A{chr(i)}" for i in range(0x41, 0x260)]
+    for encoder, tokenizer in encoders:
+        assert encoder.letters_apart
+        ids, ends = encoder.encode(texts)
+        parts = [p.tolist() for p in np.split(ids, ends)[:-1]]
+        assert parts == [ids_of(tokenizer, t) for t in texts]
+
+
 @settings(max_examples=400, deadline=None)
 @given(st.lists(ODD, max_size=4))
 def test_chunks_give_the_ids_of_whole_texts(encoders, texts):
