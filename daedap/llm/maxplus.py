@@ -386,6 +386,12 @@ def _cut(giants: DataFrame, model: str, chunk: int) -> DataFrame:
     return giants.mapInArrow(run, CUT)
 
 
+def _spread(blocks: DataFrame) -> DataFrame:
+    """By block over all partitions, few as the bytes may be: the work is in the matrices."""
+    parts = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return blocks.repartition(parts, "row", "block")
+
+
 def _up(level: DataFrame, fan: int) -> DataFrame:
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         total = None
@@ -393,8 +399,8 @@ def _up(level: DataFrame, fan: int) -> DataFrame:
             total = _square(data) if total is None else combined(total, _square(data))
         return pd.DataFrame({"row": [key[0]], "place": [key[1]], "matrix": [total.tobytes()]})
 
-    block = F.floor(F.col("place") / fan).alias("block")
-    return level.groupBy("row", block).applyInPandas(run, "row long, place long, matrix binary")
+    blocks = _spread(level.withColumn("block", F.floor(F.col("place") / fan)))
+    return blocks.groupBy("row", "block").applyInPandas(run, "row long, place long, matrix binary")
 
 
 def _down(level: DataFrame, states: DataFrame, fan: int) -> DataFrame:
@@ -408,7 +414,7 @@ def _down(level: DataFrame, states: DataFrame, fan: int) -> DataFrame:
 
     blocks = level.withColumn("block", F.floor(F.col("place") / fan))
     known = states.withColumnRenamed("place", "block")
-    joined = blocks.join(known, ["row", "block"])
+    joined = _spread(blocks.join(known, ["row", "block"]))
     return joined.groupBy("row", "block").applyInPandas(
         run, "row long, place long, entry int, exit int"
     )
@@ -451,19 +457,15 @@ def _encoded(columns: list[pa.Array], ids: np.ndarray, ends: np.ndarray, scores)
     )
 
 
-def encode(docs: DataFrame, model: str, chunk: int = CHUNK, fan: int = FAN) -> DataFrame:
-    """(row, doc_id, chunk, n_chunks, ids, score) of every ``docs(doc_id, text)``.
+def _numbered(docs: DataFrame, giant: bool, chunk: int) -> DataFrame:
+    row = F.monotonically_increasing_id().alias("row")
+    numbered = docs.select(row, F.col("doc_id").cast("long"), "text")
+    is_giant = F.coalesce(F.char_length("text"), F.lit(0)) >= chunk
+    return numbered.filter(is_giant if giant else ~is_giant)
 
-    A text of less than ``chunk`` characters is one row; the rows of a longer one,
-    in the order of their chunks, are its ids. Where paths tie, one of the best is
-    taken. Null and empty texts have no ids. ``row`` numbers the rows of ``docs``, so null
-    and repeated ids stay apart. ``docs`` must give its rows in the same order each
-    time, as a stored table does.
-    """
-    numbered = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), "text"
-    )
-    giant = F.coalesce(F.char_length("text"), F.lit(0)) >= chunk
+
+def encode_short(docs: DataFrame, model: str, chunk: int = CHUNK) -> DataFrame:
+    """The rows of ``encode`` for texts of less than ``chunk`` characters."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = lattice_for(model)
@@ -475,8 +477,27 @@ def encode(docs: DataFrame, model: str, chunk: int = CHUNK, fan: int = FAN) -> D
                 counts = pa.array([0] * (b - a), pa.int32()), pa.array([1] * (b - a), pa.int32())
                 yield _encoded([*part.columns[:2], *counts], *found)
 
-    short = numbered.filter(~giant).mapInArrow(run, ENCODED)
-    return short.unionByName(_giants(numbered.filter(giant), model, chunk, fan))
+    return _numbered(docs, False, chunk).mapInArrow(run, ENCODED)
+
+
+def encode_giants(docs: DataFrame, model: str, chunk: int = CHUNK, fan: int = FAN) -> DataFrame:
+    """The rows of ``encode`` for the longer texts, a row per chunk.
+
+    Chunks with their matrices, and states of blocks, are written to the shared folder.
+    """
+    return _giants(_numbered(docs, True, chunk), model, chunk, fan)
+
+
+def encode(docs: DataFrame, model: str, chunk: int = CHUNK, fan: int = FAN) -> DataFrame:
+    """(row, doc_id, chunk, n_chunks, ids, score) of every ``docs(doc_id, text)``.
+
+    A text of less than ``chunk`` characters is one row; the rows of a longer one,
+    in the order of their chunks, are its ids. Where paths tie, one of the best is
+    taken. Null and empty texts have no ids. ``row`` numbers the rows of ``docs``, so null
+    and repeated ids stay apart. ``docs`` must give its rows in the same order each
+    time, as a stored table does.
+    """
+    return encode_short(docs, model, chunk).unionByName(encode_giants(docs, model, chunk, fan))
 
 
 def decoded(ids: str, model: str) -> Column:

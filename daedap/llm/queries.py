@@ -12,7 +12,7 @@ from daedap.llm.cotraining import classified
 from daedap.llm.counts import token_counts
 from daedap.llm.dac import read_tokens, write_tokens
 from daedap.llm.licenses import license_matches
-from daedap.llm.maxplus import decoded, encode
+from daedap.llm.maxplus import decoded, encode_giants, encode_short
 from daedap.llm.minhash import near_duplicates
 from daedap.llm.oracle import ORACLE
 from daedap.llm.packing import pack, token_pieces
@@ -63,7 +63,8 @@ def op8_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_max_plus_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Numbers and hashes of the ids of each document, and of the text they give back."""
     model = public_tokenizers.path("piece_bpe_32k.model")
-    rows = encode(table(spark, sf_dir, "documents"), model).withColumn("text", decoded("ids", model))
+    docs, text = table(spark, sf_dir, "documents"), decoded("ids", model).alias("text")
+    short, giant = (e(docs, model).select("*", text) for e in (encode_short, encode_giants))
 
     def summary(ids: str, text: str, score: str) -> list:
         return [
@@ -73,11 +74,13 @@ def op9_max_plus_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.sha2(F.expr(f"substring({text}, 2)"), 256).alias("decoded_sha256"),
         ]
 
-    short = rows.filter("n_chunks = 1").select("doc_id", "n_chunks", *summary("ids", "text", "score"))
+    short = short.select("doc_id", "n_chunks", *summary("ids", "text", "score"))
     # A giant document's chunks come together again, it alone in its row as before.
     parts = F.array_sort(F.collect_list(F.struct("chunk", "ids", "text")))
-    giant = rows.filter("n_chunks > 1").groupBy("row", "doc_id", "n_chunks")
-    giant = giant.agg(parts.alias("parts"), F.sum("score").alias("score")).select(
+    whole = giant.groupBy("row", "doc_id", "n_chunks").agg(
+        parts.alias("parts"), F.sum("score").alias("score")
+    )
+    giant = whole.select(
         "doc_id",
         "n_chunks",
         F.flatten("parts.ids").alias("ids"),
