@@ -17,7 +17,7 @@ from daedap.llm.minhash import near_duplicates
 from daedap.llm.oracle import ORACLE
 from daedap.llm.packing import pack, token_pieces
 from daedap.llm.supervision import judged
-from daedap.llm.syncmers import fingerprints
+from daedap.llm.syncmers import fingerprints, shared_passages
 from daedap.llm.warc import page_captures, read_archives, transactions, write_archives
 
 
@@ -60,6 +60,10 @@ def op8_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))
 
 
+def syncmer_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shared_passages(table(spark, sf_dir, "documents"))
+
+
 def op9_max_plus_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Numbers and hashes of the ids of each document, and of the text they give back."""
     model = public_tokenizers.path("piece_bpe_32k.model")
@@ -106,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_closed_syncmers": op8_closed_syncmers,
     "op9_max_plus_encoding": op9_max_plus_encoding,
     "op10_token_files": op10_token_files,
+    "syncmer_passages": syncmer_passages,
 }
 
 __all__ = ["ORACLE", "QUERIES", "table"]

@@ -193,3 +193,127 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
         likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
     )
+
+
+def _packed(text: Column) -> Column:
+    """All anchors of a text as numbers, position above hash."""
+    return F.transform(
+        anchors(text),
+        lambda a: F.shiftleft(a["position"].cast("long"), 32).bitwiseOR(a["hash"]),
+    )
+
+
+def _codes(packed: Column, side: int) -> Column:
+    """Anchors as numbers that sort by hash, side and position."""
+    return F.transform(
+        packed,
+        lambda p: F.shiftleft(p, 32)
+        .bitwiseOR(F.lit(side << 31).cast("long"))
+        .bitwiseOR(F.shiftright(p, 32)),
+    )
+
+
+def shared_passages(docs: DataFrame) -> DataFrame:
+    """What each text shares with the next document's, from all anchors and where they stand.
+
+    One row per row of ``docs(doc_id, text)``: doc_id, n_anchors, next_anchors, shared,
+    aligned, offset, near, in_place and passages. The k-th place of a hash in one text
+    is matched to the k-th in the other; ``shared`` counts these, ``aligned`` those of
+    the commonest ``offset`` (the nearer to 0 of as common ones, the positive of two as
+    near), both also as a part of all anchors (``near``, ``in_place``; 1 if neither text
+    has any). ``passages`` has the matches of each offset, by begin: from which to which
+    piece of this text they reach, the offset, and how many they are. Of rows that
+    repeat an id, that with the smallest anchors is the next document for others; rows
+    without an id have an empty one. Everything but a document's anchors stays in the
+    task that holds its text.
+    """
+    if dict(docs.dtypes)["doc_id"] != "bigint":
+        docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    named = texts.filter("doc_id IS NOT NULL")
+    order = _following(named)
+    before = order.select(F.col("next_id").alias("doc_id"), F.col("doc_id").alias("before_id"))
+    nexts = (
+        named.join(before, "doc_id")
+        .groupBy(F.col("before_id").alias("doc_id"))
+        .agg(F.min(_packed(F.col("text"))).alias("next"))
+    )
+    rows = named.join(nexts, "doc_id").select(
+        "doc_id",
+        F.monotonically_increasing_id().alias("row"),
+        _packed(F.col("text")).alias("own"),
+        "next",
+    )
+
+    def hashes(packed: str) -> Column:
+        return F.transform(packed, lambda p: p.bitwiseAND(F.lit(0xFFFFFFFF)))
+
+    codes = F.concat(_codes(F.col("own"), 0), _codes(F.col("next"), 1))
+    # A row whose texts share nothing goes on as one row without a code. Rows are
+    # numbered in the tasks that finish them.
+    each = rows.select(
+        "doc_id",
+        "row",
+        F.size("own").alias("n_anchors"),
+        F.size("next").alias("next_anchors"),
+        F.explode_outer(F.when(F.arrays_overlap(hashes("own"), hashes("next")), codes)).alias("code"),
+    )
+    one = ["doc_id", "row", "n_anchors", "next_anchors"]
+    side = F.shiftrightunsigned("code", 31)
+    rank = F.row_number().over(Window.partitionBy("doc_id", "row", "side").orderBy("code"))
+    place = F.col("code").bitwiseAND(F.lit(0x7FFFFFFF))
+    ranked = each.withColumn("side", side).withColumn("rank", rank)
+    is_next = F.col("side").bitwiseAND(F.lit(1)) == 1
+    matches = ranked.groupBy(*one, F.shiftrightunsigned("side", 1).alias("hash"), "rank").agg(
+        F.max(F.when(~is_next, place)).alias("here"), F.max(F.when(is_next, place)).alias("there")
+    )
+    offset = F.col("there") - F.col("here")
+    by_offset = matches.groupBy(*one, offset.alias("offset")).agg(
+        F.count(offset).alias("n"),
+        F.min("here").alias("begin"),
+        (F.max("here") + LENGTH).alias("end"),
+    )
+    commonest = F.max(
+        F.when(
+            F.col("offset").isNotNull(),
+            F.struct("n", (-F.abs("offset")).alias("near"), "offset"),
+        )
+    )
+    passage = F.when(
+        F.col("offset").isNotNull(), F.struct("begin", "end", "offset", F.col("n").alias("n_anchors"))
+    )
+    found = (
+        by_offset.groupBy(*one)
+        .agg(
+            F.sum("n").alias("shared"),
+            commonest.alias("best"),
+            F.array_sort(F.collect_list(passage)).alias("passages"),
+        )
+        .select(
+            "doc_id",
+            "n_anchors",
+            "next_anchors",
+            "shared",
+            F.coalesce("best.n", F.lit(0)).cast("long").alias("aligned"),
+            F.col("best.offset").alias("offset"),
+            "passages",
+        )
+    )
+    alone = texts.filter("doc_id IS NULL").select(
+        "doc_id",
+        F.size(anchors(F.col("text"))).alias("n_anchors"),
+        F.lit(0).alias("next_anchors"),
+        F.lit(0).cast("long").alias("shared"),
+        F.lit(0).cast("long").alias("aligned"),
+        F.lit(None).cast("long").alias("offset"),
+        F.array().cast(found.schema["passages"].dataType).alias("passages"),
+    )
+
+    def part(n: str) -> Column:
+        total = F.col("n_anchors") + F.col("next_anchors") - F.col(n)
+        return F.when(total == 0, 1.0).otherwise(F.col(n) / total)
+
+    both = found.unionByName(alone)
+    return both.select(
+        *found.columns[:-1], part("shared").alias("near"), part("aligned").alias("in_place"), "passages"
+    )

@@ -1,7 +1,9 @@
 """Fingerprints in column expressions against the same in plain Python."""
 
 import hashlib
+import random
 import re
+from collections import Counter
 
 import pytest
 from fixtures import documents, empty
@@ -125,3 +127,64 @@ def test_anchors_do_not_depend_on_what_is_around(spark):
     moved = {(p - 3, h) for p, h in found["b"]}
     assert len(first) > 15 and set(first) <= moved
     assert found["c"] == found["d"] == [] and [p for p, _ in found["e"]] == [0]
+
+
+def plain_passages(own, other):
+    """shared, aligned and offset of two lists of (position, hash), place by place."""
+    places = {}
+    for side, found in enumerate((own, other)):
+        for p, h in sorted(map(tuple, found)):
+            places.setdefault(h, ([], []))[side].append(p)
+    offsets = Counter(b - a for mine, theirs in places.values() for a, b in zip(mine, theirs))
+    best = max(((n, -abs(o), o) for o, n in offsets.items()), default=(0, 0, None))
+    return sum(offsets.values()), best[0], best[2]
+
+
+def test_passages_of_long_texts_are_seen_where_they_stand(spark):
+    r = random.Random(4)
+
+    def words(n):
+        return " ".join(f"w{r.randrange(10**6)}" for _ in range(n))
+
+    passage, paragraphs = words(50), [words(300) for _ in range(4)]
+    rows = [
+        (1, f"{words(20_000)} {passage} {words(3000)}"),
+        (2, f"{words(400)} {passage} {words(9000)}"),
+        (3, " ".join(paragraphs)),
+        (4, " ".join(reversed(paragraphs))),
+        (5, "same words " * 500),
+        (6, "same words " * 700),
+        (6, "same words " * 700 + words(50)),
+        (7, None),
+        (8, ""),
+        (None, words(30)),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    with_anchors = docs.select("doc_id", syncmers.anchors(F.col("text")).alias("a")).collect()
+    found = syncmers.shared_passages(docs).collect()
+    assert len(found) == len(rows)
+    got = {(f.doc_id, f.n_anchors): f for f in found}
+    for row in with_anchors:
+        f = got[row.doc_id, len(row.a)]
+        after = None if row.doc_id is None else row.doc_id % 8 + 1
+        theirs = min((n.a for n in with_anchors if n.doc_id == after and after), default=[])
+        assert (f.shared, f.aligned, f.offset) == plain_passages(row.a, theirs)
+        assert f.next_anchors == len(theirs)
+        assert sum(p.n_anchors for p in f.passages) == f.shared
+    first, third, both_empty = (next(f for f in found if f.doc_id == i) for i in (1, 3, 7))
+    assert first.aligned > 15 and first.offset == 400 - 20_000
+    assert any(p.begin < 20_010 and p.end > 20_040 for p in first.passages)
+    assert third.near > 0.9 and third.in_place < 0.4
+    assert (both_empty.near, both_empty.in_place, both_empty.passages) == (1.0, 1.0, [])
+    plan = syncmers.shared_passages(docs)._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_passages_of_the_whole_table(spark):
+    docs = table(spark, SF, "documents")
+    own = sorted(docs.select("doc_id", syncmers.anchors(F.col("text")).alias("a")).collect())
+    found = {f.doc_id: f for f in QUERIES["syncmer_passages"](spark, SF).collect()}
+    for row, after in zip(own, own[1:] + own[:1]):
+        f = found[row.doc_id]
+        assert (f.shared, f.aligned, f.offset) == plain_passages(row.a, after.a)
+    assert len(found) == len(own) and syncmers.shared_passages(empty(spark)).count() == 0
