@@ -3,7 +3,9 @@
 A text is read as pieces of words, of at most eight characters. Of every run of
 ``LENGTH`` pieces, the runs of ``INNER`` pieces inside it are hashed; it is a closed
 syncmer if the smallest of these stands at its begin or end. Whether a run is chosen
-depends on nothing around it, so equal passages give equal anchors wherever they stand.
+depends on nothing around it. Anchors take a piece at every character of a longer word,
+so equal passages give equal anchors wherever they stand, without blanks too. Sketches
+cut a longer word into eights from its begin: there this holds from one blank to the next.
 """
 
 from __future__ import annotations
@@ -16,6 +18,9 @@ from pyspark.sql import functions as F
 from daedap.session import materialize
 
 PIECE = r"\S{1,8}"
+# For anchors: words of at most eight characters, and every eight neighbors in longer ones.
+# None begins with the second half of a sign that Java holds in two.
+MOVABLE = r"(?!\p{Cs})(?=(\S{8}|(?<!\S)\S{1,7}(?!\S)))"
 LENGTH, INNER = 5, 2
 
 # A fingerprint holds so many of a text's smallest anchors, all of a shorter text.
@@ -27,8 +32,8 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _hashes(text: Column) -> Column:
-    pieces = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(PIECE), F.lit(0))
+def _hashes(text: Column, piece: str = PIECE, group: int = 0) -> Column:
+    pieces = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(piece), F.lit(group))
     return F.transform(pieces, lambda p: F.xxhash64(p))
 
 
@@ -80,7 +85,7 @@ def anchors(text: Column) -> Column:
         none = F.array().cast("array<struct<position:int,hash:bigint>>")
         return F.coalesce(_chosen(h, one, F.array(whole)), none)
 
-    return _let(_hashes(text), all_of)
+    return _let(_hashes(text, MOVABLE, 1), all_of)
 
 
 def sketch(text: Column) -> Column:

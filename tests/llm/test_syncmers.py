@@ -188,3 +188,37 @@ def test_passages_of_the_whole_table(spark):
         f = found[row.doc_id]
         assert (f.shared, f.aligned, f.offset) == plain_passages(row.a, after.a)
     assert len(found) == len(own) and syncmers.shared_passages(empty(spark)).count() == 0
+
+
+def test_anchors_of_moved_and_edited_passages_without_blanks(spark):
+    r = random.Random(9)
+
+    def signs(n, begin=0x4E00):
+        return "".join(chr(begin + r.randrange(2000)) for _ in range(n))
+
+    for passage in (signs(200), signs(200, 0x1F300), f"{signs(100)}\u3000{signs(50)}\xa0{signs(50)}"):
+        rows = [
+            (0, passage),
+            *((i, signs(i) + passage + signs(7)) for i in range(1, 10)),
+            (10, f"{passage[:60]}{signs(1)}{passage[60:]}"),
+            (11, passage[:60] + passage[61:]),
+        ]
+        frame = spark.createDataFrame(rows, "k int, text string")
+        found = {w.k: w.a for w in frame.select("k", syncmers.anchors(F.col("text")).alias("a")).collect()}
+        own = {tuple(a) for a in found[0]}
+        assert len(own) > 40
+        for i in range(1, 10):
+            missing = {h for _, h in own} - {h for _, h in found[i]}
+            assert not missing
+        for i in (10, 11):
+            shared = {h for _, h in own} & {h for _, h in found[i]}
+            assert len(shared) > 0.85 * len(own)
+
+
+def test_pieces_of_short_and_long_words(spark):
+    text = "ab  seven77 eight888 ninechars\n 😀bcdefghi x"
+    frame = spark.createDataFrame([(text,)], "t string")
+    pieces = F.regexp_extract_all("t", F.lit(syncmers.MOVABLE), F.lit(1))
+    assert frame.select(pieces).first()[0] == [
+        "ab", "seven77", "eight888", "ninechar", "inechars", "😀bcdefgh", "bcdefghi", "x",
+    ]
