@@ -100,3 +100,49 @@ def test_winnowing_sees_five_common_words():
         ]
         prints = [set(licenses.windows(t, licenses.RUN)[licenses.winnowed(t)].tolist()) for t in texts]
         assert prints[0] & prints[1]
+
+
+def names_in(text):
+    index = licenses.Index(licenses.all_templates())
+    return [name for name, *_ in licenses.scan(index, text.encode(), licenses.LEAST_COVERAGE)]
+
+
+def test_versions_and_families_are_told_apart():
+    gnu = "This work is licensed under the GNU {}General Public License, version {}."
+    for text, expected in {
+        gnu.format("", "2"): ["GPL-2.0 line"],
+        gnu.format("", "3.0"): ["GPL-3.0 line"],
+        gnu.format("Lesser ", "2.1"): ["LGPL-2.1 line"],
+        gnu.format("Lesser ", "3"): ["LGPL-3.0 line"],
+        gnu.format("", "4"): [],
+        "Licensed under the Apache License, Version 2.1.": [],
+        "Licensed under the Apache License, Version 2.0.1.": [],
+        "Released under an MIT License.": ["MIT line"],
+        "Some of it is released under terms of the MIT License": ["MIT line"],
+        "Released under the BSD License.": [],
+        "Licensed under CC BY-NC-SA 4.0.": ["CC-BY-NC-SA-4.0 line"],
+        licenses.MORE_TEMPLATES["LGPL-3.0 notice"]: ["LGPL-3.0 notice"],
+        licenses.MORE_TEMPLATES["AGPL-3.0 notice"]: ["AGPL-3.0 notice"],
+        licenses.MORE_TEMPLATES["LGPL-2.1 notice"].replace("2.1", "2.2"): [],
+    }.items():
+        assert names_in(f"Some words before. {text} Some words behind.") == expected
+
+
+def test_every_template_and_whole_text_is_its_own_best():
+    templates = licenses.all_templates()
+    index = licenses.Index(templates)
+    assert sum(n.endswith(" text") for n in templates) == 17
+    for name, text in templates.items():
+        found = licenses.scan(index, f"before\n{text}\nbehind".encode(), licenses.LEAST_COVERAGE)
+        assert [(f[0], f[1]) for f in found] == [(name, 1.0)]
+
+
+def test_whole_texts_with_changes():
+    r = random.Random(3)
+    for name in ("GPL-2 text", "Apache-2.0 text", "BSD-3-Clause", "BSD-2-Clause"):
+        words_ = licenses.all_templates()[name].split()
+        for _ in range(len(words_) // 30):
+            words_[r.randrange(40, len(words_))] = r.choice(["changed", "", "two words"])
+        assert names_in("before " + " ".join(words_) + " behind") == [name]
+    mit, bsd = licenses.TEMPLATES["MIT"], licenses.MORE_TEMPLATES["BSD-3-Clause"]
+    assert names_in(f"{mit}\n{bsd}\n{mit}") == ["MIT", "BSD-3-Clause", "MIT"]
