@@ -1,8 +1,9 @@
 """A quality classifier by co-training on two views of a document.
 
 One classifier sees the measures of the text, the other the metadata of the page:
-language, source and length. Both are naive Bayes over binned features, so that a
-fit is one count over all rows. In each round either labels documents that it is
+language, source and length. Both are naive Bayes, over binned measures and over every
+language, source and pair of language and length as it is, so that a fit is two counts
+over all rows. In each round either labels documents that it is
 sure of for the other. At last both are calibrated on labelled rows that no fit has
 seen, and their log odds combined.
 """
@@ -26,6 +27,12 @@ HELD_OUT = 4  # of one in so many labelled rows; they calibrate
 # Log odds are counted in steps of 1 / STEPS between -MOST_ODDS and MOST_ODDS.
 STEPS, MOST_ODDS = 4, 50
 
+# What a page is known by; none is hashed. A key never counted adds nothing, and any
+# is counted as if it had so many more rows, good and bad as all rows are.
+KEYS = ("_source", "_lang", "_length")
+SMOOTHING = 2.0
+SALTS = 16  # so many tasks share the rows of a hot source
+
 
 def _binned(value: Column, low: float, high: float) -> Column:
     """Equal bins from ``low`` to ``high``, what lies outside in the outermost."""
@@ -34,11 +41,6 @@ def _binned(value: Column, low: float, high: float) -> Column:
     return F.coalesce(bin_, F.lit(BINS)).cast("int")
 
 
-def _hashed(value: Column) -> Column:
-    bin_ = F.pmod(F.xxhash64(value.cast("string")), F.lit(BINS))
-    return F.when(value.isNull(), F.lit(BINS)).otherwise(bin_).cast("int")
-
-
 def text_bins(struct: str) -> list[Column]:
     """Features of the text view, from ``measures.measured``."""
 
@@ -60,35 +62,60 @@ def text_bins(struct: str) -> list[Column]:
     ]
 
 
-def page_bins(lang: str = "lang", source: str = "source", length: str = "n_chars") -> list[Column]:
-    """Features of the page view; they need no look at the text."""
-    log_length = F.log2(1 + F.greatest(F.col(length), F.lit(0)))
-    return [
-        _hashed(F.col(lang)),
-        _hashed(F.col(source)),
-        _binned(log_length, 0, 32),
-        _hashed(F.concat_ws(" ", F.col(lang), F.floor(log_length))),
-    ]
+def _log_length(length: str) -> Column:
+    return F.log2(1 + F.greatest(F.col(length), F.lit(0)))
+
+
+def page_bins(length: str = "n_chars") -> list[Column]:
+    """Binned features of the page view; they need no look at the text."""
+    return [_binned(_log_length(length), 0, 32)]
 
 
-# Numbers of features.
-VIEWS = {"text": 10, "page": 4}
+def page_keys(lang: str = "lang", source: str = "source", length: str = "n_chars") -> list[Column]:
+    """The columns ``KEYS`` of the page view; null is a key of its own."""
+
+    def named(column: str) -> Column:
+        return F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit(""))
+
+    pair = F.concat_ws(" ", F.floor(_log_length(length)).cast("string"), named(lang))
+    return [c.alias(k) for k, c in zip(KEYS, (named(source), named(lang), pair))]
+
+
+# Numbers of binned features.
+VIEWS = {"text": 10, "page": 1}
 
 
 @dataclass
 class Model:
-    """What each bin of each feature adds to the log odds of being good, per view."""
+    """What each bin of each feature adds to the log odds of being good, per view.
+
+    ``pages`` has what the keys of a page add to the page view, in ``_odds``, for each
+    source, pair of language and length, and salt.
+    """
 
     prior: dict[str, float] = field(default_factory=dict)
     steps: dict[str, np.ndarray] = field(default_factory=dict)
     slope: dict[str, float] = field(default_factory=dict)
     level: dict[str, float] = field(default_factory=dict)
     mix: tuple[float, float, float] = (0.0, 1.0, 0.0)
+    pages: DataFrame | None = None
+
+    def with_pages(self, rows: DataFrame) -> DataFrame:
+        """Rows with ``KEYS`` and, in ``_odds``, what these add to the page view.
+
+        Rows stay where they are while the table of pages is small enough for a
+        broadcast; otherwise those of a hot source go to ``SALTS`` tasks.
+        """
+        salted = rows.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
+        joined = salted.join(self.pages, ["_source", "_length", "_salt"], "left")
+        return joined.withColumn("_odds", F.coalesce("_odds", F.lit(0.0)))
 
     def raw(self, view: str, bins: list[Column]) -> Column:
         tables = (F.array(*map(F.lit, row)) for row in self.steps[view].tolist())
         parts = (F.element_at(t, b + 1) for t, b in zip(tables, bins))
         total = reduce(Column.__add__, parts, F.lit(self.prior[view]))
+        if view == "page":
+            total += F.col("_odds")
         return F.least(F.greatest(total, F.lit(-MOST_ODDS)), F.lit(MOST_ODDS))
 
     def calibrated(self, view: str, bins: list[Column]) -> Column:
@@ -125,14 +152,19 @@ def _bins_of(view: str) -> list[Column]:
 
 def _fit(rows: DataFrame, model: Model) -> None:
     """Count rows(text, page, text_label, page_label) per view, feature, bin and label."""
-    wide = [
-        F.struct(F.lit(v).alias("view"), F.lit(i).alias("feature"), b.alias("bin"), F.col(f"{v}_label").alias("y"))
-        for v in VIEWS
-        for i, b in enumerate(_bins_of(v))
-    ]
-    cells = rows.select(F.explode(F.array(*wide)).alias("c")).filter("c.y IS NOT NULL")
+
+    def cells_of(view: str) -> Column:
+        return F.transform(
+            view,
+            lambda b, i: F.struct(
+                F.lit(view).alias("view"), i.alias("feature"), b.alias("bin"), F.col(f"{view}_label").alias("y")
+            ),
+        )
+
+    cells = rows.select(F.explode(F.concat(*map(cells_of, VIEWS))).alias("c")).filter("c.y IS NOT NULL")
     counts = cells.groupBy("c.view", "c.feature", "c.bin", "c.y").count().collect()
-    for view, n in VIEWS.items():
+    for view in VIEWS:
+        n = max((r["feature"] + 1 for r in counts if r["view"] == view), default=VIEWS[view])
         table = np.ones((n, BINS + 1, 2))
         for r in counts:
             if r["view"] == view:
@@ -144,6 +176,30 @@ def _fit(rows: DataFrame, model: Model) -> None:
         )
 
 
+def _fit_pages(rows: DataFrame, pages: DataFrame, model: Model) -> None:
+    """Count rows(KEYS.., page_label) per key and label, for ``pages``, all different ``KEYS``.
+
+    Follows ``_fit``. The counts stay tables; a key has one row however many it counts.
+    """
+    each = [F.struct(F.lit(k).alias("kind"), F.col(k).alias("key")) for k in KEYS]
+    told = rows.filter("page_label IS NOT NULL").select(
+        F.explode(F.array(*each)).alias("k"), F.col("page_label").alias("y")
+    )
+    counts = told.groupBy("k.kind", "k.key").agg(F.sum("y").alias("good"), F.count("y").alias("n"))
+    prior = model.prior["page"]
+    part = float(1 / (1 + np.exp(-prior)))
+    good = F.col("good") + SMOOTHING * part
+    bad = F.col("n") - F.col("good") + SMOOTHING * (1 - part)
+    counts = materialize(counts.select("kind", "key", (F.log(good) - F.log(bad) - prior).alias("odds")))
+    total = F.lit(0.0)
+    for k in KEYS:
+        one = counts.filter(F.col("kind") == k).select(F.col("key").alias(k), F.col("odds").alias(f"odds{k}"))
+        pages = pages.join(one, k, "left")
+        total += F.coalesce(f"odds{k}", F.lit(0.0))
+    salt = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("_salt")
+    model.pages = materialize(pages.select("_source", "_length", total.alias("_odds"), salt))
+
+
 def _calibrate(rows: DataFrame, model: Model) -> None:
     """Fit slope and level of both views, and how they are combined, on held-out rows."""
 
@@ -151,7 +207,7 @@ def _calibrate(rows: DataFrame, model: Model) -> None:
         return F.round(odds * STEPS).cast("int")
 
     raw = [step(model.raw(v, _bins_of(v))).alias(v) for v in VIEWS]
-    held = rows.filter("held_out AND label IS NOT NULL").select(*raw, "label")
+    held = model.with_pages(rows.filter("held_out AND label IS NOT NULL")).select(*raw, "label")
     # At most (2 * MOST_ODDS * STEPS + 1) ** 2 cells.
     cells = held.groupBy("text", "page").agg(
         F.sum("label").alias("good"), F.sum(1 - F.col("label")).alias("bad")
@@ -171,7 +227,7 @@ def _calibrate(rows: DataFrame, model: Model) -> None:
 
 
 def train(rows: DataFrame, rounds: int = 3, sure: float = 0.95) -> Model | None:
-    """Fit on rows(text, page, label, held_out); None without labels of both kinds.
+    """Fit on rows(text, page, KEYS.., label, held_out); None without labels of both kinds.
 
     Every round counts over all rows: labelled ones, and those of the rest that the
     other view is sure of with probability ``sure`` either way.
@@ -180,8 +236,11 @@ def train(rows: DataFrame, rounds: int = 3, sure: float = 0.95) -> Model | None:
     if labels.first()[:] != (0, 1):
         return None
     model = Model()
+    pages = materialize(rows.select(*KEYS).distinct())
     own = F.when(~F.col("held_out"), F.col("label"))
-    _fit(rows.select("text", "page", own.alias("text_label"), own.alias("page_label")), model)
+    first = rows.select("text", "page", *KEYS, own.alias("text_label"), own.alias("page_label"))
+    _fit(first, model)
+    _fit_pages(first, pages, model)
     _calibrate(rows, model)
     for _ in range(rounds):
 
@@ -190,10 +249,11 @@ def train(rows: DataFrame, rounds: int = 3, sure: float = 0.95) -> Model | None:
             pseudo = F.when(p >= sure, 1).when(p <= 1 - sure, 0)
             return F.when(F.col("label").isNotNull(), own).otherwise(pseudo)
 
-        exchanged = rows.select(
-            "text", "page", told("page").alias("text_label"), told("text").alias("page_label")
+        exchanged = model.with_pages(rows).select(
+            "text", "page", *KEYS, told("page").alias("text_label"), told("text").alias("page_label")
         )
         _fit(exchanged, model)
+        _fit_pages(exchanged, pages, model)
         _calibrate(rows, model)
     return model
 
@@ -209,7 +269,7 @@ def _labelled(features: DataFrame, labels: DataFrame) -> DataFrame:
 
 def _features(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), measured("text").alias("m"), *PAGE).select(
-        "doc_id", F.array(*text_bins("m")).alias("text"), F.array(*page_bins()).alias("page")
+        "doc_id", F.array(*text_bins("m")).alias("text"), F.array(*page_bins()).alias("page"), *page_keys()
     )
 
 
@@ -229,6 +289,7 @@ def classified(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> Da
     if model is None:
         scores = [F.lit(1.0)] * 3
     else:
+        rows = model.with_pages(rows)
         text, page = _bins_of("text"), _bins_of("page")
         odds = model.calibrated("text", text), model.calibrated("page", page)
         scores = [_probability(o) for o in (*odds, model.combined(text, page))]
@@ -238,9 +299,14 @@ def classified(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> Da
 
 
 def without_rejected(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` that are kept, with all their columns; texts are not shuffled."""
+    """The rows of ``docs`` that are kept, with all their columns.
+
+    Texts are not shuffled while the table of different pages is small enough for a
+    broadcast, and once otherwise.
+    """
     model = train(materialize(_labelled(_features(docs), labels)))
     if model is None:
         return docs
     odds = model.combined(text_bins("_m"), page_bins())
-    return docs.withColumn("_m", measured("text")).filter(_probability(odds) >= threshold).drop("_m")
+    judged = model.with_pages(docs.select("*", *page_keys())).withColumn("_m", measured("text"))
+    return judged.filter(_probability(odds) >= threshold).select(*docs.columns)

@@ -215,3 +215,24 @@ def test_pipeline_stages(spark):
         map(tuple, pieces.select("doc_id", "piece", "length", "ids_crc32").collect())
     )
     assert zlib.crc32(b"") == 0 and len(TEXTS) > 10
+
+
+def test_every_source_counts_for_itself(spark):
+    """Thousands of sources, a tenth of them bad, with texts that tell nothing."""
+    n, each = 2000, 6
+    rows = [
+        (s * each + k, f"some text of {s} and {k}", "en", f"site{s}.example", 100, int(s % 10 > 0))
+        for s in range(n)
+        for k in range(each)
+    ]
+    made = spark.createDataFrame(
+        rows, "doc_id long, text string, lang string, source string, n_chars long, quality int"
+    )
+    docs = made.drop("quality")
+    labels = made.filter("doc_id % 6 < 5").select("doc_id", "quality", F.lit(0).alias("toxic"))
+    found = cotraining.classified(docs, labels).join(made.select("doc_id", "quality").withColumnRenamed("quality", "label"), "doc_id")
+    unseen = [(r.label, r.kept) for r in found.filter("doc_id % 6 = 5").collect()]
+    assert np.mean([k for y, k in unseen if y == 1]) > 0.97
+    assert np.mean([k for y, k in unseen if y == 0]) < 0.1
+    model = cotraining.train(cotraining._labelled(cotraining._features(docs), labels))
+    assert model.pages.select("_source").distinct().count() == n
