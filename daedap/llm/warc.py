@@ -59,6 +59,11 @@ def record_id(*parts: object) -> str:
     return f"<urn:uuid:{uuid.UUID(bytes=name, version=4)}>"
 
 
+def capture_id(page_id: int, url: str | None, key: str) -> str:
+    """Pages with equal ids but other URLs or payloads are captures of their own."""
+    return record_id("capture", page_id, key, "" if url is None else f"={url}")
+
+
 def record(headers: dict[str, str | None], block: bytes) -> bytes:
     """A record as a gzip member of its own; header values never break their line."""
     lines = ["WARC/1.1"]
@@ -75,10 +80,10 @@ def capture(
 ) -> list[bytes]:
     """Request, response or revisit, and metadata of a page.
 
-    ``key`` names the payload; ``first`` holds the page id of the response that a
-    revisit refers to.
+    ``key`` names the payload; ``first`` holds the page id and URL of the response that a
+    revisit refers to. A page without an id is referred to by none and has a new record id.
     """
-    own = record_id("capture", page_id, key)
+    own = f"<urn:uuid:{uuid.uuid4()}>" if page_id is None else capture_id(page_id, url, key)
     target, digest = url or None, f"sha1:{digest_of(payload)}"
     http = (
         "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
@@ -90,7 +95,7 @@ def capture(
     shared = {"WARC-Date": DATE, "WARC-Target-URI": target}
     main = {"WARC-Type": "response" if first is None else "revisit", "WARC-Record-ID": own, **shared}
     if first is not None:
-        main |= {"WARC-Profile": PROFILE, "WARC-Refers-To": record_id("capture", first[0], key)}
+        main |= {"WARC-Profile": PROFILE, "WARC-Refers-To": capture_id(*first, key)}
     main |= {"WARC-Payload-Digest": digest, "Content-Type": "application/http;msgtype=response"}
     linked = {**shared, "WARC-Concurrent-To": own}
     return [
@@ -123,7 +128,8 @@ def write_archives(
 
     Of pages with equal payloads of at least ``least_revisit`` bytes, that with the
     smallest id is a response and the others revisit it; rows that repeat this id
-    and payload are responses too. Null html is an empty payload. A row without an id
+    and payload are responses too, and that with the smallest URL is referred to. Rows
+    equal in all columns repeat a record, each without an id has one of its own. Null html is an empty payload. A row without an id
     revisits a page with one. Payloads are shuffled once, by their hash, and Spark
     splits those that very many pages share. Only files of finished tasks are in the table.
     """
@@ -131,12 +137,14 @@ def write_archives(
     rows = pages.select(F.col("page_id").cast("long"), "url", payload)
     rows = rows.withColumn("key", F.sha2("payload", 256))
     same = rows.filter(F.length("payload") >= least_revisit).groupBy("key")
-    firsts = same.agg(F.min("page_id").alias("first_id"), F.count("*").alias("n"))
-    shared = firsts.filter("n > 1").select("key", F.struct("first_id").alias("first"))
+    named = F.when(F.col("page_id").isNotNull(), F.struct(F.col("page_id").alias("first_id"), "url"))
+    firsts = same.agg(F.min(named).alias("first"), F.count("*").alias("n"))
+    shared = firsts.filter("n > 1").select("key", "first")
     joined = rows.join(shared, "key", "left")
     first = F.when(~F.col("page_id").eqNullSafe(F.col("first.first_id")), F.col("first.first_id"))
     marked = joined.select(
-        "page_id", "url", "payload", "key", first.alias("first_id"), first.isNotNull().alias("again")
+        "page_id", "url", "payload", "key", first.alias("first_id"),
+        F.col("first.url").alias("first_url"), first.isNotNull().alias("again"),
     )
     folder = new_folder(pages.sparkSession, "warc")
 
@@ -152,8 +160,8 @@ def write_archives(
             address, n_records, n_bytes = f"{folder}/{uuid.uuid4().hex}.warc.gz", 0, 0
             with create(address) as out:
                 while row is not None and n_bytes < file_bytes:
-                    page_id, url, payload, key, first_id, again = row
-                    first = (first_id,) if again else None
+                    page_id, url, payload, key, first_id, first_url, again = row
+                    first = (first_id, first_url) if again else None
                     for data in capture(page_id, url, payload, key, first):
                         out.write(data)
                         n_records, n_bytes = n_records + 1, n_bytes + len(data)

@@ -155,3 +155,13 @@ def test_broken_archives_raise():
     for data in (whole[:-7], b"junk" + whole):
         with pytest.raises(ValueError):
             list(warc.parsed(io.BytesIO(data)))
+
+
+def test_other_urls_are_captures_of_their_own(spark):
+    rows = [(1, f"http://a.example/{i}", "<p>same</p>") for i in range(3)]
+    rows += [(None, f"http://b.example/{i // 2}", None) for i in range(6)] + [(2, None, "<p>same</p>")]
+    captures = warc.transactions(warc.read_archives(warc.write_archives(pages(spark, rows))))
+    assert ours(captures) == plain(rows)
+    found = captures.collect()
+    assert all(c.copies == len(c.requests) == len(c.metadata) == 1 for c in found)
+    assert sorted(c.main.target or "" for c in found) == sorted(u or "" for _, u, _ in rows)
