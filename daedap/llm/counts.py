@@ -22,6 +22,9 @@ MOST_CHUNKS = 400_000
 
 BLANK = "▁"
 CHUNK = re.compile(f"[ {BLANK}]+[^ {BLANK}]*")
+# A blank with nothing behind it is one token, whichever way it is written.
+LONE = {" ": 1, BLANK: 1}
+
 COUNTS = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 
 
@@ -39,8 +42,8 @@ class Counter:
 
         self.model = SentencePieceProcessor(model_file=path)
         pieces = map(self.model.id_to_piece, range(self.model.get_piece_size()))
-        probes = ("a  b", "  a b ", "ﬁ é.\nx\ty", "a▁b ▁c")
-        self.known: dict[str, int] = {" ": 1}
+        probes = ("a  b", "  a b ", "ﬁ é.\nx\ty", "a▁b ▁c", "a▁", "a ▁", "a▁ ▁")
+        self.known: dict[str, int] = dict(LONE)
         self.cuts = all(BLANK not in p.lstrip(BLANK) for p in pieces) and all(
             sum(self._chunk_counts(CHUNK.findall(" " + p))) == len(self.model.encode(p))
             for p in probes
@@ -49,7 +52,7 @@ class Counter:
     def _chunk_counts(self, chunks: list[str]) -> list[int]:
         """A chunk begins with the blank that the model puts before every text."""
         if len(self.known) > MOST_CHUNKS:
-            self.known = {" ": 1}
+            self.known = dict(LONE)
         known = self.known
         new = [c for c in dict.fromkeys(chunks) if c not in known]
         if new:
@@ -57,20 +60,24 @@ class Counter:
             known.update(zip(new, map(len, found)))
         return [known[c] for c in chunks]
 
-    def parts(self, text: str) -> Iterator[list[str]]:
-        """A text's chunks, some ``PART_CHARS`` characters at a time."""
-        part, chars = [], 0
+    def parts(self, text: str) -> Iterator[tuple[list[str], int]]:
+        """A text's chunks and their bytes, some ``PART_CHARS`` characters at a time."""
+        part, chars, n_bytes = [], 0, 0
         for match in CHUNK.finditer(" " + text):
             part.append(match.group())
             chars += len(part[-1])
+            n_bytes += len(part[-1].encode())
             if chars >= PART_CHARS:
-                yield part
-                part, chars = [], 0
+                yield part, n_bytes
+                part, chars, n_bytes = [], 0, 0
         if part:
-            yield part
+            yield part, n_bytes
+
+    def count(self, texts: list[str], n_bytes: list[int]) -> list[int]:
+        """Token counts, in batches of ``BATCH_BYTES`` that may end inside a text.
 
-    def count(self, texts: list[str]) -> list[int]:
-        """Token counts, in batches of ``BATCH_BYTES`` that may end inside a text."""
+        ``n_bytes`` are the lengths of the texts in UTF-8.
+        """
         if not self.cuts:
             return [len(ids) for ids in self.model.encode(texts, num_threads=1)]
         totals = [0] * len(texts)
@@ -88,11 +95,12 @@ class Counter:
         for i, text in enumerate(texts):
             if not text:
                 continue
-            parts = self.parts(text) if len(text) > PART_CHARS else [CHUNK.findall(" " + text)]
-            for part in parts:
+            whole = len(text) <= PART_CHARS
+            parts = [(CHUNK.findall(" " + text), n_bytes[i])] if whole else self.parts(text)
+            for part, part_bytes in parts:
                 chunks += part
                 owners.append((i, len(part)))
-                size += sum(map(len, part))
+                size += part_bytes
                 if size >= BATCH_BYTES:
                     finish()
                     chunks, owners, size = [], [], 0
@@ -112,7 +120,7 @@ def token_counts(docs: DataFrame, model: str, max_tokens: int = MAX_TOKENS) -> D
         for batch in batches:
             texts = as_texts(batch.column(1))
             n_bytes = [len(b or b"") for b in batch.column(1).cast(pa.binary()).to_pylist()]
-            n_tokens = counter.count(texts)
+            n_tokens = counter.count(texts, n_bytes)
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": batch.column(0),

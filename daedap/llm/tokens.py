@@ -105,7 +105,9 @@ class ChunkEncoder:
 
     def _word_and_marks(self, chunk: str) -> tuple[str, str]:
         word = chunk.rstrip(MARKS)
-        if word and len(word) < len(chunk) and word[-1].isalpha() and word[-1] < "\u0250":
+        last = word[-1:]
+        # A letter whose small form ends in a combining sign takes the marks with it.
+        if len(word) < len(chunk) and last.isalpha() and last < "\u0250" and len(last.lower()) == 1:
             marks = chunk[len(word) :]
         else:
             word, marks = chunk, ""

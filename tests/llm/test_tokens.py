@@ -45,6 +45,7 @@ def test_words_of_letters_go_to_the_model(spark, encoders):
     """Every word of real texts, and letters of all Latin blocks in all positions."""
     texts = [t for (t,) in table(spark, SF, "documents").select("text").collect()]
     texts += [f"{chr(i)} a{chr(i)} {chr(i)}b. A{chr(i)}" for i in range(0x41, 0x260)]
+    texts += [f"a{chr(i)}{m} GELD{chr(i)}{m}{m}" for i in range(0x41, 0x260) for m in ".,;:!?"]
     for encoder, tokenizer in encoders:
         assert encoder.letters_apart
         ids, ends = encoder.encode(texts)
@@ -61,6 +62,16 @@ def test_chunks_give_the_ids_of_whole_texts(encoders, texts):
         assert parts == [ids_of(tokenizer, t) for t in texts]
 
 
+def counted(counter, texts):
+    return counter.count(texts, [len(t.encode()) for t in texts])
+
+
+@pytest.mark.parametrize("text", ["▁", "a▁", ">▁", "\t▁", "日▁", "a▁ ", "a ▁", "a▁▁", " ", "a "])
+def test_a_blank_at_the_end_is_a_token(counter, text):
+    ours, model = counter
+    assert counted(ours, [text]) == [len(model.encode(text))]
+
+
 @pytest.fixture(scope="module")
 def counter():
     return Counter(MODEL), SentencePieceProcessor(model_file=MODEL)
@@ -71,16 +82,17 @@ def counter():
 def test_chunks_give_the_counts_of_whole_texts(counter, texts):
     ours, model = counter
     assert ours.cuts
-    assert ours.count(texts) == [len(model.encode(t)) for t in texts]
+    texts += [t + "▁" for t in texts]
+    assert counted(ours, texts) == [len(model.encode(t)) for t in texts]
 
 
 def test_counts_of_long_texts_in_parts(counter):
     ours, model = counter
     long = [t for t in TEXTS if t]
-    assert ours.count(long * 3) == [len(model.encode(t)) for t in long] * 3
+    assert counted(ours, long * 3) == [len(model.encode(t)) for t in long] * 3
     whole = Counter(MODEL)
     whole.cuts = False
-    assert whole.count(long) == ours.count(long)
+    assert counted(whole, long) == counted(ours, long)
 
 
 def test_token_counts(spark):
