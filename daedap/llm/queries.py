@@ -16,6 +16,7 @@ from daedap.llm.maxplus import decoded, encode_giants, encode_short
 from daedap.llm.minhash import near_duplicates
 from daedap.llm.oracle import ORACLE
 from daedap.llm.packing import pack, token_pieces
+from daedap.llm.pii import personal_data
 from daedap.llm.supervision import judged
 from daedap.llm.syncmers import fingerprints, shared_passages
 from daedap.llm.warc import page_captures, read_archives, transactions, write_archives
@@ -99,6 +100,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(write_tokens(table(spark, sf_dir, "documents"), tokenizer))
 
 
+def op11_skip_chain_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_captures": op1_warc_captures,
     "op2_quality_classifier": op2_quality_classifier,
@@ -110,6 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_closed_syncmers": op8_closed_syncmers,
     "op9_max_plus_encoding": op9_max_plus_encoding,
     "op10_token_files": op10_token_files,
+    "op11_skip_chain_pii": op11_skip_chain_pii,
     "syncmer_passages": syncmer_passages,
 }
 
