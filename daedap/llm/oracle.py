@@ -54,7 +54,34 @@ SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id,
 FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id
 JOIN (SELECT node, min(other) AS component_id FROM reached GROUP BY node) ON node = d.doc_id"""
 
+# Every document scored for every item, term by term.
+RANKED_SEARCH = rf"""
+WITH found AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+docs AS MATERIALIZED (SELECT doc_id, len(terms) AS n, terms FROM found WHERE len(terms) > 0),
+stats AS MATERIALIZED (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS total FROM docs),
+frequencies AS MATERIALIZED (
+  SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(terms) AS term FROM docs) GROUP BY ALL),
+weights AS MATERIALIZED (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM frequencies GROUP BY term), stats),
+asked AS MATERIALIZED (
+  SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'),
+                                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+scored AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // total)))) AS BIGINT) AS score
+  FROM asked JOIN weights USING (term) JOIN frequencies USING (term) JOIN docs USING (doc_id), stats
+  GROUP BY item_id, doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+      FROM scored WHERE score > 0)
+WHERE rank <= 20"""
+
 ORACLE: dict[str, str] = {
     "op1_warc_captures": WARC_CAPTURES,
     "op4_near_duplicates": NEAR_DUPLICATES,
+    "op12_accumulator_search": RANKED_SEARCH,
 }

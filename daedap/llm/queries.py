@@ -17,9 +17,11 @@ from daedap.llm.minhash import near_duplicates
 from daedap.llm.oracle import ORACLE
 from daedap.llm.packing import pack, token_pieces
 from daedap.llm.pii import personal_data
+from daedap.llm.search import ranked
 from daedap.llm.supervision import judged
 from daedap.llm.syncmers import fingerprints, shared_passages
 from daedap.llm.warc import page_captures, read_archives, transactions, write_archives
+from daedap.llm.whitening import whitened
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -104,6 +106,14 @@ def op11_skip_chain_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(table(spark, sf_dir, "documents"))
 
 
+def op12_accumulator_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_chebyshev_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_captures": op1_warc_captures,
     "op2_quality_classifier": op2_quality_classifier,
@@ -116,6 +126,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_max_plus_encoding": op9_max_plus_encoding,
     "op10_token_files": op10_token_files,
     "op11_skip_chain_pii": op11_skip_chain_pii,
+    "op12_accumulator_search": op12_accumulator_search,
+    "op13_chebyshev_whitening": op13_chebyshev_whitening,
     "syncmer_passages": syncmer_passages,
 }
 
