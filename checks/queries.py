@@ -65,7 +65,7 @@ from daedap.plans.answering import (
     ranked_contexts,
     read_contexts,
 )
-from daedap.session import SmallSide, in_batches, shared_dir
+from daedap.session import SmallSide, shared_dir, sized
 from daedap.sources.answers import (
     last_write_wins,
     map_entries,
@@ -151,8 +151,7 @@ def questions(spark: SparkSession, sf_dir: str, normalized: bool = False) -> Dat
 def batched(
     spark: SparkSession, sf_dir: str, run: Callable[[DataFrame, SmallSide], DataFrame]
 ) -> DataFrame:
-    per_task = index(spark, sf_dir).documents_per_task
-    return in_batches(questions(spark, sf_dir), per_task, run)
+    return sized(questions(spark, sf_dir), run)
 
 
 def turns(spark: SparkSession, sf_dir: str, role: str) -> DataFrame:

@@ -5,18 +5,32 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daedap.functions.text import Tokenizer, clean_words, normalize, searchable
 from daedap.session import partitions_for
 
+# Fixed value: how far a document's length counts in all three rankings.
+B = 0.75
+
+# Rows of a page and bytes of a row group of postings.
+LAYOUT = {"parquet.page.row.count.limit": "2000", "parquet.block.size": str(16 * 2**20)}
+
+# Ranges in which terms are looked for, and terms in one of them at most.
+MOST_RANGES = 32
+RANGE_TERMS = 32
+
 
 @dataclass(frozen=True)
 class Index:
     """``docs(doc_pos, is_candidate)``, one row per document, empty ones included;
     ``postings(doc_pos, is_candidate, dl, term, tf)``, hash partitioned by ``doc_pos``;
-    ``terms(term, df)``; ``stats(n, total_tokens, avgdl)``, one row."""
+    ``terms(term, df, densest)``; ``stats(n, total_tokens, avgdl)``, one row.
+
+    ``densest`` is the largest frequency of the term in a document, divided by that
+    document's length norm: what any document gains by the term is at most what this
+    gains at a norm of 1."""
 
     docs: DataFrame
     postings: DataFrame
@@ -65,31 +79,43 @@ def build_index(
         .agg(F.count("*").cast("int").alias("tf"))
     )
     docs = corpus.select("doc_pos", "is_candidate")
-    return _with_totals(docs, postings, n_documents, partitions)
+    stats = _totals(postings, n_documents)
+    return Index(docs, postings, _terms(postings, stats), stats, n_documents, partitions)
 
 
-def _with_totals(
-    docs: DataFrame, postings: DataFrame, n_documents: int, partitions: int
-) -> Index:
-    terms = postings.groupBy("term").agg(F.count("*").alias("df"))
-    stats = (
+def length_norm(dl: Column, avgdl: Column) -> Column:
+    return 1 - B + B * dl / avgdl
+
+
+def _totals(postings: DataFrame, n_documents: int) -> DataFrame:
+    return (
         postings.agg(F.coalesce(F.sum("tf"), F.lit(0)).alias("total_tokens"))
         .withColumn("n", F.lit(n_documents).cast("long"))
         .select("n", "total_tokens", F.expr("try_divide(total_tokens, n)").alias("avgdl"))
     )
-    return Index(docs, postings, terms, stats, n_documents, partitions)
+
+
+def _terms(postings: DataFrame, stats: DataFrame) -> DataFrame:
+    density = F.col("tf") / length_norm(F.col("dl"), stats.select("avgdl").scalar())
+    return postings.groupBy("term").agg(
+        F.count("*").alias("df"), F.max(density).alias("densest")
+    )
 
 
 def store_index(index: Index, folder: str) -> Index:
     """Write the index under ``folder`` and return it as read from there.
 
     Postings are bucketed by document, so a scan keeps the partitioning that
-    ``build_index`` made. The term table is counted from the written postings.
+    ``build_index`` made, and sorted by term inside a bucket, in small pages: a scan for
+    named terms skips the others by the statistics of row groups and pages. Totals and
+    terms are counted from the written postings.
     """
     spark = index.docs.sparkSession
     (
         index.postings.write.mode("overwrite")
         .bucketBy(index.partitions, "doc_pos")
+        .sortBy("term")
+        .options(**LAYOUT)
         .option("path", f"{folder}/postings")
         .saveAsTable(_table_name())
     )
@@ -97,10 +123,10 @@ def store_index(index: Index, folder: str) -> Index:
     layout = [(index.n_documents, index.partitions)]
     layout = spark.createDataFrame(layout, "n_documents long, partitions int")
     layout.coalesce(1).write.mode("overwrite").parquet(f"{folder}/layout")
-    docs, postings = spark.read.parquet(f"{folder}/docs"), _bucketed(spark, folder, index.partitions)
-    written = _with_totals(docs, postings, index.n_documents, index.partitions)
-    written.terms.write.mode("overwrite").parquet(f"{folder}/terms")
-    written.stats.write.mode("overwrite").parquet(f"{folder}/stats")
+    postings = _bucketed(spark, folder, index.partitions)
+    _totals(postings, index.n_documents).write.mode("overwrite").parquet(f"{folder}/stats")
+    terms = _terms(postings, spark.read.parquet(f"{folder}/stats"))
+    terms.write.mode("overwrite").parquet(f"{folder}/terms")
     return open_index(spark, folder)
 
 
@@ -117,6 +143,23 @@ def open_index(spark: SparkSession, folder: str) -> Index:
     )
 
 
+def postings_of(postings: DataFrame, terms: list[str] | None) -> DataFrame:
+    """Postings less those that cannot be of one of ``terms``; all of them without any named.
+
+    The terms are put as a few ranges that Spark hands to the Parquet reader; what stands
+    in a range between two terms stays.
+    """
+    if terms is None or len(terms) > MOST_RANGES * RANGE_TERMS:
+        return postings
+    step = max(1, -(-len(terms) // MOST_RANGES))
+    runs = [terms[i : i + step] for i in range(0, len(terms), step)]
+    found = F.lit(False)
+    for run in runs:
+        here = F.col("term") == run[0] if len(run) == 1 else F.col("term").between(run[0], run[-1])
+        found = found | here
+    return postings.filter(found)
+
+
 def _table_name() -> str:
     return f"postings_{uuid.uuid4().hex}"
 

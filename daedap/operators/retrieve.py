@@ -8,16 +8,17 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from daedap.operators.index import Index
-from daedap.session import SmallSide, in_batches
-from daedap.sources.corpus import block_of
+from daedap import session
+from daedap.operators.index import Index, length_norm, postings_of
+from daedap.session import SmallSide, materialize, sized
+from daedap.sources.corpus import block_of, documents_per_block
 
 # Scores are added up as whole billionths: the sum of doubles depends on their
 # order, and so on partitions and retries, and would order exact copies by noise.
 UNIT = 1_000_000_000
 
+# Fixed value: how fast repeats of a term count less, in all three rankings.
 K1 = 1.5
-B = 0.75
 
 
 @dataclass(frozen=True)
@@ -27,28 +28,33 @@ class Ranker:
     A document scores ``idf * (floor + gain)`` for every question token. ``floor``
     is what a document without the term gets, ``gain`` what the term adds. So a
     question has one base score, and only matching documents need a row.
+
+    ``gain`` takes a term's frequency and the length norm; it is 0 or more and grows with
+    the quotient of both. ``signed`` says that an idf can be below zero, so that a document
+    can lose by a match.
     """
 
     idf: Callable[[DataFrame, Column], DataFrame]
     gain: Callable[[Column, Column], Column]
     floor: float = 0.0
-
-
-def _length_norm(dl: Column, avgdl: Column) -> Column:
-    return 1 - B + B * dl / avgdl
+    signed: bool = False
 
 
 def _with_idf(formula: Callable[[Column, Column], Column]):
     return lambda terms, n: terms.withColumn("idf", formula(n, F.col("df")))
 
 
+def _raw_idf(n: Column) -> Column:
+    return F.log(n - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)
+
+
 def _okapi_idf(terms: DataFrame, n: Column) -> DataFrame:
-    """Terms in over half of the documents get a quarter of the average idf."""
-    raw = F.log(n - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)
+    """Terms in over half of the documents get a quarter of the average idf.
+
+    That is below zero for a corpus most of whose terms are in most documents.
+    """
+    raw = _raw_idf(n)
     least = 0.25 * terms.agg(F.avg(raw)).scalar()
-    # Below zero only for a corpus most of whose terms are in most documents. A
-    # document could then score less than one without any match.
-    least = F.when(least >= 0, least).otherwise(F.raise_error("average idf is below zero"))
     return terms.withColumn("idf", F.when(raw < 0, least).otherwise(raw))
 
 
@@ -58,7 +64,9 @@ PLUS = Ranker(
     gain=lambda tf, norm: tf * (K1 + 1) / (K1 * norm + tf),
     floor=1.0,
 )
-OKAPI = Ranker(idf=_okapi_idf, gain=lambda tf, norm: tf * (K1 + 1) / (K1 * norm + tf))
+OKAPI = Ranker(
+    idf=_okapi_idf, gain=lambda tf, norm: tf * (K1 + 1) / (K1 * norm + tf), signed=True
+)
 L_DELTA = 0.5
 L_FLOOR = (K1 + 1) * L_DELTA / (K1 + L_DELTA)
 L = Ranker(
@@ -80,7 +88,7 @@ def score_value(units: Column) -> Column:
 def question_weights(
     questions: DataFrame, index: Index, ranker: Ranker, small: SmallSide
 ) -> DataFrame:
-    """``question_id, term, qtf, df, idf`` for the question terms that the index knows."""
+    """``question_id, term, qtf, df, densest, idf`` for the question terms that the index knows."""
     asked = (
         questions.select("question_id", F.explode("tokens").alias("term"))
         .groupBy("question_id", "term")
@@ -90,16 +98,40 @@ def question_weights(
     return small(asked).join(terms, "term")
 
 
+def _met(postings: DataFrame, weights: DataFrame, index: Index, small: SmallSide) -> DataFrame:
+    """Postings joined with the question terms they are of, the postings scanned once.
+
+    A question set that fits goes to the postings. A larger one meets them by term in a
+    shuffle: the postings of a term in very many documents are dealt over several tasks by
+    document, and its question terms go to each of these. Of such terms there are at most
+    a thousand times as many as a document has on average.
+    """
+    if small.broadcasts:
+        return postings.join(F.broadcast(weights.drop("df")), "term")
+    limit = max(index.documents_per_task, index.n_documents // 1000)
+    shares = F.ceil(F.col("df") / limit)
+    hot = weights.filter(F.col("df") > limit).select("term", shares.alias("shares")).distinct()
+    share = F.coalesce(F.pmod(F.xxhash64("doc_pos"), F.col("shares")), F.lit(0)).alias("share")
+    dealt = postings.join(F.broadcast(hot), "term", "left").select(*postings.columns, share)
+    last = F.greatest(shares, F.lit(1)) - 1
+    spread = weights.withColumn("share", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    return dealt.join(spread.drop("df"), ["term", "share"]).drop("share")
+
+
 def match_units(index: Index, weights: DataFrame, ranker: Ranker, small: SmallSide) -> DataFrame:
     """``question_id, doc_pos, match`` for every document sharing a term with a question.
 
-    Postings are partitioned by document, so the sum over terms needs no shuffle.
+    Postings are partitioned by document, so where the question terms are broadcast the
+    sum over terms needs no shuffle.
     """
-    norm = _length_norm(F.col("dl"), index.stats.select("avgdl").scalar())
-    gains = index.postings.select("doc_pos", "term", ranker.gain(F.col("tf"), norm).alias("gain"))
-    weighted = weights.select("question_id", "term", (F.col("qtf") * F.col("idf")).alias("weight"))
+    norm = length_norm(F.col("dl"), index.stats.select("avgdl").scalar())
+    gains = postings_of(index.postings, small.terms).select(
+        "doc_pos", "term", ranker.gain(F.col("tf"), norm).alias("gain")
+    )
+    weight = (F.col("qtf") * F.col("idf")).alias("weight")
+    weighted = weights.select("question_id", "term", "df", weight)
     return (
-        gains.join(small(weighted), "term")
+        _met(gains, weighted, index, small)
         .groupBy("doc_pos", "question_id")
         .agg(F.sum(_units(F.col("weight") * F.col("gain"))).alias("match"))
     )
@@ -145,7 +177,7 @@ def score_documents(
             "question_id", "doc_pos", score_value(F.col("base") + F.col("match")).alias("score")
         )
 
-    return in_batches(questions, index.documents_per_task, run)
+    return sized(questions, run)
 
 
 def base_scores(index: Index, questions: DataFrame, ranker: Ranker = PLUS) -> DataFrame:
@@ -155,7 +187,7 @@ def base_scores(index: Index, questions: DataFrame, ranker: Ranker = PLUS) -> Da
         base = base_units(batch, question_weights(batch, index, ranker, small), ranker, small)
         return base.select("question_id", score_value(F.col("base")).alias("score"))
 
-    return in_batches(questions, index.documents_per_task, run)
+    return sized(questions, run)
 
 
 def _by_score() -> WindowSpec:
@@ -173,6 +205,154 @@ def _best_matches(matches: DataFrame, n: int) -> DataFrame:
     return ranked.filter(F.col("rank") <= n)
 
 
+def _pairs_units(
+    pairs: DataFrame, index: Index, weights: DataFrame, ranker: Ranker, small: SmallSide
+) -> DataFrame:
+    """``question_id, doc_pos, match`` of some ``pairs(question_id, doc_pos)``, by ``weights``.
+
+    Pairs meet the postings of their document, and these the terms of their question.
+    """
+    norm = length_norm(F.col("dl"), index.stats.select("avgdl").scalar())
+    gains = postings_of(index.postings, small.terms).select(
+        "doc_pos", "term", ranker.gain(F.col("tf"), norm).alias("gain")
+    )
+    asked = weights.select("term").distinct()
+    weight = (F.col("qtf") * F.col("idf")).alias("weight")
+    weighted = weights.select("question_id", "term", weight)
+    return (
+        gains.join(small(asked), "term", "left_semi")
+        .join(pairs.hint("shuffle_hash"), "doc_pos")
+        .join(small(weighted), ["question_id", "term"])
+        .groupBy("question_id", "doc_pos")
+        .agg(F.sum(_units(F.col("weight") * F.col("gain"))).alias("match"))
+    )
+
+
+def bounded_matches(
+    index: Index,
+    weights: DataFrame,
+    n: int,
+    ranker: Ranker,
+    small: SmallSide,
+    probe: int | None = None,
+) -> DataFrame:
+    """The n best matching documents of each question and more, their ``match`` exact.
+
+    The documents that the rarest terms of a question rank first get their exact scores;
+    the n-th best of these is reached by n documents. Then terms are added up rarest first,
+    as far as those left over could lift a document above that threshold on their own:
+    a document with none of these terms stays below it. Of the others, those that the terms
+    left over cannot lift to it are dropped, and only the rest is brought to exact scores.
+    Rests and thresholds are written meanwhile; no idf may be below zero.
+    """
+    probe = 100 * n if probe is None else probe
+    most = _units(F.col("qtf") * F.col("idf") * ranker.gain(F.col("densest"), F.lit(1.0))) + 1
+    rarest = Window.partitionBy("question_id").orderBy("df", "term")
+    before = F.sum("df").over(rarest.rowsBetween(Window.unboundedPreceding, -1))
+    weights = materialize(
+        weights.withColumn("most", most)
+        .withColumn("before", F.coalesce(before, F.lit(0)))
+        # What this term and all more frequent ones can add at most.
+        .withColumn("rest", F.sum("most").over(rarest.rowsBetween(0, Window.unboundedFollowing)))
+    )
+    first = match_units(index, weights.filter(F.col("before") < probe), ranker, small)
+    candidates = materialize(_best_matches(first, 3 * n).select("question_id", "doc_pos"))
+    exact = _best_matches(_pairs_units(candidates, index, weights, ranker, small), n)
+    threshold = exact.filter(F.col("rank") == n).select("question_id", F.col("match").alias("threshold"))
+    weights = materialize(
+        weights.join(small(threshold), "question_id", "left").withColumn(
+            "needed", F.col("rest") >= F.coalesce("threshold", F.lit(0))
+        )
+    )
+    left = weights.groupBy("question_id").agg(
+        F.coalesce(F.max("threshold"), F.lit(0)).alias("threshold"),
+        F.coalesce(F.max(F.when(~F.col("needed"), F.col("rest"))), F.lit(0)).alias("left"),
+    )
+    partial = match_units(index, weights.filter("needed"), ranker, small)
+    hopeful = materialize(
+        partial.join(small(left), "question_id")
+        .filter(F.col("match") + F.col("left") >= F.col("threshold"))
+        .select("question_id", "doc_pos", "match")
+    )
+    pairs = hopeful.select("question_id", "doc_pos")
+    more = _pairs_units(pairs, index, weights.filter("not needed"), ranker, small)
+    return hopeful.unionByName(more).groupBy("question_id", "doc_pos").agg(F.sum("match").alias("match"))
+
+
+def _is_large(index: Index, small: SmallSide) -> bool:
+    return index.n_documents * small.tokens > session.LIMITS.direct_pairs
+
+
+def _loses_by_matches(index: Index, ranker: Ranker) -> bool:
+    """Can a document lose by a match in this corpus? One number comes to the driver."""
+    if not ranker.signed:
+        return False
+    idf = ranker.idf(index.terms, index.stats.select("n").scalar())
+    least = idf.agg(F.min("idf").alias("least")).first()["least"]
+    return least is not None and least < 0
+
+
+# Positions in a block, for finding documents that do not match.
+GAP_BLOCK = 4096
+
+
+def unmatched(scope: DataFrame, matches: DataFrame, questions: DataFrame, n: int) -> DataFrame:
+    """``question_id, doc_pos``: the n highest positions that do not match each question.
+
+    Where a match can cost a document, those without one stand between the others. They
+    are found by counting: of blocks of positions it is known how many documents they have,
+    and how many of these match; from the top, the first places not taken are in at most n
+    blocks that have some match and in the first blocks of runs that have none. Only in these
+    are documents looked at one by one, at most n * (n + 1) blocks to a question.
+    """
+    block = F.floor(F.col("doc_pos") / GAP_BLOCK)
+    from_top = Window.orderBy(F.desc("block"))
+    # One row per block: numbered from the top, with the documents in those above it.
+    blocks = materialize(
+        scope.groupBy(block.alias("block"))
+        .agg(F.count("*").alias("size"))
+        .withColumn("place", F.row_number().over(from_top))
+        .withColumn("above", F.sum("size").over(from_top) - F.col("size"))
+    )
+    by_place = Window.partitionBy("question_id").orderBy("place")
+    taken = (
+        matches.groupBy("question_id", block.alias("block"))
+        .agg(F.count("*").alias("taken"))
+        .join(blocks, "block")
+        .select("question_id", "place", "size", "above", "taken")
+    )
+    # Every question has a last row behind all blocks, so that its last run has an end.
+    end = blocks.agg(
+        (F.coalesce(F.max("place"), F.lit(0)) + 1).alias("place"),
+        F.lit(0).cast("long").alias("size"),
+        F.coalesce(F.sum("size"), F.lit(0)).alias("above"),
+    )
+    ends = questions.select(
+        "question_id", F.explode(F.array(F.struct(*[end.select(c).scalar().alias(c) for c in end.columns]))).alias("end")
+    ).select("question_id", "end.*", F.lit(0).cast("long").alias("taken"))
+    free = (
+        taken.unionByName(ends)
+        .withColumn("taken_above", F.sum("taken").over(by_place) - F.col("taken"))
+        .withColumn("last", F.coalesce(F.lag("place").over(by_place), F.lit(0)))
+        .withColumn("last_free", F.col("above") - F.col("taken_above"))
+        .withColumn("before_run", F.coalesce(F.lag(F.col("above") + F.col("size") - F.col("taken_above") - F.col("taken")).over(by_place), F.lit(0)))
+    )
+    own = free.filter((F.col("size") > F.col("taken")) & (F.col("last_free") < n)).select("question_id", "place")
+    runs = free.filter((F.col("place") - F.col("last") > 1) & (F.col("before_run") < n)).select(
+        "question_id",
+        F.explode(F.sequence(F.col("last") + 1, F.least(F.col("place") - 1, F.col("last") + n))).alias("place"),
+    )
+    wanted = own.unionByName(runs).join(blocks.select("place", "block"), "place").select("question_id", "block")
+    positions = scope.select("doc_pos", block.alias("block")).join(wanted, "block").drop("block")
+    free_places = positions.join(matches.select("question_id", "doc_pos"), ["question_id", "doc_pos"], "left_anti")
+    highest = Window.partitionBy("question_id").orderBy(F.desc("doc_pos"))
+    return (
+        free_places.withColumn("rank", F.row_number().over(highest))
+        .filter(F.col("rank") <= n)
+        .select("question_id", "doc_pos")
+    )
+
+
 def top_units(
     index: Index,
     questions: DataFrame,
@@ -184,26 +364,32 @@ def top_units(
     """``question_id, doc_pos, rank, units, best``: the n best documents of each question."""
     weights = question_weights(questions, index, ranker, small)
     scope = _scoped(index, candidates_only)
-    matched = _best_matches(match_units(scope, weights, ranker, small), n)
-    # Where fewer than n documents match, those without a match follow, the
-    # highest positions first. Fewer than n match then, so the last 2n documents
-    # hold enough of the others.
-    last = scope.docs.orderBy(F.desc("doc_pos")).limit(2 * n)
-    filler = base_units(questions, weights, ranker, small).select(
-        "question_id",
-        F.explode_outer(last.agg(F.collect_list("doc_pos")).scalar()).alias("doc_pos"),
-        F.lit(0).cast("long").alias("match"),
-        "base",
-    )
+    base = base_units(questions, weights, ranker, small)
+    if _loses_by_matches(index, ranker):
+        matches = materialize(match_units(scope, weights, ranker, small))
+        others = unmatched(scope.docs, matches, questions, n)
+        filler = base.join(others, "question_id", "left")
+    else:
+        large = _is_large(index, small)
+        matches = (bounded_matches if large else _all_matches)(scope, weights, n, ranker, small)
+        # Where fewer than n documents match, those without a match follow, the highest
+        # positions first. Fewer than n match then, so the last 2n documents hold
+        # enough of the others.
+        last = scope.docs.orderBy(F.desc("doc_pos")).limit(2 * n)
+        positions = F.explode_outer(last.agg(F.collect_list("doc_pos")).scalar())
+        filler = base.select("question_id", "base", positions.alias("doc_pos"))
+    filler = filler.select("question_id", "doc_pos", F.lit(0).cast("long").alias("match"), "base")
+    matched = _best_matches(matches, n)
     by_question = Window.partitionBy("question_id")
     return (
         matched.select("question_id", "doc_pos", "match", F.lit(None).cast("long").alias("base"))
-        .unionByName(filler.filter(F.col("doc_pos").isNotNull()))
+        .unionByName(filler)
         # At most 3n rows to a question; grouping and ranking share this shuffle.
         .repartition("question_id")
         .groupBy("question_id", "doc_pos")
         .agg(F.max("match").alias("match"), F.max("base").alias("base"))
         .withColumn("base", F.max("base").over(by_question))
+        .filter(F.col("doc_pos").isNotNull())
         .withColumn("rank", F.row_number().over(_by_score()))
         .filter(F.col("rank") <= n)
         .withColumn("units", F.col("base") + F.col("match"))
@@ -217,6 +403,12 @@ def top_units(
     )
 
 
+def _all_matches(
+    index: Index, weights: DataFrame, n: int, ranker: Ranker, small: SmallSide
+) -> DataFrame:
+    return match_units(index, weights, ranker, small)
+
+
 def in_cut(cut: float) -> Column:
     """Is a document's score above ``cut`` times the question's best score?"""
     return F.col("units") > cut * F.col("best")
@@ -240,7 +432,7 @@ def top_documents(
         kept = top if cut is None else top.filter(in_cut(cut))
         return kept.select("question_id", "rank", "doc_pos", score_value(F.col("units")).alias("score"))
 
-    return in_batches(questions, index.documents_per_task, run)
+    return sized(questions, run)
 
 
 def fetch_text(ranked: DataFrame, corpus: DataFrame, small: SmallSide) -> DataFrame:
@@ -252,7 +444,7 @@ def fetch_text(ranked: DataFrame, corpus: DataFrame, small: SmallSide) -> DataFr
     if "doc_block" not in corpus.columns:
         return small(ranked).join(texts, "doc_pos")
     texts = corpus.select("doc_pos", "text", "is_candidate", "doc_block")
-    blocked = ranked.withColumn("doc_block", block_of())
+    blocked = ranked.withColumn("doc_block", block_of(documents_per_block(corpus)))
     return small(blocked).join(texts, ["doc_pos", "doc_block"]).drop("doc_block")
 
 
@@ -265,4 +457,4 @@ def documents_with_text(
         top = top_units(index, batch, n, ranker, True, small).select("question_id", "rank", "doc_pos")
         return fetch_text(top, corpus, small).select("question_id", "rank", "doc_pos", "text")
 
-    return in_batches(questions, index.documents_per_task, run)
+    return sized(questions, run)

@@ -18,7 +18,7 @@ from daedap.operators.retrieve import (
     score_value,
     top_units,
 )
-from daedap.session import SmallSide, in_batches, materialize
+from daedap.session import SmallSide, materialize, sized
 
 # Digits of the exact quantile search, and where each begins: all 64 bits of a score.
 DIGIT = 16
@@ -72,7 +72,7 @@ def score_runs(index: Index, questions: DataFrame, ranker: Ranker = PLUS) -> Dat
             .agg(F.sum("n_docs").alias("n_docs"))
         )
 
-    return in_batches(questions, index.documents_per_task, run)
+    return sized(questions, run)
 
 
 def _values_at(runs: DataFrame, wanted: DataFrame, small: SmallSide) -> DataFrame:
@@ -183,7 +183,7 @@ def score_distribution(
             F.round(cut * best, 4).alias("cut_score"),
         )
 
-    return in_batches(questions, index.documents_per_task, run)
+    return sized(questions, run)
 
 
 def best_scores(
@@ -195,4 +195,4 @@ def best_scores(
         top = top_units(index, batch, n, ranker, False, small)
         return top.select("question_id", "rank", score_value(F.col("units")).alias("score"))
 
-    return in_batches(questions, index.documents_per_task, run)
+    return sized(questions, run)

@@ -21,7 +21,7 @@ from daedap.operators.select import (
     with_unanswered,
 )
 from daedap.plans.params import CutParams, RankParams
-from daedap.session import SmallSide, in_batches, materialize
+from daedap.session import SmallSide, materialize, sized
 
 # Adds ``morph`` and ``pos``, the last morpheme of ``answer`` and its tag.
 Tagger = Callable[[DataFrame], DataFrame]
@@ -75,7 +75,7 @@ def cut_candidates(
         read = read_contexts(contexts, batch, index, small, reader, params.max_tokens, tokenizer)
         return spans(read, params.end_weight, params.spans, params.end_source, postprocess)
 
-    return in_batches(questions, index.documents_per_task, run)
+    return sized(questions, run)
 
 
 def select_answers(candidates: DataFrame, params: CutParams, tagger: Tagger) -> DataFrame:
@@ -121,7 +121,7 @@ def answer_by_cut(
     The documents outside the cut are read along with the others, in one pass.
     Where reading is dear, ``read_again`` first answers from the cut alone and
     reads all documents only for the questions left over; jobs for that run while
-    the plan is built, as they do for question sets of more than one batch.
+    the plan is built.
     """
     if not read_again:
         candidates = cut_candidates(
@@ -141,7 +141,7 @@ def answer_by_cut(
         left_over = contexts.join(small(first.select("question_id")), "question_id", "left_anti")
         return first.unionByName(answers(left_over))
 
-    return with_unanswered(in_batches(questions, index.documents_per_task, run), questions)
+    return with_unanswered(sized(questions, run), questions)
 
 
 def answer_by_rank(
@@ -162,20 +162,16 @@ def answer_by_rank(
     ``windows`` blanks are dropped, joined contexts are read first, and single
     documents only for the questions these leave unanswered. Without, the
     ``read_first`` best documents are read first, and the others only for the
-    questions left over. Ranked documents and first answers are written, by jobs
-    that run while the plan is built.
+    questions left over. The texts of ranked documents and first answers are written,
+    by jobs that run while the plan is built.
     """
 
     def run(batch: DataFrame, small: SmallSide) -> DataFrame:
-        top = materialize(
-            top_units(index, batch, params.documents, ranker, False, small).select(
-                "question_id", "doc_pos", "rank"
-            )
-        )
-
-        def texts(ranked: DataFrame) -> DataFrame:
-            fetched = blank_outside_scope(fetch_text(ranked, corpus, small))
-            return fetched.select("question_id", "rank", "text")
+        top = top_units(index, batch, params.documents, ranker, False, small)
+        texts = fetch_text(top.select("question_id", "doc_pos", "rank"), corpus, small)
+        texts = blank_outside_scope(texts).select("question_id", "rank", "text")
+        # Written once, so that the corpus is read once, whoever reads on.
+        ranked = materialize(drop_blank(texts) if params.windows else texts)
 
         def unanswered(rows: DataFrame, first: DataFrame) -> DataFrame:
             return rows.join(small(first.select("question_id")), "question_id", "left_anti")
@@ -202,11 +198,10 @@ def answer_by_rank(
             return first.withColumn("stage", F.lit(stage))
 
         if params.windows:
-            ranked = materialize(drop_blank(texts(top)))
             first = materialize(answers(sliding_contexts(ranked, batch), "window"))
             return first.unionByName(answers(unanswered(ranked, first), "single"))
         best = F.col("rank") <= read_first
-        first = materialize(answers(texts(top.filter(best)), "single"))
-        return first.unionByName(answers(texts(unanswered(top.filter(~best), first)), "single"))
+        first = materialize(answers(ranked.filter(best), "single"))
+        return first.unionByName(answers(unanswered(ranked.filter(~best), first), "single"))
 
-    return with_unanswered(in_batches(questions, index.documents_per_task, run), questions)
+    return with_unanswered(sized(questions, run), questions)

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -16,45 +14,63 @@ from pyspark.sql import functions as F
 class Limits:
     """The sizes that decide how a job is divided; none changes its rows.
 
-    ``batch_tokens`` and ``batch_questions`` bound what one batch of questions
-    broadcasts: its tokens, some 100 bytes each, and its ranked documents, some 40
-    bytes each and 30 to a question; so 200 MB and 60 MB, far below what Spark
-    accepts. ``pairs_per_task`` bounds the (document, question) pairs that one task
-    may have to add up scores for. A question set beyond these runs in batches, each
-    written before the next; a single question beyond ``batch_tokens`` runs as a
-    shuffle join.
+    ``batch_tokens`` and ``batch_questions`` bound what a question set broadcasts: its
+    tokens, some 100 bytes each, and its ranked documents, some 40 bytes each and 30 to
+    a question; so 200 MB and 60 MB, far below what Spark accepts. A larger question set
+    meets the postings in one shuffle join instead, frequent terms split.
+
+    Up to ``named_tokens`` tokens of a question set, its terms are named in the posting
+    scan, which then reads only the pages that can hold them.
+
+    A question set with more than ``direct_pairs`` possible (document, token) pairs is
+    ranked with score bounds: common terms are added up only for documents that can
+    still come among the best.
 
     An index has a partition for every ``documents_per_task`` documents, at most
     ``most_partitions`` (bucketed tables may not have many more), and fewer than
     ``spark.sql.shuffle.partitions`` if these would hold under ``few_documents`` each.
+    A stored corpus has at most ``most_blocks`` blocks, of ``least_block`` documents or more.
     """
 
     batch_tokens: int = 2_000_000
     batch_questions: int = 50_000
-    pairs_per_task: int = 100_000_000
+    named_tokens: int = 4_096
+    direct_pairs: int = 20_000_000_000
     documents_per_task: int = 50_000
     few_documents: int = 250
     most_partitions: int = 50_000
+    most_blocks: int = 4_096
+    least_block: int = 256
 
 
 LIMITS = Limits()
 
-# Marks the small side of a join: ``F.broadcast``, or nothing where it is too big.
-SmallSide = Callable[[DataFrame], DataFrame]
+
+@dataclass(frozen=True)
+class SmallSide:
+    """Marks the small side of a join, and tells what is known of the question set."""
+
+    broadcasts: bool
+    tokens: int
+    terms: list[str] | None  # its different tokens, where they are few
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if self.broadcasts else df
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as ``spark.checkpoint.dir`` names it.
 
-    Only a local session, where driver and executors are one machine, may go
-    without the setting; it gets a folder of its own.
+    Only a local session, where driver and executors are one machine, may go without
+    the setting; it uses a folder in its warehouse.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if not named and not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="daedap-"))
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        context.setCheckpointDir(named or f"{warehouse}/_shared-{context.applicationId}")
     return named or context.getCheckpointDir()
 
 
@@ -76,45 +92,27 @@ def partitions_for(spark: SparkSession, n_documents: int, limits: Limits = LIMIT
     return max(1, least, min(usual, -(-n_documents // limits.few_documents)))
 
 
-def in_batches(
+def sized(
     questions: DataFrame,
-    documents_per_task: int,
     run: Callable[[DataFrame, SmallSide], DataFrame],
     limits: Limits | None = None,
 ) -> DataFrame:
-    """Run over ``questions(question_id, tokens, ..)`` in batches that fit one broadcast.
+    """Run over ``questions(question_id, tokens, ..)``, all of them in one plan.
 
-    Their sizes are counted at once, by a job that runs while the plan is built.
-    Raises ValueError if ids repeat: their questions would be mixed up.
-
-    The usual question set is one batch and stays lazy. A larger one is split by
-    a hash of its key; each batch is finished and written before the next
-    starts, so the corpus is read once per batch and never shuffled to meet the
-    questions. A batch still over the limit (one giant question) runs without
-    the broadcast hint, and Spark shuffles both sides instead.
+    Their sizes are counted at once, by a job that runs while the plan is built. A
+    question set that fits a broadcast is one; a larger one gets no hint, and its plan
+    shuffles. Either way the corpus is scanned once for all questions. Raises ValueError
+    if ids repeat: their questions would be mixed up.
     """
     limits = limits or LIMITS
-    pairs = limits.pairs_per_task // max(documents_per_task, 1)
-    most = max(1, min(limits.batch_questions, pairs))
-    tokens = F.coalesce(F.sum(F.size("tokens").cast("long")), F.lit(0)).alias("tokens")
-    size = [F.count("*").alias("n"), tokens]
-
-    def small_side(tokens: int) -> SmallSide:
-        return F.broadcast if tokens <= limits.batch_tokens else (lambda df: df)
-
     different = F.count_distinct(F.struct("question_id")).alias("different")
-    total = questions.agg(*size, different).first()
+    tokens = F.coalesce(F.sum(F.size("tokens").cast("long")), F.lit(0)).alias("tokens")
+    total = questions.agg(F.count("*").alias("n"), tokens, different).first()
     if total["different"] < total["n"]:
         raise ValueError("question ids repeat; give as_questions an order")
-    if total["n"] <= most and total["tokens"] <= limits.batch_tokens:
-        return run(questions, small_side(total["tokens"]))
-    # Half-full batches, so that an uneven hash still stays under the limits.
-    count = max(-(-2 * total["n"] // most), -(-2 * total["tokens"] // limits.batch_tokens))
-    batch = F.pmod(F.xxhash64("question_id"), F.lit(count))
-    # One row per batch.
-    sizes = questions.groupBy(batch.alias("batch")).agg(*size).orderBy("batch").collect()
-    parts = [
-        materialize(run(questions.filter(batch == row["batch"]), small_side(row["tokens"])))
-        for row in sizes
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    fits = total["n"] <= limits.batch_questions and total["tokens"] <= limits.batch_tokens
+    terms = None
+    if total["tokens"] <= limits.named_tokens:
+        listed = questions.select("tokens").collect()  # at most ``named_tokens`` words
+        terms = sorted({token for row in listed for token in row["tokens"] or ()})
+    return run(questions, SmallSide(fits, total["tokens"], terms))

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from daedap import session
 from daedap.session import partitions_for
 
-# Documents per folder of a stored corpus.
-BLOCK = 100_000
-
 # Files that cannot be read raise an error instead of being left out.
 STRICT = {"mode": "FAILFAST"}
 
@@ -105,23 +104,44 @@ def with_scope(corpus: DataFrame, first_n: int) -> DataFrame:
     return corpus.withColumn("is_candidate", F.col("doc_pos") < first_n)
 
 
-def block_of(doc_pos: str = "doc_pos") -> Column:
-    return F.floor(F.col(doc_pos) / BLOCK)
+def block_of(documents: int, doc_pos: str = "doc_pos") -> Column:
+    """The block of a position, of so many positions each."""
+    return F.floor(F.col(doc_pos) / documents)
+
+
+def documents_per_block(corpus: DataFrame) -> int:
+    """Positions in a block of a stored corpus."""
+    return corpus.schema["doc_pos"].metadata["documents_per_block"]
 
 
 def store_corpus(corpus: DataFrame, folder: str) -> DataFrame:
     """Write the corpus in blocks of positions and return it as read from there.
 
-    Fetching the texts of ranked documents then opens only the blocks that hold
-    some, by dynamic partition pruning, and not the whole corpus.
+    Fetching the texts of ranked documents then opens only the blocks that hold some, by
+    dynamic partition pruning, and not the whole corpus. Positions are dealt to tasks in
+    ranges, in order; a block is a small part of the corpus, whatever its size is.
     """
-    spark = corpus.sparkSession
-    blocked = corpus.withColumn("doc_block", block_of())
-    parts = partitions_for(spark, corpus.count())
+    limits = session.LIMITS
+    size = corpus.agg(F.count("*").alias("n"), F.max("doc_pos").alias("last")).first()
+    documents = max(limits.least_block, -(-((size["last"] or 0) + 1) // limits.most_blocks))
     (
-        blocked.repartition(parts, "doc_block")
+        corpus.withColumn("doc_block", block_of(documents))
+        .repartitionByRange(partitions_for(corpus.sparkSession, size["n"]), "doc_pos")
+        .sortWithinPartitions("doc_block", "doc_pos")
         .write.mode("overwrite")
         .partitionBy("doc_block")
         .parquet(folder)
     )
-    return spark.read.schema(blocked.schema).parquet(folder)
+    layout = corpus.sparkSession.createDataFrame([(documents,)], "documents long")
+    layout.coalesce(1).write.mode("overwrite").parquet(f"{folder}/_layout")
+    return open_corpus(corpus.sparkSession, folder)
+
+
+def open_corpus(spark: SparkSession, folder: str) -> DataFrame:
+    """A corpus that ``store_corpus`` wrote, in this application or an earlier one."""
+    documents = spark.read.parquet(f"{folder}/_layout").first()["documents"]
+    types = {f.name: f.dataType for f in spark.read.parquet(folder).schema}
+    types |= {"doc_block": T.LongType()}
+    note = {"doc_pos": {"documents_per_block": documents}}
+    schema = T.StructType([T.StructField(c, t, True, note.get(c)) for c, t in types.items()])
+    return spark.read.schema(schema).parquet(folder)

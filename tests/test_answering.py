@@ -50,7 +50,7 @@ def test_reading_again_gives_the_same_answers(spark, scope, with_model):
     assert set(once) == {0, 1, 2, 3}
 
 
-def test_batches_do_not_change_answers(spark, monkeypatch):
+def test_large_question_sets_do_not_change_answers(spark, monkeypatch):
     corpus = corpus_of(spark, TEXTS)
     index, asked = stored_index(corpus), questions_of(spark, ASKED)
     whole = everything(answer_by_cut(index, corpus, asked, P3, last_morph_of_text))

@@ -1,13 +1,20 @@
+import math
 import random
+import re
+from dataclasses import replace
 
 import pytest
 from helpers import corpus_of, dense_scores, index_of, questions_of, rows, stored_index
 
+from pyspark.sql import functions as F
+
 from daedap import session
-from daedap.operators.index import build_index, corpus_tokens, open_index, store_index
+from daedap.operators import retrieve
+from daedap.operators.index import build_index, corpus_tokens, open_index, postings_of, store_index
 from daedap.operators.retrieve import (
     L,
     OKAPI,
+    PLUS,
     base_scores,
     documents_with_text,
     score_documents,
@@ -116,13 +123,56 @@ def test_other_rankers(spark):
     assert scores[1] > scores[0] > scores[2]
 
 
-def test_okapi_refuses_a_negative_average_idf(spark):
-    index, asked = index_of(spark, ["a b", "a b", "a b"]), questions_of(spark, ["a"])
-    with pytest.raises(Exception, match="average idf"):
-        top_documents(index, asked, ranker=OKAPI).collect()
-
-
-def test_batches_give_what_one_batch_gives(spark, monkeypatch):
+def okapi_scores(docs, question):
+    """Every document's Okapi score, by the definition; a negative idf is replaced."""
+    n, avgdl = len(docs), sum(map(len, docs)) / len(docs)
+    df = {}
+    for doc in docs:
+        for term in set(doc):
+            df[term] = df.get(term, 0) + 1
+    raw = {t: math.log(n - d + 0.5) - math.log(d + 0.5) for t, d in df.items()}
+    least = 0.25 * sum(raw.values()) / len(raw)
+    scores = []
+    for doc in docs:
+        norm = 1.5 * (0.25 + 0.75 * len(doc) / avgdl)
+        score = 0.0
+        for term in question:
+            if term in raw:
+                idf = least if raw[term] < 0 else raw[term]
+                score += idf * doc.count(term) * 2.5 / (norm + doc.count(term))
+        scores.append(score)
+    return scores, least
+
+
+@pytest.mark.parametrize("seed, block", [(1, 3), (2, 1)])
+def test_okapi_with_a_negative_average_idf(spark, seed, block, monkeypatch):
+    """Documents without a match rank between those that gain and those that lose by one."""
+    monkeypatch.setattr(retrieve, "GAP_BLOCK", block)
+    rng = random.Random(seed)
+    common = [f"c{i}" for i in range(6)]
+    texts = [" ".join(rng.sample(common, 5) + rng.choices(["r1", "r2"], k=rng.randrange(2))) for _ in range(30)]
+    for i in rng.sample(range(30), 6):
+        texts[i] = "c0" if rng.random() < 0.5 else ""
+    docs = [t.split() for t in texts]
+    asked = ["c0", "c1 r1", "c1 c2 c3", "r2", "none", "c5 c5 r1 r2 c4"]
+    index = stored_index(corpus_of(spark, texts, scope=27))
+    signs = set()
+    for n in (3, 10):
+        top = top_documents(index, questions_of(spark, asked), n=n, ranker=OKAPI)
+        got = {(q, r): (d, s) for q, r, d, s in rows(top, "question_id", "rank", "doc_pos", "score")}
+        for q, text in enumerate(asked):
+            scores, least = okapi_scores(docs, text.split())
+            assert least < 0
+            scores = [round(s, 6) + 0.0 for s in scores]
+            order = sorted(range(27), key=lambda d: (-scores[d], -d))[:n]
+            assert [got[q, r + 1][0] for r in range(n)] == order
+            for r, d in enumerate(order):
+                assert got[q, r + 1][1] == pytest.approx(scores[d], abs=2e-6)
+                signs.add((scores[d] > 0) - (scores[d] < 0))
+    assert signs == {-1, 0, 1}
+
+
+def test_large_question_sets_give_the_same_in_one_scan(spark, monkeypatch):
     rng = random.Random(5)
     words = [f"w{i}" for i in range(9)]
     texts = [" ".join(rng.choices(words, k=6)) for _ in range(15)]
@@ -130,11 +180,108 @@ def test_batches_give_what_one_batch_gives(spark, monkeypatch):
     index = stored_index(corpus_of(spark, texts))
     columns = ("question_id", "rank", "doc_pos", "score")
     whole = sorted(rows(top_documents(index, asked), *columns))
-    monkeypatch.setattr(session, "LIMITS", session.Limits(batch_questions=4))
-    assert sorted(rows(top_documents(index, asked), *columns)) == whole
-    # One question alone is over this limit: no broadcast, the same rows.
-    monkeypatch.setattr(session, "LIMITS", session.Limits(batch_tokens=3))
-    assert sorted(rows(top_documents(index, asked), *columns)) == whole
+    for limits in ({"batch_questions": 4}, {"batch_tokens": 3}, {"batch_tokens": 3, "named_tokens": 0}):
+        monkeypatch.setattr(session, "LIMITS", session.Limits(**limits))
+        large = top_documents(index, asked)
+        assert sorted(rows(large, *columns)) == whole
+        # No broadcast of questions, and still one scan of the postings.
+        assert scans(large, "postings") == 1
+
+
+def scans(df, folder):
+    """How often the plan of ``df`` reads the Parquet files of a folder."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return len(re.findall(rf"FileScan parquet [^\n]*/{folder}[\],]|FileScan parquet spark_catalog.default.{folder}", plan))
+
+
+@pytest.mark.parametrize("seed, broadcast, ranker", [(0, True, PLUS), (1, False, L), (2, True, OKAPI)])
+def test_score_bounds_change_nothing(spark, seed, broadcast, ranker, monkeypatch):
+    """Ties at the last place, copies, unknown words and few matches, in a skewed corpus."""
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(40)]
+    weights = [1 / (i + 1) for i in range(40)]
+    texts = [" ".join(rng.choices(words, weights, k=rng.randrange(0, 12))) for _ in range(120)]
+    texts += rng.choices(texts, k=40)
+    asked = [" ".join(rng.choices(words + ["new"], k=rng.randrange(0, 7))) for _ in range(14)]
+    index, questions = stored_index(corpus_of(spark, texts, scope=130)), questions_of(spark, asked)
+    columns = ("question_id", "rank", "doc_pos", "score")
+    direct = sorted(rows(top_documents(index, questions, ranker=ranker), *columns))
+    few = {"direct_pairs": 0} | ({} if broadcast else {"batch_tokens": 1})
+    monkeypatch.setattr(session, "LIMITS", session.Limits(**few))
+    assert sorted(rows(top_documents(index, questions, ranker=ranker), *columns)) == direct
+
+
+def test_score_bounds_spare_most_pairs(spark):
+    """A question of rare words and words that stand everywhere: few documents are added up."""
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(400)]
+    texts = [" ".join(["the", "of", "and"] + rng.choices(words, k=12)) for _ in range(3000)]
+    index = stored_index(corpus_of(spark, texts))
+    questions = questions_of(spark, [f"the w{i} of w{i + 1} and w{i + 2} the" for i in range(5)])
+    small = session.SmallSide(True, 0, None)
+    known = retrieve.question_weights(questions, index, PLUS, small)
+    every = retrieve.match_units(index, known, PLUS, small)
+    kept = retrieve.bounded_matches(index, known, 10, PLUS, small)
+    exact = {(q, d): m for q, d, m in rows(every, "question_id", "doc_pos", "match")}
+    found = {(q, d): m for q, d, m in rows(kept, "question_id", "doc_pos", "match")}
+    assert len(exact) == 5 * 3000 and 50 <= len(found) < len(exact) / 10
+    assert all(exact[pair] == m for pair, m in found.items())
+
+
+def rows_read(df):
+    """Rows that come out of the scan of a plan that was run."""
+    df.collect()
+    nodes, found = [df._jdf.queryExecution().executedPlan()], []
+    while nodes:
+        node = nodes.pop()
+        if "Scan" in node.nodeName():
+            found.append(node.metrics().apply("numOutputRows").value())
+        children = node.children()
+        nodes += [children.apply(i) for i in range(children.size())]
+        if node.nodeName() == "AdaptiveSparkPlan":
+            nodes.append(node.executedPlan())
+    return sum(found)
+
+
+def test_postings_are_read_by_term(spark):
+    """A scan for a rare term reads some pages, not the table."""
+    texts = [" ".join(f"w{(i * 31 + k * 7) % 997:03d}" for k in range(60)) for i in range(2000)]
+    index = stored_index(corpus_of(spark, texts))
+    total = index.postings.count()
+    assert rows_read(postings_of(index.postings, ["w500"])) < total / 10
+    assert rows_read(postings_of(index.postings, ["w100", "w500", "zzz"])) < total / 5
+    wanted = [f"w{i:03d}" for i in range(0, 997, 11)]
+    kept = {t for (t,) in rows(postings_of(index.postings, wanted).select("term").distinct(), "term")}
+    assert kept >= set(wanted)
+    assert postings_of(index.postings, []).count() == 0
+
+
+def test_a_frequent_term_is_split_without_a_broadcast(spark, monkeypatch):
+    """A term in every document, met in a shuffle: no task gets much above its share."""
+    texts = [f"the w{i}" for i in range(4000)]
+    index = stored_index(corpus_of(spark, texts))
+    index = replace(index, partitions=40)
+    questions = questions_of(spark, [f"the w{i}" for i in range(6)])
+    small = session.SmallSide(False, 12, None)
+    known = retrieve.question_weights(questions, index, PLUS, small).select("question_id", "term", "df", "qtf")
+    met = retrieve._met(index.postings, known, index, small)
+    joined = met.repartition(8, "term", (F.xxhash64("doc_pos") % 40)).count()
+    assert joined == 6 * 4000 + 6
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        per_task = rows(
+            retrieve._met(index.postings, known, index, small)
+            .select("doc_pos", "term", "question_id", F.spark_partition_id().alias("task"))
+            .filter("term = 'the'").groupBy("task").count(),
+            "count",
+        )
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "3")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    counts = [c for (c,) in per_task]
+    assert sum(counts) == 6 * 4000 and len(counts) == 8
+    assert max(counts) <= 2 * sum(counts) / len(counts)
 
 
 def test_stored_index_gives_the_same_and_needs_no_shuffle_of_pairs(spark):
@@ -155,7 +302,6 @@ def test_stored_index_gives_the_same_and_needs_no_shuffle_of_pairs(spark):
 
 def test_tokenizer_slot(spark):
     import pandas as pd
-    from pyspark.sql import functions as F
 
     @F.pandas_udf("array<string>")
     def halves(text: pd.Series) -> pd.Series:
@@ -178,7 +324,7 @@ def test_fetch_text_without_title(spark):
 def test_stored_corpus_is_pruned_by_block(spark, monkeypatch):
     from daedap.sources import corpus as source
 
-    monkeypatch.setattr(source, "BLOCK", 2)
+    monkeypatch.setattr(session, "LIMITS", session.Limits(least_block=2))
     corpus = corpus_of(spark, ["a b", "c", "d", "e", "f a", "g"], scope=5)
     stored = source.store_corpus(corpus, f"{shared_dir(spark)}/blocks")
     columns = ("doc_pos", "doc_id", "title", "text", "is_candidate")
