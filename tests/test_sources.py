@@ -3,6 +3,7 @@ import json
 import pyarrow as pa
 import pytest
 from helpers import rows
+from pyspark.sql import functions as F
 
 from daedap.sources.answers import (
     last_write_wins,
@@ -65,6 +66,57 @@ def test_arrow_split_without_files(spark, tmp_path):
         load_arrow_split(spark, str(tmp_path))
 
 
+def save_stream(path, table, rows_per_batch):
+    with pa.OSFile(str(path), "wb") as sink, pa.ipc.new_stream(sink, table.schema) as writer:
+        writer.write_table(table, max_chunksize=rows_per_batch)
+
+
+def test_arrow_batches_are_dealt_to_tasks_in_order(spark, tmp_path):
+    """One file of many batches, with dictionaries, read by several tasks."""
+    for i, name in enumerate(("b.arrow", "a.arrow")):
+        ids = list(range(1000 * i, 1000 * i + 700))
+        words = pa.array([f"w{j % 7}" for j in ids]).dictionary_encode()
+        save_stream(tmp_path / name, pa.table({"id": ids, "word": words, "text": ["글 " * 50] * 700}), 20)
+    manifest = {"_data_files": [{"filename": "b.arrow"}, {"filename": "a.arrow"}]}
+    (tmp_path / "state.json").write_text(json.dumps(manifest))
+    split = load_arrow_split(spark, str(tmp_path))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = rows(split.withColumn("task", F.spark_partition_id()), "id", "word", "task")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert [i for i, _, _ in found] == [*range(700), *range(1000, 1700)]
+    assert all(w == f"w{i % 7}" for i, w, _ in found)
+    assert len({task for i, _, task in found if i < 700}) > 1
+
+
+def test_arrow_files_that_tasks_cannot_open_come_whole(spark, tmp_path, monkeypatch):
+    from daedap.sources import splits
+
+    monkeypatch.setattr(splits, "reads_parts", lambda address: False)
+    for name in ("b.arrow", "a.arrow"):
+        save_stream(tmp_path / name, pa.table({"id": [name]}), 1)
+    assert rows(load_arrow_split(spark, str(tmp_path)), "id") == [("a.arrow",), ("b.arrow",)]
+
+
+def test_incomplete_arrow_splits_raise(spark, tmp_path):
+    save_stream(tmp_path / "data-0.arrow", pa.table({"id": list(range(100))}), 10)
+    save_stream(tmp_path / "cache-1.arrow", pa.table({"id": [7]}), 10)
+    named = {"_data_files": [{"filename": "data-0.arrow"}, {"filename": "data-1.arrow"}]}
+    (tmp_path / "state.json").write_text(json.dumps(named))
+    with pytest.raises(FileNotFoundError, match="data-1.arrow"):
+        load_arrow_split(spark, str(tmp_path))
+    (tmp_path / "state.json").write_text(json.dumps(named)[:-9])
+    with pytest.raises(Exception, match="(?i)malformed|no JSON object"):
+        load_arrow_split(spark, str(tmp_path))
+    (tmp_path / "state.json").write_text(json.dumps({"_data_files": named["_data_files"][:1]}))
+    assert load_arrow_split(spark, str(tmp_path)).count() == 100
+    whole = (tmp_path / "data-0.arrow").read_bytes()
+    (tmp_path / "data-0.arrow").write_bytes(whole[: len(whole) // 2])
+    with pytest.raises(Exception, match="inside a message"):
+        load_arrow_split(spark, str(tmp_path)).collect()
+
+
 ANSWERS = [("q2", '따옴표 "와" \\'), ("q1", "줄\n바꿈"), ("q10", None), ("q3", "}, {")]
 
 
