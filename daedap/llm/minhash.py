@@ -33,6 +33,9 @@ MOST_DIFFERENT = 2 * (PLACES // CHUNK) - 1
 # fuller keys are joined by their rarest shingles instead.
 FEW_NODES = 64
 
+# Nodes of a full key that stand together when frequent shingles are counted.
+SHARE_NODES = 256
+
 # Slots in which shingles are counted, and bits of a set's bitmap.
 COUNTERS = 2**20
 BITMAP = 1024
@@ -177,10 +180,13 @@ def _pairs_by_key(buckets: DataFrame) -> DataFrame:
     return found.select("a", "b").distinct()
 
 
-def _rarity(texts: DataFrame) -> np.ndarray:
-    """How many of the texts hold a shingle of each of ``COUNTERS`` slots.
+def _frequent(texts: DataFrame) -> np.ndarray:
+    """For each of ``COUNTERS`` slots of shingles, how many of the texts hold a frequent one.
 
-    What comes to the driver is one number per slot, however many texts there are.
+    Texts under one key stand together, and what makes such a key full are shingles that
+    most of its texts hold. So a slot counts with the texts of a batch where several hold
+    it; the shingles of one text alone, which are nearly all, are not sent anywhere. What
+    comes to the driver is one number per slot, however many texts there are.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,7 +194,7 @@ def _rarity(texts: DataFrame) -> np.ndarray:
             sets = [shingle_set(t) for t in batch.column(0).cast(pa.binary()).to_pylist()]
             slots = [np.unique(s % np.uint64(COUNTERS)) for s in sets]
             slot, n = np.unique(np.concatenate(slots).astype(np.int64), return_counts=True)
-            yield pa.RecordBatch.from_pydict({"slot": slot, "n": n})
+            yield pa.RecordBatch.from_pydict({"slot": slot[n > 1], "n": n[n > 1]})
 
     slots = texts.select("text").mapInArrow(run, "slot long, n long")
     found = slots.groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
@@ -198,21 +204,21 @@ def _rarity(texts: DataFrame) -> np.ndarray:
 
 
 def _pairs_by_rare_shingles(nodes: DataFrame, texts: DataFrame) -> DataFrame:
-    """All pairs of ``nodes(node, component)`` that can be links, exactly.
+    """All pairs of ``nodes(node, component, key, share)`` that can be links, exactly.
 
     With each set's shingles in one order for all, similar sets share one in their
     first quarter, and what can follow its place in both bounds what they share. Any
-    order will do; here the rare ones come first, as counted in ``COUNTERS`` slots, and
-    a shingle alone in its slot is shared with nobody. Bits that differ between two
-    sets' bitmaps bound from below what they do not share. Two of one component need
-    no link.
+    order will do; here those come last that many texts under a key have in common. Bits
+    that differ between two sets' bitmaps bound from below what they do not share. Two of
+    one component need no link.
     """
     named = materialize(
-        nodes.withColumnRenamed("node", "doc_id").join(texts, "doc_id").select(
-            "doc_id", "component", "text"
-        )
+        nodes.withColumnRenamed("node", "doc_id")
+        .join(texts, "doc_id")
+        .repartition("key", "share")
+        .select("doc_id", "component", "text")
     )
-    table = _rarity(named)
+    table = _frequent(named)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -222,7 +228,7 @@ def _pairs_by_rare_shingles(nodes: DataFrame, texts: DataFrame) -> DataFrame:
                 n = len(shingles)
                 counts = table[shingles % np.uint64(COUNTERS)]
                 order = np.lexsort((shingles, counts))
-                place = np.flatnonzero((counts[order] > 1) & (100 * (n - np.arange(n)) >= 75 * n))
+                place = np.flatnonzero(100 * (n - np.arange(n)) >= 75 * n)
                 marks = np.zeros(BITMAP, np.uint8)
                 marks[shingles % np.uint64(BITMAP)] = 1
                 bits = np.tile(np.packbits(marks).view(np.int64), len(place))
@@ -302,7 +308,13 @@ def near_duplicates(docs: DataFrame, few_nodes: int = FEW_NODES) -> DataFrame:
     )
     apart = materialize(placed.join(mixed, "key"))
     by_key = _pairs_by_key(apart.filter(F.col("nodes") <= few_nodes))
-    full = apart.filter(F.col("nodes") > few_nodes).select("node", "component").distinct()
+    # Each node once, with its fullest key and a share of the nodes there.
+    fullest = F.max(F.struct("nodes", "key")).alias("at")
+    full = apart.filter(F.col("nodes") > few_nodes).groupBy("node", "component").agg(fullest)
+    shares = F.ceil(F.col("at.nodes") / SHARE_NODES)
+    full = full.select(
+        "node", "component", "at.key", F.pmod(F.xxhash64("node"), shares).alias("share")
+    )
     rare = _pairs_by_rare_shingles(full, texts)
     near = materialize(_near(by_key.union(rare).distinct(), classes))
     more = materialize(_confirmed(near, texts))
