@@ -417,6 +417,43 @@ SELECT conv_id, text, turn FROM (
 WHERE place = 1"""
 WITHOUT_MARKS = "rtrim(answer, '.,')"
 
+DISTRIBUTION = query(
+    *RETRIEVAL,
+    f"""
+SELECT question_id, count(*) AS count, round(avg(units / 1e9), 4) AS mean,
+       round(stddev_samp(units / 1e9), 4) AS std, {score("min(units)")} AS min,
+       {score("floor(quantile_cont(CAST(units AS DOUBLE), 0.25) + 0.5)")} AS q25,
+       {score("floor(quantile_cont(CAST(units AS DOUBLE), 0.5) + 0.5)")} AS q50,
+       {score("floor(quantile_cont(CAST(units AS DOUBLE), 0.75) + 0.5)")} AS q75,
+       {score("max(units)")} AS max,
+       round(CAST(0.95 AS DOUBLE) * {score("max(units)")}, 4) AS cut_score
+FROM dense GROUP BY question_id""",
+)
+
+BEHIND = "('a', 'e', 'i', 'o', 'u')"
+
+
+def korean(sql: str) -> str:
+    """The same over texts with Hangul in place of letters."""
+    for table in ("documents", "benchmark", "conversations"):
+        mapped = f"SELECT * REPLACE (translate(text, 'nesdthrialou', '다의을이며데라뿐가를는은') AS text) FROM {table}"
+        sql = sql.replace(f"FROM {table}", f"FROM ({mapped})")
+    return sql.replace(BEHIND, "('가', '의', '뿐', '는', '은')")
+
+
+def by_letters(sql: str) -> str:
+    """The same with characters as tokens."""
+    letters = "list_filter(string_split({}, ''), lambda t: t NOT IN ('', ' '))"
+    words_of_text = f"list_filter(string_split({cleaned("title || ' ' || text")}, ' '), lambda t: t <> '')"
+    sql = sql.replace(words_of_text, letters.format(cleaned("title || ' ' || text")))
+    return sql.replace(words("question"), letters.format("question"))
+
+
+KOREAN_GOLD = GOLD.replace("text AS answer", "regexp_replace(text, '[.]$', '') AS answer")
+KOREAN_AUDITED = [("다.", "left(answer, length(answer) - 1)")] + [
+    (m, "answer") for m in ("며,", "데,", "뿐,", "라,", "고,")
+]
+
 ORACLE = {
     "normalize_text": query(
         CORPUS, f"SELECT doc_pos, {cleaned("title || ' ' || text")} AS normalized FROM corpus"
@@ -474,6 +511,15 @@ SELECT doc_id AS doc_pos, CAST(doc_id AS VARCHAR) AS doc_id, coalesce(source, ''
     "retrieve_cut_095": ranked(where="units > CAST(0.95 AS DOUBLE) * best"),
     "retrieve_cut_090": ranked(where="units > CAST(0.9 AS DOUBLE) * best"),
     "retrieve_okapi": ranked(ranker="okapi"),
+    "retrieve_okapi_letters": by_letters(ranked(ranker="okapi")),
+    "retrieve_bounded": query(
+        *RETRIEVAL,
+        f"""SELECT question_id, rank, doc_pos, {score("match")} AS score
+            FROM (SELECT question_id, doc_pos, match, CAST(row_number() OVER (
+                    PARTITION BY question_id ORDER BY match DESC, doc_pos DESC) AS INT) AS rank
+                  FROM matches)
+            WHERE rank <= 10""",
+    ),
     "retrieve_l": ranked(ranker="l"),
     "score_candidates": query(
         *RETRIEVAL,
@@ -485,17 +531,9 @@ SELECT doc_id AS doc_pos, CAST(doc_id AS VARCHAR) AS doc_id, coalesce(source, ''
     ),
     "fetch_text": FETCH,
     "fetch_text_stored": FETCH,
-    "score_distribution": query(
-        *RETRIEVAL,
-        f"""
-SELECT question_id, count(*) AS count, round(avg(units / 1e9), 4) AS mean,
-       round(stddev_samp(units / 1e9), 4) AS std, {score("min(units)")} AS min,
-       {score("floor(quantile_cont(CAST(units AS DOUBLE), 0.25) + 0.5)")} AS q25,
-       {score("floor(quantile_cont(CAST(units AS DOUBLE), 0.5) + 0.5)")} AS q50,
-       {score("floor(quantile_cont(CAST(units AS DOUBLE), 0.75) + 0.5)")} AS q75,
-       {score("max(units)")} AS max,
-       round(CAST(0.95 AS DOUBLE) * {score("max(units)")}, 4) AS cut_score
-FROM dense GROUP BY question_id""",
+    "score_distribution": DISTRIBUTION,
+    "score_distribution_long": DISTRIBUTION.replace(
+        "text AS question FROM benchmark", "repeat(text || ' ', 3000) AS question FROM benchmark"
     ),
     "score_top5": query(
         *RETRIEVAL,
@@ -589,6 +627,8 @@ FROM dense GROUP BY question_id""",
     "answers_p3_latin": answers_by_cut(LATIN),
     "answers_p3_read_again": answers_by_cut(LATIN),
     "answers_p3_model_length": answers_by_cut(KOREAN, max_len=512),
+    "answers_p3_korean": korean(answers_by_cut(KOREAN)),
+    "answers_p2_korean": korean(answers_by_rank(("다.", "unk"), genitive="의", windows=True)),
     "answers_p4": answers_by_cut(KOREAN, end_weight=0.5, cut=0.9),
     "answers_p5": answers_by_cut(KOREAN, end_weight=0.1, cut=0.9),
     "answers_p0_hook": answers_by_rank(most=99, hook=WITHOUT_MARKS),
@@ -637,4 +677,29 @@ SELECT CAST(conv_id AS VARCHAR) AS question_id, text AS answer FROM ({LAST_TURN}
         f"""SELECT question_id, right(answer, 1) AS final, {MORPH} AS morph,
                    {trimmed(PARTICLES)} AS trimmed FROM gold""",
     ),
+    "audit_markers_korean": korean(
+        query(
+            GOLD,
+            " UNION ALL ".join(
+                f"SELECT '{m}' AS marker, count(*) FILTER (WHERE contains({where}, '{m}')) AS n FROM gold"
+                for m, where in KOREAN_AUDITED
+            ),
+        )
+    ),
+    "audit_particles_korean": korean(
+        query(
+            KOREAN_GOLD,
+            " UNION ALL ".join(
+                f"""SELECT question_id, answer, '{p}' AS particle, CAST({i} AS BIGINT) AS particle_order
+                    FROM gold WHERE right(answer, 1) = '{p}' AND {MORPH} = '{p}'"""
+                for i, p in enumerate(("을", "를", "이", "가", "는", "은"), 1)
+            ),
+        )
+    ),
+    "audit_genitive_korean": korean(
+        query(
+            KOREAN_GOLD,
+            f"SELECT question_id, answer FROM gold WHERE right(answer, 1) = '의' AND {MORPH} = '의' AND {TAG} = 'JKG'",
+        )
+    ),
 }

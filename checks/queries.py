@@ -4,7 +4,8 @@ Roles: ``documents`` is the corpus (title = source), the first 84.33 % of it may
 returned, as 56,737 of 67,277 in the original setting. ``benchmark`` holds the
 questions, user turns of ``conversations`` are a second set; assistant turns are
 the gold answers to audit. No text is Korean, so rule queries take markers and
-particles that occur in Latin text, and ``tagger`` stands in for one of Korean. Every query covers its whole tables and whole texts; only
+particles that occur in Latin text, and ``tagger`` stands in for one of Korean; the
+``_korean`` queries put Hangul in place of letters and use the real rules. Every query covers its whole tables and whole texts; only
 ``pack_truncate`` and ``answers_p3_model_length`` apply a model's length limit, which
 is what they show.
 """
@@ -40,9 +41,12 @@ from daedap.operators.retrieve import (
     PLUS,
     L,
     base_scores,
+    bounded_matches,
     documents_with_text,
     fetch_text,
+    question_weights,
     score_documents,
+    score_value,
     top_documents,
     top_units,
 )
@@ -83,6 +87,9 @@ from daedap.sources.splits import as_questions, gold_answers, load_arrow_split
 
 SCOPE = 0.8433
 
+# How often a question is said over in ``score_distribution_long``.
+REPEATS = 3000
+
 # Settings for Latin text, in place of the Korean markers and particles.
 LATIN_INSIDE = ("n.",)
 LATIN_STRICT = ("e,", "s,", "d,", "t,", "unk")
@@ -110,7 +117,27 @@ def tagger(answers: DataFrame) -> DataFrame:
     ).withColumn("pos", F.when(F.length("answer") % 2 == 0, "JKG").otherwise("JX"))
 
 
-_stored: dict[tuple[str, str], Index] = {}
+# Korean text of the same shape: these letters are replaced, so that the real markers and
+# particles of the rules end words and sentences.
+LETTERS = "nesdthrialou"
+SYLLABLES = "다의을이며데라뿐가를는은"
+ALONE_BEHIND = ("가", "의", "뿐", "는", "은")
+
+
+def in_korean(df: DataFrame) -> DataFrame:
+    return df.withColumn("text", F.translate("text", LETTERS, SYLLABLES))
+
+
+def korean_tagger(answers: DataFrame) -> DataFrame:
+    """The stand-in ``tagger`` for Korean text."""
+    ending = F.right("answer", F.lit(2))
+    alone = F.left(ending, F.lit(1)).isin(*ALONE_BEHIND)
+    return answers.withColumn(
+        "morph", F.when(alone, F.right("answer", F.lit(1))).otherwise(ending)
+    ).withColumn("pos", F.when(F.length("answer") % 2 == 0, "JKG").otherwise("JX"))
+
+
+_stored: dict[tuple, Index] = {}
 _blocked: dict[tuple[str, str], DataFrame] = {}
 
 
@@ -118,18 +145,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+def corpus(spark: SparkSession, sf_dir: str, korean: bool = False) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     scope = int(SCOPE * documents.count())
+    documents = in_korean(documents) if korean else documents
     return with_scope(as_corpus(documents, "doc_id", "source", "text"), scope)
 
 
-def index(spark: SparkSession, sf_dir: str) -> Index:
+def letters_of(text: Column) -> Column:
+    """A tokenizer by single characters: most of its terms are in most documents."""
+    return F.filter(F.split(text, ""), lambda c: ~c.isin("", " "))
+
+
+def index(
+    spark: SparkSession,
+    sf_dir: str,
+    korean: bool = False,
+    tokenizer: Callable[[Column], Column] | None = None,
+) -> Index:
     """The stored index of this folder, built once per application."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, korean, tokenizer)
     if key not in _stored:
         folder = f"{shared_dir(spark)}/index-{uuid.uuid4().hex}"
-        _stored[key] = store_index(build_index(corpus(spark, sf_dir)), folder)
+        _stored[key] = store_index(build_index(corpus(spark, sf_dir, korean), tokenizer), folder)
     return _stored[key]
 
 
@@ -160,8 +198,9 @@ def turns(spark: SparkSession, sf_dir: str, role: str) -> DataFrame:
     return said.select(F.concat_ws("-", "conv_id", "turn").alias("id"), "text")
 
 
-def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+def gold(spark: SparkSession, sf_dir: str, korean: bool = False) -> DataFrame:
     said = turns(spark, sf_dir, "assistant")
+    said = in_korean(said) if korean else said
     return gold_answers(said.select("id", F.struct(F.array("text", F.upper("text")).alias("text")).alias("answers")))
 
 
@@ -290,6 +329,27 @@ def retrieve_top10_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_documents(index(spark, sf_dir), asked)
 
 
+def retrieve_okapi_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranked by characters, whose average idf is below zero."""
+    asked = as_questions(table(spark, sf_dir, "benchmark"), "item_id", "text", letters_of)
+    return top_documents(index(spark, sf_dir, tokenizer=letters_of), asked, ranker=OKAPI)
+
+
+def retrieve_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents by way of score bounds, which large question sets take."""
+
+    def run(batch: DataFrame, small: SmallSide) -> DataFrame:
+        built = index(spark, sf_dir)
+        weights = question_weights(batch, built, PLUS, small)
+        found = bounded_matches(built, weights, P3.documents, PLUS, small)
+        best = Window.partitionBy("question_id").orderBy(F.desc("match"), F.desc("doc_pos"))
+        ranked = found.withColumn("rank", F.row_number().over(best))
+        kept = ranked.filter(F.col("rank") <= P3.documents)
+        return kept.select("question_id", "rank", "doc_pos", score_value(F.col("match")).alias("score"))
+
+    return batched(spark, sf_dir, run)
+
+
 def score_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(index(spark, sf_dir), questions(spark, sf_dir))
 
@@ -307,6 +367,13 @@ def distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_distribution(index(spark, sf_dir), questions(spark, sf_dir))
 
 
+def distribution_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Questions asked very often over: their scores take another digit."""
+    items = table(spark, sf_dir, "benchmark")
+    asked = as_questions(items, "item_id", F.repeat(F.concat("text", F.lit(" ")), F.lit(REPEATS)))
+    return score_distribution(index(spark, sf_dir), asked)
+
+
 def top5_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_scores(index(spark, sf_dir), questions(spark, sf_dir))
 
@@ -527,6 +594,18 @@ def answers_rank(spark: SparkSession, sf_dir: str, params: RankParams, **how) ->
     )
 
 
+def answers_p3_korean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    asked = as_questions(in_korean(table(spark, sf_dir, "benchmark")), "item_id", "text")
+    texts = corpus(spark, sf_dir, korean=True)
+    return answer_by_cut(index(spark, sf_dir, korean=True), texts, asked, P3, korean_tagger)
+
+
+def answers_p2_korean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    asked = as_questions(in_korean(table(spark, sf_dir, "benchmark")), "item_id", "text")
+    texts = corpus(spark, sf_dir, korean=True)
+    return answer_by_rank(index(spark, sf_dir, korean=True), texts, asked, P2, korean_tagger)
+
+
 def without_marks(answer: Column) -> Column:
     """A hook that changes an answer's text."""
     return F.regexp_replace(answer, "[.,]+$", "")
@@ -605,6 +684,25 @@ def audit_trim_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return traced.select("question_id", "final", "morph", "trimmed")
 
 
+def audit_markers_korean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marker_counts(gold(spark, sf_dir, korean=True))
+
+
+def audit_particles_korean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = particle_hits(korean_tagger(without_final_mark(gold(spark, sf_dir, korean=True))))
+    return hits.select("question_id", "answer", "particle", "particle_order")
+
+
+def audit_genitive_korean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = genitive_hits(korean_tagger(without_final_mark(gold(spark, sf_dir, korean=True))))
+    return hits.select("question_id", "answer")
+
+
+def without_final_mark(answers: DataFrame) -> DataFrame:
+    """Turns end in a full stop; their last word is what may have a particle."""
+    return answers.withColumn("answer", F.regexp_replace("answer", "[.]$", ""))
+
+
 QUERIES = {
     "normalize_text": normalize_text,
     "tokenize_corpus": tokenize_corpus,
@@ -627,12 +725,15 @@ QUERIES = {
     "retrieve_cut_095": partial(retrieve, cut=P3.cut),
     "retrieve_cut_090": partial(retrieve, cut=P4.cut),
     "retrieve_okapi": partial(retrieve, ranker=OKAPI),
+    "retrieve_okapi_letters": retrieve_okapi_letters,
+    "retrieve_bounded": retrieve_bounded,
     "retrieve_l": partial(retrieve, ranker=L),
     "score_candidates": score_candidates,
     "question_base_score": question_base_score,
     "fetch_text": fetched,
     "fetch_text_stored": partial(fetched, stored=True),
     "score_distribution": distribution,
+    "score_distribution_long": distribution_long,
     "score_top5": top5_scores,
     "score_sorted": sorted_scores,
     "nonblank_contexts": nonblank_contexts,
@@ -661,6 +762,8 @@ QUERIES = {
     "answers_p3_latin": partial(answers_cut, params=LATIN_P3),
     "answers_p3_read_again": partial(answers_cut, params=LATIN_P3, read_again=True),
     "answers_p3_model_length": partial(answers_cut, params=replace(P3, max_tokens=MODEL_LENGTH)),
+    "answers_p3_korean": answers_p3_korean,
+    "answers_p2_korean": answers_p2_korean,
     "answers_p4": partial(answers_cut, params=P4),
     "answers_p5": partial(answers_cut, params=P5),
     "answers_p0_hook": partial(answers_rank, params=P0, postprocess=without_marks),
@@ -678,4 +781,7 @@ QUERIES = {
     "audit_particles": audit_particles,
     "audit_particles_lookup": audit_particles_lookup,
     "audit_trim_trace": audit_trim_trace,
+    "audit_markers_korean": audit_markers_korean,
+    "audit_particles_korean": audit_particles_korean,
+    "audit_genitive_korean": audit_genitive_korean,
 }

@@ -6,6 +6,8 @@ steps from the logits to the spans stay inside the row and shuffle nothing.
 
 from __future__ import annotations
 
+import sys
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -131,13 +133,38 @@ def lexical_reader(rows: DataFrame) -> DataFrame:
     )
 
 
+# Tokens in a batch for the model, padding included, and sequences of a task that are put in
+# order of length at a time.
+BATCH_TOKENS = 16_384
+SORTED_ROWS = 4_096
+
+
+def length_batches(lengths: Sequence[int], most_tokens: int = BATCH_TOKENS) -> list[list[int]]:
+    """Positions in batches of similar length, longest first.
+
+    A batch padded to its longest sequence has at most ``most_tokens`` tokens; a longer
+    sequence is a batch of its own.
+    """
+    batches: list[list[int]] = []
+    for i in sorted(range(len(lengths)), key=lambda i: (-lengths[i], i)):
+        if batches and lengths[batches[-1][0]] * (len(batches[-1]) + 1) <= most_tokens:
+            batches[-1].append(i)
+        else:
+            batches.append([i])
+    return batches
+
+
 def model_reader(
     load: Callable[[], Callable[[list[list[str]]], Iterator[tuple[Sequence, Sequence]]]],
+    batch_tokens: int = BATCH_TOKENS,
 ) -> Reader:
     """A reader around a model: ``load()`` gives a function from token lists to logit pairs.
 
-    The model is loaded once per task and sees one Arrow batch at a time.
+    The model is loaded once per Python worker, which keeps it from one task to the next.
+    It sees sequences of similar length together, in batches of at most ``batch_tokens``
+    tokens with padding.
     """
+    name = uuid.uuid4().hex
 
     def read(rows: DataFrame) -> DataFrame:
         rows = rows.drop("term_weights")
@@ -145,12 +172,24 @@ def model_reader(
         schema = T.StructType([*rows.schema.fields, *logits])
 
         def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            model = load()
-            for batch in batches:
-                pairs = list(model([list(s) for s in batch["sequence"]]))
-                yield batch.assign(
-                    start_logits=[list(p[0]) for p in pairs], end_logits=[list(p[1]) for p in pairs]
-                )
+            # Workers outlive tasks; modules that Python has loaded do as well.
+            models = sys.__dict__.setdefault("_reader_models", {})
+            if name not in models:
+                models.clear()  # one model at a time, so that memory stays bounded
+                models[name] = load()
+            model = models[name]
+            for whole in batches:
+                for begin in range(0, len(whole), SORTED_ROWS):
+                    batch = whole.iloc[begin : begin + SORTED_ROWS]
+                    sequences = [list(s) for s in batch["sequence"]]
+                    pairs: list = [None] * len(sequences)
+                    for places in length_batches([len(s) for s in sequences], batch_tokens):
+                        found = model([sequences[i] for i in places])
+                        for i, pair in zip(places, found, strict=True):
+                            pairs[i] = pair
+                    yield batch.assign(
+                        start_logits=[list(p[0]) for p in pairs], end_logits=[list(p[1]) for p in pairs]
+                    )
 
         return rows.mapInPandas(predict, schema)
 

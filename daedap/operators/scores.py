@@ -20,9 +20,10 @@ from daedap.operators.retrieve import (
 )
 from daedap.session import SmallSide, materialize, sized
 
-# Digits of the exact quantile search, and where each begins: all 64 bits of a score.
-DIGIT = 16
-SHIFTS = (48, 32, 16, 0)
+# Bits of a digit in the exact quantile search, so the most rows to sort for a question;
+# and where four digits begin that cover all 64 bits of a score.
+DIGIT = 20
+SHIFTS = (60, 40, 20, 0)
 PROBS = (0.25, 0.5, 0.75)
 
 # Bits of the lower part of a score, of which squares are added up apart.
@@ -75,27 +76,49 @@ def score_runs(index: Index, questions: DataFrame, ranker: Ranker = PLUS) -> Dat
     return sized(questions, run)
 
 
-def _values_at(runs: DataFrame, wanted: DataFrame, small: SmallSide) -> DataFrame:
+def _shifts(index: Index, questions: DataFrame, ranker: Ranker, small: SmallSide) -> tuple[int, ...]:
+    """Where the digits begin that cover every match; one number comes to the driver."""
+    if ranker.signed:
+        return SHIFTS
+    weights = question_weights(questions, index, ranker, small)
+    most = F.col("qtf") * F.col("idf") * ranker.gain(F.col("densest"), F.lit(1.0)) * UNIT + 2
+    total = weights.groupBy("question_id").agg(F.sum(most).alias("most"))
+    bits = int(total.agg(F.max("most")).first()[0] or 0).bit_length()
+    return tuple(range(DIGIT * max(0, -(-bits // DIGIT) - 1), -1, -DIGIT))
+
+
+def _values_at(
+    runs: DataFrame,
+    wanted: DataFrame,
+    small: SmallSide,
+    shifts: tuple[int, ...] = SHIFTS,
+    first: DataFrame | None = None,
+) -> DataFrame:
     """The values at 0-based places ``skip`` of each question's sorted ``runs``.
 
     Digit by digit from the top: count the rows per digit value, find the digit
     in which the place falls, go on inside it. A group to sort never has more
-    than 2^16 rows, however many documents a question matches.
+    than 2^20 rows, however many documents a question matches. ``first`` are the counts
+    of the first digit, ``question_id, digit, n``, where they are known.
     """
     zero = F.lit(0).cast("long")
     found = wanted.withColumn("prefix", zero)
-    for shift in SHIFTS:
+    for above, shift in zip((None, *shifts), shifts):
         # One row per prefix, with the few places looked for in it. They go along
         # in the grouping key, so each step reads the step before only once.
         places = found.groupBy("question_id", "prefix").agg(
             F.collect_list(F.struct("place", "skip")).alias("places")
         )
-        counted = (
-            runs.withColumn("prefix", F.shiftright("units", shift + DIGIT) if shift < 48 else zero)
-            .join(small(places), ["question_id", "prefix"])
-            .groupBy("question_id", "prefix", "places", F.shiftright("units", shift).alias("digit"))
-            .agg(F.sum("n_docs").alias("n"))
-        )
+        if above is None and first is not None:
+            counted = first.join(small(places), "question_id")
+        else:
+            prefix = zero if above is None else F.shiftright("units", above)
+            counted = (
+                runs.withColumn("prefix", prefix)
+                .join(small(places), ["question_id", "prefix"])
+                .groupBy("question_id", "prefix", "places", F.shiftright("units", shift).alias("digit"))
+                .agg(F.sum("n_docs").alias("n"))
+            )
         up_to = F.sum("n").over(Window.partitionBy("question_id", "prefix").orderBy("digit"))
         before = F.col("after") - F.col("n")
         found = (
@@ -118,7 +141,9 @@ def score_distribution(
     """Count, mean, sample deviation, minimum, quartiles and maximum per question.
 
     Over the scores of all documents, with or without a match. Quartiles are exact
-    and interpolated; ``cut_score`` is ``cut`` times the best score.
+    and interpolated; ``cut_score`` is ``cut`` times the best score. One aggregation gives
+    the moments and a coarse histogram of each question, a second one looks into the few
+    buckets with the wanted places; scores of more than 40 bits take a third.
     """
 
     def run(batch: DataFrame, small: SmallSide) -> DataFrame:
@@ -127,16 +152,25 @@ def score_distribution(
         # Sums of whole numbers, so that no order of the rows changes them; a square
         # is added up in parts that a decimal always holds.
         high, low = F.shiftright("match", HALF), match - F.shiftleft(F.shiftright("match", HALF), HALF)
+        shifts = _shifts(index, batch, ranker, small)
+        histogram = runs.groupBy(
+            "question_id", "base", F.shiftright("match", shifts[0]).alias("digit")
+        ).agg(
+            F.sum("n_docs").alias("n"),
+            F.sum(_whole(docs) * match).alias("s1"),
+            F.sum(_whole(docs) * _whole(high) * high).alias("hh"),
+            F.sum(_whole(docs) * _whole(high) * low).alias("hl"),
+            F.sum(_whole(docs) * _whole(low) * low).alias("ll"),
+            F.min("match").alias("min"),
+            F.max("match").alias("max"),
+        )
         moments = (
-            runs.groupBy("question_id", "base")
+            histogram.groupBy("question_id", "base")
             .agg(
-                F.sum("n_docs").alias("count"),
-                F.sum(_whole(docs) * match).alias("s1"),
-                F.sum(_whole(docs) * _whole(high) * high).alias("hh"),
-                F.sum(_whole(docs) * _whole(high) * low).alias("hl"),
-                F.sum(_whole(docs) * _whole(low) * low).alias("ll"),
-                F.min("match").alias("min"),
-                F.max("match").alias("max"),
+                F.sum("n").alias("count"),
+                *[F.sum(F.col(c).cast("decimal(38,0)")).alias(c) for c in ("s1", "hh", "hl", "ll")],
+                F.min("min").alias("min"),
+                F.max("max").alias("max"),
             )
             .withColumn("mean", F.col("s1").cast("double") / F.col("count"))
             .withColumn("squares", _squares())
@@ -160,7 +194,7 @@ def score_distribution(
         value = [F.max(F.when(F.col("place") == i, F.col("units"))) for i in range(2 * len(PROBS))]
         column = runs.select("question_id", F.col("match").alias("units"), "n_docs")
         quartiles = (
-            _values_at(column, wanted, small)
+            _values_at(column, wanted, small, shifts, histogram.select("question_id", "digit", "n"))
             .groupBy("question_id")
             .agg(*[v.alias(f"v{i}") for i, v in enumerate(value)])
         )

@@ -1,10 +1,20 @@
 import random
+import uuid
 
 import pytest
 from helpers import corpus_of, questions_of, rows, stored_index
 from pyspark.sql import functions as F
 
-from daedap.operators.reader import end_rows, lexical_reader, logit_rows, model_reader, spans, start_rows
+from daedap.session import SmallSide
+from daedap.operators.reader import (
+    end_rows,
+    length_batches,
+    lexical_reader,
+    logit_rows,
+    model_reader,
+    spans,
+    start_rows,
+)
 from daedap.plans.params import P3
 from daedap.plans.answering import cut_candidates, ranked_contexts, read_contexts
 
@@ -134,10 +144,10 @@ def test_whole_texts_are_read_unless_a_model_sets_a_limit(spark):
     long = " ".join(f"w{i}" for i in range(900)) + " needle tail needle"
     corpus = corpus_of(spark, [long] + ["x"] * 20)
     index, asked = stored_index(corpus), questions_of(spark, ["needle"])
-    contexts = ranked_contexts(index, corpus, asked, P3, F.broadcast).filter("doc_pos = 0")
-    whole = read_contexts(contexts, asked, index, F.broadcast)
+    contexts = ranked_contexts(index, corpus, asked, P3, SmallSide(True, 0, None)).filter("doc_pos = 0")
+    whole = read_contexts(contexts, asked, index, SmallSide(True, 0, None))
     assert rows(whole, F.size("sequence")) == [(1 + 1 + 2 + 903 + 1,)]
-    cut = read_contexts(contexts, asked, index, F.broadcast, max_tokens=512)
+    cut = read_contexts(contexts, asked, index, SmallSide(True, 0, None), max_tokens=512)
     assert rows(cut, F.size("sequence"), F.size("start_logits")) == [(512, 512)]
     assert "tail" in {a for (a,) in rows(cut_candidates(index, corpus, asked, P3), "answer")}
 
@@ -145,7 +155,46 @@ def test_whole_texts_are_read_unless_a_model_sets_a_limit(spark):
 def test_empty_document_is_read(spark):
     corpus = corpus_of(spark, ["", "aa bb"])
     index, asked = stored_index(corpus), questions_of(spark, ["aa"])
-    contexts = ranked_contexts(index, corpus, asked, P3, F.broadcast)
-    read = read_contexts(contexts, asked, index, F.broadcast)
+    contexts = ranked_contexts(index, corpus, asked, P3, SmallSide(True, 0, None))
+    read = read_contexts(contexts, asked, index, SmallSide(True, 0, None))
     sequences = dict(rows(read, "doc_pos", "sequence"))
     assert sequences[0] == ["<s>", "▁aa", "</s>", "</s>", "</s>"]
+
+
+def test_batches_for_the_model_are_of_similar_length():
+    rng = random.Random(3)
+    lengths = [rng.randrange(0, 60) for _ in range(300)] + [500, 7]
+    batches = length_batches(lengths, 256)
+    assert sorted(i for batch in batches for i in batch) == list(range(302))
+    padded = [max(lengths[i] for i in batch) * len(batch) for batch in batches]
+    assert all(size <= 256 or len(batch) == 1 for size, batch in zip(padded, batches))
+    assert sum(padded) < 1.2 * sum(lengths)
+    unsorted = [range(i, min(i + 4, 302)) for i in range(0, 302, 4)]
+    assert sum(padded) < 0.75 * sum(max(lengths[i] for i in batch) * len(batch) for batch in unsorted)
+    assert length_batches([], 256) == []
+
+
+def test_the_model_is_loaded_once_per_worker_and_sees_bounded_batches(spark, tmp_path):
+    """Many tasks, few loads; each sequence gets its own logits back."""
+
+    def load():
+        (tmp_path / uuid.uuid4().hex).touch()
+
+        def model(batch):
+            longest = max(map(len, batch))
+            assert longest * len(batch) <= 64 or len(batch) == 1
+            for sequence in batch:
+                yield [float(len(sequence))] * len(sequence), [float(i) for i in range(len(sequence))]
+
+        return model
+
+    data = [(0, i, [f"t{i}"] * (1 + i * 7 % 30), {"x": 1}, 0) for i in range(200)]
+    schema = "question_id long, doc_pos long, sequence array<string>, term_weights map<string,long>, document_start int"
+    contexts = spark.createDataFrame(data, schema).repartition(40)
+    read = model_reader(load, batch_tokens=64)(contexts)
+    for r in read.collect():
+        n = 1 + r.doc_pos * 7 % 30
+        assert r.sequence == [f"t{r.doc_pos}"] * n
+        assert r.start_logits == [float(n)] * n and r.end_logits == [float(i) for i in range(n)]
+    # Eight cores run forty tasks; a worker that is taken again has its model.
+    assert 1 <= len(list(tmp_path.iterdir())) <= 20

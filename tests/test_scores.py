@@ -5,6 +5,7 @@ import pytest
 from helpers import corpus_of, dense_scores, questions_of, rows, stored_index
 from pyspark.sql import functions as F
 
+from daedap.session import SmallSide
 from daedap.operators.scores import _values_at, best_scores, score_distribution, score_runs
 
 
@@ -53,7 +54,7 @@ def test_digit_search_on_wide_values(spark):
         [(q, place, skip) for (q, place), (skip, _) in expected.items()],
         "question_id long, place int, skip long",
     )
-    found = rows(_values_at(runs, wanted, F.broadcast), "question_id", "place", "units")
+    found = rows(_values_at(runs, wanted, SmallSide(True, 0, None)), "question_id", "place", "units")
     assert {(q, p): v for q, p, v in found} == {k: v for k, (_, v) in expected.items()}
 
 
@@ -62,7 +63,7 @@ def test_digit_search_over_all_longs(spark):
     runs = spark.createDataFrame([(0, v, 1) for v in values], "question_id long, units long, n_docs long")
     places = [(0, i, i) for i in range(len(values))]
     wanted = spark.createDataFrame(places, "question_id long, place int, skip long")
-    found = dict(rows(_values_at(runs, wanted, F.broadcast), "place", "units"))
+    found = dict(rows(_values_at(runs, wanted, SmallSide(True, 0, None)), "place", "units"))
     assert [found[i] for i in range(len(values))] == values
 
 
