@@ -14,7 +14,7 @@ import pyarrow as pa
 # A chunk is a run of blanks and line ends with the word behind it. Both public
 # tokenizers of this kind never form a token over the end of a word, so the ids of
 # a text are those of its chunks, one after another.
-CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
+BLANK, LINE_END = b" \n"
 
 # Other white space could continue a run across a chunk's start; texts with it are
 # one chunk.
@@ -25,10 +25,10 @@ OTHER_SPACE = re.compile(
 # Marks that end a word: behind a Latin letter they are tokens of their own.
 MARKS = ".,;:!?"
 
-# Distinct chunks, and characters in them, that a Python worker keeps at a time: up to
-# some 200 MB.
-MOST_CHUNKS = 1_000_000
-MOST_CHARS = 20_000_000
+# Distinct words, and characters in them, that a Python worker keeps at a time: up to
+# some 150 MB.
+MOST_WORDS = 700_000
+MOST_CHARS = 14_000_000
 
 # Characters encoded at a time; one longer text is a batch of its own.
 BATCH_CHARS = 2_000_000
@@ -48,7 +48,7 @@ class ChunkEncoder:
     library sees each word once, without the marks behind it; and without blanks and
     capitals where they make no difference to it. Words of Latin letters go to its
     model many at a time, past the steps that cannot change or divide them. What is
-    remembered is bounded: beyond ``MOST_CHUNKS`` or ``MOST_CHARS`` it starts anew.
+    remembered is bounded: beyond ``MOST_WORDS`` or ``MOST_CHARS`` it starts anew.
     """
 
     def __init__(self, path: str):
@@ -65,7 +65,7 @@ class ChunkEncoder:
         plain, blank, capital = (e.ids for e in self._library(["ab", "\n ab", "aB"]))
         self.drops_blanks, self.drops_capitals = plain == blank, plain == capital
         added = self.tokenizer.get_added_tokens_decoder().values()
-        self.special = [token.content for token in added]
+        self.special = re.compile("|".join(re.escape(token.content) for token in added) or r"(?!)")
         letters = ["ab", "thextra", "été", "straße"]
         letters += [] if self.drops_blanks else [" the", " ñandú"]
         lengths, ids = self._ids_of_letters(letters)
@@ -78,7 +78,9 @@ class ChunkEncoder:
 
     def _ids_of_letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Lengths and ids of words of letters, each as the model alone divides it."""
-        shown = [w.encode().decode("latin-1").translate(BYTE_MARKS) for w in words]
+        # A line end, which no word of letters holds, parts them.
+        shown = "\n".join(words).encode().decode("latin-1").translate(BYTE_MARKS)
+        shown = shown.split(BYTE_MARKS[LINE_END]) if words else []
         groups = [shown[i : i + 200] for i in range(0, len(shown), 200)]
         found = self.model.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)
         lengths = [np.bincount(e.word_ids, minlength=len(g)) for e, g in zip(found, groups)]
@@ -96,33 +98,30 @@ class ChunkEncoder:
         )
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}  # chunks; their words and marks are in ``parts``
-        self.parts = np.zeros((0, 2), np.int64)
         self.words: dict[str, int] = {"": 0}
         self.chars = 0
         self.ids = np.zeros(0, np.uint32)
         self.starts = np.zeros(2, np.int64)
 
     def _word_and_marks(self, chunk: str) -> tuple[str, str]:
-        word = chunk.rstrip(MARKS)
-        last = word[-1:]
-        # A letter whose small form ends in a combining sign takes the marks with it.
-        if len(word) < len(chunk) and last.isalpha() and last < "\u0250" and len(last.lower()) == 1:
-            marks = chunk[len(word) :]
-        else:
-            word, marks = chunk, ""
+        word, marks = chunk, ""
+        if chunk[-1] in MARKS:
+            bare = chunk.rstrip(MARKS)
+            last = bare[-1:]
+            # A letter whose small form ends in a combining sign takes the marks with it.
+            if last.isalpha() and last < "\u0250" and len(last.lower()) == 1:
+                word, marks = bare, chunk[len(bare) :]
         if self.drops_blanks and (bare := word.strip(" \n")):
             word = bare
         if self.drops_capitals and word.isascii():
             small = word.lower()
-            if not any(name in small for name in self.special):
+            if not self.special.search(small):
                 word = small
         return word, marks
 
-    def _learn(self, chunks: list[str]) -> None:
-        parts = [p for c in chunks for p in self._word_and_marks(c)]
+    def _learn(self, new: list[str]) -> None:
+        """Encode words that are not known yet."""
         words = self.words
-        new = [w for w in dict.fromkeys(parts) if w not in words]
         letters = [w for w in new if self._is_letters(w)] if self.letters_apart else []
         taken = set(letters)
         others = [w for w in new if w not in taken]
@@ -134,29 +133,68 @@ class ChunkEncoder:
         ends = np.cumsum(lengths) + len(self.ids)
         self.ids = np.concatenate([self.ids, flat, rest])
         self.starts = np.concatenate([self.starts, ends])
-        at = np.fromiter(map(words.__getitem__, parts), np.int64, len(parts)).reshape(-1, 2)
-        self.parts = np.concatenate([self.parts, at])
-        self.known.update(zip(chunks, range(len(self.known), len(self.known) + len(chunks))))
-        self.chars += sum(map(len, chunks))
+        self.chars += sum(map(len, new))
+
+    def _chunks(self, texts: list[str]) -> tuple[pa.StringArray, np.ndarray]:
+        """The chunks of all texts, and how many each has.
+
+        Where blanks make no difference to the library they are left out.
+        """
+        encoded = [t.encode() for t in texts]
+        data = np.frombuffer(b"".join(encoded), np.uint8)
+        ends = np.cumsum([len(e) for e in encoded], dtype=np.int64)
+        begins = np.concatenate([[0], ends])[:-1]
+        some = begins < ends
+        blank = (data == BLANK) | (data == LINE_END)
+        before = np.concatenate([[False], blank])[:-1]
+        before[begins[some]] = self.drops_blanks
+        first = before & ~blank if self.drops_blanks else blank & ~before
+        kept = ~blank if self.drops_blanks else None
+        whole = [i for i, text in enumerate(texts) if OTHER_SPACE.search(text)]
+        for i in whole:
+            first[begins[i] : ends[i]] = False
+            if kept is not None:
+                kept[begins[i] : ends[i]] = True
+        first[begins[whole] if self.drops_blanks else begins[some]] = True
+        at = np.flatnonzero(first)
+        n_chunks = np.searchsorted(at, ends) - np.searchsorted(at, begins)
+        if kept is not None:
+            at = (np.cumsum(kept) - kept)[at]
+            data = data[kept]
+        offsets = np.concatenate([at, [len(data)]]).astype(np.int32)
+        column = pa.StringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(data))
+        return column, n_chunks
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids (uint32) of whole texts, one after another, and where each ends."""
-        split = [[t] if OTHER_SPACE.search(t) else CHUNK.findall(t) for t in texts]
-        chunks = list(chain.from_iterable(split))
-        if len(self.known) > MOST_CHUNKS or self.chars > MOST_CHARS:
+        if len(self.words) > MOST_WORDS or self.chars > MOST_CHARS:
             self._forget()
-        which = np.fromiter(map(self.known.get, chunks, repeat(-1)), np.int64, len(chunks))
-        missing = np.flatnonzero(which < 0)
-        if len(missing):
-            unknown = [chunks[i] for i in missing]
-            self._learn(list(dict.fromkeys(unknown)))
-            which[missing] = np.fromiter(map(self.known.__getitem__, unknown), np.int64, len(missing))
-        at = self.parts[which].reshape(-1)
-        first, length = self.starts[at], self.starts[at + 1] - self.starts[at]
-        total = np.concatenate([[0], np.cumsum(length)])
-        shift = np.repeat(first - total[:-1], length)
-        n_chunks = np.fromiter(map(len, split), np.int64, len(split))
-        return self.ids[shift + np.arange(total[-1])], total[2 * np.cumsum(n_chunks)]
+        column, n_chunks = self._chunks(texts)
+        coded = column.dictionary_encode()
+        chunks = coded.dictionary.to_pylist()
+        words = self.words
+        parts = np.zeros((len(chunks), 2), np.int64)  # of each chunk its word and its marks
+        parts[:, 0] = np.fromiter(map(words.get, chunks, repeat(-1)), np.int64, len(chunks))
+        missing = np.flatnonzero(parts[:, 0] < 0)
+        cut = [part for i in missing.tolist() for part in self._word_and_marks(chunks[i])]
+        self._learn([w for w in dict.fromkeys(cut) if w not in words])
+        parts[missing] = np.fromiter(map(words.__getitem__, cut), np.int64, len(cut)).reshape(-1, 2)
+        # Of each distinct chunk where its ids lie; its marks, mostly none, are a run apart.
+        begins, sizes = self.starts[parts], self.starts[parts + 1] - self.starts[parts]
+        which = coded.indices.to_numpy()
+        length = sizes.astype(np.int32)[which].reshape(-1)
+        some = np.flatnonzero(length)
+        first, length = begins.astype(np.int32)[which].reshape(-1)[some], length[some]
+        total = np.cumsum(length, dtype=np.int64)
+        ids = np.ones(total[-1] if len(total) else 0, np.int32)
+        if len(total):
+            # Steps of one inside a run, and from the end of a run to the next.
+            ids[0] = first[0]
+            ids[total[:-1]] = first[1:] - (first[:-1] + length[:-1] - 1)
+            np.cumsum(ids, out=ids)
+        runs = np.searchsorted(some, 2 * np.cumsum(n_chunks))
+        ends = np.concatenate([[0], total])[runs]
+        return self.ids[ids], ends
 
 
 def encoder_for(path: str) -> ChunkEncoder:
