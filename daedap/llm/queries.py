@@ -6,13 +6,12 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from daedap.llm.cotraining import classified
 from daedap.llm.counts import token_counts
 from daedap.llm.dac import read_tokens, write_tokens
 from daedap.llm.licenses import license_matches
-from daedap.llm.maxplus import decoded, encode_giants, encode_short
+from daedap.llm.maxplus import digests
 from daedap.llm.minhash import near_duplicates
 from daedap.llm.oracle import ORACLE
 from daedap.llm.packing import pack, token_pieces
@@ -68,33 +67,9 @@ def syncmer_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_max_plus_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Numbers and hashes of the ids of each document, and of the text they give back."""
+    """Numbers and checksums of the ids of each document, and of the text they give back."""
     model = public_tokenizers.path("piece_bpe_32k.model")
-    docs, text = table(spark, sf_dir, "documents"), decoded("ids", model).alias("text")
-    short, giant = (e(docs, model).select("*", text) for e in (encode_short, encode_giants))
-
-    def summary(ids: str, text: str, score: str) -> list:
-        return [
-            F.size(ids).cast("long").alias("n_tokens"),
-            F.col(score).alias("score"),
-            F.xxhash64(ids).alias("ids_hash"),
-            F.sha2(F.expr(f"substring({text}, 2)"), 256).alias("decoded_sha256"),
-        ]
-
-    short = short.select("doc_id", "n_chunks", *summary("ids", "text", "score"))
-    # A giant document's chunks come together again, it alone in its row as before.
-    parts = F.array_sort(F.collect_list(F.struct("chunk", "ids", "text")))
-    whole = giant.groupBy("row", "doc_id", "n_chunks").agg(
-        parts.alias("parts"), F.sum("score").alias("score")
-    )
-    giant = whole.select(
-        "doc_id",
-        "n_chunks",
-        F.flatten("parts.ids").alias("ids"),
-        F.array_join("parts.text", "").alias("text"),
-        "score",
-    )
-    return short.union(giant.select("doc_id", "n_chunks", *summary("ids", "text", "score")))
+    return digests(table(spark, sf_dir, "documents"), model)
 
 
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

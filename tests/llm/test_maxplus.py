@@ -1,7 +1,7 @@
 """Best paths in parallel against one sequential pass, and round trips."""
 
-import hashlib
 import random
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 
 from daedap.llm import maxplus
-from daedap.llm.maxplus import BLANK, Lattice, combined, decoded, encode
+from daedap.llm.maxplus import BLANK, Lattice, combined, decoded, digests, encode, shifted_crc32
 from daedap.llm.queries import QUERIES, table
 
 SF = "/root/testdata/sf0.001"
@@ -70,6 +70,15 @@ def check(spark, lattice, docs, chunk, fan):
         assert [p.chunk for p in parts] == list(range(parts[0].n_chunks))
         assert sum(p.score for p in parts) == best_score(lattice, text) == score_of(lattice, ids)
         assert "".join(p.text for p in parts)[1:] == text.replace(BLANK, " ")
+    summed = digests(docs, MODEL, chunk, fan).collect()
+    wanted = []
+    for parts in found.values():
+        ids = [i for p in parts for i in p.ids]
+        data = "".join(p.text for p in parts)[1:].encode()
+        ends = zlib.crc32(np.array(ids, "<u4").tobytes()), len(data), zlib.crc32(data)
+        score = sum(p.score for p in parts)
+        wanted.append((parts[0].doc_id, parts[0].n_chunks, len(ids), score, *ends))
+    assert sorted(map(str, wanted)) == sorted(str(tuple(r)) for r in summed)
     return max(len(p) for p in found.values())
 
 
@@ -81,6 +90,7 @@ def test_awkward_rows(spark, lattice, chunk, fan):
     docs = documents(spark, texts if chunk > 5 else [t if t is None else t[:200] for t in texts])
     assert check(spark, lattice, docs, chunk, fan) > 1
     assert encode(empty(spark), MODEL, chunk, fan).count() == 0
+    assert digests(empty(spark), MODEL, chunk, fan).count() == 0
 
 
 def test_matrices_combine_associatively():
@@ -89,13 +99,59 @@ def test_matrices_combine_associatively():
     assert (combined(combined(a, b), c) == combined(a, combined(b, c))).all()
 
 
+def test_checksums_of_parts_add_up():
+    r = random.Random(1)
+    for sizes in [(0, 0), (1, 0), (0, 5), (3, 100_000), (70_000, 1)]:
+        a, b = (r.randbytes(n) for n in sizes)
+        assert shifted_crc32(zlib.crc32(a), len(b)) ^ zlib.crc32(b) == zlib.crc32(a + b)
+
+
+def test_words_of_one_length_in_step_as_one_by_one(lattice):
+    r = random.Random(7)
+    for n in (1, 2, 5, 17, 30):
+        words = ["".join(r.choice(" abdeinorst日é") for _ in range(n)) for _ in range(200)]
+        paths, scores = lattice._best_of_units(words)
+        for word, path, score in zip(words, paths, scores):
+            ids, best = lattice.path(word.replace(" ", BLANK), 0, n, n)
+            assert best == score
+            if -1 not in path:
+                assert path[path > -2].tolist() == ids
+
+
+def test_matrices_entry_by_entry(lattice):
+    r = random.Random(9)
+    for letters in ("abe", "abdeinorst ", "ab ▁"):
+        for size, more in [(5, 0), (5, 3), (16, 15), (200, 15)]:
+            text = lattice.marked("".join(r.choice(letters) for _ in range(size + more)))[: size + more]
+            found = lattice.measured(text, size)[-1]
+            for entry in range(lattice.longest):
+                exits = [-np.inf] * lattice.longest
+                if entry < size:
+                    got = lattice.walk(text, entry, size)[0][size - entry :]
+                    exits[: len(got)] = got
+                elif entry <= len(text):
+                    exits[entry - size] = 0.0
+                assert found[entry].tolist() == exits
+
+
+def test_giant_texts_are_worked_on_by_many_tasks(spark):
+    """Chunks of one text are measured in several tasks, and no row holds it whole again."""
+    docs = documents(spark, [" ".join(f"word{i}" for i in range(40_000)), "short"])
+    chunks = maxplus._spread(maxplus._cut(maxplus._numbered(docs, True, 4096), 4096, 16), "chunk")
+    tasks = chunks.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()
+    assert len(tasks) == 3 and sum(t.n for t in tasks) > 80
+    assert chunks.agg(F.max(F.length("text"))).first()[0] == 4096 + 15
+    plan = digests(docs, MODEL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan
+
+
 def test_whole_table(spark, lattice):
     texts = dict(table(spark, SF, "documents").select("doc_id", "text").collect())
     found = QUERIES["op9_max_plus_encoding"](spark, SF).collect()
     assert sorted(r.doc_id for r in found) == sorted(texts)
     for r in found:
         text = texts[r.doc_id]
-        assert r.decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
+        assert (r.n_bytes, r.text_crc32) == (len(text.encode()), zlib.crc32(text.encode()))
         assert r.n_chunks == max(1, -(-(len(text) + 1) // maxplus.CHUNK) if len(text) >= maxplus.CHUNK else 1)
         if len(text) < 3000:
             assert r.score == best_score(lattice, text)
