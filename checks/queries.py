@@ -87,6 +87,9 @@ from daedap.sources.splits import as_questions, gold_answers, load_arrow_split
 
 SCOPE = 0.8433
 
+# Bytes of a JSON map that a task looks at together, so that a file has several such blocks.
+JSON_BLOCK = 1 << 18
+
 # How often a question is said over in ``score_distribution_long``.
 REPEATS = 3000
 
@@ -251,7 +254,7 @@ def json_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{shared_dir(spark)}/json-{uuid.uuid4().hex}"
     lines = maps.select("block", F.to_json(F.map_from_entries("entries")).alias("value"))
     lines.write.partitionBy("block").text(folder)
-    return load_json_map(spark, folder)
+    return load_json_map(spark, folder, JSON_BLOCK)
 
 
 def json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from daedap import session
 from daedap.session import partitions_for
+from daedap.sources.json_map import BLOCK_BYTES, IN_BLOCK, json_entries
 
 # Files that cannot be read raise an error instead of being left out.
 STRICT = {"mode": "FAILFAST"}
@@ -16,42 +17,41 @@ LINES = "doc_pos long, doc_id string, title string, text string"
 RECORDS = "map<string,struct<title:string,text:string>>"
 
 
-def load_json_map(spark: SparkSession, path: str) -> DataFrame:
+def load_json_map(spark: SparkSession, path: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Corpus from JSON files that are each one object of records, keyed by document.
 
-    ``path`` is a file or a folder. One file cannot be split, so a large corpus
-    comes as many files, read in parallel, with positions running on from file to
-    file in name order. Convert once (``write.parquet``) and read that from then
-    on. A key given twice in a file counts once, with its last record, in the
+    ``path`` is a file or a folder. Files are read in blocks, by many tasks each; those in a
+    store that only Spark reads come whole, one task per file. Positions run on from file to
+    file in name order. A key given twice in a file counts once, with its last record, in the
     place where it first stood. A file that is not one JSON object raises an error.
     """
-    parsed = F.coalesce(
-        F.from_json("value", RECORDS, STRICT),
-        F.raise_error(F.concat(F.lit("no JSON object: "), F.input_file_name())).cast(RECORDS),
-    )
+    entries = json_entries(spark, path, block_bytes)
+    found = _whole_files(spark, path) if entries is None else _parsed(entries)
     records = (
-        spark.read.text(path, wholetext=True)
-        .select(F.input_file_name().alias("file"), parsed.alias("records"))
-        .select("file", F.posexplode(F.map_entries("records")).alias("pos", "entry"))
-        .groupBy("file", F.col("entry.key").alias("doc_id"))
+        found.groupBy("file", F.col("entry.key").alias("doc_id"))
         .agg(
             F.min("pos").alias("pos"),
             F.max_by("entry.value", "pos").alias("record"),
         )
+        .withColumn("block", F.floor(F.col("pos") / IN_BLOCK))
     )
-    # One row per file from here to the offsets.
-    by_name = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        records.groupBy("file")
-        .agg(F.count("*").alias("n"))
-        .select("file", F.coalesce(F.sum("n").over(by_name), F.lit(0)).alias("before"))
+    # One row per block from here to the offsets, and one per file to theirs.
+    earlier = (Window.unboundedPreceding, -1)
+    in_order = Window.partitionBy("file").orderBy("block").rowsBetween(*earlier)
+    by_name = Window.orderBy("file").rowsBetween(*earlier)
+    counts = records.groupBy("file", "block").agg(F.count("*").alias("n"))
+    files = counts.groupBy("file").agg(F.sum("n").alias("n"))
+    files = files.select("file", F.coalesce(F.sum("n").over(by_name), F.lit(0)).alias("before"))
+    blocks = counts.select("file", "block", F.coalesce(F.sum("n").over(in_order), F.lit(0)).alias("inside"))
+    offsets = blocks.join(files, "file").select(
+        "file", "block", (F.col("before") + F.col("inside")).alias("before")
     )
-    in_file = F.row_number().over(Window.partitionBy("file").orderBy("pos")) - 1
+    in_block = F.row_number().over(Window.partitionBy("file", "block").orderBy("pos")) - 1
     return (
-        records.withColumn("in_file", in_file)
-        .join(offsets, "file")
+        records.withColumn("in_block", in_block)
+        .join(offsets, ["file", "block"])
         .select(
-            (F.col("before") + F.col("in_file")).cast("long").alias("doc_pos"),
+            (F.col("before") + F.col("in_block")).cast("long").alias("doc_pos"),
             "doc_id",
             F.coalesce("record.title", F.lit("")).alias("title"),
             F.coalesce("record.text", F.lit("")).alias("text"),
@@ -59,6 +59,29 @@ def load_json_map(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _records(json: str | Column, file: str | Column) -> Column:
+    refused = F.raise_error(F.concat(F.lit("no JSON object: "), file)).cast(RECORDS)
+    return F.coalesce(F.from_json(json, RECORDS, STRICT | {"allowSingleQuotes": "false"}), refused)
+
+
+def _parsed(entries: DataFrame) -> DataFrame:
+    """Each entry as an object of its own."""
+    whole = F.concat(F.lit("{"), "entry", F.lit("}"))
+    return entries.select(
+        "file", "pos", F.explode(F.map_entries(_records(whole, F.col("file")))).alias("entry")
+    )
+
+
+def _whole_files(spark: SparkSession, path: str) -> DataFrame:
+    """The entries of files that tasks cannot read parts of."""
+    file = F.input_file_name()
+    return (
+        spark.read.text(path, wholetext=True)
+        .select(file.alias("file"), _records("value", file).alias("records"))
+        .select("file", F.posexplode(F.map_entries("records")).alias("pos", "entry"))
+    )
+
+
 def load_json_lines(spark: SparkSession, path: str) -> DataFrame:
     """Corpus from JSON files with one record per line, the way in for large corpora.
 

@@ -1,4 +1,5 @@
 import json
+import random
 
 import pyarrow as pa
 import pytest
@@ -13,6 +14,7 @@ from daedap.sources.answers import (
     write_answer_rows,
 )
 from daedap.sources.corpus import load_json_lines, load_json_map, with_scope
+from daedap.sources.json_map import Marks, cut_entries, json_entries
 from daedap.sources.splits import as_questions, load_arrow_split, load_split
 
 
@@ -42,6 +44,75 @@ def test_json_map_folder_numbers_on(spark, tmp_path):
     assert got == [(i, k, i < 3) for i, k in enumerate("abcde")]
 
 
+def _map_text(r, n):
+    """A JSON map with signs of the format inside strings, as text, and the same parsed."""
+    signs = ['"', "\\", "{", "}", "[", "]", ",", ":", "a", "글", "\n", "🙂", " "]
+
+    def word():
+        return "".join(r.choice(signs) for _ in range(r.randint(0, 9)))
+
+    parts = []
+    for _ in range(n):
+        record = {"title": word(), "text": word(), "more": [{word(): [word()]}, 1, None]}
+        parts.append(f"{json.dumps(word())} :{json.dumps(record, ensure_ascii=r.random() < 0.5)}")
+    return " \n{" + ", ".join(parts) + "}\r\n"
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 64, 1 << 20])
+def test_json_entries_from_any_block(tmp_path, size):
+    """Blocks of any size, each entered in the state that the ones before lead to."""
+    r = random.Random(size)
+    for n in (0, 1, 2, 25):
+        text = _map_text(r, n).encode()
+        path = tmp_path / f"{n}.json"
+        path.write_bytes(text)
+        state, depth, opened, found = 0, 0, False, []
+        with pa.OSFile(str(path)) as source:
+            for at in range(0, len(text), size):
+                part = text[at : at + size]
+                found += cut_entries(source, at, len(part), state, depth, opened, size)
+                marks = Marks(part)
+                outside, state = marks.outside(state)
+                change = marks.deeper(outside)
+                depth, opened = depth + int(change.sum()), opened or bool((change > 0).any())
+        assert (state, depth, opened) == (0, 0, True)
+        pairs = [p for e in found for p in json.loads(b"{" + e + b"}", object_pairs_hook=list)]
+        assert pairs == json.loads(text, object_pairs_hook=list)
+
+
+def test_json_map_of_many_blocks(spark, tmp_path):
+    """One file read by many tasks gives what the standard reader gives; last key wins."""
+    path = tmp_path / "corpus.json"
+    path.write_text(_map_text(random.Random(5), 400))
+    entries = json_entries(spark, str(path), 512)
+    assert entries.groupBy(F.spark_partition_id()).count().count() > 20
+    got = sorted(rows(load_json_map(spark, str(path), 512), "doc_pos", "doc_id", "title", "text"))
+    parsed = json.loads(path.read_text())
+    assert len(parsed) < 400
+    assert got == [(i, k, v["title"], v["text"]) for i, (k, v) in enumerate(parsed.items())]
+    assert got == sorted(rows(load_json_map(spark, str(path)), "doc_pos", "doc_id", "title", "text"))
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["", "  ", "[]", '[{"a": {}}]', '{"a": {}', '{"a": {}}{"b": {}}', '{"a": {}} x', 'x {"a": {}}', '{"a": {},}']
+    + ['{,"a": {}}', '{"a": {}}}', '{"a": "{}', '{"a" {}}', '{"a": 5}', '{"a": {]}', "{'a': {}}", '{"a": {}},', "5"],
+)
+def test_json_map_refuses_what_is_no_object(spark, tmp_path, text):
+    (tmp_path / "a.json").write_text(text)
+    (tmp_path / "b.json").write_text('{"b": {}}')
+    for size in (3, 1 << 20):
+        with pytest.raises(Exception, match="(?i)malformed|no JSON object"):
+            load_json_map(spark, str(tmp_path), size).collect()
+
+
+def test_empty_json_map(spark, tmp_path):
+    (tmp_path / "a.json").write_text(" { \n} ")
+    (tmp_path / "b.json").write_text('{"a": null}')
+    for size in (1, 1 << 20):
+        assert rows(load_json_map(spark, str(tmp_path), size), "doc_pos", "doc_id", "title", "text") == [(0, "a", "", "")]
+
+
 def test_splits(spark, tmp_path):
     columns = {"id": ["q1", "q2"], "question": ["누구?", "Who is"], "context": ["c", "d"]}
     table = pa.table(columns)
