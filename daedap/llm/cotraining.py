@@ -299,7 +299,7 @@ def classified(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> Da
 
 
 def without_rejected(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` that are kept, with all their columns.
+    """The rows of ``docs`` that are kept, with all their columns, whatever these are called.
 
     Texts are not shuffled while the table of different pages is small enough for a
     broadcast, and once otherwise.
@@ -307,6 +307,7 @@ def without_rejected(docs: DataFrame, labels: DataFrame, threshold: float = 0.5)
     model = train(materialize(_labelled(_features(docs), labels)))
     if model is None:
         return docs
-    odds = model.combined(text_bins("_m"), page_bins())
-    judged = model.with_pages(docs.select("*", *page_keys())).withColumn("_m", measured("text"))
-    return judged.filter(_probability(odds) >= threshold).select(*docs.columns)
+    odds = model.combined(text_bins("_m"), page_bins("_row.n_chars"))
+    rows = model.with_pages(docs.select(F.struct("*").alias("_row"), *page_keys()))
+    judged = rows.withColumn("_m", measured("_row.text"))
+    return judged.filter(_probability(odds) >= threshold).select("_row.*")

@@ -93,17 +93,19 @@ def pack(pieces: DataFrame, max_tokens: int = MAX_TOKENS, group: int = GROUP_PIE
     stored = materialize(pieces)
     groups = max(1, -(-stored.count() // group))
     rest = [c for c in stored.columns if c not in ("sequence_id", "offset")]
-    dealt = stored.select(
-        *rest, F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)).alias("_group")
-    )
+    dealt_to = "_group"
+    while dealt_to in map(str.lower, rest):
+        dealt_to += "_"
+    number = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups))
+    dealt = stored.select(*(F.col(f"`{c}`") for c in rest), number.alias(dealt_to))
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         order = np.argsort(-rows["length"].to_numpy(), kind="stable")
         rows = rows.iloc[order].reset_index(drop=True)
         bins, places = sum_of_squares(rows["length"].to_numpy(), max_tokens)
-        return rows.drop(columns="_group").assign(
+        return rows.drop(columns=dealt_to).assign(
             sequence_id=bins + (np.int64(key[0]) << 32), offset=places
         )
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in dealt.schema[:-1])
-    return dealt.groupBy("_group").applyInPandas(run, f"{schema}, sequence_id long, offset long")
+    return dealt.groupBy(dealt_to).applyInPandas(run, f"{schema}, sequence_id long, offset long")

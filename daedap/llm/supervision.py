@@ -221,10 +221,11 @@ def judged(docs: DataFrame, rules: tuple[Rule, ...] = RULES, threshold: float =
 
 
 def without_bad(docs: DataFrame, rules: tuple[Rule, ...] = RULES, threshold: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` that are kept, with all their columns.
+    """The rows of ``docs`` that are kept, with all their columns, whatever these are called.
 
     Texts are measured twice, to estimate and to decide, and never shuffled.
     """
-    fitted = estimate(docs.select(measured("text").alias("_m")), "_m", rules)
-    verdict = ~base_failed("_m") & (posterior(fitted, "_m", rules) >= threshold)
-    return docs.withColumn("_m", measured("text")).filter(verdict).drop("_m")
+    rows = docs.select(F.struct("*").alias("row"), measured("text").alias("m"))
+    fitted = estimate(rows.select("m"), "m", rules)
+    verdict = ~base_failed("m") & (posterior(fitted, "m", rules) >= threshold)
+    return rows.filter(verdict).select("row.*")

@@ -167,6 +167,22 @@ def test_classifier_over_awkward_rows(spark):
     assert cotraining.classified(docs.limit(0), mixed).count() == 0
 
 
+def test_stages_keep_columns_of_any_name(spark):
+    """Columns named as those that the stages work with stay, and change no verdict."""
+    docs = table(spark, SF, "documents").limit(300).cache()
+    labels = table(spark, SF, "labels")
+    names = ("_m", "_odds", "_salt", "_source", "_lang", "_length", "_row", "_group", "_kept", "m", "row", "quality")
+    more = docs.withColumns({n: F.concat(F.lit(f"{n} "), "doc_id") for n in names})
+    for stage in (supervision.without_bad, lambda d: cotraining.without_rejected(d, labels)):
+        left = stage(more)
+        assert left.schema == more.schema
+        rows = left.collect()
+        assert all(r[n] == f"{n} {r.doc_id}" for r in rows for n in names)
+        assert 0 < len(rows) and sorted(r.doc_id for r in rows) == sorted(
+            r.doc_id for r in stage(docs).select("doc_id").collect()
+        )
+
+
 def test_fit_counts_every_row(spark):
     """Naive Bayes tables against counting by hand."""
     r = random.Random(1)

@@ -168,6 +168,11 @@ def test_packing(spark):
     check_packing(rows, ids)
     assert sum(r.length for r in rows) == sum(map(len, ids.values())) + len(ids[1])
     assert pack(token_pieces(empty(spark), FILES[0])).count() == 0
+    named = token_pieces(docs, FILES[0]).selectExpr("*", "doc_id AS _group", "piece AS `_GROUP_`")
+    again = pack(named, group=40)
+    assert again.columns == [*named.columns, "sequence_id", "offset"]
+    assert sorted(map(str, again.drop("_group", "_GROUP_").collect())) == sorted(map(str, rows))
+    assert all((r["_group"], r["_GROUP_"]) == (r.doc_id, r.piece) for r in again.collect())
 
 
 def test_packing_wastes_little(spark):
