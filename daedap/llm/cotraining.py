@@ -1,11 +1,15 @@
 """A quality classifier by co-training on two views of a document.
 
-One classifier sees the measures of the text, the other the metadata of the page:
-language, source and length. Both are naive Bayes, over binned measures and over every
-language, source and pair of language and length as it is, so that a fit is two counts
+One classifier sees the text, its words and measures, the other the metadata of the
+page: language, source and length. Both are naive Bayes, over binned measures and over every
+language, source and pair of language and length as it is, so that a fit is three counts
 over all rows. In each round either labels documents that it is
 sure of for the other. At last both are calibrated on labelled rows that no fit has
 seen, and their log odds combined.
+
+What the words of a text say is the mean of their log odds, binned as any measure. The
+odds are counted in two halves of the texts, and a text meets those of the half that it
+is not in, so that no text is judged by its own label. Equal texts are in the same half.
 """
 
 from __future__ import annotations
@@ -14,10 +18,13 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType
 
 from daedap.llm.measures import measured, share
+from daedap.llm.shingles import word_hashes
 from daedap.session import materialize
 
 # Bins of each feature, one more for null.
@@ -27,12 +34,23 @@ HELD_OUT = 4  # of one in so many labelled rows; they calibrate
 # Log odds are counted in steps of 1 / STEPS between -MOST_ODDS and MOST_ODDS.
 STEPS, MOST_ODDS = 4, 50
 
+# How strongly the slope of a view is drawn to 0, and the views' weights to their sum.
+SHRINK, MIX_SHRINK = 1e-3, 1.0
+
 # What a page is known by; none is hashed. A key never counted adds nothing, and any
 # is counted as if it had so many more rows, good and bad as all rows are.
 KEYS = ("_source", "_lang", "_length")
 SMOOTHING = 2.0
 SALTS = 16  # so many tasks share the rows of a hot source
 
+# Words are counted by the hash of their letters and digits, A to Z as a to z, in so many
+# slots; a table of odds has 1 MB for each half. Words that share a slot share its odds.
+SLOTS = 1 << 17
+HALVES = 2
+MOST_WORD_ODDS = 4.0
+NO_LETTERS = bytes(b for b in range(128) if not chr(b).isalnum())
+BLANKED = bytes.maketrans(NO_LETTERS, b" " * len(NO_LETTERS))
+
 
 def _binned(value: Column, low: float, high: float) -> Column:
     """Equal bins from ``low`` to ``high``, what lies outside in the outermost."""
@@ -62,6 +80,28 @@ def text_bins(struct: str) -> list[Column]:
     ]
 
 
+def slots_of(data: bytes | None) -> np.ndarray:
+    """The different slots of the words of a text in UTF-8, in order; null has none."""
+    words = set((data or b"").translate(BLANKED).lower().split())
+    return np.unique(word_hashes(list(words)) % np.uint64(SLOTS)).astype(np.int32)
+
+
+@F.arrow_udf(ArrayType(IntegerType(), False))
+def _slots(texts: pa.Array) -> pa.Array:
+    found = [slots_of(data) for data in texts.cast(pa.binary()).to_pylist()]
+    ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
+    return pa.ListArray.from_arrays(ends, np.concatenate([np.zeros(0, np.int32), *found]))
+
+
+def text_words(text: str) -> Column:
+    """The different slots of a text's words."""
+    return _slots(F.col(text).cast("string"))
+
+
+def text_half(text: str) -> Column:
+    return F.pmod(F.xxhash64(F.col(text).cast("string"), F.lit(1)), F.lit(HALVES)).cast("int")
+
+
 def _log_length(length: str) -> Column:
     return F.log2(1 + F.greatest(F.col(length), F.lit(0)))
 
@@ -81,8 +121,8 @@ def page_keys(lang: str = "lang", source: str = "source", length: str = "n_chars
     return [c.alias(k) for k, c in zip(KEYS, (named(source), named(lang), pair))]
 
 
-# Numbers of binned features.
-VIEWS = {"text": 10, "page": 1}
+# Numbers of binned features; the last of the text is that of its words.
+VIEWS = {"text": 11, "page": 1}
 
 
 @dataclass
@@ -90,7 +130,8 @@ class Model:
     """What each bin of each feature adds to the log odds of being good, per view.
 
     ``pages`` has what the keys of a page add to the page view, in ``_odds``, for each
-    source, pair of language and length, and salt.
+    source, pair of language and length, and salt. ``words`` has the log odds of each
+    slot for the texts of either half.
     """
 
     prior: dict[str, float] = field(default_factory=dict)
@@ -99,6 +140,25 @@ class Model:
     level: dict[str, float] = field(default_factory=dict)
     mix: tuple[float, float, float] = (0.0, 1.0, 0.0)
     pages: DataFrame | None = None
+    words: np.ndarray = field(default_factory=lambda: np.zeros((HALVES, SLOTS)))
+
+    def word_bin(self, words: str, half: str) -> Column:
+        """The bin of the mean log odds of a text's words."""
+        table = self.words
+
+        @F.arrow_udf(DoubleType())
+        def mean(words: pa.Array, half: pa.Array) -> pa.Array:
+            sizes = np.diff(words.offsets.to_numpy())
+            row = np.repeat(np.arange(len(words)), sizes)
+            odds = table[half.to_numpy(zero_copy_only=False)[row], words.flatten().to_numpy()]
+            total = np.bincount(row, odds, minlength=len(words))
+            return pa.array(total / np.maximum(sizes, 1), mask=sizes == 0)
+
+        return _binned(mean(words, half), -MOST_WORD_ODDS, MOST_WORD_ODDS)
+
+    def with_words(self, rows: DataFrame) -> DataFrame:
+        """Rows(base, words, half) with ``text``, the bins of the text view."""
+        return rows.withColumn("text", F.concat("base", F.array(self.word_bin("words", "half"))))
 
     def with_pages(self, rows: DataFrame) -> DataFrame:
         """Rows with ``KEYS`` and, in ``_odds``, what these add to the page view.
@@ -131,14 +191,21 @@ def _probability(odds: Column) -> Column:
     return 1 / (1 + F.exp(-odds))
 
 
-def _logistic(x: np.ndarray, good: np.ndarray, bad: np.ndarray) -> np.ndarray:
-    """Weights, level first, from counts of good and bad rows per point; a little shrunk."""
+def _logistic(
+    x: np.ndarray, good: np.ndarray, bad: np.ndarray, usual: tuple[float, ...], shrink: float
+) -> np.ndarray:
+    """Weights, level first, from counts of good and bad rows per point.
+
+    They are drawn to ``usual``, as a normal prior of variance 1 / ``shrink`` does: where
+    the rows are parted without an error they would be without bound otherwise.
+    """
     x = np.concatenate([np.ones((len(x), 1)), x], 1)
+    usual = np.array(usual)
     w, n = np.zeros(x.shape[1]), good + bad
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -500, 500)))
-        gradient = x.T @ (good - n * p) - 1e-3 * w
-        curve = (x * (n * p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(len(w))
+        gradient = x.T @ (good - n * p) - shrink * (w - usual)
+        curve = (x * (n * p * (1 - p))[:, None]).T @ x + shrink * np.eye(len(w))
         step = np.linalg.solve(curve, gradient)
         w += np.clip(step, -2, 2)
         if abs(step).max() < 1e-10:
@@ -176,6 +243,26 @@ def _fit(rows: DataFrame, model: Model) -> None:
         )
 
 
+def _fit_words(rows: DataFrame, model: Model) -> None:
+    """Count rows(words, half, text_label) per slot, half and label.
+
+    A slot counts a text once, as if it had SMOOTHING more, good and bad as all are.
+    What comes to the driver are at most HALVES * SLOTS rows of counts.
+    """
+    told = rows.filter("text_label IS NOT NULL").select("half", "words", "text_label")
+    # The slot behind the last counts all texts.
+    slots = F.explode(F.concat("words", F.array(F.lit(SLOTS)))).alias("slot")
+    cells = told.select("half", slots, "text_label").groupBy("half", "slot")
+    found = cells.agg(F.sum("text_label").alias("good"), F.count("*").alias("n")).toArrow().to_pandas()
+    counts = np.zeros((2, HALVES, SLOTS + 1))
+    counts[1, found["half"], found["slot"]] = found["good"]
+    counts[0, found["half"], found["slot"]] = found["n"] - found["good"]
+    counts = counts[:, ::-1]  # of the other half
+    part = (counts[1, :, -1:] + 1) / (counts[:, :, -1:].sum(0) + 2)
+    good, bad = counts[1] + SMOOTHING * part, counts[0] + SMOOTHING * (1 - part)
+    model.words = (np.log(good / bad) - np.log(part / (1 - part)))[:, :SLOTS]
+
+
 def _fit_pages(rows: DataFrame, pages: DataFrame, model: Model) -> None:
     """Count rows(KEYS.., page_label) per key and label, for ``pages``, all different ``KEYS``.
 
@@ -215,19 +302,23 @@ def _calibrate(rows: DataFrame, model: Model) -> None:
     found = cells.orderBy("text", "page").collect()
     good, bad = (np.array([r[c] for r in found], float) for c in ("good", "bad"))
     odds = np.array([[r[v] / STEPS for v in VIEWS] for r in found]).reshape(-1, len(VIEWS))
+    usual = float(np.log((good.sum() + 1) / (bad.sum() + 1)))
     for i, view in enumerate(VIEWS):
-        level, slope = _logistic(odds[:, [i]], good, bad)
+        level, slope = _logistic(odds[:, [i]], good, bad, (0.0, 0.0), SHRINK)
         # A view never counts against its own sense.
         model.slope[view] = max(float(slope), 0.0)
-        model.level[view] = float(level) if slope > 0 else float(
-            np.log((good.sum() + 1) / (bad.sum() + 1))
-        )
+        model.level[view] = float(level) if slope > 0 else usual
     both = np.stack([odds[:, i] * model.slope[v] + model.level[v] for i, v in enumerate(VIEWS)], 1)
-    model.mix = tuple(_logistic(both, good, bad).tolist())
+    # Either view's odds hold those of all rows, which count once. No view counts against
+    # its own sense.
+    level, *weights = _logistic(both, good, bad, (-usual, 1.0, 1.0), MIX_SHRINK).tolist()
+    model.mix = (level, *(max(w, 0.0) for w in weights))
 
 
 def train(rows: DataFrame, rounds: int = 3, sure: float = 0.95) -> Model | None:
-    """Fit on rows(text, page, KEYS.., label, held_out); None without labels of both kinds.
+    """Fit on rows(base, words, half, page, KEYS.., label, held_out).
+
+    None without labels of both kinds.
 
     Every round counts over all rows: labelled ones, and those of the rest that the
     other view is sure of with probability ``sure`` either way.
@@ -238,10 +329,15 @@ def train(rows: DataFrame, rounds: int = 3, sure: float = 0.95) -> Model | None:
     model = Model()
     pages = materialize(rows.select(*KEYS).distinct())
     own = F.when(~F.col("held_out"), F.col("label"))
-    first = rows.select("text", "page", *KEYS, own.alias("text_label"), own.alias("page_label"))
-    _fit(first, model)
-    _fit_pages(first, pages, model)
-    _calibrate(rows, model)
+    features = ("base", "words", "half", "page", *KEYS)
+
+    def fit(labelled: DataFrame) -> None:
+        _fit_words(labelled, model)
+        _fit(model.with_words(labelled), model)
+        _fit_pages(labelled, pages, model)
+        _calibrate(model.with_words(rows), model)
+
+    fit(rows.select(*features, own.alias("text_label"), own.alias("page_label")))
     for _ in range(rounds):
 
         def told(view: str) -> Column:
@@ -249,12 +345,9 @@ def train(rows: DataFrame, rounds: int = 3, sure: float = 0.95) -> Model | None:
             pseudo = F.when(p >= sure, 1).when(p <= 1 - sure, 0)
             return F.when(F.col("label").isNotNull(), own).otherwise(pseudo)
 
-        exchanged = model.with_pages(rows).select(
-            "text", "page", *KEYS, told("page").alias("text_label"), told("text").alias("page_label")
-        )
-        _fit(exchanged, model)
-        _fit_pages(exchanged, pages, model)
-        _calibrate(rows, model)
+        judged = model.with_pages(model.with_words(rows))
+        labels = told("page").alias("text_label"), told("text").alias("page_label")
+        fit(judged.select(*features, *labels))
     return model
 
 
@@ -268,9 +361,10 @@ def _labelled(features: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _features(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long"), measured("text").alias("m"), *PAGE).select(
-        "doc_id", F.array(*text_bins("m")).alias("text"), F.array(*page_bins()).alias("page"), *page_keys()
-    )
+    words = text_words("text").alias("words"), text_half("text").alias("half")
+    seen = docs.select(F.col("doc_id").cast("long"), measured("text").alias("m"), *words, *PAGE)
+    base, page = F.array(*text_bins("m")).alias("base"), F.array(*page_bins()).alias("page")
+    return seen.select("doc_id", base, "words", "half", page, *page_keys())
 
 
 PAGE = ("lang", "source", "n_chars")
@@ -289,7 +383,7 @@ def classified(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> Da
     if model is None:
         scores = [F.lit(1.0)] * 3
     else:
-        rows = model.with_pages(rows)
+        rows = model.with_pages(model.with_words(rows))
         text, page = _bins_of("text"), _bins_of("page")
         odds = model.calibrated("text", text), model.calibrated("page", page)
         scores = [_probability(o) for o in (*odds, model.combined(text, page))]
@@ -307,7 +401,10 @@ def without_rejected(docs: DataFrame, labels: DataFrame, threshold: float = 0.5)
     model = train(materialize(_labelled(_features(docs), labels)))
     if model is None:
         return docs
-    odds = model.combined(text_bins("_m"), page_bins("_row.n_chars"))
+    text = [*text_bins("_m"), F.col("_word_bin")]
+    odds = model.combined(text, page_bins("_row.n_chars"))
     rows = model.with_pages(docs.select(F.struct("*").alias("_row"), *page_keys()))
-    judged = rows.withColumn("_m", measured("_row.text"))
+    seen = rows.select("_row", "_odds", measured("_row.text").alias("_m"), text_words("_row.text").alias("_words"))
+    judged = seen.withColumn("_half", text_half("_row.text"))
+    judged = judged.withColumn("_word_bin", model.word_bin("_words", "_half"))
     return judged.filter(_probability(odds) >= threshold).select("_row.*")

@@ -204,6 +204,169 @@ def test_fit_counts_every_row(spark):
         assert np.allclose(model.steps[view], logs[:, :, 1] - logs[:, :, 0])
 
 
+def test_words_of_a_text():
+    def slot(word):
+        return int(measures.word_hashes([word.encode()])[0] % cotraining.SLOTS)
+
+    found = cotraining.slots_of("It's it, IT! x-1 été\n日本。".encode()).tolist()
+    assert found == sorted(map(slot, ["it", "s", "x", "1", "été", "日本。"]))
+    assert len(cotraining.slots_of(None)) == len(cotraining.slots_of(b" .,\n")) == 0
+
+
+def test_words_tell_fluent_texts_apart(spark):
+    """Texts alike in all measures, from pages alike; only their words differ."""
+    r = random.Random(5)
+    common, good, bad = ([f"{k}{i:02}" for i in range(40)] for k in ("able", "geld", "bank"))
+    rows = []
+    for i in range(900):
+        words = [r.choice(common if r.random() < 0.8 else (bad, good)[i % 2]) for _ in range(80)]
+        rows.append((i, " ".join(words) + ".", "en", "one.example", 480, i % 2))
+    made = spark.createDataFrame(
+        rows, "doc_id long, text string, lang string, source string, n_chars long, quality int"
+    )
+    labels = made.filter("doc_id % 9 < 5").select("doc_id", "quality", F.lit(0).alias("toxic"))
+    found = cotraining.classified(made.drop("quality"), labels).collect()
+    assert np.mean([x.kept == (x.doc_id % 2 == 1) for x in found if x.doc_id % 9 >= 5]) > 0.97
+    left = cotraining.without_rejected(made, labels)
+    assert {x.doc_id for x in left.collect()} == {x.doc_id for x in found if x.kept}
+
+
+def binned(value, low, high):
+    place = np.floor((value - low) * cotraining.BINS / (high - low))
+    return int(min(max(place, 0), cotraining.BINS - 1))
+
+
+def logistic_by_rows(x, y, usual, shrink):
+    """Shrunk maximum likelihood by plain Newton steps over rows, level first."""
+    x, usual = np.column_stack([np.ones(len(y)), x]), np.array(usual)
+    w = np.zeros(x.shape[1])
+    for _ in range(200):
+        p = 1 / (1 + np.exp(-x @ w))
+        gradient = x.T @ (y - p) - shrink * (w - usual)
+        curve = (x * (p * (1 - p))[:, None]).T @ x + shrink * np.eye(len(w))
+        w += np.clip(np.linalg.solve(curve, gradient), -2, 2)
+    return w
+
+
+def cotrained(docs, rounds=3, sure=0.95):
+    """Co-training document by document: scores of both views and of the two together.
+
+    ``docs`` are (features of the text, words, half, bin of the page, keys of the page,
+    label or None, held out).
+    """
+    n, odds = len(docs), {}
+
+    def fit(text_label, page_label):
+        told = [(d, y) for d, y in zip(docs, text_label) if y is not None]
+        of_word = [{}, {}]
+        for half in (0, 1):
+            other = [(d[1], y) for d, y in told if d[2] != half]
+            n_good = sum(y for _, y in other)
+            part = (n_good + 1) / (len(other) + 2)
+            good, all_ = Counter(), Counter()
+            for words, y in other:
+                all_.update(words)
+                good.update(words if y else ())
+            for w, k in all_.items():
+                g, b = good[w] + 2 * part, k - good[w] + 2 * (1 - part)
+                of_word[half][w] = np.log(g / b) - np.log(part / (1 - part))
+        seen = []
+        for features, words, half, page, keys, *_ in docs:
+            each = [of_word[half].get(w, 0.0) for w in words]
+            seen.append(([*features, binned(np.mean(each), -4, 4) if each else 64], [page]))
+        raw = {}
+        for view, name, labels in ((0, "text", text_label), (1, "page", page_label)):
+            bins = [s[view] for s in seen]
+            total = [Counter(), Counter()]
+            for b, y in zip(bins, labels):
+                if y is not None:
+                    total[y].update(enumerate(b))
+            size = [65 + sum(y == k for y in labels) for k in (0, 1)]
+            raw[name] = np.array([
+                np.log(size[1] / size[0])
+                + sum(np.log((total[1][c] + 1) / size[1]) - np.log((total[0][c] + 1) / size[0]) for c in enumerate(b))
+                for b in bins
+            ])
+        size = [65 + sum(y == k for y in page_label) for k in (0, 1)]
+        prior, part = np.log(size[1] / size[0]), size[1] / sum(size)
+        for k in range(len(docs[0][4])):
+            good, all_ = Counter(), Counter()
+            for d, y in zip(docs, page_label):
+                if y is not None:
+                    all_[d[4][k]] += 1
+                    good[d[4][k]] += y
+            for i, d in enumerate(docs):
+                if c := all_[d[4][k]]:
+                    g = good[d[4][k]]
+                    raw["page"][i] += np.log(g + 2 * part) - np.log(c - g + 2 * (1 - part)) - prior
+        held = [i for i in range(n) if docs[i][6] and docs[i][5] is not None]
+        y = np.array([docs[i][5] for i in held], float)
+        for name in raw:
+            raw[name] = np.clip(raw[name], -50, 50)
+            level, slope = logistic_by_rows(np.round(raw[name][held] * 4) / 4, y, (0, 0), 1e-3)
+            odds[name] = raw[name] * slope + level, np.round(raw[name][held] * 4) / 4 * slope + level
+            assert slope > 0
+        usual = np.log((y.sum() + 1) / ((1 - y).sum() + 1))
+        both = np.column_stack([odds["text"][1], odds["page"][1]])
+        level, *mix = logistic_by_rows(both, y, (-usual, 1, 1), 1)
+        mix = np.maximum(mix, 0)
+        odds["both"] = level + odds["text"][0] * mix[0] + odds["page"][0] * mix[1], None
+
+    def pseudo(name):
+        p = 1 / (1 + np.exp(-odds[name][0]))
+        guess = [1 if q >= sure else 0 if q <= 1 - sure else None for q in p]
+        return [own[i] if docs[i][5] is not None else guess[i] for i in range(n)]
+
+    own = [None if d[6] else d[5] for d in docs]
+    fit(own, own)
+    for _ in range(rounds):
+        fit(pseudo("page"), pseudo("text"))
+    return [1 / (1 + np.exp(-odds[name][0])) for name in ("text", "page", "both")]
+
+
+def test_classifier_against_plain_cotraining(spark):
+    """The whole query against co-training worked out document by document."""
+    sf = SF.replace("0.001", "0.01")
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    told = {}
+    for r in labels.collect():
+        told.setdefault(r.doc_id, []).append(r.quality)
+    more = (cotraining.text_half("text").alias("half"), F.pmod(F.xxhash64("doc_id"), F.lit(4)).alias("fold"))
+
+    def share(a, b):
+        return a / b if b else 0.0
+
+    def log2(x):
+        return np.log(1 + max(x, 0)) / np.log(2)
+
+    rows, ids = [], []
+    for r in docs.select("*", *more).collect():
+        m = dict(zip(measures.NAMES, measures.measure((r.text or "").encode())))
+        features = [
+            binned(log2(m["n_words"]), 0, 16),
+            binned(share(m["n_repeat_words"], m["n_words"]), 0, 1),
+            binned(share(m["n_dup_lines"], m["n_lines"]), 0, 1),
+            binned(share(m["n_symbols"], m["n_words"]), 0, 4),
+            binned(share(m["word_chars"], m["n_words"]), 0, 16),
+            binned(share(m["n_distinct"], m["n_words"]), 0, 1),
+            binned(share(m["n_top"], m["n_words"]), 0, 1),
+            binned(share(m["n_upper"], m["n_upper"] + m["n_lower"]), 0, 1),
+            binned(share(m["n_shouted"], m["n_words"]), 0, 1),
+            binned(share(m["n_ended"], m["n_lines"]), 0, 1),
+        ]
+        keys = (r.source, r.lang, (r.lang, int(log2(r.n_chars))))
+        label = None if r.doc_id not in told else int(np.mean(told[r.doc_id]) >= 0.5)
+        words = cotraining.slots_of((r.text or "").encode()).tolist()
+        rows.append((features, words, r.half, binned(log2(r.n_chars), 0, 32), keys, label, r.fold == 0))
+        ids.append(r.doc_id)
+    found = {r.doc_id: r for r in QUERIES["op2_quality_classifier"](spark, sf).collect()}
+    assert len(found) == len(ids)
+    for name, by_hand in zip(("text_score", "page_score", "quality"), cotrained(rows)):
+        ours = np.array([found[i][name] for i in ids])
+        assert abs(ours - by_hand).max() < 1e-6, name
+    assert all(r.kept == (r.quality >= 0.5) for r in found.values())
+
+
 def test_pipeline_stages(spark):
     """Each stage against what its operator says of its own input."""
     docs = table(spark, SF, "documents")
