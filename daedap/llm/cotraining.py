@@ -86,13 +86,26 @@ def slots_of(data: bytes | None) -> np.ndarray:
     return np.unique(word_hashes(list(words)) % np.uint64(SLOTS)).astype(np.int32)
 
 
-@F.arrow_udf(ArrayType(IntegerType(), False))
-def _slots(texts: pa.Array) -> pa.Array:
+def _slot_lists(texts: pa.Array) -> pa.ListArray:
     found = [slots_of(data) for data in texts.cast(pa.binary()).to_pylist()]
     ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
     return pa.ListArray.from_arrays(ends, np.concatenate([np.zeros(0, np.int32), *found]))
 
 
+def _mean_odds(table: np.ndarray, words: pa.ListArray, half: pa.Array) -> pa.Array:
+    """The mean log odds of each row's slots; null where there are none."""
+    sizes = np.diff(words.offsets.to_numpy())
+    row = np.repeat(np.arange(len(words)), sizes)
+    odds = table[half.to_numpy(zero_copy_only=False)[row], words.flatten().to_numpy()]
+    total = np.bincount(row, odds, minlength=len(words))
+    return pa.array(total / np.maximum(sizes, 1), mask=sizes == 0)
+
+
+@F.arrow_udf(ArrayType(IntegerType(), False))
+def _slots(texts: pa.Array) -> pa.Array:
+    return _slot_lists(texts)
+
+
 def text_words(text: str) -> Column:
     """The different slots of a text's words."""
     return _slots(F.col(text).cast("string"))
@@ -148,14 +161,20 @@ class Model:
 
         @F.arrow_udf(DoubleType())
         def mean(words: pa.Array, half: pa.Array) -> pa.Array:
-            sizes = np.diff(words.offsets.to_numpy())
-            row = np.repeat(np.arange(len(words)), sizes)
-            odds = table[half.to_numpy(zero_copy_only=False)[row], words.flatten().to_numpy()]
-            total = np.bincount(row, odds, minlength=len(words))
-            return pa.array(total / np.maximum(sizes, 1), mask=sizes == 0)
+            return _mean_odds(table, words, half)
 
         return _binned(mean(words, half), -MOST_WORD_ODDS, MOST_WORD_ODDS)
 
+    def word_bin_of_text(self, text: str) -> Column:
+        """The same from the text at once, so that no second Python worker takes part."""
+        table = self.words
+
+        @F.arrow_udf(DoubleType())
+        def mean(texts: pa.Array, half: pa.Array) -> pa.Array:
+            return _mean_odds(table, _slot_lists(texts), half)
+
+        return _binned(mean(F.col(text).cast("string"), text_half(text)), -MOST_WORD_ODDS, MOST_WORD_ODDS)
+
     def with_words(self, rows: DataFrame) -> DataFrame:
         """Rows(base, words, half) with ``text``, the bins of the text view."""
         return rows.withColumn("text", F.concat("base", F.array(self.word_bin("words", "half"))))
@@ -404,7 +423,6 @@ def without_rejected(docs: DataFrame, labels: DataFrame, threshold: float = 0.5)
     text = [*text_bins("_m"), F.col("_word_bin")]
     odds = model.combined(text, page_bins("_row.n_chars"))
     rows = model.with_pages(docs.select(F.struct("*").alias("_row"), *page_keys()))
-    seen = rows.select("_row", "_odds", measured("_row.text").alias("_m"), text_words("_row.text").alias("_words"))
-    judged = seen.withColumn("_half", text_half("_row.text"))
-    judged = judged.withColumn("_word_bin", model.word_bin("_words", "_half"))
+    word_bin = model.word_bin_of_text("_row.text").alias("_word_bin")
+    judged = rows.select("_row", "_odds", measured("_row.text").alias("_m"), word_bin)
     return judged.filter(_probability(odds) >= threshold).select("_row.*")
