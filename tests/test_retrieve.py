@@ -3,13 +3,15 @@ import random
 import re
 from dataclasses import replace
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import corpus_of, dense_scores, index_of, questions_of, rows, stored_index
 
 from pyspark.sql import functions as F
 
 from daedap import session
-from daedap.operators import retrieve
+from daedap.operators import chunks, retrieve
 from daedap.operators.index import build_index, corpus_tokens, open_index, postings_of, store_index
 from daedap.operators.retrieve import (
     L,
@@ -377,3 +379,65 @@ def test_index_opened_from_its_folder(spark):
     assert (opened.partitions, opened.n_documents) == (3, 40)
     by_document = opened.postings.groupBy("doc_pos").count()
     assert "Exchange" not in by_document._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_chunks_send_on_the_best_only(spark, broadcast):
+    """Many documents share terms with many questions: no row for each pair, the same best ones.
+
+    Scores tie, a position stands twice and one is null.
+    """
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(30)]
+    texts = [" ".join(["the"] + rng.choices(words, k=rng.randrange(0, 9))) for _ in range(900)]
+    texts += rng.choices(texts, k=100)
+    places = [*range(998), 7, None]
+    made = spark.createDataFrame(list(zip(places, texts)), "doc_pos long, text string")
+    index = stored_index(made.selectExpr("doc_pos", "'' title", "text", "true is_candidate"))
+    asked = [" ".join(["the"] + rng.choices([*words, "new"], k=6)) for _ in range(60)]
+    questions = questions_of(spark, asked)
+    small = session.SmallSide(broadcast, 0, None)
+    known = retrieve.question_weights(questions, index, PLUS, small)
+    every = rows(retrieve.match_units(index, known, PLUS, small), "question_id", "doc_pos", "match")
+    found = rows(retrieve.chunk_matches(index, known, 5, PLUS, small), "question_id", "doc_pos", "match")
+    assert len(every) > 50_000 and len(found) < len(every) / 4
+    assert set(found) <= set(every)
+
+    def best(matches):
+        order = sorted(matches, key=lambda r: (r[0], -r[2], r[1] is None, -(r[1] or 0)))
+        return [r for q in range(60) for r in [o for o in order if o[0] == q][:5]]
+
+    assert best(found) == best(every)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_chunks_of_documents_give_the_best_of_all(seed, monkeypatch):
+    """Chunks and batches end anywhere; frequent and rare terms, ties, twice the same posting."""
+    monkeypatch.setattr(chunks, "CHUNK", 20)
+    monkeypatch.setattr(chunks, "RUN", 4)
+    monkeypatch.setattr(chunks, "CELLS", 60)
+    rng = np.random.default_rng(seed)
+    place = np.sort(rng.integers(0, 150, 900))
+    columns = place, rng.integers(0, 25, 900) ** 2 // 24, rng.integers(1, 4, 900) / 4
+    weights = [[(int(t), float(w)) for t, w in zip(rng.integers(0, 27, 6), rng.integers(1, 3, 6))] for _ in range(9)]
+    kind = pa.list_(pa.struct([("number", pa.int64()), ("weight", pa.float64())]))
+    asked = chunks.Asked(pa.table({"question_id": [*range(8), None], "asked": pa.array(weights, kind)}))
+    best = chunks.Best(asked, 5, 1000)
+    batches = pa.table(dict(zip("abc", columns))).to_batches(max_chunksize=7)
+    parts = list(chunks._chunks(iter(batches)))
+    assert [len(np.unique(p[0])) for p in parts][:-1] == [20] * (len(parts) - 1)
+    assert all((np.concatenate(c) == columns[i]).all() for i, c in enumerate(zip(*parts)))
+    for part in parts:
+        best.add(*part)
+    expected = []
+    for q, pairs in enumerate(weights):
+        total = {}
+        for p, t, g in zip(*(c.tolist() for c in columns)):
+            for term, weight in pairs:
+                if term == t:
+                    total[p] = total.get(p, 0) + math.floor(weight * g * 1000 + 0.5)
+        top = sorted(((m, p) for p, m in total.items()), reverse=True)[:5]
+        expected += [(q if q < 8 else None, p, m) for m, p in top]
+    found = zip(*(c.to_pylist() for c in best.rows().columns))
+    key = lambda r: (r[0] is None, r[0] or 0, r[1])
+    assert sorted(found, key=key) == sorted(expected, key=key)
