@@ -37,14 +37,18 @@ def drop_newlines(col: Column) -> Column:
     return col
 
 
+def lowered(col: Column) -> Column:
+    """Text without newlines, in lower case."""
+    return F.lower(F.trim(drop_newlines(col)))
+
+
 def clean_words(col: Column) -> Column:
     """The words of cleaned text: newlines, lowercase, character filter, blank runs.
 
     One regular expression does the filter and the splitting. Picking out the
     kept runs is some eight times faster in Spark than replacing the others.
     """
-    lowered = F.lower(F.trim(drop_newlines(col)))
-    return F.regexp_extract_all(lowered, F.lit(f"[{KEPT_CHARS}]+"), F.lit(0))
+    return F.regexp_extract_all(lowered(col), F.lit(f"[{KEPT_CHARS}]+"), F.lit(0))
 
 
 def normalize(col: Column) -> Column:

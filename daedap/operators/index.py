@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import re
 import uuid
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from daedap.functions.text import Tokenizer, clean_words, normalize, searchable
+from daedap.functions.text import KEPT_CHARS, Tokenizer, clean_words, lowered, normalize, searchable
 from daedap.session import partitions_for
 
 # Fixed value: how far a document's length counts in all three rankings.
@@ -60,12 +67,20 @@ def build_index(
     """Statistics over all documents, eligible or not.
 
     The raw text is shuffled once, by document. Everything per document after
-    that (counting terms here, adding up scores later) needs no further shuffle.
+    that (counting terms here, adding up scores later) needs no further shuffle. Words
+    are counted in Python, the tokens of another tokenizer by Spark's grouping.
     """
     n_documents = corpus.count()
     partitions = partitions or partitions_for(corpus.sparkSession, n_documents)
-    tokens = corpus_tokens(corpus.repartition(partitions, "doc_pos"), tokenizer)
-    postings = (
+    dealt = corpus.repartition(partitions, "doc_pos")
+    postings = _token_postings(corpus_tokens(dealt, tokenizer)) if tokenizer else _word_postings(dealt)
+    docs = corpus.select("doc_pos", "is_candidate")
+    stats = _totals(postings, n_documents)
+    return Index(docs, postings, _terms(postings, stats), stats, n_documents, partitions)
+
+
+def _token_postings(tokens: DataFrame) -> DataFrame:
+    return (
         tokens.select(
             "doc_pos",
             "is_candidate",
@@ -78,9 +93,69 @@ def build_index(
         .groupBy("doc_pos", "is_candidate", "dl", "term")
         .agg(F.count("*").cast("int").alias("tf"))
     )
-    docs = corpus.select("doc_pos", "is_candidate")
-    stats = _totals(postings, n_documents)
-    return Index(docs, postings, _terms(postings, stats), stats, n_documents, partitions)
+
+
+# As ``clean_words`` picks them out of lowered text.
+WORD = re.compile(f"[{KEPT_CHARS}]+")
+
+# Texts that are looked at, and postings that are sent on, at a time.
+TEXTS = 256
+POSTINGS = 1 << 18
+
+
+def _word_postings(corpus: DataFrame) -> DataFrame:
+    """The postings of the cleaned words, for a corpus dealt by ``doc_pos``.
+
+    Rows of one position that are alike but for their text count together; they come one
+    after the other.
+    """
+    kinds = [corpus.schema[c].dataType for c in ("doc_pos", "is_candidate")]
+    kinds += [T.IntegerType(), T.StringType(), T.IntegerType()]
+    names = ("doc_pos", "is_candidate", "dl", "term", "tf")
+    schema = T.StructType([T.StructField(n, k) for n, k in zip(names, kinds)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = None
+        documents: dict[tuple, Counter] = {}
+        ready: list[tuple[tuple, Counter]] = []
+        last, held = None, 0
+
+        def postings() -> pa.RecordBatch:
+            sizes = pa.array([i for i, (_, words) in enumerate(ready) for _ in range(len(words))], pa.int32())
+            keys = zip(*(key for key, _ in ready)) if ready else [()] * 3
+            columns = [pa.array(c, k).take(sizes) for c, k in zip(keys, types)]
+            terms = pa.array([w for _, words in ready for w in words], pa.string()).dictionary_encode()
+            columns += [terms, pa.array([n for _, words in ready for n in words.values()], pa.int32())]
+            ready.clear()
+            # By term, so that sorting them for the index has only runs to merge.
+            rank = np.empty(len(terms.dictionary), np.int32)
+            rank[pc.array_sort_indices(terms.dictionary)] = np.arange(len(rank))
+            order = pa.array(np.argsort(rank[terms.indices], kind="stable"))
+            columns = [c.take(order) for c in columns]
+            columns[3] = columns[3].dictionary_decode()
+            return pa.RecordBatch.from_arrays(columns, names=list(names))
+
+        for whole in batches:
+            types = [whole.schema.field(0).type, whole.schema.field(1).type, pa.int32()]
+            for begin in range(0, len(whole), TEXTS):
+                batch = whole.slice(begin, TEXTS)
+                for place, scope, text in zip(*(c.to_pylist() for c in batch.columns)):
+                    if place != last:
+                        ready += documents.items()
+                        held += sum(map(len, documents.values()))
+                        documents, last = {}, place
+                        if held >= POSTINGS:
+                            yield postings()
+                            held = 0
+                    words = WORD.findall(text)
+                    documents.setdefault((place, scope, len(words)), Counter()).update(words)
+        ready += documents.items()
+        if types:
+            yield postings()
+
+    text = lowered(searchable(F.col("title"), F.col("text")))
+    in_order = corpus.select("doc_pos", "is_candidate", text).sortWithinPartitions("doc_pos")
+    return in_order.mapInArrow(run, schema)
 
 
 def length_norm(dl: Column, avgdl: Column) -> Column:

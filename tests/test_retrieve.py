@@ -12,7 +12,14 @@ from pyspark.sql import functions as F
 
 from daedap import session
 from daedap.operators import chunks, retrieve
-from daedap.operators.index import build_index, corpus_tokens, open_index, postings_of, store_index
+from daedap.operators.index import (
+    _token_postings,
+    build_index,
+    corpus_tokens,
+    open_index,
+    postings_of,
+    store_index,
+)
 from daedap.operators.retrieve import (
     L,
     OKAPI,
@@ -441,3 +448,17 @@ def test_chunks_of_documents_give_the_best_of_all(seed, monkeypatch):
     found = zip(*(c.to_pylist() for c in best.rows().columns))
     key = lambda r: (r[0] is None, r[0] or 0, r[1])
     assert sorted(found, key=key) == sorted(expected, key=key)
+
+
+def test_words_are_counted_as_tokens_are(spark):
+    """Words counted in Python are those of the cleaning, also where positions repeat or are null."""
+    texts = ["İstanbul ΑΣ a A b\\nB", "가나 ㄱa ÉA é", "", "!!", None, "a b", "a b", "b c", "x y z " * 400]
+    places = [0, 1, 2, 3, 4, 5, 5, 5, None]
+    made = spark.createDataFrame(list(zip(places, texts)) + [(None, "x a")], "doc_pos long, text string")
+    corpus = made.selectExpr("doc_pos", "'Ti\ntle' title", "text", "doc_pos < 4 is_candidate")
+    names = ("doc_pos", "is_candidate", "dl", "term", "tf")
+    built = build_index(corpus, partitions=2)
+    expected = sorted(rows(_token_postings(corpus_tokens(corpus)), *names), key=str)
+    assert sorted(rows(built.postings, *names), key=str) == expected
+    plan = built.postings._jdf.queryExecution().executedPlan().toString()
+    assert "regexp_extract_all" not in plan and "HashAggregate" not in plan
