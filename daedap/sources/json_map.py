@@ -21,7 +21,10 @@ from daedap.sources.files import open_file, reads_parts
 # Bytes that a task looks at together.
 BLOCK_BYTES = 8 << 20
 
-# Tasks for a set of files; each takes several blocks beyond that.
+# Bytes for a task and tasks for a core, where there is more to read or there are more blocks;
+# and tasks for a set of files. Every task sends the driver a few kilobytes about itself.
+TASK_BYTES = 64 << 20
+CORE_TASKS = 4
 MOST_TASKS = 10_000
 
 # Places of entries: the block, and the number in it.
@@ -168,12 +171,17 @@ def cut_entries(
     return entries
 
 
+def tasks_for(blocks: int, size: int, cores: int) -> int:
+    """Tasks for so many blocks of so many bytes in all: by bytes, not by blocks."""
+    return max(1, min(blocks, max(CORE_TASKS * cores, -(-size // TASK_BYTES)), MOST_TASKS))
+
+
 def json_entries(spark: SparkSession, path: str, block_bytes: int = BLOCK_BYTES) -> DataFrame | None:
     """``file, pos, entry``: every ``"key": value`` of JSON files that are each one object.
 
     ``pos`` grows along a file, ``floor(pos / IN_BLOCK)`` is the block an entry begins in.
-    A file is read by as many tasks as it has blocks; what is put together along it is a
-    row of some 100 bytes per block. None if tasks cannot read parts of these files. Entries
+    A file's blocks are read by many tasks, by the bytes of all files; what is put together
+    along it is a row of some 100 bytes per block. None if tasks cannot read parts of these files. Entries
     are not looked into. A file that is not one object raises ValueError.
     """
     read = spark.read.format("binaryFile").load(path)
@@ -181,19 +189,21 @@ def json_entries(spark: SparkSession, path: str, block_bytes: int = BLOCK_BYTES)
     sizes = listed.agg(
         F.count("*").alias("files"),
         F.sum(F.greatest(F.lit(1), F.ceil(F.col("length") / block_bytes))).alias("blocks"),
+        F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"),
         F.collect_set(F.substring_index("path", ":", 1)).alias("schemes"),
     ).first()
     if sizes["files"] < len(read.inputFiles()):  # scans pass over files without bytes
         raise ValueError(f"no JSON object, but an empty file: {path}")
     if not all(reads_parts(f"{scheme}:") for scheme in sizes["schemes"]):
         return None
+    tasks = tasks_for(sizes["blocks"] or 1, sizes["bytes"], spark.sparkContext.defaultParallelism)
     last = F.greatest(F.lit(0), F.ceil(F.col("length") / block_bytes) - 1).cast("long")
     blocks = (
         listed.select(F.col("path").alias("file"), "length", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("block"))
         .withColumn("begin", F.col("block") * block_bytes)
         .withColumn("size", F.least(F.lit(block_bytes), F.col("length") - F.col("begin")))
         .select("file", "block", "begin", "size")
-        .repartition(min(sizes["blocks"] or 1, MOST_TASKS))
+        .repartition(tasks)
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,5 +220,5 @@ def json_entries(spark: SparkSession, path: str, block_bytes: int = BLOCK_BYTES)
                 yield pa.RecordBatch.from_arrays([*columns, entries], names=["file", "pos", "entry"])
 
     entered = blocks.mapInArrow(_steps, STEPS).groupBy("file").applyInPandas(_entered, ENTERED)
-    spread = entered.repartition(min(sizes["blocks"] or 1, MOST_TASKS))
+    spread = entered.repartition(tasks)
     return spread.mapInArrow(cut, ENTRIES)

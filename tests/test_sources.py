@@ -6,6 +6,7 @@ import pytest
 from helpers import rows
 from pyspark.sql import functions as F
 
+from daedap.sources import json_map
 from daedap.sources.answers import (
     last_write_wins,
     map_entries,
@@ -287,3 +288,14 @@ def test_repeated_ids_in_the_answer_map(spark, tmp_path):
     for name, order, kept in (("a", "turn", "x"), ("b", None, "y")):
         write_answer_map(frame, str(tmp_path / name), order)
         assert json.loads(written(tmp_path / name)) == {"q": kept, "r": "z"}
+
+
+def test_json_tasks_follow_bytes_and_not_blocks(spark, tmp_path):
+    """Very many small files: every one is a block, but not a task."""
+    for i in range(200):
+        (tmp_path / f"{i:03d}.json").write_text(json.dumps({str(i): {"title": "", "text": "x"}}))
+    entries = json_map.json_entries(spark, str(tmp_path))
+    assert entries.count() == 200
+    assert entries.rdd.getNumPartitions() <= json_map.CORE_TASKS * spark.sparkContext.defaultParallelism
+    assert json_map.tasks_for(10**6, 6 << 30, 12) == 96
+    assert json_map.tasks_for(3, 6 << 30, 12) == 3
