@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType
 
-from daedap.llm.measures import measured, share
+from daedap.llm.measures import measured, share, texts_of
 from daedap.llm.shingles import word_hashes
 from daedap.session import materialize
 
@@ -48,6 +48,7 @@ SALTS = 16  # so many tasks share the rows of a hot source
 SLOTS = 1 << 17
 HALVES = 2
 MOST_WORD_ODDS = 4.0
+ROWS = 512  # whose slots stand side by side at a time
 NO_LETTERS = bytes(b for b in range(128) if not chr(b).isalnum())
 BLANKED = bytes.maketrans(NO_LETTERS, b" " * len(NO_LETTERS))
 
@@ -87,13 +88,18 @@ def slots_of(data: bytes | None) -> np.ndarray:
 
 
 def _slot_lists(texts: pa.Array) -> pa.ListArray:
-    found = [slots_of(data) for data in texts.cast(pa.binary()).to_pylist()]
+    found = [slots_of(data) for data in texts_of(texts)]
     ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
     return pa.ListArray.from_arrays(ends, np.concatenate([np.zeros(0, np.int32), *found]))
 
 
 def _mean_odds(table: np.ndarray, words: pa.ListArray, half: pa.Array) -> pa.Array:
     """The mean log odds of each row's slots; null where there are none."""
+    parts = [(words.slice(i, ROWS), half.slice(i, ROWS)) for i in range(0, len(words), ROWS)]
+    return pa.concat_arrays([pa.array([], pa.float64()), *(_odds_of(table, *p) for p in parts)])
+
+
+def _odds_of(table: np.ndarray, words: pa.ListArray, half: pa.Array) -> pa.Array:
     sizes = np.diff(words.offsets.to_numpy())
     row = np.repeat(np.arange(len(words)), sizes)
     odds = table[half.to_numpy(zero_copy_only=False)[row], words.flatten().to_numpy()]

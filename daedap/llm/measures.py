@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
@@ -81,9 +83,19 @@ def measure(data: bytes | None) -> tuple[int, ...]:
     )
 
 
+# Texts of a batch that stand in Python at a time, so that its worker stays small.
+TEXTS = 256
+
+
+def texts_of(texts: pa.Array) -> Iterator[bytes | None]:
+    """The texts of a batch in UTF-8, in order."""
+    for i in range(0, len(texts), TEXTS):
+        yield from texts.slice(i, TEXTS).cast(pa.binary()).to_pylist()
+
+
 @F.arrow_udf(MEASURES)
 def _measured(texts: pa.Array) -> pa.Array:
-    rows = [measure(data) for data in texts.cast(pa.binary()).to_pylist()]
+    rows = [measure(data) for data in texts_of(texts)]
     columns = zip(*rows) if rows else [()] * len(NAMES)
     return pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns], list(NAMES))
 

@@ -8,6 +8,7 @@ from itertools import product
 
 import corpus_pipeline
 import numpy as np
+import pyarrow as pa
 import pytest
 from fixtures import TEXTS, documents, empty
 from hypothesis import given, settings
@@ -415,3 +416,14 @@ def test_every_source_counts_for_itself(spark):
     assert np.mean([k for y, k in unseen if y == 0]) < 0.1
     model = cotraining.train(cotraining._labelled(cotraining._features(docs), labels))
     assert model.pages.select("_source").distinct().count() == n
+
+
+def test_texts_of_a_batch_come_a_few_at_a_time():
+    """All of them in order, null included, and odds are those of the whole batch."""
+    texts = [None if i % 7 == 0 else f"w{i} w{i % 5} é" for i in range(3 * measures.TEXTS + 5)]
+    batch = pa.array(texts)
+    assert list(measures.texts_of(batch)) == [t if t is None else t.encode() for t in texts]
+    words, half = cotraining._slot_lists(batch), pa.array([i % 2 for i in range(len(batch))], pa.int32())
+    table = np.arange(2.0 * cotraining.SLOTS).reshape(2, -1)
+    found = cotraining._mean_odds(table, words, half)
+    assert found.equals(cotraining._odds_of(table, words, half)) and found.null_count == len(texts[::7])
