@@ -66,8 +66,9 @@ class ChunkEncoder:
         self.drops_blanks, self.drops_capitals = plain == blank, plain == capital
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.special = re.compile("|".join(re.escape(token.content) for token in added) or r"(?!)")
-        letters = ["ab", "thextra", "été", "straße"]
-        letters += [] if self.drops_blanks else [" the", " ñandú"]
+        self.edges = self._edges()
+        letters = ["ab", "thextra", "été", "straße", "the", "ñandú"]
+        letters = letters if self.drops_blanks else [" " + w for w in letters]
         lengths, ids = self._ids_of_letters(letters)
         expected = [e.ids for e in self._library(letters)]
         self.letters_apart = [p.tolist() for p in np.split(ids, np.cumsum(lengths))[:-1]] == expected
@@ -76,24 +77,42 @@ class ChunkEncoder:
     def _library(self, words: list[str]) -> list:
         return self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
 
+    def _edges(self) -> np.ndarray:
+        """Of each id: the token begins with a blank, or where these make no difference ends a word."""
+        vocabulary = self.model.get_vocab(with_added_tokens=True)
+        edges = np.zeros(max(vocabulary.values(), default=-1) + 1, bool)
+        suffix = getattr(self.model.model, "end_of_word_suffix", None)
+        for token, i in vocabulary.items():
+            if self.drops_blanks:
+                edges[i] = bool(suffix) and token.endswith(suffix)
+            else:
+                edges[i] = token.startswith(BYTE_MARKS[BLANK])
+        return edges
+
     def _ids_of_letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Lengths and ids of words of letters, each as the model alone divides it."""
+        """Lengths and ids of words of letters, each as the model alone divides it.
+
+        Every word has one token at its edge, which tells the words apart.
+        """
         # A line end, which no word of letters holds, parts them.
-        shown = "\n".join(words).encode().decode("latin-1").translate(BYTE_MARKS)
+        shown = "\n".join(words).encode().decode("latin-1")
+        for byte, mark in BYTE_MARKS.items():
+            shown = shown.replace(chr(byte), mark)
         shown = shown.split(BYTE_MARKS[LINE_END]) if words else []
-        groups = [shown[i : i + 200] for i in range(0, len(shown), 200)]
-        found = self.model.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)
-        lengths = [np.bincount(e.word_ids, minlength=len(g)) for e, g in zip(found, groups)]
+        groups = [" ".join(shown[i : i + 200]) for i in range(0, len(shown), 200)]
+        found = self.model.encode_batch_fast(groups, add_special_tokens=False)
         ids = np.fromiter(chain.from_iterable(e.ids for e in found), np.uint32)
-        return np.concatenate([np.zeros(0, np.int64), *lengths]), ids
+        at = np.flatnonzero(self.edges[ids])
+        lengths = np.diff(at, prepend=-1) if self.drops_blanks else np.diff(at, append=len(ids))
+        return lengths, ids
 
     def _is_letters(self, word: str) -> bool:
-        """One run of Latin letters, behind one blank at most, that stays as it is."""
+        """One run of Latin letters that stays as it is, behind one blank where these count."""
         bare = word[1:] if word[:1] == " " else word
         return (
             bare.isalpha()
             and (bare.isascii() or max(bare) < "\u0250")
-            and (word == bare or not self.drops_blanks)
+            and (word == bare) == self.drops_blanks
             and (not self.drops_capitals or word == word.lower())
         )
 
@@ -171,7 +190,7 @@ class ChunkEncoder:
             self._forget()
         column, n_chunks = self._chunks(texts)
         coded = column.dictionary_encode()
-        chunks = coded.dictionary.to_pylist()
+        chunks = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         words = self.words
         parts = np.zeros((len(chunks), 2), np.int64)  # of each chunk its word and its marks
         parts[:, 0] = np.fromiter(map(words.get, chunks, repeat(-1)), np.int64, len(chunks))

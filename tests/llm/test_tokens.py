@@ -201,3 +201,17 @@ def test_placement_makes_squares_least():
             gaps.append(20)
         assert place == 20 - gaps[bin_]
         gaps[bin_] -= size
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_words_of_letters_have_one_edge(name):
+    """Words encoded many at a time are told apart by one token each, without offsets."""
+    encoder = ChunkEncoder(public_tokenizers.path(name))
+    words = ["a", "straße", "ñandúes", "überschwänglichkeiten", "zzzzqqqxxx", "Ø" if not encoder.drops_capitals else "ø"]
+    words = [w if encoder.drops_blanks else " " + w for w in words] * 70
+    assert all(map(encoder._is_letters, words))
+    lengths, ids = encoder._ids_of_letters(words)
+    assert encoder.edges[ids].sum() == len(words) == len(lengths)
+    found = [p.tolist() for p in np.split(ids, np.cumsum(lengths))[:-1]]
+    assert found == [e.ids for e in encoder._library(words)]
+    assert [len(x) for x in encoder._ids_of_letters([])] == [0, 0]
