@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
 from daedap.llm.measures import measured, share, texts_of
 from daedap.llm.shingles import word_hashes
@@ -29,6 +29,7 @@ from daedap.session import materialize
 
 # Bins of each feature, one more for null.
 BINS = 64
+ROUNDS, SURE = 3, 0.95
 HELD_OUT = 4  # of one in so many labelled rows; they calibrate
 
 # Log odds are counted in steps of 1 / STEPS between -MOST_ODDS and MOST_ODDS.
@@ -161,16 +162,6 @@ class Model:
     pages: DataFrame | None = None
     words: np.ndarray = field(default_factory=lambda: np.zeros((HALVES, SLOTS)))
 
-    def word_bin(self, words: str, half: str) -> Column:
-        """The bin of the mean log odds of a text's words."""
-        table = self.words
-
-        @F.arrow_udf(DoubleType())
-        def mean(words: pa.Array, half: pa.Array) -> pa.Array:
-            return _mean_odds(table, words, half)
-
-        return _binned(mean(words, half), -MOST_WORD_ODDS, MOST_WORD_ODDS)
-
     def word_bin_of_text(self, text: str) -> Column:
         """The same from the text at once, so that no second Python worker takes part."""
         table = self.words
@@ -181,10 +172,6 @@ class Model:
 
         return _binned(mean(F.col(text).cast("string"), text_half(text)), -MOST_WORD_ODDS, MOST_WORD_ODDS)
 
-    def with_words(self, rows: DataFrame) -> DataFrame:
-        """Rows(base, words, half) with ``text``, the bins of the text view."""
-        return rows.withColumn("text", F.concat("base", F.array(self.word_bin("words", "half"))))
-
     def with_pages(self, rows: DataFrame) -> DataFrame:
         """Rows with ``KEYS`` and, in ``_odds``, what these add to the page view.
 
@@ -238,6 +225,25 @@ def _logistic(
     return w
 
 
+def _with_words(rows: DataFrame, **tables: np.ndarray) -> DataFrame:
+    """Rows(base, words, half) with the bins of the text view by each table of odds.
+
+    One Python worker meets all of the tables.
+    """
+    names = list(tables)
+
+    @F.arrow_udf(StructType([StructField(name, DoubleType()) for name in names]))
+    def means(words: pa.Array, half: pa.Array) -> pa.Array:
+        return pa.StructArray.from_arrays([_mean_odds(tables[n], words, half) for n in names], names)
+
+    seen = rows.withColumn("_means", means("words", "half"))
+    bins = {
+        n: F.concat("base", F.array(_binned(F.col(f"_means.{n}"), -MOST_WORD_ODDS, MOST_WORD_ODDS)))
+        for n in names
+    }
+    return seen.withColumns(bins).drop("_means")
+
+
 def _bins_of(view: str) -> list[Column]:
     return [F.col(view)[i] for i in range(VIEWS[view])]
 
@@ -340,13 +346,19 @@ def _calibrate(rows: DataFrame, model: Model) -> None:
     model.mix = (level, *(max(w, 0.0) for w in weights))
 
 
-def train(rows: DataFrame, rounds: int = 3, sure: float = 0.95) -> Model | None:
-    """Fit on rows(base, words, half, page, KEYS.., label, held_out).
+def _told(model: Model, view: str, bins: list[Column], sure: float) -> Column:
+    """The given label of a row, or what a view is sure of where it has none."""
+    own = F.when(~F.col("held_out"), F.col("label"))
+    p = _probability(model.calibrated(view, bins))
+    pseudo = F.when(p >= sure, 1).when(p <= 1 - sure, 0)
+    return F.when(F.col("label").isNotNull(), own).otherwise(pseudo)
 
-    None without labels of both kinds.
 
-    Every round counts over all rows: labelled ones, and those of the rest that the
-    other view is sure of with probability ``sure`` either way.
+def _trained(rows: DataFrame, rounds: int, sure: float) -> tuple[Model, DataFrame] | None:
+    """The model of ``train``, and rows without words, with the bins of both views in it.
+
+    Words are read twice in a round, to count them and to put their odds into bins; all
+    other counts read the bins, which are written once in a round.
     """
     labels = rows.filter("NOT held_out").agg(F.min("label").alias("a"), F.max("label").alias("b"))
     if labels.first()[:] != (0, 1):
@@ -354,26 +366,39 @@ def train(rows: DataFrame, rounds: int = 3, sure: float = 0.95) -> Model | None:
     model = Model()
     pages = materialize(rows.select(*KEYS).distinct())
     own = F.when(~F.col("held_out"), F.col("label"))
-    features = ("base", "words", "half", "page", *KEYS)
-
-    def fit(labelled: DataFrame) -> None:
-        _fit_words(labelled, model)
-        _fit(model.with_words(labelled), model)
-        _fit_pages(labelled, pages, model)
-        _calibrate(model.with_words(rows), model)
-
-    fit(rows.select(*features, own.alias("text_label"), own.alias("page_label")))
-    for _ in range(rounds):
+    kept = [c for c in rows.columns if c not in ("base", "words", "half")]
+    seen = None
+    for _ in range(rounds + 1):
+        if seen is None:
+            labelled = rows.withColumn("text_label", own)
+            _fit_words(labelled, model)
+            told = _with_words(labelled, text=model.words).withColumn("page_label", own)
+        else:
+            before = model.words
+            labelled = model.with_pages(rows).withColumn(
+                "text_label", _told(model, "page", _bins_of("page"), sure)
+            )
+            _fit_words(labelled, model)
+            told = _with_words(labelled, text=model.words, before=before)
+            bins = [F.col("before")[i] for i in range(VIEWS["text"])]
+            told = told.withColumn("page_label", _told(model, "text", bins, sure))
+        seen = materialize(told.select(*kept, "text", "text_label", "page_label"))
+        _fit(seen, model)
+        _fit_pages(seen, pages, model)
+        _calibrate(seen, model)
+    return model, seen.drop("text_label", "page_label")
+
+
+def train(rows: DataFrame, rounds: int = ROUNDS, sure: float = SURE) -> Model | None:
+    """Fit on rows(base, words, half, page, KEYS.., label, held_out).
 
-        def told(view: str) -> Column:
-            p = _probability(model.calibrated(view, _bins_of(view)))
-            pseudo = F.when(p >= sure, 1).when(p <= 1 - sure, 0)
-            return F.when(F.col("label").isNotNull(), own).otherwise(pseudo)
+    None without labels of both kinds.
 
-        judged = model.with_pages(model.with_words(rows))
-        labels = told("page").alias("text_label"), told("text").alias("page_label")
-        fit(judged.select(*features, *labels))
-    return model
+    Every round counts over all rows: labelled ones, and those of the rest that the
+    other view is sure of with probability ``sure`` either way.
+    """
+    found = _trained(rows, rounds, sure)
+    return found and found[0]
 
 
 def _labelled(features: DataFrame, labels: DataFrame) -> DataFrame:
@@ -381,7 +406,8 @@ def _labelled(features: DataFrame, labels: DataFrame) -> DataFrame:
     given = labels.filter("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id")
     label = (F.avg("quality") >= 0.5).cast("int").alias("label")
     held_out = F.pmod(F.xxhash64("doc_id"), F.lit(HELD_OUT)) == 0
-    joined = features.join(given.agg(label), "doc_id", "left")
+    # Rows with their words are never sorted, and labels never broadcast whole.
+    joined = features.join(given.agg(label).hint("shuffle_hash"), "doc_id", "left")
     return joined.withColumn("held_out", F.coalesce(held_out, F.lit(False)))
 
 
@@ -404,11 +430,12 @@ def classified(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> Da
     every score is 1. Features are written once to the shared folder.
     """
     rows = materialize(_labelled(_features(docs), labels))
-    model = train(rows)
-    if model is None:
+    found = _trained(rows, ROUNDS, SURE)
+    if found is None:
         scores = [F.lit(1.0)] * 3
     else:
-        rows = model.with_pages(model.with_words(rows))
+        model, rows = found
+        rows = model.with_pages(rows)
         text, page = _bins_of("text"), _bins_of("page")
         odds = model.calibrated("text", text), model.calibrated("page", page)
         scores = [_probability(o) for o in (*odds, model.combined(text, page))]

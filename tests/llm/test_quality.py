@@ -427,3 +427,14 @@ def test_texts_of_a_batch_come_a_few_at_a_time():
     table = np.arange(2.0 * cotraining.SLOTS).reshape(2, -1)
     found = cotraining._mean_odds(table, words, half)
     assert found.equals(cotraining._odds_of(table, words, half)) and found.null_count == len(texts[::7])
+
+
+def test_rows_with_words_are_shuffled_once_and_left_behind(spark):
+    """Labels meet rows alike at any size, and all but two counts read rows without words."""
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    rows = cotraining._labelled(cotraining._features(docs), labels)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "BroadcastHashJoin" not in plan
+    model, seen = cotraining._trained(corpus_pipeline.materialize(rows), 1, 0.95)
+    assert not {"words", "base", "half"} & set(seen.columns)
+    assert seen.count() == docs.count() and model.pages is not None
