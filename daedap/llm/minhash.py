@@ -12,6 +12,7 @@ do so with a probability of about 0.00002; links are confirmed on the full sets.
 
 from __future__ import annotations
 
+import zlib
 from collections import OrderedDict
 from collections.abc import Iterator
 
@@ -40,6 +41,10 @@ SHARE_NODES = 256
 COUNTERS = 2**20
 BITMAP = 1024
 
+# Slots that tell which shingles can meet another text's, in so many parts.
+MEETING = 2**22
+PARTS = 16
+
 _NUMBERS = np.random.default_rng(20_240_501)
 FACTORS = _NUMBERS.integers(0, 2**63, PLACES, np.uint64) * np.uint64(2) + np.uint64(1)
 SHIFTS = _NUMBERS.integers(0, 2**64, PLACES, np.uint64)
@@ -203,6 +208,52 @@ def _frequent(texts: DataFrame) -> np.ndarray:
     return table
 
 
+def _first_quarter(shingles: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles of a set of which similar sets share one, and their places."""
+    n = len(shingles)
+    place = np.flatnonzero(100 * (n - np.arange(n)) >= 75 * n)
+    order = np.lexsort((shingles, table[shingles % np.uint64(COUNTERS)]))
+    return shingles[order[place]], place
+
+
+def _meeting(texts: DataFrame, table: np.ndarray) -> np.ndarray:
+    """For each of ``MEETING`` slots, whether two or more texts have a first shingle there.
+
+    A task sends bits for its texts, which are put together part by part; what comes to
+    the driver are the bits of all slots once, however many texts there are.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        once, more = np.zeros(MEETING, bool), np.zeros(MEETING, bool)
+        for batch in batches:
+            for text in batch.column(0).cast(pa.binary()).to_pylist():
+                first, _ = _first_quarter(shingle_set(text), table)
+                slots = np.unique(first % np.uint64(MEETING))
+                more[slots] |= once[slots]
+                once[slots] = True
+        if once.any():
+            sent = [[zlib.compress(np.packbits(p).data, 1) for p in np.split(x, PARTS)] for x in (once, more)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(range(PARTS), pa.int32()), *(pa.array(x, pa.binary()) for x in sent)],
+                names=["part", "once", "more"],
+            )
+
+    def together(rows: pa.Table) -> pa.Table:
+        once, more = (np.zeros(MEETING // PARTS // 8, np.uint8) for _ in range(2))
+        for x, y in zip(rows["once"].to_pylist(), rows["more"].to_pylist()):
+            x, y = (np.frombuffer(zlib.decompress(z), np.uint8) for z in (x, y))
+            more |= y | (once & x)
+            once |= x
+        return pa.table({"part": rows["part"][:1], "more": pa.array([more.tobytes()], pa.binary())})
+
+    sent = texts.select("text").mapInArrow(run, "part int, once binary, more binary")
+    found = sent.groupBy("part").applyInArrow(together, "part int, more binary").collect()
+    meeting = np.zeros((PARTS, MEETING // PARTS), bool)
+    for r in found:
+        meeting[r["part"]] = np.unpackbits(np.frombuffer(r["more"], np.uint8))
+    return meeting.reshape(-1)
+
+
 def _pairs_by_rare_shingles(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """All pairs of ``nodes(node, component, key, share)`` that can be links, exactly.
 
@@ -210,7 +261,8 @@ def _pairs_by_rare_shingles(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     first quarter, and what can follow its place in both bounds what they share. Any
     order will do; here those come last that many texts under a key have in common. Bits
     that differ between two sets' bitmaps bound from below what they do not share. Two of
-    one component need no link.
+    one component need no link. Shingles that no other set has in its first quarter meet
+    nothing and are not sent: these are what texts around a common passage mostly have.
     """
     named = materialize(
         nodes.withColumnRenamed("node", "doc_id")
@@ -219,16 +271,18 @@ def _pairs_by_rare_shingles(nodes: DataFrame, texts: DataFrame) -> DataFrame:
         .select("doc_id", "component", "text")
     )
     table = _frequent(named)
+    meeting = np.packbits(_meeting(named, table))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        meets = np.unpackbits(meeting).view(bool)
         for batch in batches:
             columns = (batch.column(0), batch.column(1), batch.column(2).cast(pa.binary()))
             for node, component, text in zip(*(c.to_pylist() for c in columns)):
                 shingles = shingle_set(text)
                 n = len(shingles)
-                counts = table[shingles % np.uint64(COUNTERS)]
-                order = np.lexsort((shingles, counts))
-                place = np.flatnonzero(100 * (n - np.arange(n)) >= 75 * n)
+                first, place = _first_quarter(shingles, table)
+                met = meets[first % np.uint64(MEETING)]
+                first, place = first[met], place[met]
                 marks = np.zeros(BITMAP, np.uint8)
                 marks[shingles % np.uint64(BITMAP)] = 1
                 bits = np.tile(np.packbits(marks).view(np.int64), len(place))
@@ -238,7 +292,7 @@ def _pairs_by_rare_shingles(nodes: DataFrame, texts: DataFrame) -> DataFrame:
                         "node": np.full(len(place), node),
                         "component": np.full(len(place), component),
                         "n": np.full(len(place), n),
-                        "shingle": shingles[order[place]].view(np.int64),
+                        "shingle": first.view(np.int64),
                         "place": place,
                         "bits": pa.ListArray.from_arrays(ends, bits),
                     }

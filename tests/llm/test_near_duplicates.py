@@ -131,3 +131,25 @@ def test_components_of_chains_and_stars(spark):
     expected = {i: 100 for i in range(100, 161)} | {i: 7 for i in range(7, 60)} | {900: 900, 901: 900}
     assert found == expected
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_texts_around_a_passage_send_few_shingles(spark, monkeypatch):
+    """Under full keys only shingles that can meet another text's make rows."""
+    r = random.Random(3)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(7))
+    passage = [word() for _ in range(60)]
+    texts = [" ".join(passage + [word() for _ in range(40)]) for _ in range(150)]
+    texts += [t + " " + word() for t in texts[:10]]
+    rows, sent = list(enumerate(texts)), []
+    written = minhash.materialize
+
+    def spied(df):
+        stored = written(df)
+        if "shingle" in df.columns:
+            sent.append(stored.count())
+        return stored
+
+    monkeypatch.setattr(minhash, "materialize", spied)
+    assert ours(spark.createDataFrame(rows, "doc_id long, text string"), few_nodes=2) == brute_force(rows)
+    quarters = sum(len(shingles(t)) // 4 for t in texts)
+    assert sent and 0 < sent[0] < quarters / 5
