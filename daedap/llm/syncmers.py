@@ -229,25 +229,24 @@ def shared_passages(docs: DataFrame) -> DataFrame:
     has any). ``passages`` has the matches of each offset, by begin: from which to which
     piece of this text they reach, the offset, and how many they are. Of rows that
     repeat an id, that with the smallest anchors is the next document for others; rows
-    without an id have an empty one. Everything but a document's anchors stays in the
-    task that holds its text.
+    without an id have an empty one. Texts stay in the tasks that read them; their anchors
+    are written once to the shared folder.
     """
     if dict(docs.dtypes)["doc_id"] != "bigint":
         docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    named = texts.filter("doc_id IS NOT NULL")
-    order = _following(named)
+    # Anchors are found once for each text, and only these go on from here.
+    text = F.coalesce("text", F.lit(""))
+    packed = materialize(docs.select("doc_id", _packed(text).alias("own")))
+    named = packed.filter("doc_id IS NOT NULL")
+    order = _following(named.select("doc_id", F.lit("").alias("text")))
     before = order.select(F.col("next_id").alias("doc_id"), F.col("doc_id").alias("before_id"))
     nexts = (
         named.join(before, "doc_id")
         .groupBy(F.col("before_id").alias("doc_id"))
-        .agg(F.min(_packed(F.col("text"))).alias("next"))
+        .agg(F.min("own").alias("next"))
     )
     rows = named.join(nexts, "doc_id").select(
-        "doc_id",
-        F.monotonically_increasing_id().alias("row"),
-        _packed(F.col("text")).alias("own"),
-        "next",
+        "doc_id", F.monotonically_increasing_id().alias("row"), "own", "next"
     )
 
     def hashes(packed: str) -> Column:
@@ -304,9 +303,9 @@ def shared_passages(docs: DataFrame) -> DataFrame:
             "passages",
         )
     )
-    alone = texts.filter("doc_id IS NULL").select(
+    alone = packed.filter("doc_id IS NULL").select(
         "doc_id",
-        F.size(anchors(F.col("text"))).alias("n_anchors"),
+        F.size("own").alias("n_anchors"),
         F.lit(0).alias("next_anchors"),
         F.lit(0).cast("long").alias("shared"),
         F.lit(0).cast("long").alias("aligned"),

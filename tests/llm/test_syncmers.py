@@ -222,3 +222,10 @@ def test_pieces_of_short_and_long_words(spark):
     assert frame.select(pieces).first()[0] == [
         "ab", "seven77", "eight888", "ninechar", "inechars", "😀bcdefgh", "bcdefghi", "x",
     ]
+
+
+def test_anchors_are_found_once_for_each_text(spark):
+    """What follows works on written anchors; no text is read or cut up again."""
+    docs = table(spark, SF, "documents")
+    plan = syncmers.shared_passages(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in plan and "text" not in plan
