@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from daedap import session
 from daedap.operators import chunks, retrieve
+from daedap.operators import index as index_module
 from daedap.operators.index import (
     _token_postings,
     build_index,
@@ -29,7 +30,7 @@ from daedap.operators.retrieve import (
     score_documents,
     top_documents,
 )
-from daedap.session import shared_dir
+from daedap.session import materialize, shared_dir
 from daedap.sources.splits import as_questions
 
 THREE = ["a b", "a a c", "d"]
@@ -417,6 +418,47 @@ def test_chunks_send_on_the_best_only(spark, broadcast):
     assert best(found) == best(every)
 
 
+def test_batches_copy_neither_postings_nor_question_terms(spark, monkeypatch):
+    """A question set in no broadcast goes through the bucketed postings, which stay where they are."""
+    texts = [f"w{i % 7} w{i % 5} x{i}" for i in range(60)]
+    index, questions = stored_index(corpus_of(spark, texts)), questions_of(spark, ["w1 x9", "w2 w3"] * 6)
+    small = session.SmallSide(False, 0, None)
+    known = retrieve.question_weights(questions, index, PLUS, small)
+    whole = sorted(rows(retrieve.chunk_matches(index, known, 3, PLUS, small), "question_id", "doc_pos", "match"))
+    monkeypatch.setattr(session, "LIMITS", session.Limits(batch_tokens=6))
+    found = retrieve.chunk_matches(index, materialize(known), 3, PLUS, small)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "Generate" not in plan and "CoGroup" not in plan
+    assert plan.count("MapInArrow") == 1 and plan.count("step-") > 3
+
+    def best(matches):
+        order = sorted(matches, key=lambda r: (r[0], -r[2], -r[1]))
+        return [r for q in range(12) for r in [o for o in order if o[0] == q][:3]]
+
+    assert best(rows(found, "question_id", "doc_pos", "match")) == best(whole)
+
+
+def test_documents_stay_whole_where_files_are_read_in_pieces(spark, monkeypatch):
+    """A bucket's file is sorted by term, so that each of its pieces has a part of every document."""
+    monkeypatch.setattr(index_module, "LAYOUT", {"parquet.page.row.count.limit": "100", "parquet.block.size": "1024"})
+    texts = [" ".join(f"w{(i * k) % 60}" for k in range(1, 40)) for i in range(300)]
+    index = stored_index(corpus_of(spark, texts))
+    questions = questions_of(spark, ["w1 w20 w41 w59", "w3 w58 w30"])
+    small = session.SmallSide(True, 0, None)
+    known = materialize(retrieve.question_weights(questions, index, PLUS, small))
+    every = rows(retrieve.match_units(index, known, PLUS, small), "question_id", "doc_pos", "match")
+    settings = {"spark.sql.files.maxPartitionBytes": "4000", "spark.sql.files.openCostInBytes": "0"}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        assert index.postings.rdd.getNumPartitions() > 4
+        found = rows(retrieve.chunk_matches(index, known, 5, PLUS, small), "question_id", "doc_pos", "match")
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+    assert found and set(found) <= set(every)
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_chunks_of_documents_give_the_best_of_all(seed, monkeypatch):
     """Chunks and batches end anywhere; frequent and rare terms, ties, twice the same posting."""
