@@ -1,5 +1,8 @@
+import time
+
 import pytest
 from helpers import corpus_of, questions_of, rows, stored_index
+from pyspark.sql import functions as F
 from daedap import session
 from daedap.operators.reader import model_reader
 from daedap.operators.select import last_morph_of_text
@@ -58,6 +61,37 @@ def test_large_question_sets_do_not_change_answers(spark, monkeypatch):
     assert everything(answer_by_cut(index, corpus, asked, P3, last_morph_of_text)) == whole
 
 
+@pytest.mark.parametrize("by_rank", [False, True])
+def test_a_large_question_set_is_answered_batch_by_batch(spark, monkeypatch, by_rank):
+    """The answers of each batch are written, so that its texts are not kept for the end."""
+    corpus = corpus_of(spark, TEXTS)
+    index, asked = stored_index(corpus), questions_of(spark, ASKED * 2)
+    answer, params = (answer_by_rank, P2) if by_rank else (answer_by_cut, P3)
+    whole = everything(answer(index, corpus, asked, params, last_morph_of_text))
+    monkeypatch.setattr(session, "LIMITS", session.Limits(batch_questions=5))
+    answers = answer(index, corpus, asked, params, last_morph_of_text)
+    plan = answers._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("step-") == 2 and "postings" not in plan and "MapInArrow" not in plan
+    assert everything(answers) == whole and len(whole) == 2 * len(ASKED)
+
+
+def test_written_steps_leave_no_shuffle_files(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        blocks = disk.getAllBlocks()
+        names = {blocks.apply(i).name() for i in range(blocks.size())}
+        return {name for name in names if name.startswith("shuffle_")}
+
+    before = shuffled()
+    rows_ = session.materialize(spark.range(3000).repartition(5).groupBy(F.col("id") % 7).count())
+    until = time.time() + 20
+    while shuffled() - before and time.time() < until:  # they are removed a little later
+        time.sleep(0.1)
+    assert not shuffled() - before
+    assert rows_.count() == 7 and spark.conf.get(session.CLEANUP, "false") == "false"
+
+
 def test_answer_comes_from_the_model(spark):
     corpus = corpus_of(spark, ["짧다 아주아주긴낱말 끝", "다른 글"])
     index, asked = stored_index(corpus), questions_of(spark, ["짧다 끝"])
